@@ -328,5 +328,18 @@ FINAL["dq_summary"] = """
            (SELECT count(*) FROM (""" + FINAL["dq_rel_event_status"] + """))"""
 
 
+# Round trips whose result must reproduce a relation exactly.
+_RAW_RECORDS = """SELECT event_id, shipment_id, status_code, facility_id, event_timestamp, courier_notes
+    FROM raw_tracking_events"""
+FINAL["scan_tracking_json"] = _RAW_RECORDS
+FINAL["json_schema_backfill"] = _RAW_RECORDS
+FINAL["stream_ingest_events"] = _RAW_RECORDS
+FINAL["full_refresh_events"] = _RAW_RECORDS
+FINAL["json_provenance"] = """SELECT substr(source_file, 8, 13) AS hour_bucket, count(*) AS event_count
+    FROM raw_tracking_events GROUP BY 1"""
+FINAL["scan_weather_csv"] = "SELECT date, city, weather_condition, precipitation_mm, regional_delay_flag FROM raw_weather"
+FINAL["stream_exceptions"] = "SELECT * FROM mart_exceptions_analysis"
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: PREFIX + v.strip() for k, v in FINAL.items()}

@@ -95,6 +95,8 @@ def ingest_new_files(
     events_table: str,
     ledger_table: str,
     full_refresh: bool = False,
+    glob: str = EVENT_FILE_GLOB,
+    recursive: bool = False,
 ) -> dict:
     """Load every not-yet-ingested ``events_*.json`` file of ``events_dir``.
 
@@ -103,7 +105,7 @@ def ingest_new_files(
     mode = "full_refresh" if full_refresh else "incremental"
     if not path_exists(spark, events_dir):
         return {"files_loaded": 0, "events_loaded": 0, "mode": mode}
-    listing = list_event_files(spark, events_dir)
+    listing = list_event_files(spark, events_dir, glob=glob, recursive=recursive)
     ledger = empty_ledger(spark) if full_refresh else read_ledger(spark, ledger_table)
     todo = new_files(listing, ledger)
     # File paths (metadata, one short string per new file) go to the reader.
