@@ -35,6 +35,7 @@ def read_event_files(
     paths: str | list[str],
     glob: str | None = EVENT_FILE_GLOB,
     recursive: bool = False,
+    key_by_path: bool | None = None,
 ) -> DataFrame:
     reader = (
         spark.read.schema(schemas.TRACKING_EVENT_RECORD)
@@ -46,7 +47,15 @@ def read_event_files(
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     df = reader.json(paths)
-    return df.select(*RECORD_COLUMNS, F.col("_metadata.file_name").alias("source_file"))
+    by_path = recursive if key_by_path is None else key_by_path
+    return df.select(*RECORD_COLUMNS, file_key(by_path).alias("source_file"))
+
+
+def file_key(recursive: bool):
+    """Identity of an input file: its name in a flat feed (moving the folder
+    does not re-ingest), its full path in a nested, Spark-written layout
+    (where part-file names repeat across partition folders)."""
+    return F.col("_metadata.file_path") if recursive else F.col("_metadata.file_name")
 
 
 def list_event_files(spark: SparkSession, events_dir: str, glob: str = EVENT_FILE_GLOB,
@@ -55,8 +64,9 @@ def list_event_files(spark: SparkSession, events_dir: str, glob: str = EVENT_FIL
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
+    name = F.col("path") if recursive else F.element_at(F.split(F.col("path"), "/"), -1)
     return reader.load(events_dir).select(
-        F.element_at(F.split(F.col("path"), "/"), -1).alias("file_name"),
+        name.alias("file_name"),
         "path",
         "length",
     )
@@ -116,7 +126,7 @@ def ingest_new_files(
         return {"files_loaded": 0, "events_loaded": 0, "mode": mode}
 
     batch = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
-    events = read_event_files(spark, paths, glob=None).withColumn(BATCH_COL, F.lit(batch))
+    events = read_event_files(spark, paths, glob=None, key_by_path=recursive).withColumn(BATCH_COL, F.lit(batch))
     (
         events.write.mode("overwrite" if full_refresh else "append")
         .partitionBy(BATCH_COL)
