@@ -135,4 +135,7 @@ class ModelGraph:
             model = MODELS[name]
             args = [self.get(d) for d in model.deps]
             self._frames[name] = model.build(*args)
-        return self._frames[name]
+        frame = self._frames[name]
+        if callable(frame):  # lazily supplied raw input
+            frame = self._frames[name] = frame()
+        return frame

@@ -16,6 +16,7 @@ from parcelspark.plans.graph import ModelGraph
 from parcelspark.session import scratch_dir
 from parcelspark.sinks.hourly_json import EXPORT_GLOB, export_hourly_json
 from parcelspark.sources import fixtures, tracking_json, weather_csv
+from parcelspark.sources.fs import path_exists
 from parcelspark.streaming import exceptions as stream_exc
 from parcelspark.streaming import ingest as stream_ingest
 
@@ -23,9 +24,18 @@ RECORDS = tracking_json.RECORD_COLUMNS
 EXPORT_STREAM_SUFFIX = "/hour=*/_file=*"
 
 
+# One export per (session, input folder, options): the round-trip keys all
+# read the same derived feed, so it is written once per session.
+_EXPORTS: dict[tuple, str] = {}
+
+
 def _export(spark: SparkSession, sf_dir: str, **kw) -> str:
-    out = scratch_dir(spark, "events-export")
-    export_hourly_json(fixtures.raw_tracking_events(spark, sf_dir), out, **kw)
+    key = (spark.sparkContext.applicationId, sf_dir, repr(sorted(kw.items())))
+    out = _EXPORTS.get(key)
+    if out is None or not path_exists(spark, out):
+        out = scratch_dir(spark, "events-export")
+        export_hourly_json(fixtures.raw_tracking_events(spark, sf_dir), out, **kw)
+        _EXPORTS[key] = out
     return out
 
 

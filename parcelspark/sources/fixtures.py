@@ -8,6 +8,7 @@ adapter adds no shuffle of its own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,22 +39,31 @@ SHIPMENT_SPREAD_MINUTES = 43200
 
 @dataclass
 class RawTables:
-    """The five raw inputs of the model graph."""
+    """The five raw inputs of the model graph.
 
-    facilities: DataFrame
-    shipments: DataFrame
-    tracking_events: DataFrame
-    weather: DataFrame
-    status_codes: DataFrame
+    Each field is a DataFrame or a zero-argument callable returning one; the
+    model graph resolves callables only when a model needs that input.
+    """
+
+    facilities: DataFrame | Callable[[], DataFrame]
+    shipments: DataFrame | Callable[[], DataFrame]
+    tracking_events: DataFrame | Callable[[], DataFrame]
+    weather: DataFrame | Callable[[], DataFrame] | None
+    status_codes: DataFrame | Callable[[], DataFrame]
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def _read(spark: SparkSession, sf_dir: str, name: str, cache: dict | None = None) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if cache is None:
+        return spark.read.parquet(path)
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
-def _supplier_count(spark: SparkSession, sf_dir: str):
+def _supplier_count(spark: SparkSession, sf_dir: str, cache: dict | None = None):
     """Scalar subquery: evaluated once per query, no cross join."""
-    return _read(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
+    return _read(spark, sf_dir, "supplier", cache).select(F.count(F.lit(1))).scalar()
 
 
 def _pick(index, values) -> F.Column:
@@ -63,9 +73,9 @@ def _pick(index, values) -> F.Column:
     return expr
 
 
-def raw_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _read(spark, sf_dir, "supplier")
-    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+def raw_facilities(spark: SparkSession, sf_dir: str, cache: dict | None = None) -> DataFrame:
+    s = _read(spark, sf_dir, "supplier", cache)
+    n = _read(spark, sf_dir, "nation", cache).select("n_nationkey", "n_name")
     return (
         s.join(n, s["s_nationkey"] == n["n_nationkey"], "inner")
         .select(
@@ -78,9 +88,9 @@ def raw_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
-    n = _supplier_count(spark, sf_dir)
+def raw_shipments(spark: SparkSession, sf_dir: str, cache: dict | None = None) -> DataFrame:
+    o = _read(spark, sf_dir, "orders", cache)
+    n = _supplier_count(spark, sf_dir, cache)
     k = F.col("o_orderkey")
     weight_units = (k * 37) % 3000
     created_at = F.timestamp_add(
@@ -99,9 +109,9 @@ def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e_tab = _read(spark, sf_dir, "events")
-    n = _supplier_count(spark, sf_dir)
+def raw_tracking_events(spark: SparkSession, sf_dir: str, cache: dict | None = None) -> DataFrame:
+    e_tab = _read(spark, sf_dir, "events", cache)
+    n = _supplier_count(spark, sf_dir, cache)
     e = F.col("event_id")
     etype = F.col("event_type")
     status = None
@@ -122,7 +132,7 @@ def raw_tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_weather(spark: SparkSession, sf_dir: str, cache: dict | None = None) -> DataFrame:
     """One row per (event day, nation).
 
     The day list is a bounded calendar dimension (at most one entry per
@@ -130,13 +140,13 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     exploded next to each nation - no cross join, no driver round trip.
     """
     days = (
-        _read(spark, sf_dir, "events")
+        _read(spark, sf_dir, "events", cache)
         .select(F.to_date("ts").alias("d"))
         .distinct()  # partial-aggregated map side: one row per day per task
         .agg(F.sort_array(F.collect_list("d")).alias("days"))
         .scalar()
     )
-    nat = _read(spark, sf_dir, "nation")
+    nat = _read(spark, sf_dir, "nation", cache)
     w = nat.select("n_nationkey", "n_name", F.explode(days).alias("d"))
     cond = _pick(F.pmod(F.dayofmonth("d") + F.col("n_nationkey"), F.lit(8)), WEATHER_CONDITIONS_BY_MOD8)
     precip = F.pmod(F.dayofmonth("d") * 7 + F.col("n_nationkey") * 3, F.lit(40)).cast("double")
@@ -150,10 +160,13 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_raw(spark: SparkSession, sf_dir: str) -> RawTables:
+    """Lazy raw inputs: a table is read (and its file listing taken) only if
+    a model asks for it, and at most once per graph."""
+    cache: dict = {}
     return RawTables(
-        facilities=raw_facilities(spark, sf_dir),
-        shipments=raw_shipments(spark, sf_dir),
-        tracking_events=raw_tracking_events(spark, sf_dir),
-        weather=raw_weather(spark, sf_dir),
-        status_codes=seed.status_codes(spark),
+        facilities=lambda: raw_facilities(spark, sf_dir, cache),
+        shipments=lambda: raw_shipments(spark, sf_dir, cache),
+        tracking_events=lambda: raw_tracking_events(spark, sf_dir, cache),
+        weather=lambda: raw_weather(spark, sf_dir, cache),
+        status_codes=lambda: seed.status_codes(spark),
     )
