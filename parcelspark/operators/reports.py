@@ -6,7 +6,7 @@ exception type), so ``toPandas()`` on it is safe for plotting.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelspark.functions import expressions as X
@@ -52,11 +52,13 @@ def report_top_facilities(facility_traffic: DataFrame, k: int = TOP_K) -> DataFr
 def report_exceptions_breakdown(exceptions: DataFrame) -> DataFrame:
     """Count per exception type and its share of all exceptions (percent).
 
-    The total is a scalar subquery over the grouped result, so no
-    single-partition window is needed.
+    The total is a window over the *grouped* result, which has at most one
+    row per status name of the seed (plus NULL): a bounded single-partition
+    step after a partial-aggregated group-by.  (A scalar subquery would
+    re-run the whole exceptions pipeline for the total.)
     """
     counts = exceptions.groupBy("exception_type").agg(F.count("event_id").alias("cnt"))
-    total = counts.select(F.sum("cnt")).scalar()
+    total = F.sum("cnt").over(Window.partitionBy())
     return counts.select(
         "exception_type",
         "cnt",
