@@ -219,6 +219,14 @@ def mart_route_performance(lifecycle: DataFrame) -> DataFrame:
 def mart_weather_impact(
     stg_weather: DataFrame, stg_facilities: DataFrame, tracking_status: DataFrame
 ) -> DataFrame:
+    """Scans and exceptions on the day of each city's weather record.
+
+    Events are rolled up to (city, day) through the facility lookup first,
+    then joined 1:1 to the weather rows; the weather x facility expansion of
+    a city-level left join never materializes, and a city with very many
+    facilities is not a skewed join key.  Repeated facility ids or weather
+    rows still fan out exactly as the join formulation does.
+    """
     per_day = (
         _scanned(tracking_status)
         .groupBy("facility_id", F.to_date("event_timestamp_ts").alias("_day"))
@@ -228,11 +236,14 @@ def mart_weather_impact(
         )
     )
     fac = _facility_dim(stg_facilities, "city")
-    weather_fac = stg_weather.join(fac, "city", "left")
-    joined = weather_fac.join(
-        per_day,
-        (weather_fac["facility_id"] == per_day["facility_id"])
-        & (weather_fac["weather_date"] == per_day["_day"]),
+    per_city_day = (
+        per_day.join(fac, "facility_id", "inner")
+        .groupBy(F.col("city").alias("_city"), "_day")
+        .agg(F.sum("_scans").alias("_scans"), F.sum("_exc").alias("_exc"))
+    )
+    joined = stg_weather.join(
+        per_city_day,
+        (stg_weather["city"] == per_city_day["_city"]) & (stg_weather["weather_date"] == per_city_day["_day"]),
         "left",
     )
     return joined.groupBy("weather_date", "city", "weather_condition", "regional_delay_flag").agg(
