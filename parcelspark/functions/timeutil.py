@@ -49,6 +49,12 @@ def mean_hours(sum_minutes: Column, count_minutes: Column) -> Column:
     return F.try_divide(sum_minutes.cast("double"), count_minutes.cast("double")) / F.lit(60.0)
 
 
+def ntz_literal(value) -> Column:
+    """A ``timestamp_ntz`` literal from a naive ``datetime`` built from its
+    text, so neither the Python process zone nor the session zone applies."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def iso_utc_text(ts: Column) -> Column:
     """``timestamp_ntz`` -> ``2024-04-18T14:30:00Z`` text."""
     return F.date_format(ts, ISO_UTC_TEXT)

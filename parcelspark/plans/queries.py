@@ -67,7 +67,7 @@ def new_files_antijoin(spark, sf_dir):
     ev = fixtures.raw_tracking_events(spark, sf_dir)
     listing = ev.select(F.col("source_file").alias("file_name")).distinct()
     ledger = (
-        ev.where(F.col("event_timestamp").cast("timestamp_ntz") < F.lit(LEDGER_CUTOFF).cast("timestamp_ntz"))
+        ev.where(F.col("event_timestamp").cast("timestamp_ntz") < timeutil.ntz_literal(LEDGER_CUTOFF))
         .select(F.col("source_file").alias("file_name"))
         .distinct()
     )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from parcelspark import schemas
 from parcelspark.functions.expressions import HUB_FACILITY_TYPES
+from parcelspark.functions.timeutil import ntz_literal
 
 FACILITY_COLUMNS = [f.name for f in schemas.FACILITIES.fields]
 SHIPMENT_COLUMNS = [f.name for f in schemas.SHIPMENTS.fields]
@@ -37,7 +38,7 @@ def project_shipments(raw: DataFrame, since: datetime | None = None) -> DataFram
     """
     df = _conform(raw, schemas.SHIPMENTS)
     if since is not None:
-        df = df.where(F.col("created_at") > F.lit(since).cast("timestamp_ntz"))
+        df = df.where(F.col("created_at") > ntz_literal(since))
     return df
 
 
