@@ -102,7 +102,7 @@ def warehouse_raw(spark: SparkSession, wh: Warehouse, with_weather: bool) -> Raw
         weather = spark.read.parquet(wh.raw("historical_weather_delays"))
     events_path = wh.raw("tracking_events")
     if path_exists(spark, events_path):
-        events = tracking_json.read_events_table(spark, events_path)
+        events = tracking_json.read_events_table(spark, events_path, wh.raw("_ingested_files"))
     else:
         from parcelspark import schemas
 

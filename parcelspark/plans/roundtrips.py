@@ -97,7 +97,7 @@ def ingest_ledger(spark, sf_dir):
     out = _export(spark, sf_dir)
     events_t, ledger_t = _warehouse_paths(spark)
     tracking_json.ingest_new_files(spark, out, events_t, ledger_t, glob=EXPORT_GLOB, recursive=True)
-    return spark.read.parquet(ledger_t).select("file_name", "row_count")
+    return tracking_json.current_ledger(spark, ledger_t).select("file_name", "row_count")
 
 
 def full_refresh_events(spark, sf_dir):
@@ -107,7 +107,7 @@ def full_refresh_events(spark, sf_dir):
     tracking_json.ingest_new_files(spark, out, events_t, ledger_t, glob=EXPORT_GLOB, recursive=True)
     tracking_json.ingest_new_files(spark, out, events_t, ledger_t, full_refresh=True,
                                    glob=EXPORT_GLOB, recursive=True)
-    return tracking_json.read_events_table(spark, events_t).select(*RECORDS)
+    return tracking_json.read_events_table(spark, events_t, ledger_t).select(*RECORDS)
 
 
 def stream_ingest_events(spark, sf_dir):

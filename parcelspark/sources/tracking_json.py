@@ -18,7 +18,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelspark import schemas
@@ -78,15 +78,23 @@ def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], schemas.INGESTED_FILES)
+    return spark.createDataFrame([], schemas.LEDGER)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """Every ledger row ever committed (all generations)."""
     if path_exists(spark, ledger_path):
-        return spark.read.schema(schemas.INGESTED_FILES).parquet(ledger_path)
+        return spark.read.schema(schemas.LEDGER).parquet(ledger_path)
     return empty_ledger(spark)
 
 
+def current_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """Rows of the newest generation (one per processed file)."""
+    led = read_ledger(spark, ledger_path)
+    newest = led.select(F.max("generation")).scalar()
+    return led.where((F.col("generation") == newest) & F.col("file_name").isNotNull())
+
+
 def ledger_rows(files: DataFrame, events: DataFrame) -> DataFrame:
     """One row per processed file with its event count; a file whose array is
     empty yields no event rows, so the count comes from a left join on the
@@ -108,40 +116,59 @@ def ingest_new_files(
     glob: str = EVENT_FILE_GLOB,
     recursive: bool = False,
 ) -> dict:
-    """Load every not-yet-ingested ``events_*.json`` file of ``events_dir``.
-
-    ``full_refresh`` replaces both tables and reloads every file.
+    """Load every not-yet-ingested event file of ``events_dir``.
+
+    Commit protocol: the new files' rows are appended under a fresh
+    ``_batch`` partition, which no reader sees until the ledger rows naming
+    that batch are appended - the single commit point.  A run that dies in
+    between leaves an invisible batch and the files are picked up again by
+    the next run.  ``full_refresh`` reloads every file into a new batch and
+    commits it as a new ledger generation (append only: the previous
+    generation stays readable until the new one is committed).
     """
     mode = "full_refresh" if full_refresh else "incremental"
     if not path_exists(spark, events_dir):
         return {"files_loaded": 0, "events_loaded": 0, "mode": mode}
+    all_rows = read_ledger(spark, ledger_table)
+    newest = all_rows.agg(F.max("generation").alias("g")).first()["g"]
+    if full_refresh:
+        generation = 0 if newest is None else newest + 1
+        seen = empty_ledger(spark)
+    else:
+        generation = 0 if newest is None else newest
+        seen = all_rows.where(F.col("generation") == generation)
     listing = list_event_files(spark, events_dir, glob=glob, recursive=recursive)
-    ledger = empty_ledger(spark) if full_refresh else read_ledger(spark, ledger_table)
-    todo = new_files(listing, ledger)
+    todo = new_files(listing, seen.where(F.col("file_name").isNotNull()))
     # File paths (metadata, one short string per new file) go to the reader.
     paths = [r["path"] for r in todo.select("path").collect()]
     if not paths:
-        if full_refresh:
-            empty_ledger(spark).write.mode("overwrite").parquet(ledger_table)
+        if full_refresh:  # commit an empty generation: a marker row
+            marker = spark.createDataFrame([(None, 0, None, None, generation)], schemas.LEDGER)
+            marker.write.mode("append").parquet(ledger_table)
         return {"files_loaded": 0, "events_loaded": 0, "mode": mode}
 
     batch = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     events = read_event_files(spark, paths, glob=None, key_by_path=recursive).withColumn(BATCH_COL, F.lit(batch))
-    (
-        events.write.mode("overwrite" if full_refresh else "append")
-        .partitionBy(BATCH_COL)
-        .parquet(events_table)
-    )
+    events.write.mode("append").partitionBy(BATCH_COL).parquet(events_table)
     # Count per file from the batch just written (partition-pruned read).
     written = spark.read.parquet(events_table).where(F.col(BATCH_COL) == batch)
-    rows = ledger_rows(bounded_broadcast(todo.select("file_name")), written)
-    rows.write.mode("overwrite" if full_refresh else "append").parquet(ledger_table)
-    total = spark.read.parquet(ledger_table).join(
-        bounded_broadcast(todo.select("file_name")), "file_name", "left_semi"
-    ).agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n")).first()["n"]
-    return {"files_loaded": len(paths), "events_loaded": int(total), "mode": mode}
-
-
-def read_events_table(spark: SparkSession, events_table: str) -> DataFrame:
-    """raw.tracking_events as stored (batch partition column dropped)."""
-    return spark.read.parquet(events_table).select(*RECORD_COLUMNS, "source_file")
+    rows = ledger_rows(bounded_broadcast(todo.select("file_name")), written).select(
+        "*", F.lit(batch).alias("batch_id"), F.lit(generation).cast("long").alias("generation")
+    )
+    obs = Observation(f"ledger-{batch}")
+    rows.observe(obs, F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("events")) \
+        .write.mode("append").parquet(ledger_table)  # <- commit
+    stats = obs.get
+    return {"files_loaded": int(stats["files"]), "events_loaded": int(stats["events"] or 0), "mode": mode}
+
+
+def read_events_table(spark: SparkSession, events_table: str, ledger_table: str) -> DataFrame:
+    """raw.tracking_events: rows of committed batches of the current
+    generation only (a semi join on the batch partition column, which
+    dynamic partition pruning turns into a partition filter)."""
+    committed = current_ledger(spark, ledger_table).select(F.col("batch_id").alias(BATCH_COL)).distinct()
+    return (
+        spark.read.parquet(events_table)
+        .join(bounded_broadcast(committed), BATCH_COL, "left_semi")
+        .select(*RECORD_COLUMNS, "source_file")
+    )

@@ -50,7 +50,7 @@ def test_ingest_is_incremental_by_file_name(spark, feed):
     ev_t, led_t = f"{root}/wh/events", f"{root}/wh/ledger"
     s1 = tracking_json.ingest_new_files(spark, d, ev_t, led_t)
     assert s1["files_loaded"] == 3 and s1["events_loaded"] == 3
-    ledger = {r["file_name"]: r["row_count"] for r in spark.read.parquet(led_t).collect()}
+    ledger = {r["file_name"]: r["row_count"] for r in tracking_json.current_ledger(spark, led_t).collect()}
     assert ledger == {"events_2024-01-01_00.json": 2, "events_2024-01-01_01.json": 0,
                       "events_2024-01-01_02.json": 1}
     # second run: nothing new; a file changed in place is not re-read
@@ -60,14 +60,34 @@ def test_ingest_is_incremental_by_file_name(spark, feed):
     _write(f"{d}/events_2024-01-01_03.json", [dict(REC, event_id="e4")])
     s3 = tracking_json.ingest_new_files(spark, d, ev_t, led_t)
     assert s3 == {"files_loaded": 1, "events_loaded": 1, "mode": "incremental"}
-    ids = sorted(r["event_id"] for r in tracking_json.read_events_table(spark, ev_t).collect())
+    ids = sorted(r["event_id"] for r in tracking_json.read_events_table(spark, ev_t, led_t).collect())
     assert ids == ["e1", "e2", "e3", "e4"]
     # full refresh reloads every file from scratch (changed content now seen)
     s4 = tracking_json.ingest_new_files(spark, d, ev_t, led_t, full_refresh=True)
     assert s4["files_loaded"] == 4
-    ids = sorted(r["event_id"] for r in tracking_json.read_events_table(spark, ev_t).collect())
+    ids = sorted(r["event_id"] for r in tracking_json.read_events_table(spark, ev_t, led_t).collect())
     assert ids == ["changed", "e3", "e4"]
-    assert spark.read.parquet(led_t).count() == 4
+    assert tracking_json.current_ledger(spark, led_t).count() == 4
+    # an empty feed on full refresh commits an empty generation
+    empty = f"{root}/empty"
+    os.makedirs(empty)
+    tracking_json.ingest_new_files(spark, empty, ev_t, led_t, full_refresh=True)
+    assert tracking_json.read_events_table(spark, ev_t, led_t).count() == 0
+
+
+def test_uncommitted_batch_is_invisible_and_reingested(spark, feed):
+    """A run that dies after writing events but before its ledger commit."""
+    from pyspark.sql import functions as F
+
+    root, d = feed
+    ev_t, led_t = f"{root}/wh2/events", f"{root}/wh2/ledger"
+    orphan = tracking_json.read_event_files(spark, d).withColumn(tracking_json.BATCH_COL, F.lit("crashed"))
+    orphan.write.partitionBy(tracking_json.BATCH_COL).parquet(ev_t)  # no ledger rows
+    assert tracking_json.read_events_table(spark, ev_t, led_t).count() == 0
+    s = tracking_json.ingest_new_files(spark, d, ev_t, led_t)
+    assert s["files_loaded"] == 3 and s["events_loaded"] == 3
+    ids = sorted(r["event_id"] for r in tracking_json.read_events_table(spark, ev_t, led_t).collect())
+    assert ids == ["e1", "e2", "e3"]
 
 
 def test_absent_events_dir_is_a_noop(spark, tmpdir_path):
