@@ -119,8 +119,10 @@ def lag_by_key(
         order_fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_v{i}")]
     order_struct = F.struct(*order_fields)
     # NULLs-last order == order by (isNull, value); max picks the chunk's last row.
+    # Taken from the pre-window rows: only hot rows reach a partial aggregate,
+    # and the big sort of the window is not repeated for this branch.
     last_per_chunk = (
-        windowed.where("_is_hot")
+        chunked.where("_is_hot")
         .groupBy(key, "_chunk")
         .agg(F.max_by(F.col(value_col), order_struct).alias("_last"))
     )
