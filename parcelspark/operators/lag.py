@@ -114,18 +114,24 @@ def lag_by_key(
         "_first", F.lag(F.lit(True)).over(w).isNull()
     )
     # Last value of each chunk of a hot key, then the previous chunk's last.
-    order_fields = []
-    for i, c in enumerate(order_cols):
-        order_fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_v{i}")]
-    order_struct = F.struct(*order_fields)
-    # NULLs-last order == order by (isNull, value); max picks the chunk's last row.
     # Taken from the pre-window rows: only hot rows reach a partial aggregate,
     # and the big sort of the window is not repeated for this branch.
-    last_per_chunk = (
-        chunked.where("_is_hot")
-        .groupBy(key, "_chunk")
-        .agg(F.max_by(F.col(value_col), order_struct).alias("_last"))
-    )
+    hot_rows = chunked.where("_is_hot").groupBy(key, "_chunk")
+    if value_col == ts:
+        # Lagging the ordering timestamp itself: the chunk's last value is its
+        # max, or NULL when it holds a NULL timestamp (NULLs sort last).  Both
+        # are fixed-width hash aggregates.
+        last_per_chunk = hot_rows.agg(
+            F.when(F.count_if(F.col(ts).isNull()) > 0, F.lit(None))
+            .otherwise(F.max(ts))
+            .alias("_last")
+        )
+    else:
+        # NULLs-last order == order by (isNull, value) per column.
+        order_fields = []
+        for i, c in enumerate(order_cols):
+            order_fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_v{i}")]
+        last_per_chunk = hot_rows.agg(F.max_by(F.col(value_col), F.struct(*order_fields)).alias("_last"))
     prev = last_per_chunk.withColumn(
         "_prev_last", F.lag("_last").over(Window.partitionBy(key).orderBy("_chunk"))
     ).select(key, "_chunk", "_prev_last")

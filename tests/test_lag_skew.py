@@ -69,3 +69,19 @@ def test_no_hot_key_uses_plain_window(spark):
     df = spark.createDataFrame([("a", "1", datetime(2024, 1, 1))], "k string, id string, ts timestamp_ntz")
     plan = lag_by_key(df, "k", ["ts", "id"], "ts", "prev")._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_hot_path_lagging_a_non_order_column(spark):
+    """The generic (max_by) tail path: lag a payload column, not the timestamp."""
+    base = datetime(2024, 1, 1)
+    rows = [("hot", f"h{i:04d}", base + timedelta(seconds=11 * i), i) for i in range(800)]
+    rows += [("cold", "c1", base, -1)]
+    df = spark.createDataFrame(rows, "k string, id string, ts timestamp_ntz, v int")
+    old = _force_hot(spark, 100, 1.0)
+    try:
+        got = lag_by_key(df, "k", ["ts", "id"], "v", "prev")
+    finally:
+        _restore(spark, old)
+    w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_last(), F.col("id").asc_nulls_last())
+    plain = df.withColumn("prev", F.lag("v").over(w))
+    assert _rows(got) == _rows(plain)
