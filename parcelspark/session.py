@@ -55,6 +55,34 @@ def build_session(
     return spark
 
 
+def scale_conf(
+    shuffle_bytes: int,
+    executors: int,
+    cores_per_executor: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Spark settings sized for a cluster run.
+
+    ``shuffle_bytes`` is the largest expected shuffle (for the daily build:
+    the projected event columns, ~60 bytes/event).  Initial shuffle
+    partitions are sized so each holds about ``target_partition_bytes``
+    (never fewer than two waves of cores); AQE coalesces small ones back and
+    splits skewed ones above 4x the target.  Input splits use the same target.
+    """
+    cores = max(1, executors * cores_per_executor)
+    partitions = max(2 * cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     return int(spark.conf.get(key, str(default)))
 

@@ -26,3 +26,12 @@ def test_catalog_columns(spark, tmpdir_path):
     cols = catalog.catalog_columns(spark, ["raw_facilities_t"]).collect()
     assert [c["column_name"] for c in cols] == [f.name for f in schemas.FACILITIES.fields]
     assert cols[0]["data_type"] == "bigint"
+
+
+def test_scale_conf_sizes_partitions():
+    from parcelspark.session import scale_conf
+
+    conf = scale_conf(6 * 1024**4, executors=1000, cores_per_executor=8)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 24576
+    small = scale_conf(10 * 1024**2, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16  # two waves of cores
