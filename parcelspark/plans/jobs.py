@@ -168,4 +168,8 @@ def refresh_daily(spark: SparkSession, cfg: JobConfig) -> dict:
         "weather": extract_weather(spark, cfg),
     }
     stats["models"] = build_models(spark, cfg, DAILY)
+    # batches superseded by the new generation (or abandoned) past the grace period
+    stats["vacuumed_batches"] = tracking_json.vacuum_batches(
+        spark, cfg.warehouse.raw("tracking_events"), cfg.warehouse.raw("_ingested_files")
+    )
     return stats

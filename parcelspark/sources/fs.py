@@ -18,3 +18,16 @@ def _fs_path(spark: SparkSession, path: str):
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_path(spark, path)
     return bool(fs.exists(p))
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the immediate sub-folders of ``path`` (empty if absent)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def delete_dir(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.delete(p, True))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from parcelspark import schemas
 from parcelspark.operators.joins import bounded_broadcast
-from parcelspark.sources.fs import path_exists
+from parcelspark.sources.fs import delete_dir, list_dirs, path_exists
 
 EVENT_FILE_GLOB = "events_*.json"
 RECORD_COLUMNS = [f.name for f in schemas.TRACKING_EVENT_RECORD.fields]
@@ -172,3 +172,33 @@ def read_events_table(spark: SparkSession, events_table: str, ledger_table: str)
         .join(bounded_broadcast(committed), BATCH_COL, "left_semi")
         .select(*RECORD_COLUMNS, "source_file")
     )
+
+
+def vacuum_batches(
+    spark: SparkSession, events_table: str, ledger_table: str, grace_hours: int = 24,
+    now: datetime | None = None,
+) -> list[str]:
+    """Delete ``_batch`` partitions no current ledger row commits (left by a
+    run that died before its commit, or superseded by a full refresh) once
+    they are older than ``grace_hours`` - an ingest still in flight is never
+    touched.  Returns the removed batch ids.  Metadata-only on the driver:
+    one listing of the batch folders and the (small) current ledger."""
+    committed = {
+        r["batch_id"] for r in current_ledger(spark, ledger_table).select("batch_id").distinct().collect()
+    }
+    now = now or datetime.now(timezone.utc).replace(tzinfo=None)
+    removed = []
+    for name in list_dirs(spark, events_table):
+        if not name.startswith(f"{BATCH_COL}="):
+            continue
+        batch = name.split("=", 1)[1]
+        if batch in committed:
+            continue
+        try:
+            started = datetime.strptime(batch.split("-", 1)[0], "%Y%m%dT%H%M%S")
+        except ValueError:
+            continue  # not a batch this library wrote
+        if (now - started).total_seconds() >= grace_hours * 3600:
+            delete_dir(spark, f"{events_table.rstrip('/')}/{name}")
+            removed.append(batch)
+    return removed

@@ -174,3 +174,22 @@ def test_incremental_scan_is_strict_and_pushed_down(spark, tmpdir_path):
     assert at_mark >= 1
     assert oltp.high_water_mark(spark, f"{tmpdir_path}/absent") is None
     assert oltp.high_water_mark(spark, path) == mark
+
+
+def test_vacuum_removes_only_old_uncommitted_batches(spark, feed):
+    from datetime import datetime, timedelta, timezone
+
+    root, d = feed
+    ev_t, led_t = f"{root}/wh3/events", f"{root}/wh3/ledger"
+    tracking_json.ingest_new_files(spark, d, ev_t, led_t)
+    tracking_json.ingest_new_files(spark, d, ev_t, led_t, full_refresh=True)  # supersedes batch 1
+    stale = tracking_json.read_event_files(spark, d).withColumn(
+        tracking_json.BATCH_COL, F.lit("20000101T000000-deadbeef"))
+    stale.write.mode("append").partitionBy(tracking_json.BATCH_COL).parquet(ev_t)
+    before = tracking_json.read_events_table(spark, ev_t, led_t).count()
+    removed = tracking_json.vacuum_batches(spark, ev_t, led_t, grace_hours=0,
+                                           now=datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(seconds=5))
+    assert "20000101T000000-deadbeef" in removed and len(removed) == 2
+    assert tracking_json.read_events_table(spark, ev_t, led_t).count() == before == 3
+    # within the grace period nothing is touched
+    assert tracking_json.vacuum_batches(spark, ev_t, led_t, grace_hours=24) == []
