@@ -147,3 +147,22 @@ def test_hourly_picks_up_only_new_shipments_and_files(spark, tmpdir_path):
     expected = ModelGraph(whole).get("mart_exceptions_analysis")
     assert got.count() == expected.count()
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
+def test_cli_daily_then_reports(spark, tmpdir_path):
+    from parcelspark import cli
+
+    cfg = _config(spark, tmpdir_path, fix_origin=True)
+    src = f"{tmpdir_path}/oltp"
+    cfg.read_facilities(spark).write.parquet(f"{src}/facilities")
+    cfg.read_shipments(spark, None).write.parquet(f"{src}/shipments")
+    common = ["--warehouse", f"{tmpdir_path}/wh", "--events-dir", cfg.events_dir, "--events-glob", EXPORT_GLOB,
+              "--events-recursive", "--weather-csv", cfg.weather_path, "--oltp-parquet", src]
+    daily = cli.main(["refresh-daily", *common], spark=spark)
+    assert daily["oltp"]["shipments_loaded"] == 1500
+    inc = cli.main(["extract-oltp", "--incremental", *common], spark=spark)
+    assert inc["mode"] == "incremental" and inc["shipments_loaded"] == 0
+    reports = cli.main(["reports", *common], spark=spark)
+    assert len(reports["report_top_routes"]) == 10
+    assert len(reports["report_weight_pricing"]) == 3
+    assert sum(r["cnt"] for r in reports["report_exceptions_breakdown"]) > 0
