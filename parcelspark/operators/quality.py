@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.functions.expressions import FACILITY_TYPES
-from parcelspark.operators.joins import bounded_broadcast
+from parcelspark.operators.joins import bounded_broadcast, fits_broadcast
 
 
 class QualityGateError(RuntimeError):
@@ -128,6 +128,83 @@ def _count_row(df: DataFrame, table: str, col: str, test: str) -> DataFrame:
     )
 
 
+def _rows(agg: DataFrame, table: str, checks: list[tuple[str, str, str]]) -> DataFrame:
+    """Unpivot a one-row aggregate of failure counts into summary rows;
+    ``checks`` = [(agg column, column_name, test_name)].
+
+    A single ``unpivot`` (one Expand over one aggregate) keeps the pass fused:
+    a union of per-check selects would let column pruning split the
+    aggregate back into one scan per check.
+    """
+    srcs = [c[0] for c in checks]
+    long = agg.select(*[F.col(c).cast("long").alias(c) for c in srcs]).unpivot([], srcs, "_src", "failures")
+    column, test = None, None
+    for src, col, tst in checks:
+        cond = F.col("_src") == src
+        column = F.when(cond, F.lit(col)) if column is None else column.when(cond, F.lit(col))
+        test = F.when(cond, F.lit(tst)) if test is None else test.when(cond, F.lit(tst))
+    return long.select(
+        F.lit(table).alias("table_name"), column.alias("column_name"), test.alias("test_name"), "failures"
+    )
+
+
+def _fused_shipments(stg_shipments: DataFrame, stg_facilities: DataFrame) -> DataFrame | None:
+    """not_null x3 and both facility relationships in one pass over shipments
+    (two broadcast lookups into the distinct facility ids); ``None`` when the
+    id set is too large to broadcast."""
+    ids = stg_facilities.select("facility_id").where(F.col("facility_id").isNotNull()).distinct()
+    if not fits_broadcast(ids):
+        return None
+    ids = F.broadcast(ids)
+    o = ids.select(F.col("facility_id").alias("_o"))
+    d = ids.select(F.col("facility_id").alias("_d"))
+    s = stg_shipments.select("shipment_id", "origin_facility_id", "destination_facility_id")
+    j = s.join(o, s["origin_facility_id"] == o["_o"], "left").join(d, s["destination_facility_id"] == d["_d"], "left")
+    agg = j.agg(
+        F.count_if(F.col("shipment_id").isNull()).alias("nn_id"),
+        F.count_if(F.col("origin_facility_id").isNull()).alias("nn_o"),
+        F.count_if(F.col("destination_facility_id").isNull()).alias("nn_d"),
+        F.count_if(F.col("origin_facility_id").isNotNull() & F.col("_o").isNull()).alias("rel_o"),
+        F.count_if(F.col("destination_facility_id").isNotNull() & F.col("_d").isNull()).alias("rel_d"),
+    )
+    return _rows(agg, "stg_shipments", [
+        ("nn_id", "shipment_id", "not_null"),
+        ("nn_o", "origin_facility_id", "not_null"),
+        ("nn_d", "destination_facility_id", "not_null"),
+        ("rel_o", "origin_facility_id", "relationships"),
+        ("rel_d", "destination_facility_id", "relationships"),
+    ])
+
+
+def _fused_events(stg_tracking: DataFrame, status_codes: DataFrame) -> DataFrame:
+    """not_null x3 and the status relationship in one pass over events."""
+    codes = F.broadcast(status_codes.select(F.col("status_code").alias("_c")).distinct())
+    e = stg_tracking.select("event_id", "shipment_id", "status_code")
+    agg = e.join(codes, e["status_code"] == codes["_c"], "left").agg(
+        F.count_if(F.col("event_id").isNull()).alias("nn_e"),
+        F.count_if(F.col("shipment_id").isNull()).alias("nn_s"),
+        F.count_if(F.col("status_code").isNull()).alias("nn_c"),
+        F.count_if(F.col("status_code").isNotNull() & F.col("_c").isNull()).alias("rel_c"),
+    )
+    return _rows(agg, "stg_tracking_events", [
+        ("nn_e", "event_id", "not_null"),
+        ("nn_s", "shipment_id", "not_null"),
+        ("nn_c", "status_code", "not_null"),
+        ("rel_c", "status_code", "relationships"),
+    ])
+
+
+def _fused_facilities(stg_facilities: DataFrame) -> DataFrame:
+    t = F.col("facility_type")
+    agg = stg_facilities.agg(
+        F.count_if(F.col("facility_id").isNull()).alias("nn"),
+        # accepted_values returns one row per unexpected value
+        F.count_distinct(F.when(t.isNotNull() & ~t.isin(FACILITY_TYPES), t)).alias("acc"),
+    )
+    return _rows(agg, "stg_facilities", [("nn", "facility_id", "not_null"),
+                                         ("acc", "facility_type", "accepted_values")])
+
+
 def dq_summary(
     stg_facilities: DataFrame,
     stg_shipments: DataFrame,
@@ -136,14 +213,22 @@ def dq_summary(
     status_codes: DataFrame,
 ) -> DataFrame:
     """All assertions as (table_name, column_name, test_name, failures):
-    18 rows, or 15 when the weather model is not part of the run."""
-    frames = {
-        "stg_facilities": stg_facilities,
-        "stg_shipments": stg_shipments,
-        "stg_tracking_events": stg_tracking,
-    }
-    if stg_weather is not None:
-        frames["stg_weather_delays"] = stg_weather
+    18 rows, or 15 when the weather model is not part of the run.
+
+    Checks on the same table share one aggregation pass (not_null, accepted
+    values, relationships to broadcastable parents); only the uniqueness
+    checks and the event -> shipment relationship need their own shuffles.
+    """
+    shipments = _fused_shipments(stg_shipments, stg_facilities)
+    if shipments is None:  # facility ids too many to broadcast: shuffle anti joins
+        shipments = _union([
+            null_counts(stg_shipments, "stg_shipments", NOT_NULL_COLUMNS["stg_shipments"]).select(
+                "table_name", "column_name", F.lit("not_null").alias("test_name"), "failures"),
+            _count_row(dq_rel_origin(stg_shipments, stg_facilities),
+                       "stg_shipments", "origin_facility_id", "relationships"),
+            _count_row(dq_rel_destination(stg_shipments, stg_facilities),
+                       "stg_shipments", "destination_facility_id", "relationships"),
+        ])
     rows = [
         _count_row(duplicated_keys(stg_facilities, "stg_facilities", "facility_id"),
                    "stg_facilities", "facility_id", "unique"),
@@ -151,19 +236,15 @@ def dq_summary(
                    "stg_shipments", "shipment_id", "unique"),
         _count_row(duplicated_keys(stg_tracking, "stg_tracking_events", "event_id"),
                    "stg_tracking_events", "event_id", "unique"),
-        dq_not_null(frames).select(
-            "table_name", "column_name", F.lit("not_null").alias("test_name"), "failures"
-        ),
-        _count_row(dq_accepted_values(stg_facilities), "stg_facilities", "facility_type", "accepted_values"),
-        _count_row(dq_rel_origin(stg_shipments, stg_facilities),
-                   "stg_shipments", "origin_facility_id", "relationships"),
-        _count_row(dq_rel_destination(stg_shipments, stg_facilities),
-                   "stg_shipments", "destination_facility_id", "relationships"),
+        _fused_facilities(stg_facilities),
+        shipments,
+        _fused_events(stg_tracking, status_codes),
         _count_row(dq_rel_event_shipment(stg_tracking, stg_shipments),
                    "stg_tracking_events", "shipment_id", "relationships"),
-        _count_row(dq_rel_event_status(stg_tracking, status_codes),
-                   "stg_tracking_events", "status_code", "relationships"),
     ]
+    if stg_weather is not None:
+        rows.append(null_counts(stg_weather, "stg_weather_delays", NOT_NULL_COLUMNS["stg_weather_delays"]).select(
+            "table_name", "column_name", F.lit("not_null").alias("test_name"), "failures"))
     return _union(rows)
 
 

@@ -43,3 +43,13 @@ def test_shuffle_join_fallback_gives_same_result(spark, duck):
     assert got == expected
     oracle = duck.execute(E.oracle_sql()[key]).fetchall()
     assert len(oracle) == len(got)
+
+
+def test_dq_summary_fused_and_fallback_agree(spark):
+    fused = sorted(map(tuple, Q.sql_queries()["dq_summary"](spark, SF_SMALL).collect()))
+    spark.conf.set(CONF_BROADCAST_MAX_ROWS, "1")
+    try:
+        fallback = sorted(map(tuple, Q.sql_queries()["dq_summary"](spark, SF_SMALL).collect()))
+    finally:
+        spark.conf.unset(CONF_BROADCAST_MAX_ROWS)
+    assert fused == fallback and len(fused) == 18
