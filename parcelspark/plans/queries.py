@@ -1,8 +1,9 @@
 """Registered queries: key -> callable(spark, sf_dir) -> DataFrame.
 
 Every query derives its input from the driver's tables through the fixture
-adapter, over whole tables.  SQL-checkable keys have an oracle statement in
-``parcelspark.plans.oracle``; file/stream round trips are rows-only.
+adapter, over whole tables.  Each key here has an oracle statement in
+``parcelspark.plans.oracle``; the file/stream round trips live in
+``parcelspark.plans.roundtrips`` (all but two of them have oracles too).
 """
 
 from __future__ import annotations
