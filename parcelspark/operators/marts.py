@@ -84,8 +84,20 @@ def mart_delivery_performance(shipments_enriched: DataFrame, tracking: DataFrame
     )
 
 
-def mart_exceptions_analysis(shipments_enriched: DataFrame, tracking_status: DataFrame) -> DataFrame:
-    exc = tracking_status.where(F.col("is_exception") == F.lit(True))
+def exception_codes(status_codes: DataFrame) -> list[int]:
+    """Status codes flagged as exceptions (the seed is a fixed 9-row table)."""
+    return sorted(r["status_code"] for r in status_codes.where(F.col("is_exception")).collect())
+
+
+def mart_exceptions_analysis(
+    shipments_enriched: DataFrame, tracking_status: DataFrame, status_codes: DataFrame | None = None
+) -> DataFrame:
+    exc = tracking_status
+    if status_codes is not None:
+        # Same rows as the flag filter (unknown codes get a NULL flag), but on
+        # a scan column: Catalyst pushes it below the seed join into the scan.
+        exc = exc.where(F.col("status_code").isin(exception_codes(status_codes)))
+    exc = exc.where(F.col("is_exception") == F.lit(True))
     s = shipments_enriched.select("shipment_id", "origin_city", "destination_city", "declared_value")
     return exc.join(s, "shipment_id", "inner").select(
         "event_id",

@@ -63,7 +63,7 @@ MODELS: dict[str, Model] = {
         _m("mart_daily_active_network", M.mart_daily_active_network, ["stg_tracking_events"], D, "table"),
         _m("mart_daily_revenue_summary", M.mart_daily_revenue_summary, ["int_shipments_enriched"], D, "table"),
         _m("mart_delivery_performance", M.mart_delivery_performance, ["int_shipments_enriched", "stg_tracking_events"], D, "table"),
-        _m("mart_exceptions_analysis", M.mart_exceptions_analysis, ["int_shipments_enriched", "tracking_with_status"], HD, "table"),
+        _m("mart_exceptions_analysis", M.mart_exceptions_analysis, ["int_shipments_enriched", "tracking_with_status", "status_codes_mapping"], HD, "table"),
         _m("mart_facility_bottlenecks", M.mart_facility_bottlenecks, ["stg_facilities", "tracking_lag_full"], D, "table"),
         _m("mart_facility_capacity_utilization", M.mart_facility_capacity_utilization, ["stg_facilities", "stg_tracking_events"], D, "table"),
         _m("mart_facility_traffic", M.mart_facility_traffic, ["stg_facilities", "stg_tracking_events"], D, "table"),

@@ -19,7 +19,7 @@ from parcelspark.streaming.ingest import event_file_stream, run_available_now
 
 def exceptions_stream(events_stream: DataFrame, shipments_enriched: DataFrame, status_codes: DataFrame) -> DataFrame:
     typed = tracking_with_status(stg_tracking_events(events_stream), status_codes)
-    return M.mart_exceptions_analysis(shipments_enriched, typed)
+    return M.mart_exceptions_analysis(shipments_enriched, typed, status_codes)
 
 
 def run_exceptions_feed(

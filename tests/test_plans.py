@@ -53,3 +53,15 @@ def test_dq_summary_fused_and_fallback_agree(spark):
     finally:
         spark.conf.unset(CONF_BROADCAST_MAX_ROWS)
     assert fused == fallback and len(fused) == 18
+
+
+def test_exception_filter_reaches_the_scan(spark, tmpdir_path):
+    from parcelspark.plans.graph import ModelGraph
+    from parcelspark.sources import seed
+    from parcelspark.sources.fixtures import RawTables
+
+    fixtures.raw_tracking_events(spark, SF_SMALL).write.parquet(f"{tmpdir_path}/ev")
+    raw = RawTables(fixtures.raw_facilities(spark, SF_SMALL), fixtures.raw_shipments(spark, SF_SMALL),
+                    spark.read.parquet(f"{tmpdir_path}/ev"), None, seed.status_codes(spark))
+    plan = ModelGraph(raw).get("mart_exceptions_analysis")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*In\(status_code, \[60,70,80\]\)", plan)
