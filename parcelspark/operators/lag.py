@@ -14,7 +14,8 @@ Here hot keys are found from a sample and split into time-ordered chunks:
 4. the first row of each chunk takes the last value of the previous
    non-empty chunk of the same key (a small per-chunk table).
 
-With no hot key (the usual case) the plan is the plain window.
+With no hot key (the usual case) the plan is the plain window; an input
+smaller than one task's row budget skips the sampling probe altogether.
 
 Defaults: 2M rows per window task, a 1e-4 Bernoulli sample (a hot key
 shows ~200 expected hits against a threshold of 100; on 1e12 rows the
@@ -88,10 +89,15 @@ def lag_by_key(
     ``order_cols[0]`` must be a ``timestamp_ntz`` column (used for chunking).
     """
     ts = order_cols[0]
+    rows_per_task = conf_int(df.sparkSession, CONF_SKEW_ROWS_PER_TASK, DEFAULT_ROWS_PER_TASK)
+    plain = Window.partitionBy(key).orderBy(*_order(order_cols))
+    # An input with fewer rows than one task's budget cannot hold a hot key;
+    # the bounded count stops reading after rows_per_task rows.
+    if df.select(key).limit(rows_per_task).count() < rows_per_task:
+        return df.withColumn(out_col, F.lag(value_col).over(plain))
     hot = hot_keys(df, key, ts)
     if hot.limit(1).count() == 0:
-        w = Window.partitionBy(key).orderBy(*_order(order_cols))
-        return df.withColumn(out_col, F.lag(value_col).over(w))
+        return df.withColumn(out_col, F.lag(value_col).over(plain))
 
     hot_b = bounded_broadcast(hot)
     sec = _second_index(F.col(ts))
