@@ -6,13 +6,6 @@ from decimal import Decimal
 from parcelspark.plans.graph import ModelGraph
 from tests import helpers as H
 
-T0 = datetime(2024, 1, 1, 0, 0, 59)
-
-
-def ts(s):
-    return s  # ISO text as in the raw feed
-
-
 def graph(spark, **kw):
     return ModelGraph(H.raw(spark, **kw))
 
@@ -178,3 +171,22 @@ def test_bad_timestamp_fails_the_job(spark):
     g = graph(spark, ship=[H.shipment("s1")], ev=[H.event("e1", "s1", 10, "bad")])
     with pytest.raises(Exception):
         g.get("stg_tracking_events").collect()
+
+
+def test_null_timestamps_sort_last_like_the_sql_engine(spark):
+    import duckdb
+
+    evs = [H.event("a", "s1", 10, "2024-01-01T00:00:00Z"), H.event("b", "s1", 20, None),
+           H.event("c", "s1", 30, "2024-01-01T03:00:00Z"), H.event("d", "s1", 40, None),
+           H.event("e", "s2", 10, None)]
+    g = graph(spark, ship=[H.shipment("s1"), H.shipment("s2")], ev=evs)
+    got = sorted((r["event_id"], r["previous_event_timestamp_ts"], r["hours_since_last_event"])
+                 for r in g.get("int_tracking_with_lag").collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (event_id VARCHAR, shipment_id VARCHAR, ts TIMESTAMP)")
+    con.executemany("INSERT INTO t VALUES (?, ?, CAST(? AS TIMESTAMP))", [(e[0], e[1], e[4]) for e in evs])
+    exp = sorted(con.execute("""
+        SELECT event_id, prev, CAST(date_diff('minute', prev, ts) AS DOUBLE) / 60.0 FROM (
+          SELECT event_id, ts, lag(ts) OVER (PARTITION BY shipment_id ORDER BY ts, event_id) AS prev FROM t)
+    """).fetchall())
+    assert got == exp
