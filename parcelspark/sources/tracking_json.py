@@ -174,6 +174,24 @@ def read_events_table(spark: SparkSession, events_table: str, ledger_table: str)
     )
 
 
+def committed_batches(spark: SparkSession, ledger_table: str) -> tuple[int | None, list[str]]:
+    """(generation, batch ids) of the current ledger generation - one id per
+    ingest run since the last full refresh, so a short list."""
+    cur = current_ledger(spark, ledger_table)
+    rows = cur.select("generation", "batch_id").distinct().collect()
+    if not rows:
+        gen = read_ledger(spark, ledger_table).agg(F.max("generation")).first()[0]
+        return gen, []
+    return rows[0]["generation"], sorted(r["batch_id"] for r in rows)
+
+
+def read_event_batches(spark: SparkSession, events_table: str, batches: list[str]) -> DataFrame:
+    """Rows of the given batches only (a partition filter on ``_batch``)."""
+    return spark.read.parquet(events_table).where(F.col(BATCH_COL).isin(batches)).select(
+        *RECORD_COLUMNS, "source_file"
+    )
+
+
 def vacuum_batches(
     spark: SparkSession, events_table: str, ledger_table: str, grace_hours: int = 24,
     now: datetime | None = None,

@@ -166,3 +166,38 @@ def test_cli_daily_then_reports(spark, tmpdir_path):
     assert len(reports["report_top_routes"]) == 10
     assert len(reports["report_weight_pricing"]) == 3
     assert sum(r["cnt"] for r in reports["report_exceptions_breakdown"]) > 0
+
+
+def test_incremental_hourly_gate_matches_full_suite(spark, tmpdir_path):
+    import json as _json
+    import os
+
+    ev = fixtures.raw_tracking_events(spark, SF_SMALL)
+    early = F.col("event_timestamp") < F.lit("2024-01-16")
+    cfg = _config(spark, tmpdir_path, fix_origin=True)
+    cfg.events_dir = f"{tmpdir_path}/feed2"
+    export_hourly_json(ev.where(early), f"{cfg.events_dir}/a")
+    daily = jobs.refresh_daily(spark, cfg)
+    assert daily["models"]["gate_mode"] == "full"
+
+    export_hourly_json(ev.where(~early), f"{cfg.events_dir}/b")
+    hourly = jobs.refresh_hourly(spark, cfg)
+    assert hourly["models"]["gate_mode"] == "incremental" and hourly["models"]["checks"] == 15
+
+    # plant violations in a new hourly file: a duplicate id, an unknown status, a NULL shipment
+    os.makedirs(f"{cfg.events_dir}/c")
+    rec = {"event_id": "0", "shipment_id": "0", "status_code": 10, "facility_id": 1,
+           "event_timestamp": "2024-01-30T10:00:00Z"}
+    with open(f"{cfg.events_dir}/c/part-planted.json", "w") as f:
+        _json.dump([rec, dict(rec, event_id="x1", status_code=99), dict(rec, event_id="x2", shipment_id=None)], f)
+    with pytest.raises(Q.QualityGateError) as inc:
+        jobs.refresh_hourly(spark, cfg)
+    assert jobs.last_gate(spark, cfg.warehouse)["mode"] == "incremental"
+    # the next run must not trust the failed state: full suite, same verdict
+    with pytest.raises(Q.QualityGateError) as full:
+        jobs.refresh_hourly(spark, cfg)
+    assert jobs.last_gate(spark, cfg.warehouse)["mode"] == "full"
+    assert str(inc.value) == str(full.value)
+    for part in ["unique(stg_tracking_events.event_id)=1", "relationships(stg_tracking_events.status_code)=1",
+                 "not_null(stg_tracking_events.shipment_id)=1"]:
+        assert part in str(full.value)
