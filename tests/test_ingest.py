@@ -193,3 +193,27 @@ def test_vacuum_removes_only_old_uncommitted_batches(spark, feed):
     assert tracking_json.read_events_table(spark, ev_t, led_t).count() == before == 3
     # within the grace period nothing is touched
     assert tracking_json.vacuum_batches(spark, ev_t, led_t, grace_hours=24) == []
+
+
+def test_exceptions_stream_emits_only_new_events(spark, tmpdir_path):
+    from parcelspark.sources import seed as seed_mod
+    from parcelspark.streaming.exceptions import run_exceptions_feed
+    from tests import helpers as H
+    from parcelspark.plans.graph import ModelGraph
+
+    g = ModelGraph(H.raw(spark, ship=[H.shipment("s1"), H.shipment("s2")]))
+    enriched, codes = g.get("int_shipments_enriched"), seed_mod.status_codes(spark)
+    d = f"{tmpdir_path}/feed"
+    os.makedirs(d)
+    base = {"shipment_id": "s1", "facility_id": 1, "event_timestamp": "2024-01-01T00:00:00Z"}
+    _write(f"{d}/events_2024-01-01_00.json", [dict(base, event_id="a", status_code=10),
+                                              dict(base, event_id="b", status_code=80)])
+    sink, ck = f"{tmpdir_path}/exc/data", f"{tmpdir_path}/exc/ck"
+    first = run_exceptions_feed(spark, d, enriched, codes, sink, ck, glob="events_*.json")
+    assert sorted(r["event_id"] for r in spark.read.parquet(sink).collect()) == ["b"]
+    _write(f"{d}/events_2024-01-01_01.json", [dict(base, event_id="c", shipment_id="s2", status_code=70),
+                                              dict(base, event_id="d", shipment_id="ghost", status_code=60)])
+    run_exceptions_feed(spark, d, enriched, codes, sink, ck, glob="events_*.json")
+    rows = {r["event_id"]: r for r in spark.read.parquet(sink).collect()}
+    assert sorted(rows) == ["b", "c"]  # the orphan event is dropped by the inner join
+    assert rows["c"]["exception_type"] == "Damaged" and first["events_loaded"] == 2
