@@ -85,3 +85,26 @@ def test_hot_path_lagging_a_non_order_column(spark):
     w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_last(), F.col("id").asc_nulls_last())
     plain = df.withColumn("prev", F.lag("v").over(w))
     assert _rows(got) == _rows(plain)
+
+
+def test_randomized_skewed_inputs_match_plain_window(spark):
+    import random
+
+    rnd = random.Random(11)
+    base = datetime(2024, 1, 1)
+    for trial, budget in enumerate([3, 17, 60]):
+        rows = []
+        for i in range(1500):
+            k = "hot" if rnd.random() < 0.4 else f"k{rnd.randint(0, 40)}"
+            ts = None if rnd.random() < 0.03 else base + timedelta(seconds=rnd.randint(0, 500) * 7)
+            rows.append((k, f"e{trial}-{rnd.randint(0, 10**6):07d}-{i}", ts, i))
+        df = spark.createDataFrame(rows, "k string, id string, ts timestamp_ntz, v int")
+        old = _force_hot(spark, budget, 1.0)
+        try:
+            got_ts = lag_by_key(df, "k", ["ts", "id"], "ts", "prev")
+            got_v = lag_by_key(df, "k", ["ts", "id"], "v", "prev")
+        finally:
+            _restore(spark, old)
+        w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_last(), F.col("id").asc_nulls_last())
+        assert _rows(got_ts) == _rows(df.withColumn("prev", F.lag("ts").over(w))), trial
+        assert _rows(got_v) == _rows(df.withColumn("prev", F.lag("v").over(w))), trial
