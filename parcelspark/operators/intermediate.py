@@ -30,7 +30,7 @@ MINUTES_COL = "minutes_since_last_event"
 def int_shipments_enriched(stg_shipments: DataFrame, stg_facilities: DataFrame) -> DataFrame:
     """Shipments with origin and destination facility names/cities (two left
     joins to the same dimension, broadcast behind a size check)."""
-    fac = bounded_broadcast(stg_facilities.select("facility_id", "facility_name", "city"))
+    fac = bounded_broadcast(stg_facilities.select("facility_id", "facility_name", "city"), source=stg_facilities)
     origin = fac.select(
         F.col("facility_id").alias("origin_facility_id"),
         F.col("facility_name").alias("origin_facility_name"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,22 +11,33 @@ from parcelspark.session import CONF_BROADCAST_MAX_ROWS, conf_int
 
 DEFAULT_BROADCAST_MAX_ROWS = 500_000
 
+# Per source frame: {row bound: fits}.  A frame's plan (and file listing) is
+# fixed, so its verdict holds for its lifetime; a new load is a new frame.
+_VERDICTS: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, source: DataFrame | None = None) -> bool:
     """True iff ``df`` has at most ``max_rows`` rows.
 
     ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
     exceeded, so the check costs at most ``max_rows + 1`` rows of the
     (already projected) dimension, never a full scan of a large one.
+    ``source``: a frame ``df`` is a projection / filter / distinct of (so it
+    has no more rows); the check then runs once on ``source`` and is reused
+    by every such dimension derived from it.
     """
     limit = max_rows or conf_int(df.sparkSession, CONF_BROADCAST_MAX_ROWS, DEFAULT_BROADCAST_MAX_ROWS)
-    return df.limit(limit + 1).count() <= limit
+    target = df if source is None else source
+    verdicts = _VERDICTS.setdefault(target, {})
+    if limit not in verdicts:
+        verdicts[limit] = target.limit(limit + 1).count() <= limit
+    return verdicts[limit]
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None, source: DataFrame | None = None) -> DataFrame:
     """``F.broadcast(df)`` when its row count is proven small, else ``df``.
 
     Beyond the bound the join stays a shuffle join; AQE may still convert it
     at runtime from measured sizes, and its skew-join rule splits hot keys.
     """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, source) else df

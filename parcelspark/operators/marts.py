@@ -30,7 +30,7 @@ LIFECYCLE_COLUMNS = [
 
 
 def _facility_dim(stg_facilities: DataFrame, *cols: str) -> DataFrame:
-    return bounded_broadcast(stg_facilities.select("facility_id", *cols))
+    return bounded_broadcast(stg_facilities.select("facility_id", *cols), source=stg_facilities)
 
 
 def _scanned(tracking: DataFrame) -> DataFrame:

@@ -91,7 +91,7 @@ def orphans(
 ) -> DataFrame:
     keys = parent.select(F.col(parent_key).alias(child_key))
     if broadcast_parent:
-        keys = bounded_broadcast(keys)
+        keys = bounded_broadcast(keys, source=parent)
     return (
         child.where(F.col(child_key).isNotNull())
         .select(*keep)
@@ -153,7 +153,7 @@ def _fused_shipments(stg_shipments: DataFrame, stg_facilities: DataFrame) -> Dat
     (two broadcast lookups into the distinct facility ids); ``None`` when the
     id set is too large to broadcast."""
     ids = stg_facilities.select("facility_id").where(F.col("facility_id").isNotNull()).distinct()
-    if not fits_broadcast(ids):
+    if not fits_broadcast(ids, source=stg_facilities):
         return None
     ids = F.broadcast(ids)
     o = ids.select(F.col("facility_id").alias("_o"))
