@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelspark.llm import bpe
+from parcelspark.llm import bpe, quality
 from parcelspark.llm.common import table
 
 
@@ -25,8 +25,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    judged, name = quality.judge(docs.select("doc_id", "text"), quality.train(docs, labels))
+    return judged.select("doc_id", f"{name}.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe}
+    return {"op1_bpe": op1_bpe, "op6_quality": op6_quality}
 
 
 def oracle_sql() -> dict[str, str]:
