@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, quality
+from parcelspark.llm import bpe, lines, quality, simhash
 from parcelspark.llm.common import table
 
 
@@ -31,8 +32,22 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", f"{name}.*")
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, name = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    r = F.col(name)
+    kept = F.coalesce(r["text"], F.lit(""))
+    return out.select("doc_id", r["n_lines"].alias("n_lines"), r["n_dropped"].alias("n_dropped"),
+                      F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op6_quality": op6_quality}
+    return {"op1_bpe": op1_bpe, "op6_quality": op6_quality, "op9_lines": op9_lines,
+            "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
