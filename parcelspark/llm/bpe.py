@@ -12,9 +12,9 @@ base symbols.  The gadget of merge ``k: (u, v) -> w``
 All arcs with one label lead to one state, so a state is named by the label
 that enters it.  After the last gadget the automaton accepts exactly one
 segmentation of each word, its BPE tokenization, and every prefix of that
-segmentation is the tokenization of the prefix.  Encoding is therefore one
-left-to-right pass that keeps, per position, the single live state and tests
-candidate arcs against the transition table.
+segmentation is the tokenization of the prefix.  Encoding follows arcs of the
+transition table left to right; each position has one possible state, so a
+dead end is left for good.
 
 Copies share structure: a state holds its lineage, (label, time) pairs that
 say "all cuts made after this label before this time"; an arc holds the spine
@@ -77,8 +77,8 @@ class Automaton:
             lineage[w] = ((w, _NEVER), *((r, min(at, k)) for r, at in lineage[v]))
             grown[w] = ((w, _NEVER), *((t, min(at, k)) for t, at in grown[u]))
             cuts.setdefault(u, {})[v] = k
-        self.trie: dict = {}
-        self.table = {}
+        self.step: dict[int, int] = {}
+        self.token_at = [-1]
 
     def _arc(self, state: int, token: int) -> bool:
         """Whether ``token`` leaves ``state``: no cut hits both its lineage and its spine."""
@@ -101,34 +101,54 @@ class Automaton:
         return known
 
     def add_spelling(self, token: int, symbols: list[int]) -> None:
-        node = self.trie
+        """Enter a label's spelling into the table of symbol steps."""
+        node = 0
         for s in symbols:
-            node = node.setdefault(s, {})
-        node[-1] = token
+            node = self.step.setdefault(node << 9 | s, len(self.token_at))
+            if node == len(self.token_at):
+                self.token_at.append(-1)
+        self.token_at[node] = token
 
     def run(self, symbols: list[int]) -> list[int]:
-        """The accepted path over ``symbols``, as arc labels."""
+        """The accepted path over ``symbols``, as arc labels.
+
+        Depth first, longest label first.  A prefix has one accepted path, so
+        a position that once led nowhere is never entered again.
+        """
         n = len(symbols)
-        state: list[int | None] = [None] * (n + 1)
-        back = [0] * (n + 1)
-        arc, trie = self.arc, self.trie
-        for i in range(n):
-            q = state[i]
-            if i and q is None:
-                continue
-            node = trie
-            for j in range(i, n):
-                node = node.get(symbols[j])
-                if node is None:
-                    break
-                t = node.get(-1)
-                if t is not None and state[j + 1] is None and (not i or arc(q, t)):
-                    state[j + 1], back[j + 1] = t, i
-        out, j = [], n
-        while j:
-            out.append(state[j])
-            j = back[j]
-        return out[::-1]
+        step, token_at, width, table = self.step.get, self.token_at, self.width, self.table
+        path: list[int] = []
+        left: list[tuple[int, list]] = []  # position and untried arcs before each label of the path
+        dead: set[int] = set()
+        at, state, arcs = 0, -1, None
+        while at < n:
+            if arcs is None:
+                arcs, node = [], 0
+                for j in range(at, n):
+                    node = step(node << 9 | symbols[j])
+                    if node is None:
+                        break
+                    t = token_at[node]
+                    if t >= 0:
+                        arcs.append((j + 1, t))
+            while arcs:
+                end, t = arcs.pop()
+                if end in dead:
+                    continue
+                if state >= 0:
+                    allowed = table.get(state * width + t)
+                    if not (self.arc(state, t) if allowed is None else allowed):
+                        continue
+                left.append((at, arcs))
+                path.append(t)
+                at, state, arcs = end, t, None
+                break
+            else:
+                dead.add(at)
+                at, arcs = left.pop()
+                path.pop()
+                state = path[-1] if path else -1
+        return path
 
 
 class WordBpe:
@@ -152,13 +172,14 @@ class WordBpe:
                     symbols[-1] += 256
                 a.add_spelling(i, symbols)
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.labels = a.labels | {i: t for t, i in added.items()}
+        names = a.labels | {i: t for t, i in added.items()}
+        self.labels = [names.get(i, "") for i in range(max(names) + 1)]
         self.special = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.added = added
         self.pattern = regex.compile(_WORD_PATTERN)
         self.blank = regex.compile(f"[{_WS}]+")
-        self.words = WordCache(self._word)
-        self.chunks = WordCache(self._chunk)
+        self.words = WordCache(self._word, 60_000)
+        self.chunks = WordCache(self._chunk, 150_000)
 
     def _word(self, word: str) -> bytes:
         symbols = list(word.encode("utf-8", "surrogatepass"))
@@ -172,13 +193,19 @@ class WordBpe:
         return Tokenizer.from_file(self.path)
 
     def _plain(self, text: str) -> bytes:
-        if not text.isascii() and any(unicodedata.category(c) == "Cn" for c in text):
+        if text.isascii():
+            text = text.lower()
+            if text.isalpha():
+                return self.words[text]
+            if text[:-1].isalpha():  # letters and one mark or digit: two words
+                return self.words[text[:-1]] + self.words[text[-1]]
+            return b"".join([self.words[w] for w in self.pattern.findall(text)])
+        if any(unicodedata.category(c) == "Cn" for c in text):
             # Newer characters than Python's tables know: let the file's own rules split.
             parts = self._file.pre_tokenizer.pre_tokenize_str(self._file.normalizer.normalize_str(text))
             return b"".join(self._word(bytes(self.byte_of[c] for c in w).decode()) for w, _ in parts)
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        words = self.words
-        return b"".join([words[w] for w in self.pattern.findall(text)])
+        return b"".join([self.words[w] for w in self.pattern.findall(text)])
 
     def _chunk(self, chunk: str) -> bytes:
         if self.special is None or "<|" not in chunk:
@@ -204,8 +231,7 @@ class WordBpe:
 
     def decode(self, ids: bytes) -> str:
         """The arc labels of ``ids``, space-joined (the files name no decoder)."""
-        labels = self.labels
-        return " ".join([labels[i] for i in memoryview(ids).cast("I")])
+        return " ".join(map(self.labels.__getitem__, memoryview(ids).cast("I")))
 
 
 @functools.lru_cache(maxsize=2)
