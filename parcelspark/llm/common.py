@@ -15,7 +15,7 @@ LOWER = UPPER.lower()
 #: The six characters [\x20\x09-\x0D], the only white space of the contracts.
 BLANKS = " \t\n\x0b\x0c\r"
 #: Tables of at most this size may be broadcast.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, lines, quality, simhash
+from parcelspark.llm import bpe, decontaminate, lines, oracle, quality, shards, simhash, tokenfile
 from parcelspark.llm.common import table
+from parcelspark.session import scratch_dir
 
 
 def tokenizer_path() -> str:
@@ -26,12 +27,37 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+SHARD_NAMES = tuple(f"shard-{i:03d}" for i in range(64))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, name = shards.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARD_NAMES)
+    return out.select("doc_id", f"{name}.*")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     judged, name = quality.judge(docs.select("doc_id", "text"), quality.train(docs, labels))
     return judged.select("doc_id", f"{name}.*")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out, name = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    r = F.col(name)
+    ids = F.array_join(r["items"], ",")
+    return out.select(
+        "doc_id", r["n_words"].alias("n_words"), r["n_hit"].alias("n_hit"),
+        F.size(r["items"]).cast("long").alias("n_items"),
+        F.sha2(ids.cast("binary"), 256).alias("items_sha256"), r["contaminated"].alias("contaminated"))
+
+
+def op8_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "token-files")
+    tokenfile.write(table(spark, sf_dir, "documents"), folder, tokenizer_path())
+    return tokenfile.digest(spark, folder)
+
+
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, name = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     r = F.col(name)
@@ -45,10 +71,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # uses this module, so it is imported on call
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op6_quality": op6_quality, "op9_lines": op9_lines,
-            "op10_simhash": op10_simhash}
+    return {
+        "op1_bpe": op1_bpe,
+        "op3_sharding": op3_sharding,
+        "op6_quality": op6_quality,
+        "op7_decontaminate": op7_decontaminate,
+        "op8_tokenfile": op8_tokenfile,
+        "op9_lines": op9_lines,
+        "op10_simhash": op10_simhash,
+        "pipeline": pipeline,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
