@@ -263,12 +263,22 @@ def decode(ids: Column, path: str) -> Column:
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, ids binary, n_tokens, decoded) of every row; other columns are not read."""
+    """(key, ids binary, n_tokens, decoded) of every row; other columns are not read.
+
+    One function does both directions: two would encode every text twice.
+    """
     ship_code(docs.sparkSession)
-    ids = docs.select(F.col(key), encode(F.col(text), path).alias("ids"))
-    return ids.select(
-        key, "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        decode(F.col("ids"), path).alias("decoded"),
+
+    @F.arrow_udf("ids binary, decoded string")
+    def bpe_round_trip(texts: pa.Array) -> pa.Array:
+        bpe = load(path)
+        ids = [bpe.encode(t) for t in texts.to_pylist()]
+        decoded = pa.array([bpe.decode(i) for i in ids], pa.string())
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), decoded], ["ids", "decoded"])
+
+    out = docs.select(F.col(key), bpe_round_trip(F.col(text)).alias("r"))
+    return out.select(
+        key, "r.ids", (F.octet_length("r.ids") / 4).cast("long").alias("n_tokens"), "r.decoded",
     )
 
 
