@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, decontaminate, lines, oracle, quality, shards, simhash, tokenfile
+from parcelspark.llm import bpe, decontaminate, lines, oracle, pii, quality, shards, simhash, tokenfile
 from parcelspark.llm.common import table
 from parcelspark.session import scratch_dir
 
@@ -35,6 +35,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", f"{name}.*")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.extract(table(spark, sf_dir, "documents")))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     judged, name = quality.judge(docs.select("doc_id", "text"), quality.train(docs, labels))
@@ -81,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
         "op3_sharding": op3_sharding,
+        "op4_pii": op4_pii,
         "op6_quality": op6_quality,
         "op7_decontaminate": op7_decontaminate,
         "op8_tokenfile": op8_tokenfile,
