@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, decontaminate, lines, oracle, pii, quality, shards, simhash, tokenfile
-from parcelspark.llm.common import table
+from parcelspark.llm import bpe, decontaminate, langid, lines, oracle, pii, quality, shards, simhash, tokenfile
+from parcelspark.llm.common import crc_fold, table
 from parcelspark.session import scratch_dir
 
 
@@ -27,6 +27,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(crc_fold(F.col("doc_id")) != 1))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", (crc_fold(F.col("doc_id")) == 1).alias("held_out"), "lang_pred", "score")
+
+
 SHARD_NAMES = tuple(f"shard-{i:03d}" for i in range(64))
 
 
@@ -84,6 +91,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_langid": op2_langid,
         "op3_sharding": op3_sharding,
         "op4_pii": op4_pii,
         "op6_quality": op6_quality,
