@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, decontaminate, langid, lines, oracle, pii, quality, shards, simhash, tokenfile
+from parcelspark.llm import bpe, decontaminate, langid, lines, oracle, pii, quality, shards, simhash, tokenfile, toxicity
 from parcelspark.llm.common import crc_fold, table
 from parcelspark.session import scratch_dir
 
@@ -46,6 +46,16 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.extract(table(spark, sf_dir, "documents")))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = crc_fold(F.col("doc_id")) != 1
+    model = toxicity.train(docs.where(learn), labels.where(learn))
+    found = toxicity.score_documents(docs, model)
+    return found.select(
+        "doc_id", (crc_fold(F.col("doc_id")) == 1).alias("held_out"), "score",
+        (F.col("score") >= toxicity.FLAG_AT).cast("int").alias("predicted"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     judged, name = quality.judge(docs.select("doc_id", "text"), quality.train(docs, labels))
@@ -94,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_langid": op2_langid,
         "op3_sharding": op3_sharding,
         "op4_pii": op4_pii,
+        "op5_toxicity": op5_toxicity,
         "op6_quality": op6_quality,
         "op7_decontaminate": op7_decontaminate,
         "op8_tokenfile": op8_tokenfile,
