@@ -7,8 +7,9 @@ fingerprints within ``max_bits`` differ in at most ``t_i`` bits of some
 partition ``i``.  A dynamic program picks the thresholds with the lowest
 estimated cost (probe keys plus candidate pairs); every class then probes, per
 partition, all values within ``t_i`` bits, and each candidate is verified on
-all 64 bits inside the join.  Nothing is capped: a crowded value only makes
-its join partition larger, which adaptive execution splits.
+all 64 bits inside the join.  Nothing is capped: classes that share a crowded
+value are first joined to a few pivots among them, and pairs within what that
+has joined need no look (see ``components``).
 
 Defined results: a text without words has fingerprint zero and links like any
 other; a text of fewer words than a shingle is one shingle; repeated rows
@@ -38,6 +39,9 @@ SEED = 42
 #: Relative cost of shuffling one probe row and of verifying one candidate pair.
 PROBE_COST, VERIFY_COST = 1.0, 0.02
 
+#: Members of one value's crowd that all others are compared with first.
+PIVOTS = 3
+
 _TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
@@ -157,28 +161,79 @@ def _signed(x: int) -> int:
     return x - (1 << BITS) if x >> (BITS - 1) else x
 
 
-def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b): ids of classes whose fingerprints differ in at most ``max_bits`` bits.
+def partitions(classes: DataFrame, max_bits: int = MAX_BITS) -> list[tuple[list[int], int]]:
+    """The planned (bits, threshold) of each probed partition for these classes."""
+    return plan(*bit_statistics(classes), max_bits)
 
-    ``classes``: (fp long, id), one row per fingerprint, materialized.
-    """
-    n, together = bit_statistics(classes)
-    own = probes = None
-    for i, (bits, t) in enumerate(plan(n, together, max_bits)):
+
+def _values(classes: DataFrame, parts: list[tuple[list[int], int]], flips: bool) -> DataFrame:
+    """(part, value, *classes): each class's own value in every partition, or all values within the threshold."""
+    out = None
+    for i, (bits, t) in enumerate(parts):
         mask = _signed(sum(1 << b for b in bits))
-        flips = [_signed(sum(1 << b for b in c)) for d in range(t + 1) for c in itertools.combinations(bits, d)]
         value = F.col("fp").bitwiseAND(F.lit(mask))
-        base = classes.select(F.lit(i).alias("part"), "fp", "id", value.alias("value"))
-        flip = F.from_json(F.lit("[" + ",".join(map(str, flips)) + "]"), "array<bigint>")
-        ball = base.withColumn("flip", F.explode(flip)).select(
-            "part", "fp", "id", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
-        own = base if own is None else own.unionByName(base)
-        probes = ball if probes is None else probes.unionByName(ball)
-    a, b = probes.alias("a"), own.alias("b")
-    near = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits
+        rows = classes.select(F.lit(i).alias("part"), value.alias("value"), *classes.columns)
+        if flips:
+            ball = [_signed(sum(1 << b for b in c)) for d in range(t + 1) for c in itertools.combinations(bits, d)]
+            flip = F.from_json(F.lit("[" + ",".join(map(str, ball)) + "]"), "array<bigint>")
+            rows = rows.withColumn("flip", F.explode(flip)).withColumn(
+                "value", F.col("value").bitwiseXOR(F.col("flip"))).drop("flip")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _near(a: str, b: str, max_bits: int) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
+
+
+def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(a, b): ids of all classes (fp, id) whose fingerprints differ in at most ``max_bits`` bits."""
+    parts = partitions(classes, max_bits)
+    a, b = _values(classes, parts, True).alias("a"), _values(classes, parts, False).alias("b")
     met = (F.col("a.part") == F.col("b.part")) & (F.col("a.value") == F.col("b.value"))
-    return a.join(b.hint("merge"), met & (F.col("a.fp") < F.col("b.fp")) & near).select(
-        F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+    return a.join(b.hint("merge"), met & (F.col("a.fp") < F.col("b.fp")) & _near("a.fp", "b.fp", max_bits)).select(
+        F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+
+
+def components(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, component_id) of every class (fp, id): the components of ``links``, without listing them.
+
+    First each class is compared with ``PIVOTS`` pivots of its own values: a
+    linear number of pairs that already joins crowded groups.  Then classes
+    probe for links between different components only.  In a value's crowd,
+    members of its largest component meet just the members of others, so a
+    group that is one component costs no pairs.
+    """
+    parts = partitions(classes, max_bits)
+    own = _values(classes, parts, False)
+    firsts = [F.min(F.struct(F.xxhash64("fp", F.lit(k)), "fp", "id")).alias(f"p{k}") for k in range(PIVOTS)]
+    pivots = own.groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"), *firsts).where("n > 1").select(
+        F.col("part").alias("q_part"), F.col("value").alias("q_value"),
+        F.array(*[F.struct(F.col(f"p{k}.fp"), F.col(f"p{k}.id")) for k in range(PIVOTS)]).alias("pivots"))
+    met = (F.col("part") == F.col("q_part")) & (F.col("value") == F.col("q_value"))
+    close = F.filter("pivots", lambda p: (F.bit_count(p["fp"].bitwiseXOR(F.col("fp"))) <= max_bits) & (p["id"] != F.col("id")))
+    stars = own.join(pivots, met).select("id", F.explode(close).alias("p")).select(
+        F.col("id").alias("a"), F.col("p.id").alias("b"))
+    stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    joined = connected_components(stars, "simhash-stars").withColumnRenamed("node", "id")
+    grouped = materialize(
+        classes.join(joined, "id", "left").select("fp", F.coalesce("component", "id").alias("comp")), "simhash-grouped")
+
+    own, probes = _values(grouped, parts, False), _values(grouped, parts, True)
+    sizes = own.groupBy("part", "value", "comp").agg(F.count(F.lit(1)).alias("n"))
+    main = materialize(sizes.groupBy("part", "value").agg(
+        F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")), "simhash-main")
+    # side 0: probes from outside the main component meet everyone; side 1: those from inside meet outsiders.
+    own = own.join(main, ["part", "value"]).withColumn("side", F.explode(
+        F.when(F.col("comp") == F.col("main"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
+    probes = probes.join(main, ["part", "value"]).where((F.col("comps") > 1) | (F.col("comp") != F.col("main"))).withColumn(
+        "side", (F.col("comp") == F.col("main")).cast("int"))
+    a, b = probes.alias("a"), own.alias("b")
+    met = (F.col("a.part") == F.col("b.part")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.side") == F.col("b.side"))
+    cross = a.join(b.hint("merge"), met & (F.col("a.comp") != F.col("b.comp")) & _near("a.fp", "b.fp", max_bits)).select(
+        F.least("a.comp", "b.comp").alias("a"), F.greatest("a.comp", "b.comp").alias("b")).distinct()
+    merged = connected_components(cross, "simhash-cross").select(F.col("node").alias("comp"), "component")
+    return grouped.join(merged, "comp", "left").select("fp", F.coalesce("component", "comp").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
@@ -186,10 +241,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
     ship_code(docs.sparkSession)
     prints = materialize(docs.select("doc_id", fingerprint(F.col("text"), shingle_words).alias("fp")), "simhash-prints")
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "simhash-classes")
-    edges = links(classes.where("id is not null"), max_bits)
-    comp = connected_components(edges, "simhash").withColumnRenamed("node", "id")
-    named = classes.join(comp, "id", "left").select(
-        "fp", F.coalesce("component", "id").alias("component_id"))
+    named = components(classes.where("id is not null"), max_bits)
     return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 

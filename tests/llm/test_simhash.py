@@ -82,6 +82,27 @@ def test_links_lose_nothing(spark):
     assert got == want
 
 
+def test_components_of_crowds_and_chains(spark):
+    rng = random.Random(3)
+    prints = {0, (1 << 64) - 1}
+    for spread in (2, 4, 5, 8):
+        centre = rng.getrandbits(64)
+        for _ in range(120):
+            f = centre
+            for b in rng.sample(range(64), rng.randint(0, spread)):
+                f ^= 1 << b
+            prints.add(f)
+    chain = rng.getrandbits(64)
+    for k in range(0, 64, 4):
+        prints.add(chain)
+        chain ^= 0xF << k
+    rows = [(simhash._signed(f), i) for i, f in enumerate(sorted(prints, key=lambda f: f * 7919 % 1009))]
+    got = {r.fp: r.component_id for r in simhash.components(spark.createDataFrame(rows, "fp long, id long")).collect()}
+    mask = (1 << 64) - 1
+    want = brute_components([(i, f & mask) for f, i in rows])
+    assert got == {f: want[i] for f, i in rows}
+
+
 def test_odd_rows_and_keep_one(spark):
     long = " ".join(f"w{i}" for i in range(3000))
     rows = [(5, None), (3, ""), (9, " "), (7, long), (8, long + " end"), (8, long + " end"), (2, "q r s"), (None, long), (2, "q r s")]
