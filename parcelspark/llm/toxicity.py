@@ -12,8 +12,9 @@ chance are the witnesses of a toxic sentence, units of clean sentences the
 other class.  A linear support vector machine is fitted on Nyström features
 (kernel values with landmark units, times the inverse root of the landmarks'
 own kernel).  Its weights fold into one number per subsequence, so a unit is
-scored by table look-ups.  A sentence's margin is its best unit's, a text's
-its best sentence's; a logistic curve turns it into the score.
+scored by table look-ups.  A logistic curve turns a text's evidence, over the
+units of all its sentences, into the score: the largest margin, the sum of the
+positive margins, and that sum per hundred units.
 
 Fitting uses at most ``TOXIC_ROWS`` + ``CLEAN_ROWS`` labelled rows, those with
 the lowest id hashes (near copies once), and at most ``UNITS`` chosen units of
@@ -47,6 +48,7 @@ DECAY = 0.6
 ORDERS = (3, 4)
 STEPS = {3: 3, 4: 2}
 BUCKETS = 1 << 18
+START = "\x02"
 MAX_UNIT = 32  # a longer unit is scored in overlapping pieces of this length
 FLAG_AT = 0.7
 
@@ -82,12 +84,11 @@ def pieces(unit: str) -> list[str]:
 
 
 def variants(unit: str) -> list[str]:
-    """What a unit is scored as: its core and, with marks inside, the core without them."""
+    """What a unit is scored as: its core and, with marks inside, the core without them; a mark frames the start."""
     low = core(unit)
-    out = pieces(low)
+    out = pieces(START + low)
     if not low.isalnum():
-        plain = "".join(c for c in low if c.isalnum())
-        out = out + pieces(plain)
+        out = out + pieces(START + "".join(c for c in low if c.isalnum()))
     return out
 
 
@@ -164,12 +165,16 @@ def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-
     return w, b
 
 
+def shaped(evidence: np.ndarray) -> np.ndarray:
+    most, total, rate = np.clip(evidence, -4, None).T
+    return np.stack([most, np.log1p(total), np.minimum(rate, 5), np.ones(len(evidence))], axis=1)
+
+
 @dataclass
 class Model:
     weight: np.ndarray  # per bucket, float32
     bias: float
-    slope: float
-    offset: float
+    curve: np.ndarray  # of the three numbers of a text's evidence, and offset
 
     def margins(self, units: list[str]) -> np.ndarray:
         """Margin of each unit (no longer than ``MAX_UNIT``)."""
@@ -181,8 +186,9 @@ class Model:
             out[i : i + len(part)] = raw / norms(len(part), row, weight)
         return out + self.bias
 
-    def score(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -40, 40)))
+    def score(self, evidence: np.ndarray) -> np.ndarray:
+        """Score of each row (largest margin, positive sum, sum per hundred units)."""
+        return 1 / (1 + np.exp(-np.clip(shaped(evidence) @ self.curve, -40, 40)))
 
 
 class Scorer:
@@ -202,8 +208,9 @@ class Scorer:
             self.known[u] = float(margins[at : at + len(f)].max())
             at += len(f)
 
-    def worst(self, texts: list[str | None]) -> list[tuple[float, str | None]]:
-        """Each text's largest margin over the units of all its sentences, and that unit."""
+    def evidence(self, texts: list[str | None]) -> list[tuple[float, float, float, str | None]]:
+        """Of each text: the largest margin of its units, the sum of the positive ones, that sum
+        per hundred units, and the worst unit; over all its sentences."""
         if len(self.known) > self.LIMIT:
             self.known = {}
         split = [units_of(t) for t in texts]
@@ -211,20 +218,24 @@ class Scorer:
         if new:
             self._learn(new)
         known = self.known
-        out: list[tuple[float, str | None]] = []
+        out: list[tuple[float, float, float, str | None]] = []
         for s in split:
             margins = [known[u] for u in s]
-            most = max(margins, default=self.model.bias)
-            out.append((most, s[margins.index(most)] if s else None))
+            if not s:
+                out.append((self.model.bias, 0.0, 0.0, None))
+                continue
+            most = max(margins)
+            total = sum([m for m in margins if m > 0]) if most > 0 else 0.0
+            out.append((most, total, 100 * total / len(s), s[margins.index(most)]))
         return out
 
-    def margins(self, texts: list[str | None]) -> np.ndarray:
-        return np.array([m for m, _ in self.worst(texts)])
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        return self.model.score(np.array([e[:3] for e in self.evidence(texts)]).reshape(len(texts), 3))
 
     def sentences(self, text: str) -> list[tuple[str, float]]:
         """(sentence, score) of each sentence of a text."""
         parts = [s for s in _SENTENCE.split(text) if s.strip()]
-        return list(zip(parts, self.model.score(self.margins(parts)).tolist()))
+        return list(zip(parts, self.scores(parts).tolist()))
 
 
 _HELD: dict[str, Scorer] = {}
@@ -238,26 +249,28 @@ def scorer_for(name: str, model: Model) -> Scorer:
     return _HELD[name]
 
 
-def margin_of(model: Model):
-    """Column function: text -> struct(margin, unit): its worst unit."""
+def evidence_of(model: Model):
+    """Column function: text -> struct(margin, total, rate, unit, score)."""
     name = uuid.uuid4().hex
-    schema = T.StructType([T.StructField("margin", T.DoubleType()), T.StructField("unit", T.StringType())])
+    names = ("margin", "total", "rate", "unit", "score")
+    schema = T.StructType([T.StructField(n, T.StringType() if n == "unit" else T.DoubleType()) for n in names])
 
     @F.arrow_udf(schema)
-    def toxicity_margin(texts: pa.Array) -> pa.Array:
-        scorer, margins, units = scorer_for(name, model), [], []
+    def toxicity_evidence(texts: pa.Array) -> pa.Array:
+        scorer, rows = scorer_for(name, model), []
         for i in range(0, len(texts), 2_000):
-            for margin, unit in scorer.worst(texts.slice(i, 2_000).to_pylist()):
-                margins.append(margin)
-                units.append(unit and variants(unit)[0])
-        return pa.StructArray.from_arrays([pa.array(margins, pa.float64()), pa.array(units, pa.string())], ["margin", "unit"])
+            rows += scorer.evidence(texts.slice(i, 2_000).to_pylist())
+        score = model.score(np.array([r[:3] for r in rows], float).reshape(len(rows), 3))
+        columns = [pa.array([r[k] for r in rows], pa.float64()) for k in range(3)]
+        units = pa.array([r[3] and variants(r[3])[0] for r in rows], pa.string())
+        return pa.StructArray.from_arrays([*columns, units, pa.array(score)], list(names))
 
-    return toxicity_margin
+    return toxicity_evidence
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _distinct_units(texts: pa.Array) -> pa.Array:
-    rows = [sorted({p for u in units_of(t) for p in variants(u) if p}) for t in texts.to_pylist()]
+    rows = [sorted({p for u in units_of(t) for p in variants(u) if p != START}) for t in texts.to_pylist()]
     return pa.array(rows, pa.list_(pa.string()))
 
 
@@ -284,7 +297,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def witnesses(sample: DataFrame) -> DataFrame | None:
     """(unit, bad, good, toxic): units of the sample with their text counts; ``toxic`` where beyond chance.
 
-    The bar rises with the number of units, so that none passes by chance.
+    The bar rises with the number of units common enough to pass, so that none does by chance.
     """
     size = dict(sample.groupBy("label").count().collect())
     toxic, clean = size.get(1, 0), size.get(0, 0)
@@ -296,9 +309,9 @@ def witnesses(sample: DataFrame) -> DataFrame | None:
     n = F.col("bad") + F.col("good")
     rate = (F.col("bad") + 0.01) / (n + 0.02)
     surprise = F.col("bad") * F.log(rate / share) + F.col("good") * F.log((1 - rate) / (1 - share))
-    bar = float(np.log(max(per.count(), 1))) + 3
+    bar = float(np.log(max(per.where(n >= 5).count(), 1))) + 3
     return per.select("unit", "bad", "good", (rate < share).alias("common"),
-                      F.when((rate > 0.9) & (surprise > bar), surprise).alias("surprise"))
+                      F.when((rate > 0.8) & (surprise > bar), surprise).alias("surprise"))
 
 
 def spread_out(units: list[str], count: int, seed: int = 1) -> list[str]:
@@ -331,7 +344,7 @@ def fit(bad: list[str], good: list[str], counts: np.ndarray, hard: list[str]) ->
     x = kernel(bad + good, table) @ root
     y = np.r_[np.ones(len(bad)), -np.ones(len(good))]
     w, bias = fit_svm(x, y, np.r_[np.full(len(bad), 1 / len(bad)), counts / counts.sum()])
-    return Model((table @ (root @ w)).astype(np.float32), float(bias), 1.0, 0.0)
+    return Model((table @ (root @ w)).astype(np.float32), float(bias), np.array([1.0, 0, 0, 0]))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -349,30 +362,34 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     counts = dict(often.unionByName(some).select("unit", "good").collect())
     model, hard = fit(bad, list(counts), np.log1p(np.array(list(counts.values()), float)), []), []
     for _ in range(REFITS):  # the worst unit of each clean text joins the clean class, of each toxic text the other
-        worst = sample.select("label", margin_of(model)(F.col("text"))["unit"].alias("unit")).join(units, "unit")
+        worst = sample.select("label", evidence_of(model)(F.col("text"))["unit"].alias("unit")).join(units, "unit")
         hard = [r.unit for r in worst.where("label = 0").groupBy("unit").agg(F.count("*").alias("n")).orderBy(
             F.desc("n"), "unit").limit(UNITS).collect()]
         more = [r.unit for r in worst.where("label = 1 and good = 0 and bad > 1").select("unit").distinct().orderBy("unit").limit(UNITS).collect()]
         bad = list(dict.fromkeys(bad + more))
         counts.update((u, counts.get(u, 1)) for u in hard)
         model = fit(bad, list(counts), np.log1p(np.array(list(counts.values()), float)), hard)
-    found = sample.select("label", margin_of(model)(F.col("text"))["margin"].alias("margin")).toPandas()
-    model.slope, model.offset = calibrate(found["margin"].to_numpy(), found["label"].to_numpy(float))
+    found = sample.select("label", evidence_of(model)(F.col("text")).alias("e")).select("label", "e.margin", "e.total", "e.rate").toPandas()
+    model.curve = calibrate(found[["margin", "total", "rate"]].to_numpy(float), found["label"].to_numpy(float))
     return model
 
 
-def calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Logistic slope and offset by Newton steps, both labels weighing the same."""
+def calibrate(evidence: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Logistic curve over a text's evidence by Newton steps, both labels weighing the same; no term may fall."""
     weight = np.where(label == 1, 0.5 / max(label.sum(), 1), 0.5 / max((1 - label).sum(), 1))
-    x = np.c_[margin, np.ones(len(margin))]
-    at = np.array([1.0, 0.0])
-    ridge = np.diag([1e-3, 1e-6])
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
-        grad = x.T @ (weight * (p - label)) + ridge @ at
-        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge + 1e-9 * np.eye(2)
-        at = at - np.clip(np.linalg.solve(hess, grad), -2, 2)
-    return float(max(at[0], 0.0)), float(at[1])
+    x, free = shaped(evidence), np.array([True] * 4)
+    while True:
+        at, used = np.zeros(4), np.flatnonzero(free)
+        ridge = np.diag([3e-3, 3e-3, 3e-3, 1e-6])[np.ix_(used, used)]
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+            grad = x[:, used].T @ (weight * (p - label)) + ridge @ at[used]
+            hess = (x[:, used] * (weight * p * (1 - p))[:, None]).T @ x[:, used] + ridge + 1e-9 * np.eye(len(used))
+            at[used] -= np.clip(np.linalg.solve(hess, grad), -2, 2)
+        falling = (at[:3] < 0) & free[:3]
+        if not falling.any():
+            return at
+        free[:3] &= ~falling
 
 
 def score_documents(docs: DataFrame, model: Model | None, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -380,7 +397,5 @@ def score_documents(docs: DataFrame, model: Model | None, text: str = "text", ke
     ship_code(docs.sparkSession)
     if model is None:
         return docs.select(key, F.lit(0.0).alias("margin"), F.lit(0.0).alias("score"))
-    margin: Column = F.col("margin")
-    logit = F.least(F.greatest(margin * model.slope + model.offset, F.lit(-40.0)), F.lit(40.0))
-    return docs.select(key, margin_of(model)(F.col(text))["margin"].alias("margin")).select(
-        key, "margin", (1 / (1 + F.exp(-logit))).alias("score"))
+    found: Column = evidence_of(model)(F.col(text))
+    return docs.select(key, found.alias("e")).select(key, "e.margin", "e.score")
