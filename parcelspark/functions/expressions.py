@@ -13,14 +13,8 @@ HUB_FACILITY_TYPES = ["National Hub", "Regional"]
 WEIGHT_BRACKET_LIGHT = "Light (<5kg)"
 WEIGHT_BRACKET_MEDIUM = "Medium (5-15kg)"
 WEIGHT_BRACKET_HEAVY = "Heavy (>15kg)"
-DELAY_WEATHER_CONDITIONS = ["Heavy Rain", "Heavy Snow", "Thunderstorm"]
-DELAY_PRECIPITATION_MM = 10
 ROUTE_SEPARATOR = " -> "
 FINANCIAL_EXCEPTION_TYPES = ["Lost", "Damaged"]
-# Scan location by status: 10 Label Created, 20 Picked Up at the origin;
-# 40 Out For Delivery, 50 Delivered, 60 Delivery Failed at the destination.
-ORIGIN_SCAN_STATUSES = [10, 20]
-DESTINATION_SCAN_STATUSES = [40, 50, 60]
 DELIVERED_STATUS = 50
 
 MONEY_SUM_TYPE = "decimal(38,2)"
@@ -50,19 +44,6 @@ def route_label(origin_city: Column, destination_city: Column) -> Column:
     return F.concat(origin_city, F.lit(ROUTE_SEPARATOR), destination_city)
 
 
-def regional_delay(condition: Column, precipitation_mm: Column) -> Column:
-    return condition.isin(DELAY_WEATHER_CONDITIONS) & (precipitation_mm > F.lit(DELAY_PRECIPITATION_MM))
-
-
-def expected_scan_facility(status: Column, origin_id: Column, destination_id: Column) -> Column:
-    """Deterministic part of the scan-location rule (hub scans are a random draw
-    in the producer and lost parcels are in transit: both NULL here)."""
-    return (
-        F.when(status.isin(ORIGIN_SCAN_STATUSES), origin_id)
-        .when(status.isin(DESTINATION_SCAN_STATUSES), destination_id)
-    )
-
-
 def money_sum(c: Column) -> Column:
     """``sum(decimal)`` widened to DECIMAL(38,2)."""
     return F.sum(c).cast(MONEY_SUM_TYPE)

@@ -10,32 +10,42 @@ from pyspark.sql import functions as F
 from parcelspark.session import CONF_BROADCAST_MAX_ROWS, conf_int
 
 DEFAULT_BROADCAST_MAX_ROWS = 500_000
+BROADCAST_MAX_BYTES = 256 << 20
+_FIXED_WIDTH = 16  # generous for a number, date or flag
 
-# Per source frame: {row bound: fits}.  A frame's plan (and file listing) is
-# fixed, so its verdict holds for its lifetime; a new load is a new frame.
-_VERDICTS: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+# Per source frame: (rows, bytes).  A frame's plan (and file listing) is
+# fixed, so its size holds for its lifetime; a new load is a new frame.
+_SIZES: "weakref.WeakKeyDictionary[DataFrame, tuple[int, int]]" = weakref.WeakKeyDictionary()
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, estimated bytes) by one aggregate: tasks send two numbers each, no rows move."""
+    if df not in _SIZES:
+        width = F.lit(0)
+        for f in df.schema.fields:
+            if f.dataType.typeName() in ("string", "binary"):
+                width = width + F.coalesce(F.octet_length(df[f.name]), F.lit(0))
+            else:
+                width = width + F.lit(_FIXED_WIDTH)
+        rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("long"))).first()
+        _SIZES[df] = (rows, size or 0)
+    return _SIZES[df]
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None, source: DataFrame | None = None) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows.
-
-    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
-    exceeded, so the check costs at most ``max_rows + 1`` rows of the
-    (already projected) dimension, never a full scan of a large one.
-    ``source``: a frame ``df`` is a projection / filter / distinct of (so it
-    has no more rows); the check then runs once on ``source`` and is reused
-    by every such dimension derived from it.
+    """True iff ``df`` has at most ``max_rows`` rows and ``BROADCAST_MAX_BYTES`` bytes.
+
+    ``source``: a frame ``df`` is a projection / filter / distinct of (so it is
+    no larger); the check then runs once on ``source`` and is reused by every
+    such dimension derived from it.
     """
     limit = max_rows or conf_int(df.sparkSession, CONF_BROADCAST_MAX_ROWS, DEFAULT_BROADCAST_MAX_ROWS)
-    target = df if source is None else source
-    verdicts = _VERDICTS.setdefault(target, {})
-    if limit not in verdicts:
-        verdicts[limit] = target.limit(limit + 1).count() <= limit
-    return verdicts[limit]
+    rows, size = measured_size(df if source is None else source)
+    return rows <= limit and size <= BROADCAST_MAX_BYTES
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None, source: DataFrame | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is proven small, else ``df``.
+    """``F.broadcast(df)`` when its size is proven small, else ``df``.
 
     Beyond the bound the join stays a shuffle join; AQE may still convert it
     at runtime from measured sizes, and its skew-join rule splits hot keys.

@@ -2,24 +2,25 @@
 
 A plain ``lag() OVER (PARTITION BY key ...)`` puts every row of a key into one
 task.  If one key holds a large share of all rows that task holds it all.
-Here hot keys are found from a sample and split into time-ordered chunks:
-
-1. sample -> keys whose sampled frequency implies more than
-   ``parcelspark.skew.rowsPerTask`` rows (their number is bounded by
-   ``2 * rows / rowsPerTask``, so the table broadcasts behind a size check);
-2. chunk = a monotone function of the timestamp inside the key's sampled
-   [min, max] range (0 for normal keys), so chunk order agrees with the
-   (ts, tiebreak) order;
-3. ``lag`` over (key, chunk) - the shuffle spreads a hot key over many tasks;
-4. the first row of each chunk takes the last value of the previous
-   non-empty chunk of the same key (a small per-chunk table).
-
-With no hot key (the usual case) the plan is the plain window; an input
-smaller than one task's row budget skips the sampling probe altogether.
-
-Defaults: 2M rows per window task, a 1e-4 Bernoulli sample (a hot key
-shows ~200 expected hits against a threshold of 100; on 1e12 rows the
-probe shuffles ~1e8 sampled keys, partial-aggregated).
+Here hot keys are found from a sample and handled apart:
+
+1. sample -> keys (NULL is one of them) whose sampled frequency implies more
+   than ``parcelspark.skew.rowsPerTask`` rows.  The table has at most
+   ``2 * rows / rowsPerTask`` entries and is written once to the shared
+   folder, so every later branch sees the same keys.
+2. The hot keys' rows are range-partitioned on (key, ts, tiebreak) and written
+   once with their partition as ``_chunk``.  The bounds are quantiles of the
+   whole order, so a burst at one instant is split as well, by the tiebreak.
+3. ``lag`` over (key, chunk) spreads a hot key over many tasks.
+4. The first row of each chunk takes the last value of the previous chunk of
+   its key (a small per-chunk table).
+
+All other rows take the plain window.  With no hot key the plan is the plain
+window alone; the probe reads a sample of the key column.
+
+Defaults: 2M rows per window task, a 1e-4 Bernoulli sample (a hot key shows
+~200 expected hits against a threshold of 100; on 1e12 rows the probe
+shuffles ~1e8 sampled keys, partial-aggregated).
 """
 
 from __future__ import annotations
@@ -27,53 +28,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelspark.functions.timeutil import minute_index
 from parcelspark.operators.joins import bounded_broadcast
 from parcelspark.session import (
     CONF_SKEW_ROWS_PER_TASK,
     CONF_SKEW_SAMPLE_FRACTION,
     conf_float,
     conf_int,
+    scratch_dir,
 )
 
 DEFAULT_ROWS_PER_TASK = 2_000_000
 DEFAULT_SAMPLE_FRACTION = 0.0001
+MAX_CHUNKS = 20_000
 _SAMPLE_SEED = 20240101
 
 
-def _second_index(ts: Column) -> Column:
-    """Zone-free monotone numeric form of a ``timestamp_ntz`` (seconds)."""
-    return minute_index(ts) * F.lit(60) + F.second(ts).cast("long")
-
-
 def _order(cols: list[str]) -> list[Column]:
     # Ascending, NULLs last (the reference engine's default ordering).
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
-def hot_keys(df: DataFrame, key: str, ts: str) -> DataFrame:
-    """Sampled heavy hitters of ``key`` with their sampled time range."""
-    spark = df.sparkSession
-    rows_per_task = conf_int(spark, CONF_SKEW_ROWS_PER_TASK, DEFAULT_ROWS_PER_TASK)
-    fraction = min(1.0, conf_float(spark, CONF_SKEW_SAMPLE_FRACTION, DEFAULT_SAMPLE_FRACTION))
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hot_keys(df: DataFrame, key: str, rows_per_task: int, fraction: float) -> DataFrame:
+    """(key, _rows): sampled heavy hitters of ``key``, NULL included, and their estimated rows."""
     min_hits = max(1, int(fraction * rows_per_task / 2))
-    sample = df.select(key, ts) if fraction >= 1.0 else df.select(key, ts).sample(fraction, seed=_SAMPLE_SEED)
+    keys = df.select(key) if fraction >= 1.0 else df.select(key).sample(fraction, seed=_SAMPLE_SEED)
     return (
-        sample.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("_hits"),
-            F.min(_second_index(F.col(ts))).alias("_lo"),
-            F.max(_second_index(F.col(ts))).alias("_hi"),
-        )
+        keys.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_hits"))
         .where(F.col("_hits") >= min_hits)
-        .select(
-            key,
-            "_lo",
-            "_hi",
-            # estimated rows / rows_per_task, doubled for headroom
-            (F.ceil(F.col("_hits") / F.lit(fraction) / F.lit(rows_per_task)) * 2).cast("long").alias("_chunks"),
-        )
+        .select(key, F.ceil(F.col("_hits") / F.lit(fraction)).alias("_rows"))
     )
 
 
@@ -83,66 +72,46 @@ def lag_by_key(
     order_cols: list[str],
     value_col: str,
     out_col: str,
+    rows_per_task: int | None = None,
+    sample_fraction: float | None = None,
 ) -> DataFrame:
     """``df`` plus ``out_col = lag(value_col) OVER (PARTITION BY key ORDER BY order_cols)``.
 
-    ``order_cols[0]`` must be a ``timestamp_ntz`` column (used for chunking).
+    The last of ``order_cols`` should break ties, else their order is open, as
+    in the plain window.
     """
-    ts = order_cols[0]
-    rows_per_task = conf_int(df.sparkSession, CONF_SKEW_ROWS_PER_TASK, DEFAULT_ROWS_PER_TASK)
-    plain = Window.partitionBy(key).orderBy(*_order(order_cols))
-    # An input with fewer rows than one task's budget cannot hold a hot key;
-    # the bounded count stops reading after rows_per_task rows.
-    if df.select(key).limit(rows_per_task).count() < rows_per_task:
-        return df.withColumn(out_col, F.lag(value_col).over(plain))
-    hot = hot_keys(df, key, ts)
-    if hot.limit(1).count() == 0:
-        return df.withColumn(out_col, F.lag(value_col).over(plain))
-
-    hot_b = bounded_broadcast(hot)
-    sec = _second_index(F.col(ts))
-    span = F.col("_hi") - F.col("_lo") + F.lit(1)
-    raw_chunk = F.floor((sec - F.col("_lo")) * F.col("_chunks") / span)
-    chunk = (
-        F.when(F.col("_chunks").isNull(), F.lit(0))  # normal key
-        .when(F.col(ts).isNull(), F.col("_chunks") - 1)  # NULLs sort last
-        .otherwise(F.least(F.greatest(raw_chunk, F.lit(0)), F.col("_chunks") - 1))
-        .cast("long")
-    )
-    chunked = (
-        df.join(hot_b, key, "left")
-        .withColumn("_chunk", chunk)
-        .withColumn("_is_hot", F.col("_chunks").isNotNull())
-        .drop("_lo", "_hi", "_chunks")
-    )
+    spark = df.sparkSession
+    budget = rows_per_task or conf_int(spark, CONF_SKEW_ROWS_PER_TASK, DEFAULT_ROWS_PER_TASK)
+    fraction = min(1.0, sample_fraction or conf_float(spark, CONF_SKEW_SAMPLE_FRACTION, DEFAULT_SAMPLE_FRACTION))
+    plain = F.lag(value_col).over(Window.partitionBy(key).orderBy(*_order(order_cols)))
+    hot = _written(hot_keys(df, key, budget, fraction), "lag-hot-keys")
+    rows = hot.agg(F.sum("_rows")).first()[0]
+    if not rows:
+        return df.withColumn(out_col, plain)
+
+    hot_b = bounded_broadcast(hot.select(F.col(key).alias("_hot_key")))
+    is_hot = df[key].eqNullSafe(F.col("_hot_key"))
+    cold = df.join(hot_b, is_hot, "left_anti").withColumn(out_col, plain)
+    chunks = int(min(MAX_CHUNKS, max(2, -(-2 * rows // budget))))
+    ranged = df.join(hot_b, is_hot, "left_semi").repartitionByRange(chunks, F.col(key), *_order(order_cols))
+    chunked = _written(ranged.withColumn("_chunk", F.spark_partition_id()), "lag-chunks")
+
     w = Window.partitionBy(key, "_chunk").orderBy(*_order(order_cols))
     windowed = chunked.withColumn("_lag", F.lag(value_col).over(w)).withColumn(
         "_first", F.lag(F.lit(True)).over(w).isNull()
     )
-    # Last value of each chunk of a hot key, then the previous chunk's last.
-    # Taken from the pre-window rows: only hot rows reach a partial aggregate,
-    # and the big sort of the window is not repeated for this branch.
-    hot_rows = chunked.where("_is_hot").groupBy(key, "_chunk")
-    if value_col == ts:
-        # Lagging the ordering timestamp itself: the chunk's last value is its
-        # max, or NULL when it holds a NULL timestamp (NULLs sort last).  Both
-        # are fixed-width hash aggregates.
-        last_per_chunk = hot_rows.agg(
-            F.when(F.count_if(F.col(ts).isNull()) > 0, F.lit(None))
-            .otherwise(F.max(ts))
-            .alias("_last")
-        )
-    else:
-        # NULLs-last order == order by (isNull, value) per column.
-        order_fields = []
-        for i, c in enumerate(order_cols):
-            order_fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_v{i}")]
-        last_per_chunk = hot_rows.agg(F.max_by(F.col(value_col), F.struct(*order_fields)).alias("_last"))
-    prev = last_per_chunk.withColumn(
-        "_prev_last", F.lag("_last").over(Window.partitionBy(key).orderBy("_chunk"))
-    ).select(key, "_chunk", "_prev_last")
-    out = windowed.join(bounded_broadcast(prev), [key, "_chunk"], "left")
-    return out.withColumn(
-        out_col,
-        F.when(F.col("_first") & F.col("_is_hot"), F.col("_prev_last")).otherwise(F.col("_lag")),
-    ).drop("_chunk", "_is_hot", "_lag", "_first", "_prev_last")
+    # Last value of each chunk, then the previous chunk's last.  NULLs-last
+    # order == order by (isNull, value) per column.
+    fields = []
+    for i, c in enumerate(order_cols):
+        fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_v{i}")]
+    last = chunked.groupBy(key, "_chunk").agg(F.max_by(F.struct(F.col(value_col).alias("v")), F.struct(*fields)).alias("_last"))
+    prev = last.select(
+        F.col(key).alias("_prev_key"), F.col("_chunk").alias("_prev_chunk"),
+        F.lag("_last").over(Window.partitionBy(key).orderBy("_chunk"))["v"].alias("_prev_last"),
+    )
+    met = windowed[key].eqNullSafe(F.col("_prev_key")) & (windowed["_chunk"] == F.col("_prev_chunk"))
+    stitched = windowed.join(prev, met, "left").withColumn(
+        out_col, F.when(F.col("_first"), F.col("_prev_last")).otherwise(F.col("_lag"))
+    )
+    return cold.unionByName(stitched.select(*cold.columns))

@@ -46,7 +46,6 @@ def mart_courier_issues_summary(tracking: DataFrame) -> DataFrame:
         tracking.where(F.col("courier_notes").isNotNull())
         .groupBy("courier_notes")
         .agg(F.count("event_id").alias("frequency_count"))
-        .orderBy(F.desc("frequency_count"), F.asc("courier_notes"))
     )
 
 
@@ -123,7 +122,6 @@ def mart_facility_bottlenecks(stg_facilities: DataFrame, tracking_lag: DataFrame
         per_facility.join(fac, "facility_id", "inner")
         .groupBy("facility_name", "city")
         .agg(timeutil.mean_hours(F.sum("_min"), F.sum("_n")).alias("avg_hours_delayed"))
-        .orderBy(F.desc_nulls_last("avg_hours_delayed"), "facility_name", "city")
     )
 
 

@@ -257,14 +257,6 @@ FINAL: dict[str, str] = {
     # ------------------------------------------------------ scalar rules
     "event_hour_bucket": """SELECT substr(event_timestamp, 1, 10) || '_' || substr(event_timestamp, 12, 2) AS hour_bucket,
         count(*) AS event_count FROM raw_tracking_events GROUP BY 1""",
-    "regional_delay_flag": """SELECT weather_date, city, weather_condition, precipitation_mm,
-        (weather_condition IN ('Heavy Rain', 'Heavy Snow', 'Thunderstorm') AND precipitation_mm > 10)
-            AS regional_delay_flag
-        FROM stg_weather_delays""",
-    "expected_scan_facility": """SELECT t.event_id, t.status_code, t.facility_id,
-        CASE WHEN t.status_code IN (10, 20) THEN s.origin_facility_id
-             WHEN t.status_code IN (40, 50, 60) THEN s.destination_facility_id END AS expected_facility_id
-        FROM stg_tracking_events t JOIN stg_shipments s ON t.shipment_id = s.shipment_id""",
     # ---------------------------------------------------------- data quality
     "dq_unique": """
         SELECT 'stg_facilities' AS table_name, 'facility_id' AS column_name,
@@ -335,8 +327,16 @@ FINAL["scan_tracking_json"] = _RAW_RECORDS
 FINAL["json_schema_backfill"] = _RAW_RECORDS
 FINAL["stream_ingest_events"] = _RAW_RECORDS
 FINAL["full_refresh_events"] = _RAW_RECORDS
-FINAL["json_provenance"] = """SELECT substr(source_file, 8, 13) AS hour_bucket, count(*) AS event_count
+FINAL["json_provenance"] = """SELECT source_file, count(*) AS event_count
     FROM raw_tracking_events GROUP BY 1"""
+FINAL["export_hourly_json"] = """SELECT substr(source_file, 8, 13) AS hour_bucket, count(*) AS row_count,
+    min(event_timestamp) AS first_ts, max(event_timestamp) AS last_ts, TRUE AS is_sorted
+    FROM raw_tracking_events GROUP BY 1"""
+FINAL["ingest_ledger"] = """SELECT source_file AS file_name, CAST(count(*) AS INTEGER) AS row_count
+    FROM raw_tracking_events GROUP BY 1"""
+FINAL["int_tracking_with_lag_hot"] = """SELECT event_id, facility_id, event_timestamp_ts,
+    lag(event_timestamp_ts) OVER (PARTITION BY facility_id ORDER BY event_timestamp_ts ASC NULLS LAST,
+        event_id ASC NULLS LAST) AS previous_event_ts FROM stg_tracking_events"""
 FINAL["scan_weather_csv"] = "SELECT date, city, weather_condition, precipitation_mm, regional_delay_flag FROM raw_weather"
 FINAL["stream_exceptions"] = "SELECT * FROM mart_exceptions_analysis"
 

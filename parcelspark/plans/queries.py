@@ -14,9 +14,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.functions import expressions as X
 from parcelspark.functions import timeutil
 from parcelspark.operators import quality as Q
+from parcelspark.operators.lag import lag_by_key
 from parcelspark.plans.graph import MART_NAMES, REPORT_NAMES, ModelGraph
 from parcelspark.sources import fixtures, oltp
 
@@ -83,24 +83,15 @@ def event_hour_bucket(spark, sf_dir):
     )
 
 
-def regional_delay_flag(spark, sf_dir):
-    w = graph(spark, sf_dir).get("stg_weather_delays")
-    return w.select(
-        "weather_date", "city", "weather_condition", "precipitation_mm",
-        X.regional_delay(F.col("weather_condition"), F.col("precipitation_mm")).alias("regional_delay_flag"),
-    )
+# Low enough that busy facilities, and the events without one, count as hot.
+HOT_ROWS_PER_TASK = 200
 
 
-def expected_scan_facility(spark, sf_dir):
-    g = graph(spark, sf_dir)
-    t = g.get("stg_tracking_events").select("event_id", "shipment_id", "status_code", "facility_id")
-    s = g.get("stg_shipments").select("shipment_id", "origin_facility_id", "destination_facility_id")
-    return t.join(s, "shipment_id", "inner").select(
-        "event_id", "status_code", "facility_id",
-        X.expected_scan_facility(
-            F.col("status_code"), F.col("origin_facility_id"), F.col("destination_facility_id")
-        ).alias("expected_facility_id"),
-    )
+def int_tracking_with_lag_hot(spark, sf_dir):
+    """The split path of the skew-aware lag: previous event at the same facility (or at none)."""
+    t = graph(spark, sf_dir).get("stg_tracking_events").select("event_id", "facility_id", "event_timestamp_ts")
+    return lag_by_key(t, "facility_id", ["event_timestamp_ts", "event_id"], "event_timestamp_ts", "previous_event_ts",
+                      rows_per_task=HOT_ROWS_PER_TASK, sample_fraction=1.0)
 
 
 # ------------------------------------------------------------ data quality
@@ -157,8 +148,7 @@ def sql_queries() -> dict[str, QueryFn]:
     q.update({k: _model(k) for k in MODEL_KEYS})
     q.update({
         "event_hour_bucket": event_hour_bucket,
-        "regional_delay_flag": regional_delay_flag,
-        "expected_scan_facility": expected_scan_facility,
+        "int_tracking_with_lag_hot": int_tracking_with_lag_hot,
     })
     q.update({k: _dq(k) for k in DQ_KEYS})
     return q

@@ -2,9 +2,9 @@
 
 Each query exports the adapter's tracking events (or weather) to files under
 the session's shared checkpoint root - hourly JSON arrays, a CSV object -
-and reads them back through the production source/stream code.  Keys whose
-result is relational also have an oracle statement (the export must
-reproduce the raw table exactly); ledger/listing keys are rows-only.
+and reads them back through the production source/stream code.  Every key has
+an oracle statement: the export must reproduce the raw table exactly, the
+streams in several micro-batches.
 """
 
 from __future__ import annotations
@@ -16,69 +16,55 @@ from parcelspark.plans.graph import ModelGraph
 from parcelspark.session import scratch_dir
 from parcelspark.sinks.hourly_json import EXPORT_GLOB, export_hourly_json
 from parcelspark.sources import fixtures, tracking_json, weather_csv
-from parcelspark.sources.fs import path_exists
 from parcelspark.streaming import exceptions as stream_exc
 from parcelspark.streaming import ingest as stream_ingest
 
 RECORDS = tracking_json.RECORD_COLUMNS
-EXPORT_STREAM_SUFFIX = "/hour=*/_file=*"
-
-
-# One export per (session, input folder, options): the round-trip keys all
-# read the same derived feed, so it is written once per session.
-_EXPORTS: dict[tuple, str] = {}
+#: Small enough that every test table takes several micro-batches.
+FILES_PER_TRIGGER = 40
 
 
 def _export(spark: SparkSession, sf_dir: str, **kw) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, repr(sorted(kw.items())))
-    out = _EXPORTS.get(key)
-    if out is None or not path_exists(spark, out):
-        out = scratch_dir(spark, "events-export")
-        export_hourly_json(fixtures.raw_tracking_events(spark, sf_dir), out, **kw)
-        _EXPORTS[key] = out
+    out = scratch_dir(spark, "events-export")
+    export_hourly_json(fixtures.raw_tracking_events(spark, sf_dir), out, **kw)
     return out
 
 
-def _read_export(spark: SparkSession, export_dir: str) -> DataFrame:
-    return tracking_json.read_event_files(spark, export_dir, glob=EXPORT_GLOB, recursive=True)
-
-
 def scan_tracking_json(spark, sf_dir):
-    return _read_export(spark, _export(spark, sf_dir)).select(*RECORDS)
+    return tracking_json.read_event_files(spark, _export(spark, sf_dir)).select(*RECORDS)
 
 
 def json_schema_backfill(spark, sf_dir):
     """Records lack their NULL fields and carry an unknown one; the declared
     read schema must restore the former as NULL and drop the latter."""
     out = _export(spark, sf_dir, extra_fields={"producer_version": F.lit("v2")})
-    return _read_export(spark, out).select(*RECORDS)
+    return tracking_json.read_event_files(spark, out).select(*RECORDS)
 
 
 def json_provenance(spark, sf_dir):
-    out = _export(spark, sf_dir)
-    df = (
-        spark.read.schema(tracking_json.schemas.TRACKING_EVENT_RECORD)
-        .option("multiLine", True)
-        .option("pathGlobFilter", EXPORT_GLOB)
-        .option("recursiveFileLookup", True)
-        .json(out)
-        .select(F.regexp_extract(F.col("_metadata.file_path"), r"hour=([^/]+)", 1).alias("hour_bucket"))
-    )
-    return df.groupBy("hour_bucket").agg(F.count(F.lit(1)).alias("event_count"))
+    df = tracking_json.read_event_files(spark, _export(spark, sf_dir))
+    return df.groupBy("source_file").agg(F.count(F.lit(1)).alias("event_count"))
 
 
 def export_hourly_json_files(spark, sf_dir):
-    """One row per written file: hour, file name, bytes and events in it."""
-    out = _export(spark, sf_dir)
-    listing = tracking_json.list_event_files(spark, out, glob=EXPORT_GLOB, recursive=True)
-    counts = _read_export(spark, out).groupBy(F.col("source_file").alias("file_name")).agg(
-        F.count(F.lit(1)).alias("_n")
+    """One row per hour: what its files hold, and whether they are in time order."""
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", EXPORT_GLOB).text(_export(spark, sf_dir))
+    stamps = F.from_json("value", "array<struct<event_timestamp:string>>")["event_timestamp"]
+    parts = files.select(
+        F.substring(F.col("_metadata.file_name"), 8, 13).alias("hour_bucket"),
+        F.col("_metadata.file_name").alias("name"), stamps.alias("t"),
+    )
+    per_hour = parts.groupBy("hour_bucket").agg(
+        F.sum(F.size("t")).alias("row_count"),
+        F.sort_array(F.collect_list(F.struct(
+            "name", F.element_at("t", 1).alias("first"), F.element_at("t", -1).alias("last"),
+            (F.sort_array("t") == F.col("t")).alias("ok")))).alias("f"),
     )
-    return listing.join(counts, "file_name", "left").select(
-        F.regexp_extract("path", r"hour=([^/]+)", 1).alias("hour_bucket"),
-        "file_name",
-        F.col("length").alias("bytes"),
-        F.coalesce(F.col("_n"), F.lit(0)).alias("row_count"),
+    # Time ranges of an hour's files, in name order, must follow each other.
+    ends = F.flatten(F.transform("f", lambda f: F.array(f["first"], f["last"])))
+    return per_hour.select(
+        "hour_bucket", "row_count", F.array_min(ends).alias("first_ts"), F.array_max(ends).alias("last_ts"),
+        (F.forall("f", lambda f: f["ok"]) & (F.sort_array(ends) == ends)).alias("is_sorted"),
     )
 
 
@@ -96,7 +82,7 @@ def _warehouse_paths(spark):
 def ingest_ledger(spark, sf_dir):
     out = _export(spark, sf_dir)
     events_t, ledger_t = _warehouse_paths(spark)
-    tracking_json.ingest_new_files(spark, out, events_t, ledger_t, glob=EXPORT_GLOB, recursive=True)
+    tracking_json.ingest_new_files(spark, out, events_t, ledger_t)
     return tracking_json.current_ledger(spark, ledger_t).select("file_name", "row_count")
 
 
@@ -104,9 +90,8 @@ def full_refresh_events(spark, sf_dir):
     """Incremental load, then a full refresh: the table must hold each event once."""
     out = _export(spark, sf_dir)
     events_t, ledger_t = _warehouse_paths(spark)
-    tracking_json.ingest_new_files(spark, out, events_t, ledger_t, glob=EXPORT_GLOB, recursive=True)
-    tracking_json.ingest_new_files(spark, out, events_t, ledger_t, full_refresh=True,
-                                   glob=EXPORT_GLOB, recursive=True)
+    tracking_json.ingest_new_files(spark, out, events_t, ledger_t)
+    tracking_json.ingest_new_files(spark, out, events_t, ledger_t, full_refresh=True)
     return tracking_json.read_events_table(spark, events_t, ledger_t).select(*RECORDS)
 
 
@@ -114,7 +99,7 @@ def stream_ingest_events(spark, sf_dir):
     out = _export(spark, sf_dir)
     sink = scratch_dir(spark, "stream-events")
     stream_ingest.stream_ingest_events(
-        spark, out + EXPORT_STREAM_SUFFIX, sink + "/data", sink + "/_checkpoint", glob=EXPORT_GLOB
+        spark, out, sink + "/data", sink + "/_checkpoint", max_files_per_trigger=FILES_PER_TRIGGER
     )
     return spark.read.parquet(sink + "/data").select(*RECORDS)
 
@@ -124,8 +109,8 @@ def stream_exceptions(spark, sf_dir):
     g = ModelGraph(fixtures.load_raw(spark, sf_dir))
     sink = scratch_dir(spark, "stream-exceptions")
     stream_exc.run_exceptions_feed(
-        spark, out + EXPORT_STREAM_SUFFIX, g.get("int_shipments_enriched"), g.get("status_codes_mapping"),
-        sink + "/data", sink + "/_checkpoint", glob=EXPORT_GLOB,
+        spark, out, g.get("int_shipments_enriched"), g.get("status_codes_mapping"),
+        sink + "/data", sink + "/_checkpoint", EXPORT_GLOB, FILES_PER_TRIGGER,
     )
     return spark.read.parquet(sink + "/data")
 

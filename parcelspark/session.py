@@ -7,7 +7,6 @@ sessions we build ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -94,15 +93,16 @@ def conf_float(spark: SparkSession, key: str, default: float) -> float:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we create one of our own.
+    Only a local session without one gets a folder of our own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = spark.sparkContext.getCheckpointDir()  # the context's own folder
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="parcelspark-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -111,13 +111,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/parcelspark/{purpose}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (used only by local helpers and tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path

@@ -1,24 +1,32 @@
 """Hour-bucketed JSON export: every file is one JSON array, sorted by time.
 
-Layout: ``<out>/hour=YYYY-MM-DD_HH/_file=k/part-*.txt``.  An hour with more
-than ``parcelspark.export.rowsPerFile`` events is split into several files
-(by a hash of the event id), so no single task or file ever holds a hot hour
-whole.  Each file is built from text lines ``[rec`` / ``,rec`` / ``...]``: the
-first/last markers come from a window over (hour, file) - bounded groups.
-``to_json`` omits NULL fields, as a sparse producer would.
+Layout: a flat folder of ``events_YYYY-MM-DD_HH.json``, the form the event
+readers take by default.  An hour with more than
+``parcelspark.export.rowsPerFile`` events is cut into equal time ranges, one
+file each (``events_YYYY-MM-DD_HH_001.json`` ...), so names in order are events
+in order; only events of one second stay together whatever their number.
+
+Spark writes the files into a hidden folder and commits them; then each is
+renamed to its place (metadata only, one call a file).  Each file is built
+from text lines ``[rec`` / ``,rec`` / ``...]``: the first/last markers come
+from a window over (hour, slice) - bounded groups.  ``to_json`` omits NULL
+fields, as a sparse producer would.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelspark.functions import timeutil
 from parcelspark.operators.joins import bounded_broadcast
 from parcelspark.session import CONF_JSON_ROWS_PER_FILE, conf_int
+from parcelspark.sources.fs import delete_dir, list_dirs, list_files, move_file
 
 DEFAULT_ROWS_PER_FILE = 1_000_000
-EXPORT_GLOB = "part-*"
+EXPORT_GLOB = "events_*.json"
 RECORD_FIELDS = ["event_id", "shipment_id", "status_code", "facility_id", "event_timestamp", "courier_notes"]
 
 
@@ -29,8 +37,9 @@ def export_hourly_json(
     extra_fields: dict | None = None,
 ) -> None:
     """Write ``events`` (raw record columns, ISO text timestamps) as hourly
-    JSON-array files.  ``extra_fields`` (name -> Column) are added to every
-    record, e.g. to exercise readers that must drop unknown keys."""
+    JSON-array files, replacing files of the same hours.  ``extra_fields``
+    (name -> Column) are added to every record, e.g. to exercise readers that
+    must drop unknown keys."""
     spark = events.sparkSession
     cap = rows_per_file or conf_int(spark, CONF_JSON_ROWS_PER_FILE, DEFAULT_ROWS_PER_FILE)
     hour = timeutil.hour_bucket_from_text(F.col("event_timestamp"))
@@ -40,11 +49,12 @@ def export_hourly_json(
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("hour", F.ceil(F.col("_n") / F.lit(cap)).cast("long").alias("_files"))
     )
+    second = F.substring("event_timestamp", 15, 2).cast("int") * 60 + F.substring("event_timestamp", 18, 2).cast("int")
     split = (
         with_hour.join(bounded_broadcast(files_per_hour), "hour", "inner")
-        .withColumn("_file", F.pmod(F.xxhash64("event_id"), F.col("_files")))
+        .withColumn("_slice", F.floor(second * F.col("_files") / F.lit(3600)))
     )
-    group = Window.partitionBy("hour", "_file")
+    group = Window.partitionBy("hour", "_slice")
     ordered = group.orderBy(F.asc_nulls_last("event_timestamp"), F.asc_nulls_last("event_id"))
     fields = [F.col(c) for c in RECORD_FIELDS] + [v.alias(k) for k, v in (extra_fields or {}).items()]
     record = F.to_json(F.struct(*fields))
@@ -53,7 +63,7 @@ def export_hourly_json(
         .withColumn("_cnt", F.count(F.lit(1)).over(group))
         .select(
             "hour",
-            "_file",
+            "_slice",
             "_rn",
             F.concat(
                 F.when(F.col("_rn") == 1, F.lit("[")).otherwise(F.lit(",")),
@@ -62,11 +72,18 @@ def export_hourly_json(
             ).alias("value"),
         )
     )
+    staging = f"{out_dir.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     (
-        lines.repartition("hour", "_file")
-        .sortWithinPartitions("hour", "_file", "_rn")
-        .select("hour", "_file", "value")
-        .write.mode("overwrite")
-        .partitionBy("hour", "_file")
-        .text(out_dir)
+        lines.repartition("hour", "_slice")
+        .sortWithinPartitions("hour", "_slice", "_rn")
+        .select("hour", "_slice", "value")
+        .write.partitionBy("hour", "_slice")
+        .text(staging)
     )
+    for hour_dir in list_dirs(spark, staging):
+        for slice_dir in list_dirs(spark, f"{staging}/{hour_dir}"):
+            number = int(slice_dir.split("=", 1)[1])
+            name = f"events_{hour_dir.split('=', 1)[1]}" + (f"_{number:03d}" if number else "") + ".json"
+            (part,) = [f for f in list_files(spark, f"{staging}/{hour_dir}/{slice_dir}") if f.startswith("part-")]
+            move_file(spark, f"{staging}/{hour_dir}/{slice_dir}/{part}", f"{out_dir.rstrip('/')}/{name}")
+    delete_dir(spark, staging)

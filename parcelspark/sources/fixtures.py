@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelspark.functions import timeutil
-from parcelspark.functions.expressions import regional_delay
 from parcelspark.sources import seed
 
 # Fixed values of the adapter (see FIXTURES.md §2).
@@ -33,6 +32,8 @@ WEATHER_CONDITIONS_BY_MOD8 = [
     "Clear", "Cloudy", "Light Rain", "Heavy Rain",
     "Thunderstorm", "Light Snow", "Heavy Snow", "Fog",
 ]
+DELAY_CONDITIONS = ["Heavy Rain", "Heavy Snow", "Thunderstorm"]
+DELAY_PRECIPITATION_MM = 10
 SHIPMENT_EPOCH = "2024-01-01 00:00:00"
 SHIPMENT_SPREAD_MINUTES = 43200
 
@@ -135,9 +136,9 @@ def raw_tracking_events(spark: SparkSession, sf_dir: str, cache: dict | None = N
 def raw_weather(spark: SparkSession, sf_dir: str, cache: dict | None = None) -> DataFrame:
     """One row per (event day, nation).
 
-    The day list is a bounded calendar dimension (at most one entry per
-    calendar day of the event history), computed as one scalar array and
-    exploded next to each nation - no cross join, no driver round trip.
+    This is a product of days and nations by definition.  The day list, a
+    scalar array with at most one entry per calendar day of the history, is
+    exploded next to each nation.
     """
     days = (
         _read(spark, sf_dir, "events", cache)
@@ -155,7 +156,7 @@ def raw_weather(spark: SparkSession, sf_dir: str, cache: dict | None = None) ->
         F.col("n_name").alias("city"),
         cond.alias("weather_condition"),
         precip.alias("precipitation_mm"),
-        regional_delay(cond, precip).alias("regional_delay_flag"),
+        (cond.isin(DELAY_CONDITIONS) & (precip > F.lit(DELAY_PRECIPITATION_MM))).alias("regional_delay_flag"),
     )
 
 

@@ -31,3 +31,21 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 def delete_dir(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_path(spark, path)
     return bool(fs.delete(p, True))
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path`` (empty if absent)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()]
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename one file, replacing a file at the target."""
+    fs, p = _fs_path(spark, source)
+    _, to = _fs_path(spark, target)
+    if fs.exists(to):
+        fs.delete(to, False)
+    if not fs.rename(p, to):
+        raise OSError(f"cannot rename {source} to {target}")

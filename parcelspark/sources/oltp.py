@@ -73,7 +73,8 @@ def shipments_by_creation(shipments: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- JDBC path
 def jdbc_options(url: str, user: str | None = None, password: str | None = None,
                  driver: str | None = None, fetchsize: int = 10_000) -> dict[str, str]:
-    opts = {"url": url, "fetchsize": str(fetchsize)}
+    # A plain TIMESTAMP keeps its wall clock whatever zone the JVM is in.
+    opts = {"url": url, "fetchsize": str(fetchsize), "preferTimestampNTZ": "true"}
     if user is not None:
         opts["user"] = user
     if password is not None:
@@ -98,22 +99,37 @@ def read_facilities_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFr
     )
 
 
+def shipment_bounds_query(since: datetime | None = None) -> str:
+    where = f" WHERE created_at > TIMESTAMP '{since:%Y-%m-%d %H:%M:%S.%f}'" if since else ""
+    return "(SELECT min(created_at) AS lower_bound, max(created_at) AS upper_bound FROM shipments" + where + ") AS b"
+
+
+def split_options(lower: datetime | None, upper: datetime | None, num_partitions: int) -> dict[str, str]:
+    """Reader options for ``num_partitions`` range slices of ``created_at``
+    (bounds only steer the split; rows outside them are still read)."""
+    if num_partitions <= 1:
+        return {}
+    if lower is None or upper is None:
+        raise ValueError("a parallel JDBC scan needs the lowest and highest created_at")
+    return {
+        "partitionColumn": "created_at",
+        "lowerBound": f"{lower:%Y-%m-%d %H:%M:%S}",
+        "upperBound": f"{upper:%Y-%m-%d %H:%M:%S}",
+        "numPartitions": str(num_partitions),
+    }
+
+
 def read_shipments_jdbc(
     spark: SparkSession,
     options: dict[str, str],
     since: datetime | None = None,
-    lower: datetime | None = None,
-    upper: datetime | None = None,
     num_partitions: int = 64,
 ) -> DataFrame:
-    """Parallel JDBC scan: ``num_partitions`` range slices of ``created_at``
-    (bounds only steer the split; rows outside them are still read)."""
+    """Parallel JDBC scan.  The split's bounds are one aggregate that the
+    database computes, over the rows after ``since`` only."""
+    jdbc = spark.read.format("jdbc").options(**options)
+    lower, upper = jdbc.option("dbtable", shipment_bounds_query(since)).load().first()
+    # No new rows: nothing to split, the scan returns none.
+    split = split_options(lower, upper, num_partitions if lower is not None else 1)
     reader = spark.read.format("jdbc").options(**options).option("dbtable", shipments_query(since))
-    if lower is not None and upper is not None:
-        reader = (
-            reader.option("partitionColumn", "created_at")
-            .option("lowerBound", f"{lower:%Y-%m-%d %H:%M:%S}")
-            .option("upperBound", f"{upper:%Y-%m-%d %H:%M:%S}")
-            .option("numPartitions", str(num_partitions))
-        )
-    return project_shipments(reader.load())
+    return project_shipments(reader.options(**split).load())

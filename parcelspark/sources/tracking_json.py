@@ -124,10 +124,12 @@ def ingest_new_files(
     between leaves an invisible batch and the files are picked up again by
     the next run.  ``full_refresh`` reloads every file into a new batch and
     commits it as a new ledger generation (append only: the previous
-    generation stays readable until the new one is committed).
+    generation stays readable until the new one is committed).  A full
+    refresh without the events folder commits an empty generation.
     """
     mode = "full_refresh" if full_refresh else "incremental"
-    if not path_exists(spark, events_dir):
+    present = path_exists(spark, events_dir)
+    if not present and not full_refresh:
         return {"files_loaded": 0, "events_loaded": 0, "mode": mode}
     all_rows = read_ledger(spark, ledger_table)
     newest = all_rows.agg(F.max("generation").alias("g")).first()["g"]
@@ -137,14 +139,16 @@ def ingest_new_files(
     else:
         generation = 0 if newest is None else newest
         seen = all_rows.where(F.col("generation") == generation)
-    listing = list_event_files(spark, events_dir, glob=glob, recursive=recursive)
-    todo = new_files(listing, seen.where(F.col("file_name").isNotNull()))
-    # File paths (metadata, one short string per new file) go to the reader.
-    paths = [r["path"] for r in todo.select("path").collect()]
+    paths: list[str] = []
+    if present:
+        listing = list_event_files(spark, events_dir, glob=glob, recursive=recursive)
+        todo = new_files(listing, seen.where(F.col("file_name").isNotNull()))
+        # File paths (metadata, one short string per new file) go to the reader.
+        paths = [r["path"] for r in todo.select("path").collect()]
     if not paths:
         if full_refresh:  # commit an empty generation: a marker row
             marker = spark.createDataFrame([(None, 0, None, None, generation)], schemas.LEDGER)
-            marker.write.mode("append").parquet(ledger_table)
+            marker.withColumn("ingested_at", F.localtimestamp()).write.mode("append").parquet(ledger_table)
         return {"files_loaded": 0, "events_loaded": 0, "mode": mode}
 
     batch = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
@@ -196,27 +200,40 @@ def vacuum_batches(
     spark: SparkSession, events_table: str, ledger_table: str, grace_hours: int = 24,
     now: datetime | None = None,
 ) -> list[str]:
-    """Delete ``_batch`` partitions no current ledger row commits (left by a
-    run that died before its commit, or superseded by a full refresh) once
-    they are older than ``grace_hours`` - an ingest still in flight is never
-    touched.  Returns the removed batch ids.  Metadata-only on the driver:
-    one listing of the batch folders and the (small) current ledger."""
-    committed = {
-        r["batch_id"] for r in current_ledger(spark, ledger_table).select("batch_id").distinct().collect()
+    """Delete ``_batch`` partitions that no current ledger row commits and
+    whose grace period is over.  The period of a batch superseded by a full
+    refresh starts with the commit of the next generation, as readers of its
+    own may have begun until then; that of a batch never committed (its run
+    died) starts with the batch.  Returns the removed batch ids.
+    Metadata-only on the driver: one listing of the batch folders and one
+    ledger row per batch and generation."""
+    ledger = read_ledger(spark, ledger_table)
+    committed_at = {
+        r["generation"]: r["at"] for r in ledger.groupBy("generation").agg(F.min("ingested_at").alias("at")).collect()
     }
+    generation_of = {
+        r["batch_id"]: r["generation"]
+        for r in ledger.where(F.col("batch_id").isNotNull()).groupBy("batch_id").agg(
+            F.max("generation").alias("generation")).collect()
+    }
+    newest = max(committed_at, default=None)
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
     removed = []
     for name in list_dirs(spark, events_table):
         if not name.startswith(f"{BATCH_COL}="):
             continue
         batch = name.split("=", 1)[1]
-        if batch in committed:
-            continue
-        try:
-            started = datetime.strptime(batch.split("-", 1)[0], "%Y%m%dT%H%M%S")
-        except ValueError:
-            continue  # not a batch this library wrote
-        if (now - started).total_seconds() >= grace_hours * 3600:
+        generation = generation_of.get(batch)
+        if generation is not None:
+            if generation == newest:
+                continue
+            since = min(at for g, at in committed_at.items() if g > generation)
+        else:
+            try:
+                since = datetime.strptime(batch.split("-", 1)[0], "%Y%m%dT%H%M%S")
+            except ValueError:
+                continue  # not a batch this library wrote
+        if (now - since).total_seconds() >= grace_hours * 3600:
             delete_dir(spark, f"{events_table.rstrip('/')}/{name}")
             removed.append(batch)
-    return removed
+    return sorted(removed)

@@ -30,6 +30,10 @@ def run_exceptions_feed(
     sink_dir: str,
     checkpoint_dir: str,
     glob: str,
+    max_files_per_trigger: int | None = None,
 ) -> dict:
-    stream = exceptions_stream(event_file_stream(spark, events_path, glob), shipments_enriched, status_codes)
+    """An exception whose shipment is not known yet is not emitted, nor later:
+    the daily job rebuilds the mart from all events and repairs the feed."""
+    stream = exceptions_stream(
+        event_file_stream(spark, events_path, glob, max_files_per_trigger), shipments_enriched, status_codes)
     return run_available_now(stream, sink_dir, checkpoint_dir)

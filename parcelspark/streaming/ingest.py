@@ -1,7 +1,7 @@
 """Structured Streaming file ingest: exactly-new event files.
 
 The file source's checkpoint *is* the processed-file ledger: a file is read
-once by name (``fileNameOnly``), files changed in place are not re-read, and
+once by name (by path in nested layouts), files changed in place are not re-read, and
 ``maxFileAge`` is opened up so any unseen name is accepted however old.
 ``trigger(availableNow=True)`` processes what is there and stops - the
 hourly schedule stays outside.  The parquet file sink commits each batch
@@ -15,34 +15,55 @@ make the next incremental run skip everything).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from parcelspark import schemas
-from parcelspark.sources.tracking_json import EVENT_FILE_GLOB, RECORD_COLUMNS
+from parcelspark.sources.fs import list_files, path_exists
+from parcelspark.sources.tracking_json import EVENT_FILE_GLOB, RECORD_COLUMNS, file_key
 
 NEVER_TOO_OLD = "36500d"
 
 
 def event_file_stream(
-    spark: SparkSession, events_path: str, glob: str = EVENT_FILE_GLOB, max_files_per_trigger: int | None = None
+    spark: SparkSession, events_path: str, glob: str = EVENT_FILE_GLOB, max_files_per_trigger: int | None = None,
+    nested: bool = False,
 ) -> DataFrame:
+    """Stream of event records with the batch reader's ``source_file``.
+
+    A flat folder names each file once, so files are known by name.  In a
+    ``nested`` layout names repeat across folders; files are then known by
+    their full path, for the checkpoint as for ``source_file``.  A path that
+    spans folders by wildcards must say so.
+    """
+    if not nested and any(c in events_path for c in "*?[{"):
+        raise ValueError("names may repeat across folders: pass nested=True")
     reader = (
         spark.readStream.schema(schemas.TRACKING_EVENT_RECORD)
         .option("multiLine", True)
         .option("mode", "FAILFAST")
         .option("pathGlobFilter", glob)
-        .option("fileNameOnly", True)
+        .option("fileNameOnly", not nested)
         .option("maxFileAge", NEVER_TOO_OLD)
     )
+    if nested:
+        reader = reader.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.json(events_path).select(
-        *RECORD_COLUMNS, F.col("_metadata.file_name").alias("source_file")
-    )
+    return reader.json(events_path).select(*RECORD_COLUMNS, file_key(nested).alias("source_file"))
+
+
+def _sink_rows(spark: SparkSession, sink_dir: str) -> int:
+    """Rows the sink's log has committed (from the files' footers)."""
+    return spark.read.parquet(sink_dir).count() if path_exists(spark, f"{sink_dir}/_spark_metadata") else 0
 
 
 def run_available_now(df: DataFrame, sink_dir: str, checkpoint_dir: str, name: str | None = None) -> dict:
-    """Drain everything available into a parquet sink; returns progress stats."""
+    """Drain everything available into a parquet sink.
+
+    The counts are of what the sink has committed and of the batches of this
+    run, however many there were (progress reports keep only the latest).
+    """
+    spark = df.sparkSession
+    before = _sink_rows(spark, sink_dir)
     writer = (
         df.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_dir)
@@ -51,15 +72,21 @@ def run_available_now(df: DataFrame, sink_dir: str, checkpoint_dir: str, name: s
     )
     if name:
         writer = writer.queryName(name)
+    done = len(list_files(spark, f"{checkpoint_dir}/commits"))
     q = writer.start(sink_dir)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    rows = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
-    return {"events_loaded": rows, "batches": len(q.recentProgress)}
+    return {
+        "rows_written": _sink_rows(spark, sink_dir) - before,
+        "batches": max(0, len(list_files(spark, f"{checkpoint_dir}/commits")) - done),
+    }
 
 
 def stream_ingest_events(
-    spark: SparkSession, events_path: str, sink_dir: str, checkpoint_dir: str, glob: str = EVENT_FILE_GLOB
+    spark: SparkSession, events_path: str, sink_dir: str, checkpoint_dir: str, glob: str = EVENT_FILE_GLOB,
+    max_files_per_trigger: int | None = None, nested: bool = False,
 ) -> dict:
-    return run_available_now(event_file_stream(spark, events_path, glob), sink_dir, checkpoint_dir)
+    stats = run_available_now(
+        event_file_stream(spark, events_path, glob, max_files_per_trigger, nested), sink_dir, checkpoint_dir)
+    return {"events_loaded": stats["rows_written"], "batches": stats["batches"]}

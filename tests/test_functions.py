@@ -55,15 +55,3 @@ def test_weight_brackets_follow_thresholds(spark):
         w = r["w"]
         exp = ("Heavy (>15kg)" if w is None or w >= 15 else "Medium (5-15kg)" if w >= 5 else "Light (<5kg)")
         assert r["b"] == exp
-
-
-def test_delay_rule_and_scan_location(spark):
-    rows = [("Heavy Rain", 10.0), ("Heavy Rain", 10.5), ("Thunderstorm", 40.0), ("Fog", 99.0), (None, 50.0)]
-    got = [r[0] for r in spark.createDataFrame(rows, "c string, p double").select(
-        X.regional_delay(F.col("c"), F.col("p"))).collect()]
-    assert got == [False, True, True, False, None]
-    codes = [10, 20, 30, 35, 40, 50, 60, 70, 80]
-    loc = spark.createDataFrame([(c,) for c in codes], "s int").select(
-        "s", X.expected_scan_facility(F.col("s"), F.lit(1), F.lit(2)).alias("f")).collect()
-    assert {r["s"]: r["f"] for r in loc} == {10: 1, 20: 1, 30: None, 35: None, 40: 2, 50: 2, 60: 2,
-                                            70: None, 80: None}

@@ -95,6 +95,18 @@ def test_absent_events_dir_is_a_noop(spark, tmpdir_path):
     assert s["files_loaded"] == 0 and s["events_loaded"] == 0
 
 
+def test_full_refresh_without_events_dir_empties_the_table(spark, feed):
+    root, d = feed
+    ev_t, led_t = f"{root}/wh9/events", f"{root}/wh9/ledger"
+    tracking_json.ingest_new_files(spark, d, ev_t, led_t)
+    tracking_json.ingest_new_files(spark, f"{root}/gone", ev_t, led_t)
+    assert tracking_json.read_events_table(spark, ev_t, led_t).count() == 3
+    s = tracking_json.ingest_new_files(spark, f"{root}/gone", ev_t, led_t, full_refresh=True)
+    assert s == {"files_loaded": 0, "events_loaded": 0, "mode": "full_refresh"}
+    assert tracking_json.read_events_table(spark, ev_t, led_t).count() == 0
+    assert tracking_json.ingest_new_files(spark, d, ev_t, led_t)["events_loaded"] == 3
+
+
 def test_stream_ingest_reads_each_file_once(spark, feed):
     root, d = feed
     sink, ck = f"{root}/stream/data", f"{root}/stream/ck"
@@ -119,20 +131,47 @@ def test_malformed_file_fails(spark, tmpdir_path):
 
 def test_export_writes_sorted_json_arrays_and_splits_hot_hours(spark, tmpdir_path):
     ev = fixtures.raw_tracking_events(spark, SF_SMALL)
-    out = f"{tmpdir_path}/export"
-    export_hourly_json(ev, out, rows_per_file=2)
-    files = glob.glob(f"{out}/hour=*/_file=*/part-*")
-    total = 0
-    for p in files:
-        with open(p) as f:
-            arr = json.load(f)  # every file is one valid JSON array
-        stamps = [(r["event_timestamp"], r["event_id"]) for r in arr]
-        assert stamps == sorted(stamps)
-        hour = p.split("hour=")[1].split("/")[0]
-        assert all(r["event_timestamp"][:10] + "_" + r["event_timestamp"][11:13] == hour for r in arr)
-        total += len(arr)
-    assert total == ev.count()
-    assert len(files) > ev.select(F.substring("event_timestamp", 1, 13)).distinct().count()
+    hours = ev.select(F.substring("event_timestamp", 1, 13)).distinct().count()
+    for rows_per_file in (None, 1):
+        out = f"{tmpdir_path}/export-{rows_per_file}"
+        export_hourly_json(ev, out, rows_per_file=rows_per_file)
+        files = sorted(glob.glob(f"{out}/events_*.json"))
+        assert sorted(glob.glob(f"{out}/*")) == files  # flat, nothing left behind
+        stamps = []
+        for p in files:
+            with open(p) as f:
+                arr = json.load(f)  # every file is one valid JSON array
+            stamps += [(r["event_timestamp"], r["event_id"]) for r in arr]
+            hour = os.path.basename(p)[7:20]
+            assert all(r["event_timestamp"][:10] + "_" + r["event_timestamp"][11:13] == hour for r in arr)
+        assert [t for t, _ in stamps] == sorted(t for t, _ in stamps)  # file order is event order
+        assert len(stamps) == ev.count()
+        assert len(files) == hours if rows_per_file is None else len(files) > hours
+
+
+def test_streams_lose_no_file_over_many_micro_batches(spark, tmpdir_path):
+    from parcelspark.streaming.ingest import event_file_stream
+
+    ev = fixtures.raw_tracking_events(spark, SF_SMALL).limit(60)
+    ev.write.parquet(f"{tmpdir_path}/ev")
+    ev = spark.read.parquet(f"{tmpdir_path}/ev")
+    flat = f"{tmpdir_path}/flat"
+    export_hourly_json(ev, flat)
+    n = len(glob.glob(f"{flat}/events_*.json"))
+    got = stream_ingest_events(spark, flat, f"{tmpdir_path}/s/data", f"{tmpdir_path}/s/ck", max_files_per_trigger=3)
+    assert got == {"events_loaded": 60, "batches": -(-n // 3)}
+    batch = tracking_json.read_event_files(spark, flat)
+    assert spark.read.parquet(f"{tmpdir_path}/s/data").exceptAll(batch).count() == 0
+    # a nested layout repeats file names: known by path
+    for k in range(4):
+        os.makedirs(f"{tmpdir_path}/nested/d{k}")
+        _write(f"{tmpdir_path}/nested/d{k}/events_x.json", [dict(REC, event_id=f"n{k}")])
+    with pytest.raises(ValueError):
+        event_file_stream(spark, f"{tmpdir_path}/nested/d*")
+    got = stream_ingest_events(spark, f"{tmpdir_path}/nested", f"{tmpdir_path}/n/data", f"{tmpdir_path}/n/ck",
+                               max_files_per_trigger=1, nested=True)
+    assert got == {"events_loaded": 4, "batches": 4}
+    assert spark.read.parquet(f"{tmpdir_path}/n/data").select("source_file").distinct().count() == 4
 
 
 def test_weather_csv_round_trip_and_missing_object(spark, tmpdir_path):
@@ -181,18 +220,21 @@ def test_vacuum_removes_only_old_uncommitted_batches(spark, feed):
 
     root, d = feed
     ev_t, led_t = f"{root}/wh3/events", f"{root}/wh3/ledger"
-    tracking_json.ingest_new_files(spark, d, ev_t, led_t)
-    tracking_json.ingest_new_files(spark, d, ev_t, led_t, full_refresh=True)  # supersedes batch 1
-    stale = tracking_json.read_event_files(spark, d).withColumn(
-        tracking_json.BATCH_COL, F.lit("20000101T000000-deadbeef"))
-    stale.write.mode("append").partitionBy(tracking_json.BATCH_COL).parquet(ev_t)
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    old = (now - timedelta(hours=30)).strftime("%Y%m%dT%H%M%S") + "-aaaaaaaa"
+    rows = tracking_json.read_event_files(spark, d)
+    for batch in (old, "20000101T000000-deadbeef"):  # the second never committed
+        rows.withColumn(tracking_json.BATCH_COL, F.lit(batch)).write.mode("append").partitionBy(
+            tracking_json.BATCH_COL).parquet(ev_t)
+    files = tracking_json.list_event_files(spark, d).select("file_name")
+    tracking_json.ledger_rows(files, rows).select(
+        "*", F.lit(old).alias("batch_id"), F.lit(0).cast("long").alias("generation")).write.parquet(led_t)
+    tracking_json.ingest_new_files(spark, d, ev_t, led_t, full_refresh=True)  # supersedes it just now
     before = tracking_json.read_events_table(spark, ev_t, led_t).count()
-    removed = tracking_json.vacuum_batches(spark, ev_t, led_t, grace_hours=0,
-                                           now=datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(seconds=5))
-    assert "20000101T000000-deadbeef" in removed and len(removed) == 2
+    # started 30 h ago, but readers of the old generation have had no grace yet
+    assert tracking_json.vacuum_batches(spark, ev_t, led_t, grace_hours=24) == ["20000101T000000-deadbeef"]
+    assert tracking_json.vacuum_batches(spark, ev_t, led_t, grace_hours=24, now=now + timedelta(hours=25)) == [old]
     assert tracking_json.read_events_table(spark, ev_t, led_t).count() == before == 3
-    # within the grace period nothing is touched
-    assert tracking_json.vacuum_batches(spark, ev_t, led_t, grace_hours=24) == []
 
 
 def test_exceptions_stream_emits_only_new_events(spark, tmpdir_path):
@@ -216,4 +258,4 @@ def test_exceptions_stream_emits_only_new_events(spark, tmpdir_path):
     run_exceptions_feed(spark, d, enriched, codes, sink, ck, glob="events_*.json")
     rows = {r["event_id"]: r for r in spark.read.parquet(sink).collect()}
     assert sorted(rows) == ["b", "c"]  # the orphan event is dropped by the inner join
-    assert rows["c"]["exception_type"] == "Damaged" and first["events_loaded"] == 2
+    assert rows["c"]["exception_type"] == "Damaged" and first == {"rows_written": 1, "batches": 1}

@@ -188,7 +188,7 @@ def test_incremental_hourly_gate_matches_full_suite(spark, tmpdir_path):
     os.makedirs(f"{cfg.events_dir}/c")
     rec = {"event_id": "0", "shipment_id": "0", "status_code": 10, "facility_id": 1,
            "event_timestamp": "2024-01-30T10:00:00Z"}
-    with open(f"{cfg.events_dir}/c/part-planted.json", "w") as f:
+    with open(f"{cfg.events_dir}/c/events_planted.json", "w") as f:
         _json.dump([rec, dict(rec, event_id="x1", status_code=99), dict(rec, event_id="x2", shipment_id=None)], f)
     with pytest.raises(Q.QualityGateError) as inc:
         jobs.refresh_hourly(spark, cfg)

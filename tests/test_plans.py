@@ -26,6 +26,32 @@ def test_broadcast_bound_is_checked(spark):
     assert fits_broadcast(fac, n) and not fits_broadcast(fac, n - 1)
 
 
+def test_broadcast_check_moves_no_rows_and_bounds_bytes(spark, monkeypatch):
+    from parcelspark.operators import joins
+
+    df = spark.range(1000).selectExpr("id", "repeat('x', 100) as t")
+    assert joins.measured_size(df) == (1000, 1000 * 116)
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 100_000)
+    assert not joins.fits_broadcast(df)
+    assert joins.measured_size(df.limit(0)) == (0, 0)
+
+
+def test_jdbc_split_options():
+    from datetime import datetime
+
+    from parcelspark.sources import oltp
+
+    lo, hi = datetime(2024, 1, 1), datetime(2024, 2, 1, 3)
+    assert oltp.split_options(lo, hi, 8) == {
+        "partitionColumn": "created_at", "lowerBound": "2024-01-01 00:00:00",
+        "upperBound": "2024-02-01 03:00:00", "numPartitions": "8"}
+    assert oltp.split_options(None, None, 1) == {}
+    with pytest.raises(ValueError):
+        oltp.split_options(None, hi, 8)
+    assert oltp.jdbc_options("jdbc:x")["preferTimestampNTZ"] == "true"
+    assert "created_at > TIMESTAMP '2024-01-01" in oltp.shipment_bounds_query(lo)
+
+
 def test_shuffle_join_fallback_gives_same_result(spark, duck):
     key = "mart_route_performance"
     expected = sorted(map(tuple, Q.sql_queries()[key](spark, SF_SMALL).collect()), key=str)
