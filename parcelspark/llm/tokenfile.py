@@ -181,7 +181,7 @@ class LibraryEncoder:
     through the library once per worker while it is remembered.
     """
 
-    LIMIT = 150_000
+    LIMIT = 300_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
@@ -190,12 +190,17 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        vocab = self.tokenizer.get_vocab()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.split = load(path).split
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     @staticmethod
     def _parts(chunk: str) -> tuple[str, ...]:
+        """Letters, and a mark or digit after them, are words to the tokenizer; other chunks stay whole."""
         if chunk.isascii():
             low = chunk.lower()
             if low.isalpha():
@@ -204,6 +209,21 @@ class LibraryEncoder:
                 return low[:-1], low[-1]
         return (chunk,)
 
+    def _learn(self, unknown: list[str]) -> None:
+        single = [w for w in unknown if w.isascii() and (w.isalpha() or len(w) == 1)]
+        if single:  # one text for all: each word's ids end with a word-end label
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(single)], add_special_tokens=False)[0].ids, "<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(stops) != len(single):
+                raise ValueError("the tokenizer split a word")
+            raw, at = ids.tobytes(), 0
+            for w, stop in zip(single, stops):
+                self.words[w] = raw[4 * at : 4 * stop]
+                at = stop
+        rest = [w for w in unknown if not (w.isascii() and (w.isalpha() or len(w) == 1))]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.words[w] = np.array(e.ids, "<u4").tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > self.LIMIT:
             self.chunks = {}
@@ -211,13 +231,11 @@ class LibraryEncoder:
             self.words = {}
         chunks, words = self.chunks, self.words
         split = [self.split(t) for t in texts]
-        new = {c: self._parts(c) for c in {c for s in split for c in s} if c not in chunks}
-        unknown = [w for w in {w for parts in new.values() for w in parts} if w not in words]
-        for w, e in zip(unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)):
-            words[w] = np.array(e.ids, "<u4").tobytes()
+        new = {c: self._parts(c) for c in set().union(*split).difference(chunks)}
+        self._learn([w for w in {w for parts in new.values() for w in parts} if w not in words])
         for c, parts in new.items():
-            chunks[c] = b"".join([words[w] for w in parts])
-        return [b"".join([chunks[c] for c in s]) for s in split]
+            chunks[c] = words[parts[0]] if len(parts) == 1 else words[parts[0]] + words[parts[1]]
+        return [b"".join(map(chunks.__getitem__, s)) for s in split]
 
 
 @functools.lru_cache(maxsize=2)
@@ -235,8 +253,8 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID) -> No
         def documents():
             encoder = library(tokenizer)
             for batch in batches:
-                for i in range(0, batch.num_rows, 64):
-                    some = batch.slice(i, 64)
+                for i in range(0, batch.num_rows, 256):
+                    some = batch.slice(i, 256)
                     texts = [t or "" for t in some.column(1).to_pylist()]
                     for doc_id, packed in zip(some.column(0).to_pylist(), encoder.encode(texts)):
                         yield doc_id, packed + end
