@@ -48,7 +48,7 @@ def json_provenance(spark, sf_dir):
 
 def export_hourly_json_files(spark, sf_dir):
     """One row per hour: what its files hold, and whether they are in time order."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", EXPORT_GLOB).text(_export(spark, sf_dir))
+    files = spark.read.option("pathGlobFilter", EXPORT_GLOB).text(_export(spark, sf_dir), wholetext=True)
     stamps = F.from_json("value", "array<struct<event_timestamp:string>>")["event_timestamp"]
     parts = files.select(
         F.substring(F.col("_metadata.file_name"), 8, 13).alias("hour_bucket"),
