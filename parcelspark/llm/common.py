@@ -122,21 +122,17 @@ def connected_components(edges: DataFrame, purpose: str, max_rounds: int = 60) -
     both = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
     both = both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     both = materialize(both, f"{purpose}-edges")
-    label = both.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("lab")).withColumnRenamed("src", "node")
+    label = both.groupBy(F.col("src").alias("node")).agg(F.least(F.first("src"), F.min("dst")).alias("lab"))
     label = materialize(label, f"{purpose}-labels")
     for _ in range(max_rounds):
-        near = (
-            both.join(label, both.dst == label.node)
-            .groupBy("src").agg(F.min("lab").alias("near"))
-        )
-        step = label.join(near, label.node == near.src, "left").select(
-            label.node, F.col("lab").alias("was"), F.least("lab", "near").alias("lab")
-        )
-        # Jump: the label's own label is reachable too.
-        up = label.select(F.col("node").alias("up_node"), F.col("lab").alias("up_lab"))
-        step = step.join(up, step.lab == up.up_node, "left").select(
-            "node", "was", F.least("lab", "up_lab").alias("lab")
-        )
+        # The smallest label around, the own one included ...
+        none = F.lit(None).cast(label.schema["lab"].dataType)
+        heard = both.join(label, both["dst"] == label["node"]).select(F.col("src").alias("node"), "lab", none.alias("was"))
+        own = label.select("node", "lab", F.col("lab").alias("was"))
+        step = heard.unionByName(own).groupBy("node").agg(F.min("lab").alias("near"), F.min("was").alias("was"))
+        # ... and that one's own label: paths halve each round.
+        up = label.select(F.col("node").alias("up"), F.col("lab").alias("up_lab"))
+        step = step.join(up, step["near"] == up["up"], "left").select("node", "was", F.least("near", "up_lab").alias("lab"))
         step = materialize(step, f"{purpose}-round")
         label = step.select("node", "lab")
         if step.filter("lab < was").isEmpty():

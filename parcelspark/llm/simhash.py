@@ -199,10 +199,10 @@ def components(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, component_id) of every class (fp, id): the components of ``links``, without listing them.
 
     First each class is compared with ``PIVOTS`` pivots of its own values: a
-    linear number of pairs that already joins crowded groups.  Then classes
-    probe for links between different components only.  In a value's crowd,
-    members of its largest component meet just the members of others, so a
-    group that is one component costs no pairs.
+    linear number of pairs, and labelled with the smallest one near it.  Then
+    classes probe for links between different labels only.  In a value's
+    crowd, members of its largest label meet just the members of others, so a
+    group around one pivot costs no pairs.
     """
     parts = partitions(classes, max_bits)
     own = _values(classes, parts, False)
@@ -215,15 +215,18 @@ def components(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     stars = own.join(pivots, met).select("id", F.explode(close).alias("p")).select(
         F.col("id").alias("a"), F.col("p.id").alias("b"))
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    joined = connected_components(stars, "simhash-stars").withColumnRenamed("node", "id")
-    grouped = materialize(
-        classes.join(joined, "id", "left").select("fp", F.coalesce("component", "id").alias("comp")), "simhash-grouped")
-
-    own, probes = _values(grouped, parts, False), _values(grouped, parts, True)
+    stars = materialize(stars, "simhash-stars")
+    # A class and the smallest pivot near it are linked, so classes of one such label are one component.
+    first = stars.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("near"))
+    grouped = materialize(classes.join(first, "id", "left").select(
+        "fp", "id", F.coalesce("near", "id").alias("comp")), "simhash-grouped")
+
+    labelled = grouped.select("fp", "comp")
+    own, probes = _values(labelled, parts, False), _values(labelled, parts, True)
     sizes = own.groupBy("part", "value", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = materialize(sizes.groupBy("part", "value").agg(
         F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")), "simhash-main")
-    # side 0: probes from outside the main component meet everyone; side 1: those from inside meet outsiders.
+    # side 0: probes from outside the main label meet everyone; side 1: those from inside meet outsiders.
     own = own.join(main, ["part", "value"]).withColumn("side", F.explode(
         F.when(F.col("comp") == F.col("main"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
     probes = probes.join(main, ["part", "value"]).where((F.col("comps") > 1) | (F.col("comp") != F.col("main"))).withColumn(
@@ -232,8 +235,8 @@ def components(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     met = (F.col("a.part") == F.col("b.part")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.side") == F.col("b.side"))
     cross = a.join(b.hint("merge"), met & (F.col("a.comp") != F.col("b.comp")) & _near("a.fp", "b.fp", max_bits)).select(
         F.least("a.comp", "b.comp").alias("a"), F.greatest("a.comp", "b.comp").alias("b")).distinct()
-    merged = connected_components(cross, "simhash-cross").select(F.col("node").alias("comp"), "component")
-    return grouped.join(merged, "comp", "left").select("fp", F.coalesce("component", "comp").alias("component_id"))
+    merged = connected_components(stars.unionByName(cross), "simhash-cross").select(F.col("node").alias("id"), "component")
+    return grouped.join(merged, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
