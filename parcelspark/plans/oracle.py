@@ -10,6 +10,8 @@ DECIMAL(38,2), means and percentages are DOUBLE, integer sums BIGINT.
 
 from __future__ import annotations
 
+import re
+
 ADAPTER = """
 n_sup AS (SELECT count(*) AS n FROM supplier),
 raw_facilities AS (
@@ -320,6 +322,26 @@ FINAL["dq_summary"] = """
            (SELECT count(*) FROM (""" + FINAL["dq_rel_event_status"] + """))"""
 
 
+# The same assertions over staging rows with planted violations.
+_PLANTED = """WITH planted_facilities AS (
+    SELECT * REPLACE (CASE WHEN facility_id % 7 = 0 THEN 'Depot' ELSE facility_type END AS facility_type)
+    FROM (SELECT * FROM stg_facilities UNION ALL SELECT * FROM stg_facilities WHERE facility_id % 11 = 0)),
+planted_shipments AS (
+    SELECT * REPLACE (CASE WHEN CAST(shipment_id AS BIGINT) % 17 = 0 THEN 999999999
+                           ELSE destination_facility_id END AS destination_facility_id)
+    FROM (SELECT * FROM stg_shipments UNION ALL
+          SELECT * FROM stg_shipments WHERE CAST(shipment_id AS BIGINT) % 13 = 0)),
+planted_tracking_events AS (
+    SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 19 = 0 THEN 'missing-' || event_id ELSE shipment_id END AS shipment_id,
+                      CAST(CASE WHEN CAST(event_id AS BIGINT) % 23 = 0 THEN 99 ELSE status_code END AS INTEGER) AS status_code)
+    FROM (SELECT * FROM stg_tracking_events UNION ALL
+          SELECT * FROM stg_tracking_events WHERE CAST(event_id AS BIGINT) % 29 = 0))
+"""
+for _key in ("dq_unique", "dq_accepted_values", "dq_rel_destination", "dq_rel_event_shipment", "dq_rel_event_status"):
+    _body = re.sub(r"(?<!')\bstg_(facilities|shipments|tracking_events)\b(?!')", r"planted_\1", FINAL[_key])
+    FINAL[f"{_key}_planted"] = f"SELECT * FROM ({_PLANTED}{_body})"
+
+
 # Round trips whose result must reproduce a relation exactly.
 _RAW_RECORDS = """SELECT event_id, shipment_id, status_code, facility_id, event_timestamp, courier_notes
     FROM raw_tracking_events"""

@@ -123,6 +123,36 @@ def _dq(fn_name: str) -> QueryFn:
     return run
 
 
+# Violations planted by id, so that every assertion has rows to return.
+UNKNOWN_TYPE, UNKNOWN_FACILITY, UNKNOWN_STATUS = "Depot", 999_999_999, 99
+
+
+def planted(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The staging frames with duplicate ids, an unknown type and status, dangling destinations and shipments."""
+    g = graph(spark, sf_dir)
+    fac, ship, ev = g.get("stg_facilities"), g.get("stg_shipments"), g.get("stg_tracking_events")
+    fac = fac.unionByName(fac.where("facility_id % 11 = 0")).withColumn(
+        "facility_type", F.when(F.col("facility_id") % 7 == 0, F.lit(UNKNOWN_TYPE)).otherwise(F.col("facility_type")))
+    sid, eid = F.col("shipment_id").cast("long"), F.col("event_id").cast("long")
+    ship = ship.unionByName(ship.where(sid % 13 == 0)).withColumn(
+        "destination_facility_id",
+        F.when(sid % 17 == 0, F.lit(UNKNOWN_FACILITY).cast("long")).otherwise(F.col("destination_facility_id")))
+    ev = ev.unionByName(ev.where(eid % 29 == 0)).withColumns({
+        "shipment_id": F.when(eid % 19 == 0, F.concat(F.lit("missing-"), F.col("event_id"))).otherwise(F.col("shipment_id")),
+        "status_code": F.when(eid % 23 == 0, F.lit(UNKNOWN_STATUS)).otherwise(F.col("status_code")),
+    })
+    return fac, ship, ev
+
+
+PLANTED_DQ: dict[str, QueryFn] = {
+    "dq_unique_planted": lambda s, d: Q.dq_unique(*planted(s, d)),
+    "dq_accepted_values_planted": lambda s, d: Q.dq_accepted_values(planted(s, d)[0]),
+    "dq_rel_destination_planted": lambda s, d: Q.dq_rel_destination(planted(s, d)[1], planted(s, d)[0]),
+    "dq_rel_event_shipment_planted": lambda s, d: Q.dq_rel_event_shipment(planted(s, d)[2], planted(s, d)[1]),
+    "dq_rel_event_status_planted": lambda s, d: Q.dq_rel_event_status(
+        planted(s, d)[2], graph(s, d).get("status_codes_mapping")),
+}
+
 DQ_KEYS = [
     "dq_unique", "dq_not_null", "dq_accepted_values", "dq_rel_origin", "dq_rel_destination",
     "dq_rel_event_shipment", "dq_rel_event_status", "dq_summary",
@@ -151,6 +181,7 @@ def sql_queries() -> dict[str, QueryFn]:
         "int_tracking_with_lag_hot": int_tracking_with_lag_hot,
     })
     q.update({k: _dq(k) for k in DQ_KEYS})
+    q.update(PLANTED_DQ)
     return q
 
 
