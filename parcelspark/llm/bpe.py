@@ -46,6 +46,16 @@ _WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_WS}\p{{L}}\p
 _NEVER = 1 << 60
 
 
+_BLANK = regex.compile(f"[{_WS}]+")
+
+
+def split(text: str) -> list[str]:
+    """Blank-separated chunks; no token crosses a blank."""
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # blanks to str.split, not to the tokenizer
+        return [c for c in _BLANK.split(text) if c]
+    return text.split()
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -95,7 +105,7 @@ class Automaton:
         key = state * self.width + token
         known = self.table.get(key)
         if known is None:
-            if len(self.table) > 1_000_000:
+            if len(self.table) > 200_000:
                 self.table.clear()
             known = self.table[key] = self._arc(state, token)
         return known
@@ -177,7 +187,6 @@ class WordBpe:
         self.special = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.added = added
         self.pattern = regex.compile(_WORD_PATTERN)
-        self.blank = regex.compile(f"[{_WS}]+")
         self.words = WordCache(self._word, 60_000)
         self.chunks = WordCache(self._chunk, 150_000)
 
@@ -216,18 +225,12 @@ class WordBpe:
             at = m.end()
         return b"".join([*out, self._plain(chunk[at:])])
 
-    def split(self, text: str) -> list[str]:
-        """Blank-separated chunks; no token crosses a blank."""
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # blanks to str.split, not to the tokenizer
-            return [c for c in self.blank.split(text) if c]
-        return text.split()
-
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
         chunks = self.chunks
-        return b"".join([chunks[c] for c in self.split(text)])
+        return b"".join([chunks[c] for c in split(text)])
 
     def decode(self, ids: bytes) -> str:
         """The arc labels of ``ids``, space-joined (the files name no decoder)."""
@@ -240,13 +243,19 @@ def load(path: str) -> WordBpe:
 
 
 
+def _by_slices(texts: pa.Array, make, rows: int = 500) -> pa.Array:
+    """``make`` over slices of a batch, so that few texts are Python objects at a time."""
+    parts = [make(texts.slice(i, rows).to_pylist()) for i in range(0, max(1, len(texts)), rows)]
+    return pa.concat_arrays(parts)
+
+
 def encode(text: Column, path: str) -> Column:
     """Ids of ``text`` as packed little-endian uint32 (binary), encoded in the workers."""
 
     @F.arrow_udf("binary")
     def bpe_encode(texts: pa.Array) -> pa.Array:
         bpe = load(path)
-        return pa.array([bpe.encode(t) for t in texts.to_pylist()], pa.binary())
+        return _by_slices(texts, lambda part: pa.array([bpe.encode(t) for t in part], pa.binary()))
 
     return bpe_encode(text)
 
@@ -257,7 +266,7 @@ def decode(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def bpe_decode(rows: pa.Array) -> pa.Array:
         bpe = load(path)
-        return pa.array([bpe.decode(r or b"") for r in rows.to_pylist()], pa.string())
+        return _by_slices(rows, lambda part: pa.array([bpe.decode(r or b"") for r in part], pa.string()))
 
     return bpe_decode(ids)
 
@@ -272,9 +281,13 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", key: str =
     @F.arrow_udf("ids binary, decoded string")
     def bpe_round_trip(texts: pa.Array) -> pa.Array:
         bpe = load(path)
-        ids = [bpe.encode(t) for t in texts.to_pylist()]
-        decoded = pa.array([bpe.decode(i) for i in ids], pa.string())
-        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), decoded], ["ids", "decoded"])
+
+        def both(part: list) -> pa.Array:
+            ids = [bpe.encode(t) for t in part]
+            decoded = pa.array([bpe.decode(i) for i in ids], pa.string())
+            return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), decoded], ["ids", "decoded"])
+
+        return _by_slices(texts, both)
 
     out = docs.select(F.col(key), bpe_round_trip(F.col(text)).alias("r"))
     return out.select(

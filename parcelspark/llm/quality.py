@@ -103,7 +103,8 @@ def measure(text: str | None) -> tuple:
 
 @F.arrow_udf(_SCHEMA)
 def _measured(texts: pa.Array) -> pa.Array:
-    rows = [measure(t) for t in texts.to_pylist()]
+    slices = (texts.slice(i, 500).to_pylist() for i in range(0, len(texts), 500))
+    rows = [measure(t) for part in slices for t in part]
     return pa.array([dict(zip((*BASE, "features"), r)) for r in rows], _ARROW)
 
 

@@ -72,7 +72,8 @@ def fingerprint(text: Column, shingle_words: int = SHINGLE_WORDS) -> Column:
 
     @F.arrow_udf("long")
     def simhash_fingerprint(texts: pa.Array) -> pa.Array:
-        fps = np.array([fingerprint_of(t, shingle_words) for t in texts.to_pylist()], np.uint64)
+        slices = (texts.slice(i, 500).to_pylist() for i in range(0, len(texts), 500))
+        fps = np.array([fingerprint_of(t, shingle_words) for part in slices for t in part], np.uint64)
         return pa.array(fps.view(np.int64))
 
     return simhash_fingerprint(text)

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelspark.llm.bpe import load
+from parcelspark.llm.bpe import split as split_chunks
 from parcelspark.llm.common import broadcast_if_small, materialize, ship_code
 
 BLOCK_VALUES = 1 << 15
@@ -194,7 +194,6 @@ class LibraryEncoder:
         suffix = self.tokenizer.model.end_of_word_suffix
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
-        self.split = load(path).split
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -230,7 +229,7 @@ class LibraryEncoder:
         if len(self.words) > self.LIMIT:
             self.words = {}
         chunks, words = self.chunks, self.words
-        split = [self.split(t) for t in texts]
+        split = [split_chunks(t) for t in texts]
         new = {c: self._parts(c) for c in set().union(*split).difference(chunks)}
         self._learn([w for w in {w for parts in new.values() for w in parts} if w not in words])
         for c, parts in new.items():
