@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parcelspark.plans import jobs
 from parcelspark.plans.graph import DAILY, HOURLY, REPORT_NAMES, MODELS
+from parcelspark.sinks import tables
 from parcelspark.sources import oltp
 
 
@@ -95,7 +96,7 @@ def _reports(spark: SparkSession, wh: jobs.Warehouse) -> dict:
     out = {}
     for name in REPORT_NAMES:
         (dep,) = MODELS[name].deps
-        df: DataFrame = MODELS[name].build(spark.read.parquet(wh.model(dep)))
+        df: DataFrame = MODELS[name].build(tables.read(spark, wh.model(dep)))
         # read-outs are bounded (top-k or one row per day / bracket / type)
         out[name] = [r.asDict() for r in df.collect()]
     return out

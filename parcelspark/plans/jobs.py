@@ -5,8 +5,8 @@ hourly: facilities (full) + shipments (incremental by high-water mark)
 daily:  facilities + shipments (full) -> event full refresh -> weather
         -> all staging checks -> daily-tagged marts
 
-Each step is a Spark job; counts come from ``Observation`` during the write
-(no second pass).  The staging checks run before any mart is written and
+Each step is a Spark job; tables are replaced and appended by atomic commits
+(``sinks/tables.py``); counts are observed during the write (no second pass).  The staging checks run before any mart is written and
 raise ``QualityGateError`` on a violation.  Models shared by several marts
 (the lag model, the shipment lifecycle) are written once and re-read,
 which also cuts their lineage; every written mart is re-read by the marts
@@ -19,15 +19,16 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelspark import schemas
 from parcelspark.functions.timeutil import ntz_literal
-from parcelspark.operators.staging import stg_tracking_events
-
 from parcelspark.operators import quality as Q
+from parcelspark.operators.staging import stg_tracking_events
 from parcelspark.plans.graph import DAILY, HOURLY, MODELS, ModelGraph, select_by_tag, topo_order
+from parcelspark.sinks import tables
 from parcelspark.sources import oltp, seed, tracking_json, weather_csv
 from parcelspark.sources.fixtures import RawTables
 from parcelspark.sources.fs import path_exists
@@ -59,28 +60,18 @@ class JobConfig:
     stats: dict = field(default_factory=dict)
 
 
-def _write_counted(df: DataFrame, path: str, mode: str, name: str) -> int:
-    obs = Observation(name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
-    return int(obs.get["rows"])
-
-
 # ------------------------------------------------------------------ extract
 def extract_oltp(spark: SparkSession, cfg: JobConfig, incremental: bool) -> dict:
-    wh = cfg.warehouse
-    n_fac = _write_counted(
-        oltp.project_facilities(cfg.read_facilities(spark)), wh.raw("facilities"), "overwrite", "facilities"
-    )
-    since = oltp.high_water_mark(spark, wh.raw("shipments")) if incremental else None
-    shipments = oltp.project_shipments(cfg.read_shipments(spark, since), since)
-    appending = incremental and since is not None
-    n_ship = _write_counted(shipments, wh.raw("shipments"), "append" if appending else "overwrite", "shipments")
-    return {
-        "facilities_loaded": n_fac,
-        "shipments_loaded": n_ship,
-        "mode": "incremental" if appending else "full",
-        "since": str(since) if since else None,
-    }
+    """Facilities are replaced; shipments after the high-water mark are
+    appended, or replaced too when there is no mark yet."""
+    facilities, shipments = cfg.warehouse.raw("facilities"), cfg.warehouse.raw("shipments")
+    mark = oltp.high_water_mark(spark, shipments) if incremental else None
+    loaded = {"facilities_loaded": tables.replace(oltp.project_facilities(cfg.read_facilities(spark)), facilities)}
+    rows = oltp.project_shipments(cfg.read_shipments(spark, mark), mark)
+    if mark is None:
+        return loaded | {"mode": "full", "since": None, "shipments_loaded": tables.replace(rows, shipments)}
+    added = tables.append(rows, shipments, schemas.SHIPMENTS)
+    return loaded | {"mode": "incremental", "since": str(mark), "shipments_loaded": added}
 
 
 def extract_events(spark: SparkSession, cfg: JobConfig, full_refresh: bool) -> dict:
@@ -95,7 +86,7 @@ def extract_weather(spark: SparkSession, cfg: JobConfig) -> dict:
     if not cfg.weather_path:
         raise weather_csv.SourceMissingError("no weather source configured")
     df = weather_csv.read_weather_csv(spark, cfg.weather_path)
-    n = _write_counted(df, cfg.warehouse.raw("historical_weather_delays"), "overwrite", "weather")
+    n = tables.replace(df, cfg.warehouse.raw("historical_weather_delays"))
     return {"weather_rows_loaded": n, "source_object": cfg.weather_path}
 
 
@@ -103,17 +94,15 @@ def extract_weather(spark: SparkSession, cfg: JobConfig) -> dict:
 def warehouse_raw(spark: SparkSession, wh: Warehouse, with_weather: bool) -> RawTables:
     weather = None
     if with_weather:
-        weather = spark.read.parquet(wh.raw("historical_weather_delays"))
+        weather = tables.read(spark, wh.raw("historical_weather_delays"))
     events_path = wh.raw("tracking_events")
     if path_exists(spark, events_path):
         events = tracking_json.read_events_table(spark, events_path, wh.raw("_ingested_files"))
     else:
-        from parcelspark import schemas
-
         events = spark.createDataFrame([], schemas.TRACKING_EVENTS)
     return RawTables(
-        facilities=spark.read.parquet(wh.raw("facilities")),
-        shipments=spark.read.parquet(wh.raw("shipments")),
+        facilities=tables.read(spark, wh.raw("facilities")),
+        shipments=tables.read(spark, wh.raw("shipments")),
         tracking_events=events,
         weather=weather,
         status_codes=seed.status_codes(spark),
@@ -200,10 +189,9 @@ def build_models(spark: SparkSession, cfg: JobConfig, tag: str) -> dict:
                 continue
         elif kind != "table":
             continue
-        path = wh.model(name)
-        graph.get(name).write.mode("overwrite").parquet(path)
-        graph.set(name, spark.read.parquet(path))
-        written[name] = path
+        tables.replace(graph.get(name), wh.model(name))
+        graph.set(name, tables.read(spark, wh.model(name)))
+        (written[name],) = tables.data_paths(spark, wh.model(name))
     return {"tag": tag, "checks": len(checks), "gate_mode": gate_mode, "written": written}
 
 

@@ -354,6 +354,7 @@ FINAL["json_provenance"] = """SELECT source_file, count(*) AS event_count
 FINAL["export_hourly_json"] = """SELECT substr(source_file, 8, 13) AS hour_bucket, count(*) AS row_count,
     min(event_timestamp) AS first_ts, max(event_timestamp) AS last_ts, TRUE AS is_sorted
     FROM raw_tracking_events GROUP BY 1"""
+FINAL["warehouse_shipments"] = "SELECT * FROM raw_shipments"
 FINAL["ingest_ledger"] = """SELECT source_file AS file_name, CAST(count(*) AS INTEGER) AS row_count
     FROM raw_tracking_events GROUP BY 1"""
 FINAL["int_tracking_with_lag_hot"] = """SELECT event_id, facility_id, event_timestamp_ts,

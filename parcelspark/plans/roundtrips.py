@@ -12,16 +12,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelspark import schemas
 from parcelspark.plans.graph import ModelGraph
 from parcelspark.session import scratch_dir
+from parcelspark.sinks import tables
 from parcelspark.sinks.hourly_json import EXPORT_GLOB, export_hourly_json
-from parcelspark.sources import fixtures, tracking_json, weather_csv
+from parcelspark.sources import fixtures, oltp, tracking_json, weather_csv
 from parcelspark.streaming import exceptions as stream_exc
 from parcelspark.streaming import ingest as stream_ingest
 
 RECORDS = tracking_json.RECORD_COLUMNS
 #: Small enough that every test table takes several micro-batches.
 FILES_PER_TRIGGER = 40
+FIRST_LOAD_UNTIL = "2024-01-16 00:00:00"
 
 
 def _export(spark: SparkSession, sf_dir: str, **kw) -> str:
@@ -79,6 +82,16 @@ def _warehouse_paths(spark):
     return f"{root}/raw/tracking_events", f"{root}/raw/_ingested_files"
 
 
+def warehouse_shipments(spark, sf_dir):
+    """A full load of the shipments up to a day, then an incremental one: the table must hold each once."""
+    whole, path = fixtures.raw_shipments(spark, sf_dir), f"{scratch_dir(spark, 'warehouse')}/shipments"
+    day = F.lit(FIRST_LOAD_UNTIL).cast("timestamp_ntz")
+    tables.replace(oltp.project_shipments(whole).where(F.col("created_at") <= day), path)
+    mark = oltp.high_water_mark(spark, path)
+    tables.append(oltp.project_shipments(whole, since=mark), path, schemas.SHIPMENTS)
+    return tables.read(spark, path, schemas.SHIPMENTS)
+
+
 def ingest_ledger(spark, sf_dir):
     out = _export(spark, sf_dir)
     events_t, ledger_t = _warehouse_paths(spark)
@@ -121,6 +134,7 @@ ROUNDTRIP_QUERIES = {
     "json_provenance": json_provenance,
     "export_hourly_json": export_hourly_json_files,
     "scan_weather_csv": scan_weather_csv,
+    "warehouse_shipments": warehouse_shipments,
     "ingest_ledger": ingest_ledger,
     "full_refresh_events": full_refresh_events,
     "stream_ingest_events": stream_ingest_events,

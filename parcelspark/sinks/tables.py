@@ -1,11 +1,27 @@
-"""Warehouse table writes: replace, append, create-if-absent."""
+"""Warehouse tables with atomic replace and append.
+
+A table is a folder of data folders plus a commit log ``_commits/<n>``: commit
+``n`` lists the data folders that make up version ``n``.  A writer puts its
+rows into a new data folder first and then creates the next commit file,
+which only one writer can.  Readers follow the highest commit, so they see the
+old version or the new one and never a half-written table; a run that dies in
+between leaves a folder no commit names.  The data folders of the version
+before stay for readers still on it; older ones are deleted.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelspark.sources.fs import create_file, delete_dir, list_dirs, list_files, read_file
+
+COMMITS = "_commits"
+
 
 def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
     """Select the target's columns *by name* in its order and types, so an
@@ -19,19 +35,61 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -
     ])
 
 
-def replace(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def _versions(spark: SparkSession, table: str) -> list[int]:
+    return sorted(int(n) for n in list_files(spark, f"{table}/{COMMITS}") if n.isdigit())
+
+
+def _folders(spark: SparkSession, table: str, version: int) -> list[str]:
+    return json.loads(read_file(spark, f"{table}/{COMMITS}/{version}"))
+
+
+def exists(spark: SparkSession, table: str) -> bool:
+    return bool(_versions(spark, table.rstrip("/")))
+
+
+def data_paths(spark: SparkSession, table: str) -> list[str]:
+    """Data folders of the current version (none if the table is absent)."""
+    table = table.rstrip("/")
+    versions = _versions(spark, table)
+    return [f"{table}/{f}" for f in _folders(spark, table, versions[-1])] if versions else []
+
+
+def read(spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
+    paths = data_paths(spark, table)
+    if not paths:
+        raise FileNotFoundError(f"no committed table at {table}")
+    return (spark.read.schema(schema) if schema else spark.read).parquet(*paths)
+
+
+def _write(df: DataFrame, table: str, keep_current: bool) -> int:
+    """Write and commit ``df``; returns its row count (observed during the write)."""
+    spark, table = df.sparkSession, table.rstrip("/")
+    versions = _versions(spark, table)
+    current = _folders(spark, table, versions[-1]) if versions else []
+    folder = f"data-{uuid.uuid4().hex}"
+    obs = Observation()
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(f"{table}/{folder}")
+    folders = [*current, folder] if keep_current else [folder]
+    number = versions[-1] + 1 if versions else 0
+    create_file(spark, f"{table}/{COMMITS}/{number}", json.dumps(folders))  # <- commit, fails if taken
+    if not keep_current and current:
+        for name in list_dirs(spark, table):
+            if name.startswith("data-") and name not in folders and name not in current:
+                delete_dir(spark, f"{table}/{name}")
+    return int(obs.get["rows"])
 
 
-def append(df: DataFrame, path: str, schema: T.StructType, defaults: dict | None = None) -> None:
-    conform(df, schema, defaults).write.mode("append").parquet(path)
+def replace(df: DataFrame, table: str) -> int:
+    """The table's rows become ``df``'s, all at once."""
+    return _write(df, table, keep_current=False)
 
 
-def ledger_defaults() -> dict:
-    """Column defaults of the ingest ledger (``ingested_at`` = now)."""
-    return {"ingested_at": F.localtimestamp()}
+def append(df: DataFrame, table: str, schema: T.StructType, defaults: dict | None = None) -> int:
+    """Add ``df``'s rows, columns matched by name."""
+    return _write(conform(df, schema, defaults), table, keep_current=True)
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+def ensure_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
     """Create an empty table with a fixed schema unless one exists."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    if not exists(spark, table):
+        replace(spark.createDataFrame([], schema), table)

@@ -49,3 +49,23 @@ def move_file(spark: SparkSession, source: str, target: str) -> None:
         fs.delete(to, False)
     if not fs.rename(p, to):
         raise OSError(f"cannot rename {source} to {target}")
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file; fails if it exists."""
+    fs, p = _fs_path(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    fs, p = _fs_path(spark, path)
+    data = fs.open(p)
+    try:
+        return bytes(data.readAllBytes()).decode()
+    finally:
+        data.close()

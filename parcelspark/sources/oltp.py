@@ -49,11 +49,11 @@ def high_water_mark_frame(shipments: DataFrame) -> DataFrame:
 
 def high_water_mark(spark: SparkSession, table_path: str | None) -> datetime | None:
     """Mark of an existing warehouse table; ``None`` if absent or empty."""
-    from parcelspark.sources.fs import path_exists
+    from parcelspark.sinks import tables
 
-    if not table_path or not path_exists(spark, table_path):
+    if not table_path or not tables.exists(spark, table_path):
         return None
-    row = high_water_mark_frame(spark.read.parquet(table_path)).first()
+    row = high_water_mark_frame(tables.read(spark, table_path)).first()
     return row["high_water_mark"] if row else None
 
 

@@ -1,23 +1,58 @@
 """Catalog introspection and table write modes."""
 
+from pyspark.sql import functions as F
+
 from parcelspark import schemas
-from parcelspark.sinks.tables import append, ensure_table, ledger_defaults
+from parcelspark.sinks import tables
 from parcelspark.sources import catalog, fixtures
 from tests.conftest import SF_SMALL
 
 
 def test_ensure_table_then_append_by_name(spark, tmpdir_path):
     path = f"{tmpdir_path}/raw/_ingested_files"
-    ensure_table(spark, path, schemas.INGESTED_FILES)
-    ensure_table(spark, path, schemas.INGESTED_FILES)  # second call is a no-op
-    assert spark.read.parquet(path).count() == 0
+    tables.ensure_table(spark, path, schemas.INGESTED_FILES)
+    tables.ensure_table(spark, path, schemas.INGESTED_FILES)  # second call is a no-op
+    assert tables.read(spark, path).count() == 0
     df = spark.createDataFrame([(3, "events_a.json")], "row_count long, file_name string")
-    append(df, path, schemas.INGESTED_FILES, ledger_defaults())
-    row = spark.read.parquet(path).collect()[0]
+    assert tables.append(df, path, schemas.INGESTED_FILES, {"ingested_at": F.localtimestamp()}) == 1
+    row = tables.read(spark, path).collect()[0]
     assert row["file_name"] == "events_a.json" and row["row_count"] == 3
     assert row["ingested_at"] is not None
 
 
+def test_a_run_that_dies_before_the_commit_leaves_the_old_table(spark, tmpdir_path, monkeypatch):
+    path = f"{tmpdir_path}/t"
+    assert not tables.exists(spark, path)
+    tables.replace(spark.range(3), path)
+    old = tables.read(spark, path)
+
+    def die(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "create_file", die)
+        for write in (lambda: tables.replace(spark.range(9), path),
+                      lambda: tables.append(spark.range(9), path, old.schema)):
+            try:
+                write()
+            except KeyboardInterrupt:
+                pass
+            assert tables.read(spark, path).count() == 3
+    assert tables.replace(spark.range(5), path) == 5
+    assert tables.read(spark, path).count() == 5 and old.count() == 3  # readers of the version before go on
+    assert tables.append(spark.range(2), path, old.schema) == 2
+    assert tables.read(spark, path).count() == 7
+
+
+def test_two_writers_cannot_commit_the_same_version(spark, tmpdir_path):
+    import pytest
+
+    path = f"{tmpdir_path}/t"
+    tables.replace(spark.range(1), path)
+    with pytest.raises(Exception, match="exist"):
+        tables.create_file(spark, f"{path}/{tables.COMMITS}/0", "[]")
+
+
 def test_catalog_columns(spark, tmpdir_path):
     p = f"{tmpdir_path}/facilities"
     fixtures.raw_facilities(spark, SF_SMALL).write.parquet(p)

@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from parcelspark.sinks import tables
 from parcelspark.sinks.hourly_json import export_hourly_json
 from parcelspark.sources import fixtures, oltp, tracking_json, weather_csv
 from parcelspark.sources.seed import STATUS_CODE_ROWS, read_status_codes_csv
@@ -212,7 +213,8 @@ def test_incremental_scan_is_strict_and_pushed_down(spark, tmpdir_path):
     assert "PushedFilters: [IsNotNull(created_at), GreaterThan(created_at" in plan
     assert at_mark >= 1
     assert oltp.high_water_mark(spark, f"{tmpdir_path}/absent") is None
-    assert oltp.high_water_mark(spark, path) == mark
+    tables.replace(ship, f"{tmpdir_path}/wh-shipments")
+    assert oltp.high_water_mark(spark, f"{tmpdir_path}/wh-shipments") == mark
 
 
 def test_vacuum_removes_only_old_uncommitted_batches(spark, feed):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from parcelspark.operators import quality as Q
 from parcelspark.plans import jobs
 from parcelspark.plans.graph import ModelGraph
+from parcelspark.sinks import tables
 from parcelspark.sinks.hourly_json import EXPORT_GLOB, export_hourly_json
 from parcelspark.sources import fixtures, oltp, weather_csv
 from tests import helpers as H
@@ -63,7 +64,7 @@ def test_daily_then_hourly(spark, tmpdir_path):
     assert h["events"]["files_loaded"] == 0
     assert list(h["models"]["written"]) == ["mart_exceptions_analysis"]
     assert h["models"]["checks"] == 15
-    assert spark.read.parquet(cfg.warehouse.raw("shipments")).count() == 1500
+    assert tables.read(spark, cfg.warehouse.raw("shipments")).count() == 1500
 
 
 def test_first_incremental_run_is_full(spark, tmpdir_path):
