@@ -127,26 +127,39 @@ def norms(n: int, row: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.sqrt(np.where(square > 0, square, 1.0))
 
 
-def landmark_table(landmarks: list[str]) -> np.ndarray:
-    """Buckets x landmarks: each landmark's normed weight on each subsequence."""
-    row, bucket, weight = subsequences(landmarks)
-    table = np.zeros((BUCKETS, len(landmarks)), np.float32)
-    np.add.at(table, (bucket, row), weight / norms(len(landmarks), row, weight)[row])
-    return table
+@dataclass
+class Landmarks:
+    """Normed weights of the landmarks on the subsequences they hold."""
 
+    index: np.ndarray  # per bucket: row of ``weight``, 0 for none
+    weight: np.ndarray  # rows x landmarks, float32; row 0 is zero
 
-def kernel(units: list[str], table: np.ndarray) -> np.ndarray:
-    """Kernel values of units (rows) with the landmarks of ``table``."""
-    out = np.zeros((len(units), table.shape[1]))
-    for i in range(0, len(units), 500):
-        part = units[i : i + 500]
+
+def landmark_table(landmarks: list[str]) -> Landmarks:
+    row, bucket, weight = subsequences(landmarks)
+    held, at = np.unique(bucket, return_inverse=True)
+    index = np.zeros(BUCKETS, np.int32)
+    index[held] = np.arange(1, len(held) + 1)
+    table = np.zeros((len(held) + 1, len(landmarks)), np.float32)
+    np.add.at(table, (at + 1, row), weight / norms(len(landmarks), row, weight)[row])
+    return Landmarks(index, table)
+
+
+def kernel(units: list[str], table: Landmarks) -> np.ndarray:
+    """Kernel values of units (rows) with the landmarks."""
+    out = np.zeros((len(units), table.weight.shape[1]))
+    for i in range(0, len(units), 200):
+        part = units[i : i + 200]
         row, bucket, weight = subsequences(part)
         weight = weight / norms(len(part), row, weight)[row]
+        at = table.index[bucket]
+        shared = at > 0
+        row, at, weight = row[shared], at[shared], weight[shared].astype(np.float32)
         order = np.argsort(row, kind="stable")
-        row, bucket, weight = row[order], bucket[order], weight[order]
+        row, at, weight = row[order], at[order], weight[order]
         if len(row):
             starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            out[i + row[starts]] = np.add.reduceat(table[bucket] * weight[:, None], starts, axis=0)
+            out[i + row[starts]] = np.add.reduceat(table.weight[at] * weight[:, None], starts, axis=0)
     return out
 
 
@@ -344,7 +357,8 @@ def fit(bad: list[str], good: list[str], counts: np.ndarray, hard: list[str]) ->
     x = kernel(bad + good, table) @ root
     y = np.r_[np.ones(len(bad)), -np.ones(len(good))]
     w, bias = fit_svm(x, y, np.r_[np.full(len(bad), 1 / len(bad)), counts / counts.sum()])
-    return Model((table @ (root @ w)).astype(np.float32), float(bias), np.array([1.0, 0, 0, 0]))
+    folded = (table.weight @ (root @ w).astype(np.float32))[table.index]
+    return Model(folded, float(bias), np.array([1.0, 0, 0, 0]))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
