@@ -37,6 +37,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelspark.llm.common import WordCache, ship_code
 
@@ -187,8 +188,8 @@ class WordBpe:
         self.special = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.added = added
         self.pattern = regex.compile(_WORD_PATTERN)
-        self.words = WordCache(self._word, 60_000)
-        self.chunks = WordCache(self._chunk, 150_000)
+        self.words = WordCache(self._word, 50_000)
+        self.chunks = WordCache(self._chunk, 100_000)
 
     def _word(self, word: str) -> bytes:
         symbols = list(word.encode("utf-8", "surrogatepass"))
@@ -274,25 +275,28 @@ def decode(ids: Column, path: str) -> Column:
 def encode_documents(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, ids binary, n_tokens, decoded) of every row; other columns are not read.
 
-    One function does both directions: two would encode every text twice.
+    One function does both directions, else every text would be encoded
+    twice, and puts out a slice at a time, so a worker holds few results.
     """
     ship_code(docs.sparkSession)
 
-    @F.arrow_udf("ids binary, decoded string")
-    def bpe_round_trip(texts: pa.Array) -> pa.Array:
+    def round_trip(batches):
         bpe = load(path)
-
-        def both(part: list) -> pa.Array:
-            ids = [bpe.encode(t) for t in part]
-            decoded = pa.array([bpe.decode(i) for i in ids], pa.string())
-            return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), decoded], ["ids", "decoded"])
-
-        return _by_slices(texts, both)
-
-    out = docs.select(F.col(key), bpe_round_trip(F.col(text)).alias("r"))
-    return out.select(
-        key, "r.ids", (F.octet_length("r.ids") / 4).cast("long").alias("n_tokens"), "r.decoded",
-    )
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                some = batch.slice(i, 500)
+                ids = [bpe.encode(t) for t in some.column(1).to_pylist()]
+                decoded = pa.array([bpe.decode(p) for p in ids], pa.string())
+                count = pa.array([len(p) // 4 for p in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array(ids, pa.binary()), count, decoded], ["key", "ids", "n_tokens", "decoded"])
+
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    schema = T.StructType([
+        T.StructField("key", docs.schema[key].dataType), T.StructField("ids", T.BinaryType()),
+        T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.StringType()),
+    ])
+    return rows.mapInArrow(round_trip, schema).withColumnRenamed("key", key)
 
 
 def digest(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
