@@ -199,28 +199,29 @@ class LibraryEncoder:
 
     @staticmethod
     def _parts(chunk: str) -> tuple[str, ...]:
-        """Letters, and a mark or digit after them, are words to the tokenizer; other chunks stay whole."""
-        if chunk.isascii():
-            low = chunk.lower()
-            if low.isalpha():
-                return (low,)
-            if low[:-1].isalpha():
-                return low[:-1], low[-1]
+        """Letters, and an ASCII mark or digit after them, are words to the tokenizer; other chunks stay whole."""
+        low = chunk.lower()
+        if low.isalpha():
+            return (low if max(chunk) <= "\xff" else chunk,)  # beyond, lower-casing is the library's
+        if low[-1].isascii() and low[:-1].isalpha():
+            return (low if max(chunk) <= "\xff" else chunk)[:-1], low[-1]
         return (chunk,)
 
     def _learn(self, unknown: list[str]) -> None:
-        single = [w for w in unknown if w.isascii() and (w.isalpha() or len(w) == 1)]
+        plain = [w.lower().isalpha() or len(w) == 1 and w.isascii() for w in unknown]
+        single = [w for w, p in zip(unknown, plain) if p]
+        one_by_one = [w for w, p in zip(unknown, plain) if not p]
         if single:  # one text for all: each word's ids end with a word-end label
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(single)], add_special_tokens=False)[0].ids, "<u4")
             stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(stops) != len(single):
-                raise ValueError("the tokenizer split a word")
-            raw, at = ids.tobytes(), 0
-            for w, stop in zip(single, stops):
-                self.words[w] = raw[4 * at : 4 * stop]
-                at = stop
-        rest = [w for w in unknown if not (w.isascii() and (w.isalpha() or len(w) == 1))]
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            if len(stops) == len(single):
+                raw, at = ids.tobytes(), 0
+                for w, stop in zip(single, stops):
+                    self.words[w] = raw[4 * at : 4 * stop]
+                    at = stop
+            else:  # characters that only one side's tables call letters
+                one_by_one = unknown
+        for w, e in zip(one_by_one, self.tokenizer.encode_batch_fast(one_by_one, add_special_tokens=False)):
             self.words[w] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -49,7 +49,7 @@ def test_library_encoder_equals_the_library():
     lib = Tokenizer.from_file(tokenizer_path())
     rng = random.Random(2)
     enc = tf.LibraryEncoder(tokenizer_path())
-    texts = ["", "It's a Test. x1 1x 'tis don' <|endoftext|>. É́ \x1c a"] + [
+    texts = ["", "It's a Test. x1 1x 'tis don' <|endoftext|>. É́ \x1c a", "ÉTÉ été, naïf1 ÑANDÚ. ß ÿ Ÿ ΑΣ σας İx İ, é́ Ǆ ᾳ µ ª"] + [
         "".join(rng.choice("aB é.'1 \n<|>漢") for _ in range(40)) for _ in range(500)]
     want = [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert enc.encode(texts) == want and enc.encode(texts) == want
