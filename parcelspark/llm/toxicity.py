@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,7 +46,6 @@ UNITS = 8_000
 LANDMARKS = 192
 REFITS = 2
 DECAY = 0.6
-ORDERS = (3, 4)
 STEPS = {3: 3, 4: 2}
 BUCKETS = 1 << 18
 START = "\x02"
@@ -92,33 +92,38 @@ def variants(unit: str) -> list[str]:
     return out
 
 
+def _patterns(units: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """(unit row, bucket, weight) of the subsequences of each choice of steps in turn."""
+    sizes = np.fromiter(map(len, units), np.int64, len(units))
+    code = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    row = np.repeat(np.arange(len(units), dtype=np.int32), sizes)
+
+    def longer(key: np.ndarray, reach: int, step: int) -> np.ndarray:
+        """Keys with one more letter, ``step`` after the last; all units as one string."""
+        n = max(0, len(code) - reach - step)
+        return key[:n] * np.uint64(1_000_003) + code[reach + step :]
+
+    def found(key: np.ndarray, reach: int, order: int) -> tuple[np.ndarray, np.ndarray, float]:
+        own = row[: len(key)]
+        inside = own == row[reach:]
+        mixed = ((key[inside] + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 18)
+        return own[inside], mixed.astype(np.int64), DECAY ** (reach + 1)
+
+    for a in range(1, max(STEPS.values()) + 1):
+        two = longer(code, 0, a)
+        for b in range(1, max(STEPS.values()) + 1):
+            three = longer(two, a, b)
+            if max(a, b) <= STEPS[3]:
+                yield found(three, a + b, 3)
+            if max(a, b) <= STEPS[4]:
+                for c in range(1, STEPS[4] + 1):
+                    yield found(longer(three, a + b, c), a + b + c, 4)
+
+
 def subsequences(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(unit row, bucket, weight) of every bounded-step subsequence of every unit."""
-    width = max(map(len, units), default=0)
-    codes = np.zeros((len(units), width), np.int64)
-    for n in {len(u) for u in units}:
-        at = [i for i, u in enumerate(units) if len(u) == n]
-        if n:
-            flat = "".join(units[i] for i in at).encode("utf-32-le", "surrogatepass")
-            codes[at, :n] = np.frombuffer(flat, "<u4").reshape(len(at), n)
-    rows, buckets, weights = [], [], []
-    for order in ORDERS:
-        for steps in np.ndindex(*[STEPS[order]] * (order - 1)):
-            reach = np.concatenate(([0], np.cumsum(np.array(steps) + 1)))
-            span = int(reach[-1]) + 1
-            if width < span:
-                continue
-            key = np.zeros((len(units), width - span + 1), np.uint64)
-            for r in reach:
-                key = key * np.uint64(1_000_003) + codes[:, r : r + width - span + 1].astype(np.uint64)
-            row, col = np.nonzero(codes[:, span - 1 :])
-            mixed = ((key[row, col] + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 18)
-            rows.append(row)
-            buckets.append(mixed.astype(np.int64))
-            weights.append(np.full(len(row), DECAY**span))
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    return np.concatenate(rows), np.concatenate(buckets), np.concatenate(weights)
+    parts = [(row, bucket, np.full(len(row), weight)) for row, bucket, weight in _patterns(units)]
+    return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 def norms(n: int, row: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -192,11 +197,13 @@ class Model:
     def margins(self, units: list[str]) -> np.ndarray:
         """Margin of each unit (no longer than ``MAX_UNIT``)."""
         out = np.zeros(len(units))
-        for i in range(0, len(units), 5_000):
-            part = units[i : i + 5_000]
-            row, bucket, weight = subsequences(part)
-            raw = np.bincount(row, self.weight[bucket] * weight, len(part))
-            out[i : i + len(part)] = raw / norms(len(part), row, weight)
+        for i in range(0, len(units), 10_000):
+            part = units[i : i + 10_000]
+            raw, square = np.zeros(len(part)), np.zeros(len(part))
+            for row, bucket, weight in _patterns(part):
+                raw += weight * np.bincount(row, self.weight[bucket], len(part))
+                square += weight * weight * np.bincount(row, minlength=len(part))
+            out[i : i + len(part)] = raw / np.sqrt(np.where(square > 0, square, 1.0))
         return out + self.bias
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
@@ -215,10 +222,10 @@ class Scorer:
 
     def _learn(self, units: list[str]) -> None:
         forms = [variants(u) for u in units]
-        margins = self.model.margins([p for f in forms for p in f])
+        margins = self.model.margins([p for f in forms for p in f]).tolist()
         at = 0
         for u, f in zip(units, forms):
-            self.known[u] = float(margins[at : at + len(f)].max())
+            self.known[u] = margins[at] if len(f) == 1 else max(margins[at : at + len(f)])
             at += len(f)
 
     def evidence(self, texts: list[str | None]) -> list[tuple[float, float, float, str | None]]:

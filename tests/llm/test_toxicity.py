@@ -20,7 +20,7 @@ def brute_kernel(s, t):
             for step in range(1, tx.STEPS[order] + 1):
                 if at + step < len(x):
                     walk(order, at + step, [*path, at + step], left - 1)
-        for order in tx.ORDERS:
+        for order in tx.STEPS:
             for i in range(len(x)):
                 walk(order, i, [i], order - 1)
         return out
