@@ -151,7 +151,7 @@ def viterbi(sequences: list[np.ndarray], scores: np.ndarray, switch: float) -> l
 class Labeller:
     """Scores new words once per worker while they are remembered."""
 
-    LIMIT = 400_000
+    LIMIT = 250_000
 
     def __init__(self, model: Model, switch: float = SWITCH):
         self.model, self.switch = model, switch
@@ -289,8 +289,8 @@ def predictor(model: Model, switch: float = SWITCH):
     @F.arrow_udf(schema)
     def language(texts: pa.Array) -> pa.Array:
         labeller, rows = labeller_for(name, model, switch), []
-        for i in range(0, len(texts), 2_000):
-            rows += labeller.predict(texts.slice(i, 2_000).to_pylist())
+        for i in range(0, len(texts), 1_000):
+            rows += labeller.predict(texts.slice(i, 1_000).to_pylist())
         return pa.array([{"lang_pred": a, "score": b} for a, b in rows], arrow)
 
     return language

@@ -48,6 +48,8 @@ REFITS = 2
 DECAY = 0.6
 STEPS = {3: 3, 4: 2}
 BUCKETS = 1 << 18
+#: Texts that are Python objects at a time.
+SLICE = 500
 START = "\x02"
 MAX_UNIT = 32  # a longer unit is scored in overlapping pieces of this length
 FLAG_AT = 0.7
@@ -214,7 +216,7 @@ class Model:
 class Scorer:
     """Margins of texts; a unit is scored once per worker while it is remembered."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __init__(self, model: Model):
         self.model = model
@@ -278,8 +280,8 @@ def evidence_of(model: Model):
     @F.arrow_udf(schema)
     def toxicity_evidence(texts: pa.Array) -> pa.Array:
         scorer, rows = scorer_for(name, model), []
-        for i in range(0, len(texts), 2_000):
-            rows += scorer.evidence(texts.slice(i, 2_000).to_pylist())
+        for i in range(0, len(texts), SLICE):
+            rows += scorer.evidence(texts.slice(i, SLICE).to_pylist())
         score = model.score(np.array([r[:3] for r in rows], float).reshape(len(rows), 3))
         columns = [pa.array([r[k] for r in rows], pa.float64()) for k in range(3)]
         units = pa.array([r[3] and variants(r[3])[0] for r in rows], pa.string())
@@ -290,8 +292,12 @@ def evidence_of(model: Model):
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _distinct_units(texts: pa.Array) -> pa.Array:
-    rows = [sorted({p for u in units_of(t) for p in variants(u) if p != START}) for t in texts.to_pylist()]
-    return pa.array(rows, pa.list_(pa.string()))
+    kind = pa.list_(pa.string())
+    parts = []
+    for i in range(0, max(1, len(texts)), SLICE):
+        some = texts.slice(i, SLICE).to_pylist()
+        parts.append(pa.array([sorted({p for u in units_of(t) for p in variants(u) if p != START}) for t in some], kind))
+    return pa.concat_arrays(parts)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
