@@ -72,7 +72,8 @@ class LineRuns:
         """Add a batch of ``line_hashes`` whose documents are in no earlier batch."""
         distinct = F.array_distinct(F.transform("keys", lambda k: F.struct(k["h1"].alias("h1"), k["h2"].alias("h2"))))
         per_doc = batch.select("doc_id", F.explode(distinct).alias("k")).select("k.h1", "k.h2", "doc_id")
-        run = per_doc.groupBy("h1", "h2").agg(
+        # Rows may share a doc_id: the inner grouping, dealt by all three, keeps a hot key's documents spread.
+        run = per_doc.groupBy("h1", "h2", "doc_id").agg(F.count(F.lit(1)).alias("rows")).groupBy("h1", "h2").agg(
             F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
         self._write(run, 0)
         level = 0

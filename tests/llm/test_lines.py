@@ -62,6 +62,15 @@ def test_odd_rows(spark):
     assert run(empty)[1] == []
 
 
+def test_repeated_rows_of_a_document_count_once(spark):
+    few, enough = "A line of two documents in five or more rows only", "A line of five documents, in seven rows altogether"
+    rows = [(1, few)] * 4 + [(2, few)] + [(i, f"{enough}\nown {i}") for i in range(3, 8)] + [(3, f"{enough}\nother")] * 2
+    check(spark, rows)
+    check(spark, rows, batches=2, fanout=2)
+    got = run(spark.createDataFrame(rows, "doc_id long, text string"))[1]
+    assert [n for i, _, n, _ in got if i < 3] == [0] * 5 and sum(n for _, _, n, _ in got) == 6
+
+
 def test_runs_compact_by_level_and_add_up(spark, tmp_path):
     rows = [(i, "\n".join(f"line {j % 7} " + "y" * 40 for j in range(i % 9 + 1))) for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
