@@ -1,9 +1,12 @@
 """Language identification with spans for mixed-language text.
 
-A word's script (Unicode ranges) narrows the candidate languages to those
-whose training letters use it.  A word scores, per candidate, the mean log
-probability of its letter 1- to 3-grams; Viterbi over the words, with a fixed
-penalty for switching, labels spans.  A text's language is the one whose spans
+A blank-separated chunk is cut to words where the script changes, at marks
+that are not apostrophes, and after every ``MAX_WORD`` letters, so texts
+without blanks are many words and every letter is scored.  A word's script
+(Unicode ranges) narrows the candidate languages to those whose training
+letters use it.  A word scores, per candidate, the summed log probability of
+its letter 1- to 3-grams; Viterbi over the words, with a fixed penalty for
+switching, labels spans.  A text's language is the one whose spans
 hold the most letters.
 
 Training counts hashed n-grams per language over at most ``SAMPLE_ROWS`` rows
@@ -19,6 +22,7 @@ alphabetical order; very long texts are labelled whole.
 from __future__ import annotations
 
 import bisect
+import unicodedata
 import uuid
 from dataclasses import dataclass
 
@@ -28,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelspark.llm.common import ship_code
+from parcelspark.llm.common import WordCache, ship_code
 
 BUCKETS = 1 << 15
 MAX_LANGS = 256
@@ -37,7 +41,7 @@ SAMPLE_ROWS = 2_000
 SWITCH = 4.0
 #: A language uses a script when so many of its training letters are in it.
 SCRIPT_SHARE = 0.02
-MAX_WORD = 24  # letters of a word that are scored
+MAX_WORD = 24  # letters of a word; a longer run is cut to several words
 UNKNOWN = "und"
 
 # First code points of ranges and the script each starts ("" = none).
@@ -62,11 +66,37 @@ def script_of(char: str) -> int:
     return _SCRIPT_INDEX.get(SCRIPTS[bisect.bisect_right(_STARTS, ord(char)) - 1][1], -1)
 
 
-def letters_of(chunk: str) -> str:
-    """The chunk's letters, lower-cased."""
-    if chunk.isascii() and chunk.isalpha():
-        return chunk.lower()
-    return "".join(c for c in chunk if c.isalpha()).lower()
+def word_script(word: str) -> int:
+    """Script of the word's first letter that has one, -1 for none."""
+    return next((s for s in map(script_of, word) if s >= 0), -1)
+
+
+def pieces_of(chunk: str) -> list[tuple[int, str]]:
+    """(start, lower-cased letters) of the chunk's words, in order.
+
+    Letters without a script of their own go with those before them, or else
+    with those after.  Apostrophes, combining marks and invisible characters
+    do not part letters.
+    """
+    if len(chunk) <= MAX_WORD and chunk.isascii() and chunk.isalpha():
+        return [(0, chunk.lower())]
+    out, start, word, script = [], 0, "", -1
+    for i, c in enumerate(chunk):
+        if c.isalpha():
+            low, own = c.lower(), script_of(c)
+            if word and (len(word) + len(low) > MAX_WORD or (own >= 0 and script >= 0 and own != script)):
+                out.append((start, word))
+                word, script = "", -1
+            if not word:
+                start = i
+            word += low
+            script = own if script < 0 else script
+        elif word and c not in "'\u2019" and unicodedata.category(c) not in ("Mn", "Mc", "Me", "Cf"):
+            out.append((start, word))
+            word, script = "", -1
+    if word:
+        out.append((start, word))
+    return out
 
 
 def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +132,7 @@ class Model:
             bucket, row = gram_buckets(part)
             for lang in range(len(self.langs)):
                 scores[i : i + len(part), lang] = np.bincount(row, self.log_prob[bucket, lang], len(part)) / 3
-        script = np.fromiter((script_of(w[0]) for w in words), np.int64, len(words))
+        script = np.fromiter(map(word_script, words), np.int64, len(words))
         allowed = self.uses[script] & (script >= 0)[:, None]
         some = allowed.any(1)
         scores[~some] = 0
@@ -149,7 +179,7 @@ def viterbi(sequences: list[np.ndarray], scores: np.ndarray, switch: float) -> l
 
 
 class Labeller:
-    """Scores new words once per worker while they are remembered."""
+    """Scores new chunks' words once per worker while they are remembered."""
 
     LIMIT = 250_000
 
@@ -158,32 +188,41 @@ class Labeller:
         self.reset()
 
     def reset(self) -> None:
-        self.row: dict[str, int] = {}
+        self.row: dict[str, int] = {}  # chunk -> its row of ``first`` and ``size``
+        self.first = np.zeros(0, np.int64)  # the chunk's first word ...
+        self.size = np.zeros(0, np.int64)  # ... and how many it has; 0: no letter, no label
         self.scores = np.zeros((0, len(self.model.langs)), np.float32)
-        self.letters = np.zeros(0, np.int64)  # 0: no letter, the word has no label
+        self.letters = np.zeros(0, np.int64)
 
     def _learn(self, chunks: list[str]) -> None:
-        words = [letters_of(c) for c in chunks]
-        held = [w for w in words if w]
-        fresh = np.zeros((len(words), len(self.model.langs)), np.float32)
-        if held:
-            fresh[[i for i, w in enumerate(words) if w]] = self.model.word_scores(held)
+        pieces = [pieces_of(c) for c in chunks]
+        words = [w for p in pieces for _, w in p]
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         base = len(self.row)
         self.row.update((c, base + i) for i, c in enumerate(chunks))
-        self.scores = np.concatenate([self.scores, fresh])
-        self.letters = np.concatenate([self.letters, np.fromiter(map(len, words), np.int64, len(words))])
+        self.first = np.concatenate([self.first, len(self.letters) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        if words:
+            self.scores = np.concatenate([self.scores, self.model.word_scores(words)])
+            self.letters = np.concatenate([self.letters, np.fromiter(map(len, words), np.int64, len(words))])
+
+    def _words(self, chunks: list[str]) -> np.ndarray:
+        """Rows of ``scores`` of the chunks' words in turn."""
+        at = np.fromiter(map(self.row.__getitem__, chunks), np.int64, len(chunks))
+        first, size = self.first[at], self.size[at]
+        if not len(at) or size.max() <= 1:
+            return first[size > 0]
+        return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
     def label(self, texts: list[str | None]) -> list[tuple[list[str], np.ndarray, np.ndarray]]:
-        """Per text: its words with letters, their labels and letter counts."""
-        if len(self.row) > self.LIMIT:
+        """Per text: its chunks; the labels and letter counts of their words."""
+        if max(len(self.row), len(self.letters)) > self.LIMIT:
             self.reset()
         split = [(t or "").split() for t in texts]
         new = list({c for s in split for c in s if c not in self.row})
         if new:
             self._learn(new)
-        row = self.row
-        codes = [np.fromiter((row[c] for c in s), np.int64, len(s)) for s in split]
-        codes = [c[self.letters[c] > 0] for c in codes]
+        codes = [self._words(s) for s in split]
         paths = viterbi(codes, self.scores, self.switch)
         return [(s, p, self.letters[c]) for s, p, c in zip(split, paths, codes)]
 
@@ -202,19 +241,21 @@ class Labeller:
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
         """(start, end, language) of each run of words with one label, in code points."""
-        (words, path, _), = self.label([text])
+        (chunks, path, _), = self.label([text])
         out: list[list] = []
         at = k = 0
-        for w in words:
-            at = text.index(w, at)
-            if self.letters[self.row[w]] > 0:
+        for c in chunks:
+            at = text.index(c, at)
+            # A chunk's words share it out: marks go with the word before them, leading ones with the first.
+            cuts = [0, *(i for i, _ in pieces_of(c)[1:]), len(c)]
+            for a, b in zip(cuts, cuts[1:]) if self.size[self.row[c]] else ():
                 lang = self.model.langs[path[k]]
                 k += 1
                 if out and out[-1][2] == lang:
-                    out[-1][1] = at + len(w)
+                    out[-1][1] = at + b
                 else:
-                    out.append([at, at + len(w), lang])
-            at += len(w)
+                    out.append([at + a, at + b, lang])
+            at += len(c)
         return [tuple(s) for s in out]
 
 
@@ -251,14 +292,15 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_langs: int = MAX_
     def count(batches):
         grams = np.zeros((len(langs), BUCKETS), np.int64)
         scripts = np.zeros((len(langs), len(SCRIPT_NAMES)), np.int64)
+        cut = WordCache(pieces_of, 20_000)
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = [w for w in map(letters_of, text.split()) if w]
+                words = [w for c in text.split() for _, w in cut[c]]
                 if words:
                     bucket, _ = gram_buckets(words)
                     grams[index[lang]] += np.bincount(bucket, minlength=BUCKETS)
                     for w in words:
-                        s = script_of(w[0])
+                        s = word_script(w)
                         if s >= 0:
                             scripts[index[lang], s] += len(w)
         both = np.concatenate([grams, scripts], axis=1)

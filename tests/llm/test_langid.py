@@ -51,6 +51,32 @@ def test_scripts_narrow_and_mixed_text_gets_spans(spark):
     assert lab.predict(["ѫѯѱ", "漢字", "123 !?", None, "", "mat 漢字 cat the"]) [1:5] == [("de", 1.0)] + [("und", 0.0)] * 3
 
 
+def test_chunks_are_cut_and_every_letter_is_scored():
+    pieces = lambda c: [w for _, w in langid.pieces_of(c)]
+    assert pieces("Don't!") == ["dont"] and pieces("123?!") == [] and pieces("one,TWO-three") == ["one", "two", "three"]
+    assert langid.pieces_of("(english,中文Ж人々") == [(1, "english"), (9, "中文"), (11, "ж"), (12, "人々")]
+    assert pieces("ที่นี่") == ["ทน"]  # combining marks do not part letters
+    for run in ("中" * 100, "x" * 100, "İ" * 100):
+        assert "".join(pieces(run)) == "".join(c.lower() for c in run)
+        assert all(0 < len(w) <= langid.MAX_WORD for w in pieces(run))
+
+
+def test_texts_without_blanks_get_spans(spark):
+    rng = random.Random(3)
+    zh, ja = [["".join(rng.choice(s) for _ in range(400)) for _ in range(20)] for s in ("的一是不了人我在有他", "日本語学校生先年時間")]
+    rows = [(i, t, "zh") for i, t in enumerate(zh)] + [(100 + i, t, "ja") for i, t in enumerate(ja)]
+    rows += [(200 + i, "the cat sat on the mat with a hat and the dog " * 3, "en") for i in range(20)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    lab = langid.Labeller(model)
+    text = zh[0][:30] + ja[0][:120]
+    spans = lab.spans(text)
+    assert [s[2] for s in spans] == ["zh", "ja"] and abs(spans[0][1] - 30) <= langid.MAX_WORD
+    assert spans[0][0] == 0 and spans[0][1] == spans[1][0] and spans[1][1] == 150
+    assert lab.predict([text])[0][0] == "ja"
+    mixed = "the dog sat on the mat," + zh[1][:20]
+    assert [(mixed[a:b], lang) for a, b, lang in lab.spans(mixed)] == [("the dog sat on the mat,", "en"), (zh[1][:20], "zh")]
+
+
 def test_held_out_accuracy_and_folds(spark):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = op2_langid(spark, SF).collect()
