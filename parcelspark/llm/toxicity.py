@@ -9,11 +9,14 @@ A text is cut to sentences, a sentence to units: words, and runs of single
 characters set apart by blanks, joined.  Labels mark texts, so training is
 multi-instance: the units that labelled texts of one kind share far beyond
 chance are the witnesses of a toxic sentence, units of clean sentences the
-other class.  A linear support vector machine is fitted on Nyström features
+other class.  Two or three neighbouring units of a sentence, joined, are
+instances too (*windows*): as witnesses and as clean examples in training, and
+in scoring where neither a unit nor a smaller window in them has a positive
+margin, so insults parted by a blank or made of several words count.  A linear support vector machine is fitted on Nyström features
 (kernel values with landmark units, times the inverse root of the landmarks'
 own kernel).  Its weights fold into one number per subsequence, so a unit is
 scored by table look-ups.  A logistic curve turns a text's evidence, over the
-units of all its sentences, into the score: the largest margin, the sum of the
+units and windows of all its sentences, into the score: the largest margin, the sum of the
 positive margins, and that sum per hundred units.
 
 Fitting uses at most ``TOXIC_ROWS`` + ``CLEAN_ROWS`` labelled rows, those with
@@ -94,6 +97,21 @@ def variants(unit: str) -> list[str]:
     return out
 
 
+def letters_of(unit: str) -> str:
+    """What a unit gives to a window: its letters and digits, lower-cased."""
+    low = unit.lower()
+    return low if low.isalnum() else "".join(c for c in low if c.isalnum())
+
+
+def windows_of(text: str | None) -> Iterator[list[str]]:
+    """Two and three neighbouring units of each sentence of a text; units of marks alone are passed over."""
+    for sentence in _SENTENCE.split(text or ""):
+        units = [w for w in map(letters_of, sentence.split()) if w]
+        for many in (2, 3):
+            for i in range(len(units) - many + 1):
+                yield units[i : i + many]
+
+
 def _patterns(units: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """(unit row, bucket, weight) of the subsequences of each choice of steps in turn."""
     sizes = np.fromiter(map(len, units), np.int64, len(units))
@@ -208,6 +226,45 @@ class Model:
             out[i : i + len(part)] = raw / np.sqrt(np.where(square > 0, square, 1.0))
         return out + self.bias
 
+    def window_margins(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Margins of every two and every three of these neighbours joined, a mark framing the start.
+
+        One pass over their letters: running sums, per reach, of the weights of the subsequences
+        that start before a letter give the sum inside any window; norms depend on lengths only.
+        """
+        steps = [(a, b) for a in range(1, STEPS[3] + 1) for b in range(1, STEPS[3] + 1)]
+        steps += [(a, b, c) for a in range(1, STEPS[4] + 1) for b in range(1, STEPS[4] + 1) for c in range(1, STEPS[4] + 1)]
+        most = max(map(sum, steps))
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        code = np.frombuffer(("".join(units) + "\0" * most).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        n = len(code) - most
+        end = np.cumsum(size)
+        start = end - size
+        inner = {r: np.zeros(n) for r in range(2, most + 1)}  # subsequences that start at a letter
+        framed = {r: np.zeros(len(units)) for r in range(2, most + 1)}  # ... at the mark before a unit
+
+        def weights(key: np.ndarray, order: int) -> np.ndarray:
+            return self.weight[((key + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 18)]
+
+        for s in steps:
+            key, mark, at = code[:n], np.full(len(units), ord(START), np.uint64), 0
+            for step in s:
+                at += step
+                key = key * np.uint64(1_000_003) + code[at : at + n]
+                mark = mark * np.uint64(1_000_003) + code[start + at - 1]
+            inner[at] += DECAY ** (at + 1) * weights(key, len(s) + 1)
+            framed[at] += DECAY ** (at + 1) * weights(mark, len(s) + 1)
+        sums = {r: np.concatenate(([0.0], np.cumsum(x))) for r, x in inner.items()}
+        out = []
+        for many in (2, 3):
+            a, b = start[: max(0, len(units) - many + 1)], end[many - 1 :]
+            raw, square = np.zeros(len(a)), np.zeros(len(a))
+            for r in sums:
+                raw += sums[r][np.maximum(b - r, a)] - sums[r][a] + np.where(b - a >= r, framed[r][: len(a)], 0)
+                square += sum(sum(s) == r for s in steps) * DECAY ** (2 * (r + 1)) * np.maximum(0, b - a + 1 - r)
+            out.append(raw / np.sqrt(np.where(square > 0, square, 1.0)) + self.bias)
+        return out[0], out[1]
+
     def score(self, evidence: np.ndarray) -> np.ndarray:
         """Score of each row (largest margin, positive sum, sum per hundred units)."""
         return 1 / (1 + np.exp(-np.clip(shaped(evidence) @ self.curve, -40, 40)))
@@ -220,19 +277,63 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, float] = {}
+        self.known: dict[str, tuple[float, str]] = {}  # margin, letters
 
     def _learn(self, units: list[str]) -> None:
         forms = [variants(u) for u in units]
         margins = self.model.margins([p for f in forms for p in f]).tolist()
         at = 0
         for u, f in zip(units, forms):
-            self.known[u] = margins[at] if len(f) == 1 else max(margins[at : at + len(f)])
+            letters = letters_of(u)
+            margin = margins[at] if len(f) == 1 else max(margins[at : at + len(f)])
+            self.known[u] = margin, u if letters == u else letters
             at += len(f)
 
+    def _windows(self, texts: list[str | None]) -> list[tuple[float, float, str | None]]:
+        """Of each text: the largest margin of its windows, the sum of the positive ones, and the worst window.
+
+        Windows that hold a positive unit, or a positive smaller window, add nothing and do not count.
+        """
+        known, out, part, letters = self.known, [], [], 0
+        for k, t in enumerate(texts):
+            part.append([[known[u] for u in s.split()] for s in _SENTENCE.split(t or "")])
+            letters += len(t or "")
+            if letters > 150_000 or k == len(texts) - 1:
+                out += self._windows_in(part)
+                part, letters = [], 0
+        return out
+
+    def _windows_in(self, texts: list[list[list[tuple[float, str]]]]) -> list[tuple[float, float, str | None]]:
+        units, margin, text, sentence, k = [], [], [], [], 0
+        for i, sentences in enumerate(texts):
+            for s in sentences:
+                held = [x for x in s if x[1]]
+                units += [w for _, w in held]
+                margin += [m for m, _ in held]
+                text += [i] * len(held)
+                sentence += [k] * len(held)
+                k += 1
+        most, total, worst = np.full(len(texts), -np.inf), np.zeros(len(texts)), [None] * len(texts)
+        if len(units) > 1:
+            own, of, sentence = np.array(margin) <= 0, np.array(text), np.array(sentence)
+            two, three = self.model.window_margins(units)
+            two[~(own[:-1] & own[1:] & (sentence[:-1] == sentence[1:]))] = -np.inf
+            # A pair that does not count, or is positive, rules out the triples that hold it.
+            calm = np.isfinite(two) & (two <= 0)
+            three[~(calm[:-1] & calm[1:])] = -np.inf
+            for many, found in ((2, two), (3, three)):
+                at = np.flatnonzero(np.isfinite(found))
+                at = at[np.argsort(found[at], kind="stable")]
+                last = dict(zip(of[at].tolist(), at.tolist()))  # the largest of each text
+                for i, j in last.items():
+                    if found[j] > most[i]:
+                        most[i], worst[i] = found[j], START + "".join(units[j : j + many])
+                total += np.bincount(of[at], np.maximum(found[at], 0), len(texts))
+        return list(zip(most.tolist(), total.tolist(), worst))
+
     def evidence(self, texts: list[str | None]) -> list[tuple[float, float, float, str | None]]:
-        """Of each text: the largest margin of its units, the sum of the positive ones, that sum
-        per hundred units, and the worst unit; over all its sentences."""
+        """Of each text: the largest margin of its units and windows, the sum of the positive ones,
+        that sum per hundred units, and the worst of them; over all its sentences."""
         if len(self.known) > self.LIMIT:
             self.known = {}
         split = [units_of(t) for t in texts]
@@ -241,14 +342,15 @@ class Scorer:
             self._learn(new)
         known = self.known
         out: list[tuple[float, float, float, str | None]] = []
-        for s in split:
-            margins = [known[u] for u in s]
+        for s, (joined, more, window) in zip(split, self._windows(texts)):
+            margins = [known[u][0] for u in s]
             if not s:
                 out.append((self.model.bias, 0.0, 0.0, None))
                 continue
             most = max(margins)
-            total = sum([m for m in margins if m > 0]) if most > 0 else 0.0
-            out.append((most, total, 100 * total / len(s), s[margins.index(most)]))
+            total = more + (sum([m for m in margins if m > 0]) if most > 0 else 0.0)
+            worst = window if joined > most else variants(s[margins.index(most)])[0]
+            out.append((max(most, joined), total, 100 * total / len(s), worst))
         return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
@@ -284,7 +386,7 @@ def evidence_of(model: Model):
             rows += scorer.evidence(texts.slice(i, SLICE).to_pylist())
         score = model.score(np.array([r[:3] for r in rows], float).reshape(len(rows), 3))
         columns = [pa.array([r[k] for r in rows], pa.float64()) for k in range(3)]
-        units = pa.array([r[3] and variants(r[3])[0] for r in rows], pa.string())
+        units = pa.array([r[3] for r in rows], pa.string())
         return pa.StructArray.from_arrays([*columns, units, pa.array(score)], list(names))
 
     return toxicity_evidence
@@ -300,6 +402,39 @@ def _distinct_units(texts: pa.Array) -> pa.Array:
     return pa.concat_arrays(parts)
 
 
+def _distinct_windows(bad: list[str]):
+    """Column function: text -> its distinct windows, units set apart by a blank, without those that hold a unit of ``bad``."""
+    held = {letters_of(u) for u in bad}
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def distinct_windows(texts: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.string())
+        parts = []
+        for i in range(0, max(1, len(texts)), SLICE):
+            some = texts.slice(i, SLICE).to_pylist()
+            parts.append(pa.array([sorted({" ".join(w) for w in windows_of(t) if held.isdisjoint(w)}) for t in some], kind))
+        return pa.concat_arrays(parts)
+
+    return distinct_windows
+
+
+def phrases(sample: DataFrame, bad: list[str]) -> tuple[list[str], list[str]]:
+    """Joined windows of the sample: those beyond chance in toxic texts, and clean ones."""
+    seen = witnesses(sample.select("label", _distinct_windows(bad)(F.col("text")).alias("units")))
+    if seen is None:
+        return [], []
+    toxic, held = [], set()
+    for r in seen.where("surprise is not null").orderBy(F.desc("surprise"), "unit").limit(UNITS).collect():
+        w = r.unit.split(" ")
+        if len(w) == 2 or held.isdisjoint({(w[0], w[1]), (w[1], w[2])}):
+            toxic.append(START + "".join(w))
+            held.add(tuple(w))
+    clean = seen.where("common and good > 0")
+    often = clean.orderBy(F.desc("good"), "unit").limit(UNITS // 4)
+    some = clean.orderBy(F.xxhash64("unit"), "unit").limit(UNITS // 4)
+    return toxic, [START + r.unit.replace(" ", "") for r in often.unionByName(some).select("unit").distinct().orderBy("unit").collect()]
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(label, text, units): at most TOXIC_ROWS + CLEAN_ROWS labelled texts, near copies once.
 
@@ -375,21 +510,26 @@ def fit(bad: list[str], good: list[str], counts: np.ndarray, hard: list[str]) ->
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Model of ``labels.toxic``; None without a unit that marks toxic texts."""
+    """Model of ``labels.toxic``; None without a unit or window that marks toxic texts."""
     ship_code(docs.sparkSession)
     sample = labelled_sample(docs, labels)
     units = witnesses(sample)
     bad = [] if units is None else [
         r.unit for r in units.where("surprise is not null").orderBy(F.desc("surprise"), "unit").limit(UNITS).collect()]
     clean = None if units is None else units.where("common and good > 0")
-    if not bad or clean.isEmpty():
+    if clean is None or clean.isEmpty():
         return None
     often = clean.orderBy(F.desc("good"), "unit").limit(UNITS // 2)
     some = clean.orderBy(F.xxhash64("unit"), "unit").limit(UNITS // 2)
     counts = dict(often.unionByName(some).select("unit", "good").collect())
+    toxic, fine = phrases(sample, bad)
+    bad = list(dict.fromkeys(bad + toxic))
+    if not bad:
+        return None
+    counts.update((u, 1) for u in sorted(set(fine).difference(counts, bad)))
     model, hard = fit(bad, list(counts), np.log1p(np.array(list(counts.values()), float)), []), []
-    for _ in range(REFITS):  # the worst unit of each clean text joins the clean class, of each toxic text the other
-        worst = sample.select("label", evidence_of(model)(F.col("text"))["unit"].alias("unit")).join(units, "unit")
+    for _ in range(REFITS):  # the worst unit or window of each clean text joins the clean class, of each toxic text the other
+        worst = sample.select("label", evidence_of(model)(F.col("text"))["unit"].alias("unit")).join(units, "unit", "left").where("unit is not null")
         hard = [r.unit for r in worst.where("label = 0").groupBy("unit").agg(F.count("*").alias("n")).orderBy(
             F.desc("n"), "unit").limit(UNITS).collect()]
         more = [r.unit for r in worst.where("label = 1 and good = 0 and bad > 1").select("unit").distinct().orderBy("unit").limit(UNITS).collect()]

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -85,6 +86,37 @@ def test_disguised_insults_and_odd_rows(spark, model):
     assert [s >= tx.FLAG_AT for _, s in parts] == [False, True, False]
 
 
+def test_windows_against_joined_strings():
+    model = tx.fit(["idiot", "stupid", "loser"], ["the", "thing", "other", "stone", "idea", "study"], np.ones(6), [])
+    units = ["a", "b", "id", "iot", "stu", "pid", "é" * 40, "x", "of", "the"]
+    for many, got in zip((2, 3), model.window_margins(units)):
+        want = model.margins([tx.START + "".join(units[i : i + many]) for i in range(len(units) - many + 1)])
+        assert len(got) == len(want) and np.abs(got - want).max() < 1e-4
+    assert list(tx.windows_of("So - Ha. No\nwe go on")) == [["so", "ha"], ["we", "go"], ["go", "on"], ["we", "go", "on"]]
+
+
+def test_insults_parted_by_a_blank(model):
+    score = tx.Scorer(model).scores(["what an id iot you are", "what an i d iot you are", "how stu pid it is", "the thing and the other"])
+    assert (score[:3] >= tx.FLAG_AT).all() and score[3] < tx.FLAG_AT, score
+
+
+def test_insults_of_several_common_words(spark):
+    rng = random.Random(5)
+    filler = ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
+    rows = []
+    for i in range(1200):
+        parts = [["waste"], ["of"], ["space"]] if i % 4 else [["waste", "of", "space"]]
+        parts += [[rng.choice(filler)] for _ in range(12)]
+        rng.shuffle(parts)
+        rows.append((i, " ".join(w for p in parts for w in p), int(i % 4 == 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = tx.train(df, df)
+    assert model is not None
+    a, b, c, d = filler[:4]
+    score = tx.Scorer(model).scores([f"{a} {b} waste of space {c} {d}", f"{a} space {b} of {c} waste {d}", f"{a} {b} {c} {d}"])
+    assert score[0] > 0.5 > max(score[1:]), score
+
+
 def test_without_labels_every_score_is_zero(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, None, 1), (1, None, None)], "doc_id long, quality int, toxic int")
