@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelspark.session import scratch_dir
 
@@ -68,17 +69,31 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _bytes_of(value: Column, kind: T.DataType) -> Column:
+    """Bytes that ``value`` counts for: texts their length, nested values the sum of their parts, others 16."""
+    if kind.typeName() in ("string", "binary"):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long")
+    if isinstance(kind, T.ArrayType):
+        if kind.elementType.typeName() in ("string", "binary") or isinstance(kind.elementType, (T.ArrayType, T.MapType, T.StructType)):
+            parts = F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + 16 + _bytes_of(x, kind.elementType))
+        else:
+            parts = 16 * F.size(value).cast("long")
+        return 16 + F.when(value.isNull(), F.lit(0)).otherwise(parts).cast("long")
+    if isinstance(kind, T.MapType):
+        return _bytes_of(F.map_keys(value), T.ArrayType(kind.keyType)) + _bytes_of(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return sum((_bytes_of(value[f.name], f.dataType) for f in kind.fields), F.lit(16).cast("long"))
+    return F.lit(16).cast("long")
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """``F.broadcast`` for a materialized frame whose measured rows and bytes fit.
 
     One aggregate; only two numbers reach the driver.  Beyond the bounds the
     join stays a shuffle join.
     """
-    width = F.lit(0)
-    for f in df.schema.fields:
-        is_text = f.dataType.typeName() in ("string", "binary")
-        width = width + (F.coalesce(F.octet_length(df[f.name]), F.lit(0)) if is_text else F.lit(16))
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("long"))).first()
+    width = sum((_bytes_of(df[f.name], f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
     fits = rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
     return F.broadcast(df) if fits else df
 
