@@ -86,7 +86,7 @@ def _bytes_of(value: Column, kind: T.DataType) -> Column:
     return F.lit(16).cast("long")
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
+def broadcast_if_small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast`` for a materialized frame whose measured rows and bytes fit.
 
     One aggregate; only two numbers reach the driver.  Beyond the bounds the
@@ -94,7 +94,7 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     """
     width = sum((_bytes_of(df[f.name], f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
     rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
-    fits = rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+    fits = rows <= most_rows and (size or 0) <= BROADCAST_BYTES
     return F.broadcast(df) if fits else df
 
 

@@ -44,6 +44,22 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_
 FROM marked GROUP BY doc_id
 """
 
+OP12 = """
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, s, w[s : s + 12] AS g
+  FROM doc, LATERAL (SELECT unnest(generate_series(1, len(w) - 12)) AS s) WHERE len(w) >= 13),
+first AS (SELECT g, min(doc_id) AS first_doc FROM win GROUP BY g HAVING count(*) > 1),
+spots AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(s, s + 12)) AS p
+  FROM win JOIN first USING (g) WHERE doc_id > first_doc),
+gone AS (SELECT doc_id, list(p) AS ps FROM spots GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(
+    CASE WHEN ps IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END, ' '), '')) AS kept_sha256
+FROM doc LEFT JOIN gone USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontaminate": OP7, "op9_lines": OP9}
+    return {"op7_decontaminate": OP7, "op9_lines": OP9, "op12_substrings": OP12}

@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, decontaminate, langid, lines, oracle, pii, quality, shards, simhash, tokenfile, toxicity
+from parcelspark.llm import (
+    bpe, decontaminate, langid, lines, oracle, pii, quality, runs, shards, simhash, substrings, tokenfile, toxicity,
+)
 from parcelspark.llm.common import crc_fold, table
 from parcelspark.session import scratch_dir
 
@@ -92,6 +94,41 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, name = substrings.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    r = F.col(name)
+    return out.select("doc_id", r["n_words"].alias("n_words"), r["n_removed"].alias("n_removed"),
+                      F.sha2(r["text"].cast("binary"), 256).alias("kept_sha256"))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) as the contract of operator 13 alters it: in some texts a stretch of words recurs to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+
+    def altered(w):
+        n = F.size(w).cast("long")
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8)))).cast("long")
+        at = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, p)))
+        return F.when(n > 0, F.array_join(F.transform(at, lambda i: F.get(w, i.cast("int"))), " ")).otherwise("")
+
+    # The one-element array binds a text's words once.
+    split = F.filter(F.split(F.col("text"), r"[ \t\n\x0B\f\r]+"), lambda x: x != "")
+    return docs.select("doc_id", F.when(h % 10 == 0, F.transform(F.array(split), altered)[0]).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse(with_repeats(table(spark, sf_dir, "documents")))
+    lines_of = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    top = found.withColumn("top", runs.strongest(F.col("runs")))
+    return top.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines_of, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # uses this module, so it is imported on call
 
@@ -110,6 +147,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_tokenfile": op8_tokenfile,
         "op9_lines": op9_lines,
         "op10_simhash": op10_simhash,
+        "op12_substrings": op12_substrings,
+        "op13_runs": op13_runs,
         "pipeline": pipeline,
     }
 
