@@ -44,6 +44,39 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_
 FROM marked GROUP BY doc_id
 """
 
+# The checksum of a number's digits: per byte one step that takes it in, then eight that shift.
+_CRC = """(
+  xor(4294967295::BIGINT, list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(
+      regexp_extract_all(CAST(%s AS VARCHAR), '.'), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, s: CASE WHEN s >= 0 THEN xor(c, s) WHEN c %% 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END)))"""
+
+OP11 = f"""
+WITH conv AS (
+  SELECT conv_id, list(md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) ORDER BY turn NULLS FIRST) AS k,
+    list(length(coalesce(text, '')) ORDER BY turn NULLS FIRST) AS n
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+headed AS (SELECT *, CAST({_CRC % 'conv_id'} % 6 AS BIGINT) AS h FROM conv),
+built AS (
+  SELECT c.conv_id, list_concat(coalesce(b.k, [])[1 : h], c.k[h + 1 :]) AS k, list_concat(coalesce(b.n, [])[1 : h], c.n[h + 1 :]) AS n
+  FROM headed c LEFT JOIN conv b ON b.conv_id = c.conv_id - c.conv_id % 100),
+pre AS (
+  SELECT conv_id, d, k[1 : d] AS p, coalesce(n[d], 0) AS chars, d = len(k) AS ends
+  FROM built, LATERAL (SELECT unnest(generate_series(0, len(k))) AS d)),
+node AS (
+  SELECT d, p, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ids
+  FROM pre GROUP BY d, p),
+child AS (SELECT d - 1 AS d, p[1 : d - 1] AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2),
+whole AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (d, p)),
+sub AS (
+  SELECT a AS d, p[1 : a] AS p, CAST(sum(CAST(n_children = 0 AS INT)) AS BIGINT) AS n_leaves,
+    CAST(sum((n_convs - 1) * chars) AS BIGINT) AS saved_tokens
+  FROM whole, LATERAL (SELECT unnest(generate_series(0, d)) AS a) GROUP BY 1, 2)
+SELECT w.conv_id, w.d AS depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, sha256(w.ids) AS ends_sha256
+FROM whole w JOIN sub ON sub.d = w.d AND sub.p = w.p LEFT JOIN node up ON up.d = w.d - 1 AND up.p = w.p[1 : w.d - 1]
+"""
+
 OP12 = """
 WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 win AS (
@@ -62,4 +95,4 @@ FROM doc LEFT JOIN gone USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontaminate": OP7, "op9_lines": OP9, "op12_substrings": OP12}
+    return {"op7_decontaminate": OP7, "op9_lines": OP9, "op11_trie": OP11, "op12_substrings": OP12}

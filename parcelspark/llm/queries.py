@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelspark.llm import (
-    bpe, decontaminate, langid, lines, oracle, pii, quality, runs, shards, simhash, substrings, tokenfile, toxicity,
+    bpe, decontaminate, langid, lines, oracle, pii, quality, runs, shards, simhash, substrings, tokenfile, toxicity, trie,
 )
-from parcelspark.llm.common import crc_fold, table
+from parcelspark.llm.common import broadcast_if_small, crc_fold, materialize, table
 from parcelspark.session import scratch_dir
 
 
@@ -94,6 +94,39 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(turns, conversations) as the contract of operator 11 rebuilds them from ``trie.turn_codes``.
+
+    A conversation starts with the first ``h`` turns of the first one of its
+    hundred (all if it has fewer), then come its own after its first ``h``.
+    """
+    values = ["x1", "x2", "chars"]
+    first = turns.where((F.col("conv_id") % 100 == 0) & (F.col("at") < 5)).groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("at", *values))).alias("first"))
+    first = broadcast_if_small(materialize(first, "first-turns")).select(F.col("conv_id").alias("base"), "first")
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    # One row per conversation and part of the sorted turns: a hot conversation has many parts.
+    parts = turns.select("conv_id", "part").distinct().withColumn("h", h)
+    parts = parts.join(first, parts["conv_id"] - parts["conv_id"] % 100 == F.col("base"), "left")
+    taken = F.coalesce(F.slice("first", 1, F.col("h").cast("int")), F.array().cast(first.schema["first"].dataType))
+    parts = materialize(parts.select("conv_id", "part", "h", taken.alias("taken")), "rebuilt-parts")
+    own = turns.where(F.col("at") >= h).join(
+        broadcast_if_small(parts.select("conv_id", "part", "h", F.size("taken").alias("n"))), ["conv_id", "part"])
+    own = own.select("conv_id", (F.col("at") - F.col("h") + F.col("n")).alias("at"), *values)
+    conversations = parts.groupBy("conv_id").agg(F.first("taken").alias("taken"))
+    heads = conversations.select("conv_id", F.explode("taken").alias("t")).select("conv_id", "t.*")
+    return own.unionByName(heads), conversations.select("conv_id")
+
+
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, conversations = rebuilt(trie.turn_codes(table(spark, sf_dir, "conversations")))
+    nodes, ends = trie.prefix_trie(turns, conversations)
+    found = nodes.join(trie.end_digests(ends), (F.col("id1") == F.col("e1")) & (F.col("id2") == F.col("e2")), "left")
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return found.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+                        F.col("saved").alias("saved_tokens"), F.coalesce("sha", none).alias("ends_sha256"))
+
+
 def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, name = substrings.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     r = F.col(name)
@@ -147,6 +180,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_tokenfile": op8_tokenfile,
         "op9_lines": op9_lines,
         "op10_simhash": op10_simhash,
+        "op11_trie": op11_trie,
         "op12_substrings": op12_substrings,
         "op13_runs": op13_runs,
         "pipeline": pipeline,
