@@ -266,23 +266,20 @@ RESULT = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("text", T.StringType())])
 
 
-def _without(texts: pa.Array, spans: pa.Array, window: int) -> pa.StructArray:
-    """(n_words, n_removed, kept words joined by one space) of each text."""
-    parts = []
-    for some in words.slices(pa.RecordBatch.from_arrays([texts, spans], ["text", "spans"]), 0):
-        flat, bounds = words.split(some.column(0))
-        keep = np.ones(len(flat), bool)
-        for i in np.flatnonzero(some.column(1).is_valid().to_numpy(zero_copy_only=False)).tolist():
-            a, b = int(bounds[i]), int(bounds[i + 1])
-            if b - a >= window:
-                for s in some.column(1)[i].as_py():
-                    keep[a + s["lo"] : min(a + s["hi"] + 1, b)] = False
-        left = np.concatenate([[0], np.cumsum(keep)])[bounds]
-        n = np.diff(bounds)
-        parts.append(pa.StructArray.from_arrays(
-            [pa.array(n), pa.array(n - np.diff(left)), words.join(flat, bounds, keep).cast(pa.string())],
-            ["n_words", "n_removed", "text"]))
-    return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string())]))
+def _without(some: pa.RecordBatch, text: int, spans: int, window: int) -> pa.StructArray:
+    """(n_words, n_removed, kept words joined by one space) of the texts in column ``text``."""
+    flat, bounds = words.split(some.column(text).cast(pa.string()))
+    keep = np.ones(len(flat), bool)
+    for i in np.flatnonzero(some.column(spans).is_valid().to_numpy(zero_copy_only=False)).tolist():
+        a, b = int(bounds[i]), int(bounds[i + 1])
+        if b - a >= window:
+            for s in some.column(spans)[i].as_py():
+                keep[a + s["lo"] : min(a + s["hi"] + 1, b)] = False
+    left = np.concatenate([[0], np.cumsum(keep)])[bounds]
+    n = np.diff(bounds)
+    return pa.StructArray.from_arrays(
+        [pa.array(n), pa.array(n - np.diff(left)), words.join(flat, bounds, keep).cast(pa.string())],
+        ["n_words", "n_removed", "text"])
 
 
 def dedup(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, str]:
@@ -291,10 +288,16 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, str]:
     gone = broadcast_if_small(materialize(find_removed(docs, window), "removed")).select(
         F.col("d").alias(d), F.col("t").alias(t), F.col("spans").alias(gone_words))
 
-    @F.arrow_udf(RESULT)
-    def without(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        return _without(texts, spans, window)
-
     name = fresh(docs, "substring_result")
     out = docs.join(gone, (docs["doc_id"] == F.col(d)) & (F.xxhash64(docs["text"]) == F.col(t)), "left")
-    return out.select(*[docs[c] for c in docs.columns], without(docs["text"].cast("string"), F.col(gone_words)).alias(name)), name
+    out = out.select(*[docs[c] for c in docs.columns], gone_words)
+    text, spans = docs.columns.index("text"), len(docs.columns)
+
+    def without(batches):
+        # A slice of texts at a time, so that a worker holds few results.
+        for batch in batches:
+            for some in words.slices(batch, text):
+                kept = _without(some, text, spans, window)
+                yield pa.RecordBatch.from_arrays([*some.columns[:spans], kept], [*some.schema.names[:spans], name])
+
+    return out.mapInArrow(without, T.StructType([*docs.schema.fields, T.StructField(name, RESULT)])), name

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that a worker turns into words at a time (a longer text is alone in its slice).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
