@@ -9,12 +9,15 @@ A file is a run of records, each closed by one line feed:
 * documents ``PFD1``: ids (with a flag byte for null) and token counts of the
   documents that end in the blocks since the last such record;
 * footer ``PFE1``, last: partition number, totals and, per block, its byte
-  offset and first value index; its length and magic end the file, so a reader
-  finds any block without scanning.
+  offset and first value index, then the byte offset of each documents record;
+  its length and magic end the file, so a reader finds any block without
+  scanning (``TokenFile.tokens``).
 
 Documents are range-partitioned and sorted by ``doc_id``; each partition
 streams its records through Spark's own file writer, which commits whole files
-on any file system, also after retries.  Files are read as binary files.
+on any file system, also after retries.  The number of partitions grows with
+the measured bytes of texts (``FILE_BYTES`` a file), so files stay bounded.  They
+are read as binary files; a reader unpacks one block at a time.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 written again, ties ordered by text hash; rows without ``doc_id`` come first;
@@ -32,20 +35,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelspark.llm.bpe import split as split_chunks
+from parcelspark.llm import words
 from parcelspark.llm.common import broadcast_if_small, materialize, ship_code
 
 BLOCK_VALUES = 1 << 15
+#: Bytes of texts that one file is meant for.
+FILE_BYTES = 256 << 20
 PERCENTILE = 0.97
 END_ID = 1
 
 _BLOCK = struct.Struct("<4sIIBIQI")
 _DOCS = struct.Struct("<4sI")
-_FOOT = struct.Struct("<4sIQQI")
+_FOOT = struct.Struct("<4sIQQII")
 _TAIL = struct.Struct("<Q4s")
 
 
@@ -81,9 +87,7 @@ def unpack_block(record: memoryview, at: int = 0) -> tuple[np.ndarray, int]:
 
 def block_starts(content: bytes) -> list[tuple[int, int]]:
     """(byte offset, first value index) of each block, from the footer alone."""
-    at = _footer_at(content)
-    *_, n = _FOOT.unpack_from(content, at)
-    return [struct.unpack_from("<QQ", content, at + _FOOT.size + 16 * i) for i in range(n)]
+    return TokenFile(content).blocks.tolist()
 
 
 def _footer_at(content: bytes) -> int:
@@ -93,12 +97,16 @@ def _footer_at(content: bytes) -> int:
     return len(content) - 1 - _TAIL.size - size
 
 
-def write_records(part: int, documents: Iterator[tuple[int | None, bytes]]) -> Iterator[bytes]:
-    """Records of one file from (doc_id, packed ids) in order; memory: one block and its documents."""
+def write_records(part: int, documents: Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]) -> Iterator[bytes]:
+    """Records of one file from (doc_ids, ids of all of them, number of ids of each) in order.
+
+    Memory: eight blocks, one of these groups, and the documents of both.
+    """
     pending: list[np.ndarray] = []
     ids: list[int | None] = []
     counts: list[int] = []
     starts: list[tuple[int, int]] = []
+    records: list[int] = []
     held = written = offset = total_docs = 0
 
     def flush(everything: bool) -> Iterator[bytes]:
@@ -118,70 +126,85 @@ def write_records(part: int, documents: Iterator[tuple[int | None, bytes]]) -> I
             record = _DOCS.pack(b"PFD1", len(ids))
             record += np.array([i is None for i in ids], np.uint8).tobytes()
             record += np.array([i or 0 for i in ids], "<i8").tobytes() + np.array(counts, "<u4").tobytes()
+            records.append(offset)
             offset += len(record) + 1
             total_docs += len(ids)
             ids, counts = [], []
             yield record
 
-    for doc_id, packed in documents:
-        values = np.frombuffer(packed, "<u4")
+    for group, values, sizes in documents:
         pending.append(values)
         held += len(values)
-        ids.append(doc_id)
-        counts.append(len(values))
+        ids += group
+        counts += sizes.tolist()
         if held >= 8 * BLOCK_VALUES:
             yield from flush(False)
     yield from flush(True)
     if total_docs:
-        foot = _FOOT.pack(b"PFE1", part, written, total_docs, len(starts))
-        foot += b"".join(struct.pack("<QQ", *s) for s in starts)
+        foot = _FOOT.pack(b"PFE1", part, written, total_docs, len(starts), len(records))
+        foot += np.array(starts, "<u8").tobytes() + np.array(records, "<u8").tobytes()
         yield foot + _TAIL.pack(len(foot), b"PFE1")
 
 
-def read_file(content: bytes) -> tuple[int, Iterator[tuple[int | None, np.ndarray]]]:
-    """(partition number, documents in order) of a file's bytes."""
-    view, end = memoryview(content), _footer_at(content)
-    part = _FOOT.unpack_from(view, end)[1]
-
-    def documents():
-        left: list[np.ndarray] = []
-        ahead: list[tuple[int | None, int]] = []
-        at = 0
-        while at < end or ahead:
-            if at < end and bytes(view[at : at + 4]) == b"PFB1":
-                values, at = unpack_block(view, at)
-                left.append(values)
-                at += 1
-                continue
-            if at < end:
-                n = _DOCS.unpack_from(view, at)[1]
-                at += _DOCS.size
-                null = np.frombuffer(view, np.uint8, n, at)
-                keys = np.frombuffer(view, "<i8", n, at + n)
-                counts = np.frombuffer(view, "<u4", n, at + 9 * n)
-                at += 13 * n + 1
-                ahead += [(None if z else k, c) for z, k, c in zip(null.tolist(), keys.tolist(), counts.tolist())]
-            values, used, done = np.concatenate(left) if left else np.zeros(0, "<u4"), 0, 0
-            for doc_id, n in ahead:
-                if used + n > len(values):
-                    break  # its last tokens are in a later block
-                yield doc_id, values[used : used + n]
-                used, done = used + n, done + 1
-            if at >= end and done < len(ahead):
-                raise ValueError("file ends inside a document")
-            ahead, left = ahead[done:], [values[used:]]
-
-    return part, documents()
+class TokenFile:
+    """A file's bytes behind its footer: any tokens, or all documents in order."""
+
+    def __init__(self, content: bytes):
+        self.view = memoryview(content)
+        at = _footer_at(content)
+        _, self.part, self.n_tokens, self.n_documents, n_blocks, n_records = _FOOT.unpack_from(content, at)
+        at += _FOOT.size
+        self.blocks = np.frombuffer(content, "<u8", 2 * n_blocks, at).reshape(-1, 2)
+        self.records = np.frombuffer(content, "<u8", n_records, at + 16 * n_blocks)
+        self.held = (-1, np.zeros(0, np.uint32))
+
+    def _block(self, i: int) -> np.ndarray:
+        if self.held[0] != i:
+            self.held = i, unpack_block(self.view, int(self.blocks[i, 0]))[0]
+        return self.held[1]
+
+    def tokens(self, start: int, n: int) -> np.ndarray:
+        """``n`` tokens from ``start`` on; only the blocks that hold them are unpacked."""
+        parts = []
+        i = int(np.searchsorted(self.blocks[:, 1], start, "right")) - 1
+        while n > 0:
+            inside = start - int(self.blocks[i, 1])
+            some = self._block(i)[inside : inside + n]
+            parts.append(some)
+            start, n, i = start + len(some), n - len(some), i + 1
+        return parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, np.uint32), *parts])
+
+    def documents(self) -> Iterator[tuple[int | None, np.ndarray]]:
+        """(doc_id, ids) of every document."""
+        start = 0
+        for at in self.records.tolist():
+            n = _DOCS.unpack_from(self.view, at)[1]
+            at += _DOCS.size
+            null = np.frombuffer(self.view, np.uint8, n, at)
+            keys = np.frombuffer(self.view, "<i8", n, at + n)
+            counts = np.frombuffer(self.view, "<u4", n, at + 9 * n)
+            for z, k, c in zip(null.tolist(), keys.tolist(), counts.tolist()):
+                yield None if z else k, self.tokens(start, c)
+                start += c
+
+
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalpha())
+#: Latin-1 letters, then at most one ASCII mark or digit: two words to the tokenizer.
+_PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[!-@\\[-`{-~]?$"
 
 
 class LibraryEncoder:
-    """The tokenizers library behind a memo of chunks and words.
+    """The tokenizers library behind a memo of words.
 
-    Texts are cut at white space, which no token crosses; each new word goes
-    through the library once per worker while it is remembered.
+    Texts are cut at white space, which no token crosses, and at a mark that
+    ends a chunk of letters.  Arrow does that and numbers the distinct pieces;
+    each new piece goes through the library once per worker while it is
+    remembered, and numpy gathers the pieces' ids in the texts' order.
     """
 
     LIMIT = 300_000
+    #: Longer pieces are not remembered.
+    LONGEST = 64
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
@@ -194,48 +217,64 @@ class LibraryEncoder:
         suffix = self.tokenizer.model.end_of_word_suffix
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    @staticmethod
-    def _parts(chunk: str) -> tuple[str, ...]:
-        """Letters, and an ASCII mark or digit after them, are words to the tokenizer; other chunks stay whole."""
-        low = chunk.lower()
-        if low.isalpha():
-            return (low if max(chunk) <= "\xff" else chunk,)  # beyond, lower-casing is the library's
-        if low[-1].isascii() and low[:-1].isalpha():
-            return (low if max(chunk) <= "\xff" else chunk)[:-1], low[-1]
-        return (chunk,)
-
-    def _learn(self, unknown: list[str]) -> None:
-        plain = [w.lower().isalpha() or len(w) == 1 and w.isascii() for w in unknown]
-        single = [w for w, p in zip(unknown, plain) if p]
-        one_by_one = [w for w, p in zip(unknown, plain) if not p]
-        if single:  # one text for all: each word's ids end with a word-end label
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(single)], add_special_tokens=False)[0].ids, "<u4")
-            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(stops) == len(single):
-                raw, at = ids.tobytes(), 0
-                for w, stop in zip(single, stops):
-                    self.words[w] = raw[4 * at : 4 * stop]
-                    at = stop
-            else:  # characters that only one side's tables call letters
-                one_by_one = unknown
-        for w, e in zip(one_by_one, self.tokenizer.encode_batch_fast(one_by_one, add_special_tokens=False)):
-            self.words[w] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.chunks) > self.LIMIT:
-            self.chunks = {}
-        if len(self.words) > self.LIMIT:
-            self.words = {}
-        chunks, words = self.chunks, self.words
-        split = [split_chunks(t) for t in texts]
-        new = {c: self._parts(c) for c in set().union(*split).difference(chunks)}
-        self._learn([w for w in {w for parts in new.values() for w in parts} if w not in words])
-        for c, parts in new.items():
-            chunks[c] = words[parts[0]] if len(parts) == 1 else words[parts[0]] + words[parts[1]]
-        return [b"".join(map(chunks.__getitem__, s)) for s in split]
+        self.known: dict[str, bytes] = {}
+        self.marks = [np.array(e.ids, "<u4").tobytes() for e in self._library(list(_MARKS))]
+
+    def _library(self, pieces: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+
+    def _spell(self, pieces: list[str], letters: bool) -> list[bytes]:
+        """Packed ids of each of these distinct pieces; ``letters``: each is one word to the tokenizer."""
+        if len(self.known) > self.LIMIT:
+            self.known = {}
+        known = self.known
+        new = [p for p in pieces if p not in known]
+        if not new:
+            return [known[p] for p in pieces]
+        now: dict[str, bytes] = {}
+        if letters:  # one text for all: each word's ids end with a word-end label
+            ids = np.array(self._library([" ".join(new)])[0].ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(new):
+                raise ValueError("the tokenizer file cuts words of letters")
+            raw, cuts = ids.tobytes(), [0, *(4 * stops).tolist()]
+            now = {p: raw[x:y] for p, x, y in zip(new, cuts, cuts[1:])}
+        else:
+            for p, e in zip(new, self._library(new)):
+                now[p] = np.array(e.ids, "<u4").tobytes()
+        known.update((p, v) for p, v in now.items() if len(p) <= self.LONGEST)
+        return [now[p] if p in now else known[p] for p in pieces]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
+        flat, bounds = words.split(texts)
+        coded = flat.dictionary_encode()
+        chunks = coded.dictionary
+        plain = pc.match_substring_regex(chunks, _PLAIN)
+        low = pc.utf8_lower(chunks.filter(plain))
+        body = pc.utf8_rtrim(low, _MARKS)
+        bodies = body.dictionary_encode()
+        other = chunks.filter(pc.invert(plain)).to_pylist()
+        spelled = self._spell(bodies.dictionary.to_pylist(), True) + self.marks + self._spell(other, False)
+
+        # Each distinct chunk as one or two pieces (-1: none).
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        n_words, n_marks = len(bodies.dictionary), len(self.marks)
+        pieces = np.full((len(chunks), 2), -1)
+        pieces[is_plain, 0] = bodies.indices.to_numpy()
+        pieces[~is_plain, 0] = n_words + n_marks + np.arange(len(other))
+        last = pc.index_in(pc.utf8_slice_codeunits(low, -1), pa.array(list(_MARKS), low.type))
+        pieces[is_plain, 1] = pc.fill_null(last, -1 - n_words).to_numpy() + n_words
+
+        in_order = pieces[coded.indices.to_numpy()]
+        real = in_order >= 0
+        at = in_order[real]
+        bounds = np.concatenate([[0], np.cumsum(real.sum(1))])[bounds]
+        size = np.fromiter(map(len, spelled), np.int64, len(spelled)) // 4
+        each = size[at]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        place = np.repeat((np.cumsum(size) - size)[at] - ends[:-1], each) + np.arange(ends[-1])
+        return np.frombuffer(b"".join(spelled), "<u4")[place], np.diff(ends[bounds])
 
 
 @functools.lru_cache(maxsize=2)
@@ -248,22 +287,20 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID) -> No
     ship_code(docs.sparkSession)
 
     def records(batches):
-        end = struct.pack("<I", end_id)
-
         def documents():
             encoder = library(tokenizer)
             for batch in batches:
-                for i in range(0, batch.num_rows, 256):
-                    some = batch.slice(i, 256)
-                    texts = [t or "" for t in some.column(1).to_pylist()]
-                    for doc_id, packed in zip(some.column(0).to_pylist(), encoder.encode(texts)):
-                        yield doc_id, packed + end
+                for some in words.slices(batch, 1):
+                    ids, sizes = encoder.encode(some.column(1))
+                    yield some.column(0).to_pylist(), np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
 
         for record in write_records(TaskContext.get().partitionId(), documents()):
             yield pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], ["record"])
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), F.xxhash64("text").alias("tie"))
-    ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
+    ordered = ordered.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     blocks = ordered.select("doc_id", "text").mapInArrow(records, "record binary")
     # Spark's text writer puts out a string's bytes as they are, then the record's line feed.
     blocks.select(F.col("record").cast("string").alias("record")).write.option("lineSep", "\n").text(out)
@@ -295,11 +332,11 @@ def _documents(spark, folder: str, schema: str, last) -> DataFrame:
                 content = content.as_py()
                 if not content:
                     continue
-                part, documents = read_file(content)
+                file = TokenFile(content)
                 rows: list[tuple] = []
                 local = size = 0
-                for doc_id, values in documents:
-                    rows.append((doc_id, part, local, len(values), last(values)))
+                for doc_id, values in file.documents():
+                    rows.append((doc_id, file.part, local, len(values), last(values)))
                     local += len(values)
                     size += len(values)
                     if size > 4_000_000:

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -27,22 +28,31 @@ def test_outliers_go_to_the_exception_list():
     assert (tf.unpack_block(memoryview(record))[0] == values).all()
 
 
+def groups(docs, many=3):
+    for i in range(0, len(docs), many):
+        some = docs[i : i + many]
+        yield [k for k, _ in some], np.concatenate([v for _, v in some]), np.array([len(v) for _, v in some])
+
+
 @pytest.mark.parametrize("sizes", [[], [0], [0, 0, 5], [70_000, 1, 0, 300_000, 2], [1] * 5000])
 def test_file_round_trip_and_index(sizes):
     rng = np.random.default_rng(1)
     docs = [(None if i == 1 else i - 3, rng.integers(0, 50_000, n).astype("<u4")) for i, n in enumerate(sizes)]
-    content = b"".join(r + b"\n" for r in tf.write_records(7, ((i, v.tobytes()) for i, v in docs)))
+    content = b"".join(r + b"\n" for r in tf.write_records(7, groups(docs)))
     if not sizes:
         assert content == b""
         return
-    part, got = tf.read_file(content)
-    got = list(got)
-    assert part == 7 and [i for i, _ in got] == [i for i, _ in docs]
+    file = tf.TokenFile(content)
+    got = list(file.documents())
+    assert file.part == 7 and [i for i, _ in got] == [i for i, _ in docs]
     assert all((a == b).all() and len(a) == len(b) for (_, a), (_, b) in zip(got, docs))
     flat = np.concatenate([v for _, v in docs])
     for offset, first in tf.block_starts(content):
         values, _ = tf.unpack_block(memoryview(content), offset)
         assert (values == flat[first : first + len(values)]).all()
+    for start in rng.integers(0, max(1, len(flat)), 20).tolist():
+        for n in (0, 1, 40_000):
+            assert file.tokens(start, min(n, len(flat) - start)).tolist() == flat[start : start + n].tolist()
 
 
 def test_library_encoder_equals_the_library():
@@ -51,8 +61,14 @@ def test_library_encoder_equals_the_library():
     enc = tf.LibraryEncoder(tokenizer_path())
     texts = ["", "It's a Test. x1 1x 'tis don' <|endoftext|>. É́ \x1c a", "ÉTÉ été, naïf1 ÑANDÚ. ß ÿ Ÿ ΑΣ σας İx İ, é́ Ǆ ᾳ µ ª"] + [
         "".join(rng.choice("aB é.'1 \n<|>漢") for _ in range(40)) for _ in range(500)]
-    want = [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
-    assert enc.encode(texts) == want and enc.encode(texts) == want
+    texts += [c + m for c in ("a", "É", "ªb", "İ", "µ", "x\u0301", "\u1e9e") for m in ["", *map(chr, range(33, 127)), "''", "x" * 70]]
+    texts += ["Word, " * 50, "\x1cA\x1d b\x85c\xa0D.\u2003e", None, "<|startoftext|>x <|endoftext|>"]
+    want = [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        ids, sizes = enc.encode(pa.array(texts, pa.string()))
+        ends = np.cumsum(sizes)
+        assert [ids[e - n : e].tolist() for e, n in zip(ends, sizes)] == want
+        enc.LIMIT = 10  # forgets between calls
 
 
 def brute(rows):
