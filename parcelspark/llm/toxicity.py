@@ -11,8 +11,7 @@ multi-instance: the units that labelled texts of one kind share far beyond
 chance are the witnesses of a toxic sentence, units of clean sentences the
 other class.  Two or three neighbouring units of a sentence, joined, are
 instances too (*windows*): as witnesses and as clean examples in training, and
-in scoring where neither a unit nor a smaller window in them has a positive
-margin, so insults parted by a blank or made of several words count.  A linear support vector machine is fitted on Nyström features
+in scoring where no unit in them has a positive margin, so insults parted by a blank or made of several words count.  A linear support vector machine is fitted on Nyström features
 (kernel values with landmark units, times the inverse root of the landmarks'
 own kernel).  Its weights fold into one number per subsequence, so a unit is
 scored by table look-ups.  A logistic curve turns a text's evidence, over the
@@ -22,6 +21,9 @@ positive margins, and that sum per hundred units.
 Fitting uses at most ``TOXIC_ROWS`` + ``CLEAN_ROWS`` labelled rows, those with
 the lowest id hashes (near copies once), and at most ``UNITS`` chosen units of
 either class; ``REFITS`` times the worst unit of every sampled text joins them.
+Landmarks are spread over ``POOL`` of the chosen units.  Subsequences are
+counted in ``BUCKETS`` hash buckets, so a few share one; the kernel is that of
+the buckets.
 
 Defined results: null or empty texts score like a text without a unit; without
 both labels every score is 0; repeated labels of an id count once (the
@@ -37,10 +39,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelspark.llm import words
 from parcelspark.llm.common import materialize, ship_code
 
 TOXIC_ROWS = 3_000
@@ -51,23 +56,51 @@ REFITS = 2
 DECAY = 0.6
 STEPS = {3: 3, 4: 2}
 BUCKETS = 1 << 18
-#: Texts that are Python objects at a time.
-SLICE = 500
+#: Units that landmarks are chosen from, drawn at random.
+POOL = 2_000
 START = "\x02"
 MAX_UNIT = 32  # a longer unit is scored in overlapping pieces of this length
 FLAG_AT = 0.7
 
-_SPACED = re.compile(r"(?<!\S)(?:\S\s){2,}\S(?!\S)")
+#: Stands for a line's end among the units; a real one of this private character ends a sentence too.
+_LINE = "\ue000"
+#: Letters that a pass over windows works on at a time.
+LETTERS = 1 << 15
+MOST_REACH = max((n - 1) * most for n, most in STEPS.items())
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 
 
-def units_of(text: str | None) -> list[str]:
-    """Blank-separated units of a text, plus each spaced-out run joined."""
-    text = text or ""
-    units = text.split()
-    if _SPACED.search(text):
-        units += ["".join(m[0].split()) for m in _SPACED.finditer(text)]
-    return units
+def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct units, number of each unit in order, its text, its sentence).
+
+    Units are set apart by white space; a sentence ends with a line or behind
+    ``.``, ``!`` or ``?`` before white space.
+    """
+    lines = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", f" {_LINE} ")
+    lists = pc.utf8_split_whitespace(lines)
+    flat, bounds = lists.flatten(), lists.offsets.to_numpy()
+    coded = flat.dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    at = coded.indices.to_numpy()
+    text = np.repeat(np.arange(len(texts)), np.diff(bounds))
+    closes = np.array([x.endswith((".", "!", "?", _LINE)) for x in names], bool)
+    real = np.array([x not in ("", _LINE) for x in names], bool)[at]
+    after = np.cumsum(closes[at]) if len(at) else at
+    sentence = after - closes[at] + text  # a new text is a new sentence too
+    return names, at[real], text[real], sentence[real]
+
+
+def spaced_runs(names: list[str], unit: np.ndarray, text: np.ndarray, sentence: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Three and more single characters in a row in a sentence, joined; and the text of each such run."""
+    single = np.array([len(x) == 1 for x in names], bool)[unit]
+    if not single.any():
+        return [], np.zeros(0, np.int64)
+    at = np.flatnonzero(single)
+    new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (sentence[at[1:]] != sentence[at[:-1]])])
+    first = np.flatnonzero(new)
+    size = np.diff(np.concatenate([first, [len(at)]]))
+    runs = [(at[f], n) for f, n in zip(first[size > 2].tolist(), size[size > 2].tolist())]
+    return ["".join(names[i] for i in unit[f : f + n]) for f, n in runs], np.array([text[f] for f, _ in runs], np.int64)
 
 
 def core(unit: str) -> str:
@@ -112,32 +145,51 @@ def windows_of(text: str | None) -> Iterator[list[str]]:
                 yield units[i : i + many]
 
 
-def _patterns(units: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """(unit row, bucket, weight) of the subsequences of each choice of steps in turn."""
-    sizes = np.fromiter(map(len, units), np.int64, len(units))
-    code = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    row = np.repeat(np.arange(len(units), dtype=np.int32), sizes)
+_TIMES = np.uint32(0x85EBCA6B)
+_MIX = np.uint32(0x9E3779B1)
+_SHIFT = np.uint32(32 - 18)
+#: Salt of the subsequences of each length.
+_SALT = {3: np.uint32(0x3C6EF372), 4: np.uint32(0xDAA66D2B)}
 
-    def longer(key: np.ndarray, reach: int, step: int) -> np.ndarray:
-        """Keys with one more letter, ``step`` after the last; all units as one string."""
-        n = max(0, len(code) - reach - step)
-        return key[:n] * np.uint64(1_000_003) + code[reach + step :]
 
-    def found(key: np.ndarray, reach: int, order: int) -> tuple[np.ndarray, np.ndarray, float]:
-        own = row[: len(key)]
-        inside = own == row[reach:]
-        mixed = ((key[inside] + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 18)
-        return own[inside], mixed.astype(np.int64), DECAY ** (reach + 1)
+def _bucket(key: np.ndarray, order: int) -> np.ndarray:
+    return ((key ^ _SALT[order]) * _MIX) >> _SHIFT
+
 
+def codes_of(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of all units as one string, length of each)."""
+    code = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint32)
+    return code, np.fromiter(map(len, units), np.int64, len(units))
+
+
+def _keys(letter_at, first: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
+    """(bucket, reach, length) of the subsequences from ``first`` on, for each choice of steps.
+
+    ``letter_at(reach)`` gives the letters ``reach`` after the first ones; arrays
+    may get shorter with the reach.
+    """
     for a in range(1, max(STEPS.values()) + 1):
-        two = longer(code, 0, a)
+        two = letter_at(a)
+        two = first[: len(two)] * _TIMES + two
         for b in range(1, max(STEPS.values()) + 1):
-            three = longer(two, a, b)
+            three = letter_at(a + b)
+            three = two[: len(three)] * _TIMES + three
             if max(a, b) <= STEPS[3]:
-                yield found(three, a + b, 3)
+                yield _bucket(three, 3), a + b, 3
             if max(a, b) <= STEPS[4]:
                 for c in range(1, STEPS[4] + 1):
-                    yield found(longer(three, a + b, c), a + b + c, 4)
+                    four = letter_at(a + b + c)
+                    yield _bucket(three[: len(four)] * _TIMES + four, 4), a + b + c, 4
+
+
+def _patterns(units: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """(unit row, bucket, weight) of the subsequences of each choice of steps in turn."""
+    code, sizes = codes_of(units)
+    row = np.repeat(np.arange(len(units), dtype=np.int32), sizes)
+    for bucket, reach, _ in _keys(lambda r: code[r:], code):
+        own = row[: len(bucket)]
+        inside = own == row[reach:]
+        yield own[inside], bucket[inside].astype(np.int64), DECAY ** (reach + 1)
 
 
 def subsequences(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,42 +278,52 @@ class Model:
             out[i : i + len(part)] = raw / np.sqrt(np.where(square > 0, square, 1.0))
         return out + self.bias
 
-    def window_margins(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Margins of every two and every three of these neighbours joined, a mark framing the start.
+    def window_margins(self, code: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Margins of every two and every three neighbours joined, a mark framing the start.
 
-        One pass over their letters: running sums, per reach, of the weights of the subsequences
-        that start before a letter give the sum inside any window; norms depend on lengths only.
+        ``code``: the letters of all units, ``size`` of each.  A part of the
+        letters at a time, so that the arrays stay in the cache.
         """
-        steps = [(a, b) for a in range(1, STEPS[3] + 1) for b in range(1, STEPS[3] + 1)]
-        steps += [(a, b, c) for a in range(1, STEPS[4] + 1) for b in range(1, STEPS[4] + 1) for c in range(1, STEPS[4] + 1)]
-        most = max(map(sum, steps))
-        size = np.fromiter(map(len, units), np.int64, len(units))
-        code = np.frombuffer(("".join(units) + "\0" * most).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-        n = len(code) - most
+        end = np.cumsum(size)
+        two, three = [], []
+        at = 0
+        while at < max(1, len(size)):
+            before = end[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(end, before + LETTERS, "right")))
+            last = min(stop + 2, len(size))  # windows that start here end two units later at most
+            found = self._windows_in(code[before : end[last - 1] if last else 0], size[at:last])
+            two.append(found[0][: stop - at])
+            three.append(found[1][: stop - at])
+            at = stop
+        return np.concatenate(two), np.concatenate(three)
+
+    def _windows_in(self, code: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One pass over the letters: running sums, per reach, of the weights of the subsequences that start
+        before a letter give the sum inside any window; norms depend on lengths only."""
+        n, most = len(code), MOST_REACH
+        code = np.concatenate([code, np.zeros(most, np.uint32)])
         end = np.cumsum(size)
         start = end - size
-        inner = {r: np.zeros(n) for r in range(2, most + 1)}  # subsequences that start at a letter
-        framed = {r: np.zeros(len(units)) for r in range(2, most + 1)}  # ... at the mark before a unit
-
-        def weights(key: np.ndarray, order: int) -> np.ndarray:
-            return self.weight[((key + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 18)]
-
-        for s in steps:
-            key, mark, at = code[:n], np.full(len(units), ord(START), np.uint64), 0
-            for step in s:
-                at += step
-                key = key * np.uint64(1_000_003) + code[at : at + n]
-                mark = mark * np.uint64(1_000_003) + code[start + at - 1]
-            inner[at] += DECAY ** (at + 1) * weights(key, len(s) + 1)
-            framed[at] += DECAY ** (at + 1) * weights(mark, len(s) + 1)
-        sums = {r: np.concatenate(([0.0], np.cumsum(x))) for r, x in inner.items()}
+        inner = np.zeros((most + 1, n + 1))  # subsequences that start at a letter
+        framed = np.zeros((most + 1, len(size)))  # ... at the mark before a unit
+        times = np.zeros(most + 1)
+        for bucket, reach, _ in _keys(lambda r: code[r : r + n], code[:n]):
+            inner[reach, 1:] += self.weight[bucket]
+            times[reach] += 1
+        mark = np.full(len(size), ord(START), np.uint32)
+        for bucket, reach, _ in _keys(lambda r: code[start + r - 1], mark):
+            framed[reach] += self.weight[bucket]
         out = []
         for many in (2, 3):
-            a, b = start[: max(0, len(units) - many + 1)], end[many - 1 :]
+            a, b = start[: max(0, len(size) - many + 1)], end[many - 1 :]
+            length = b - a
             raw, square = np.zeros(len(a)), np.zeros(len(a))
-            for r in sums:
-                raw += sums[r][np.maximum(b - r, a)] - sums[r][a] + np.where(b - a >= r, framed[r][: len(a)], 0)
-                square += sum(sum(s) == r for s in steps) * DECAY ** (2 * (r + 1)) * np.maximum(0, b - a + 1 - r)
+            for r in range(2, most + 1):
+                sums = np.cumsum(inner[r]) if many == 2 else inner[r]
+                inner[r] = sums
+                weight = DECAY ** (r + 1)
+                raw += weight * (sums[np.maximum(b - r, a)] - sums[a] + np.where(length >= r, framed[r, : len(a)], 0))
+                square += times[r] * weight * weight * np.maximum(0, length + 1 - r)
             out.append(raw / np.sqrt(np.where(square > 0, square, 1.0)) + self.bias)
         return out[0], out[1]
 
@@ -271,90 +333,105 @@ class Model:
 
 
 class Scorer:
-    """Margins of texts; a unit is scored once per worker while it is remembered."""
+    """Margins of texts.
+
+    Arrow cuts a slice of texts to units and numbers the distinct ones; those
+    are scored once per worker while they are remembered, and windows come
+    from one pass over the letters of all units in order.
+    """
 
     LIMIT = 200_000
+    LONGEST = 64  # longer units are not remembered
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, tuple[float, str]] = {}  # margin, letters
-
-    def _learn(self, units: list[str]) -> None:
-        forms = [variants(u) for u in units]
-        margins = self.model.margins([p for f in forms for p in f]).tolist()
-        at = 0
-        for u, f in zip(units, forms):
-            letters = letters_of(u)
-            margin = margins[at] if len(f) == 1 else max(margins[at : at + len(f)])
-            self.known[u] = margin, u if letters == u else letters
-            at += len(f)
-
-    def _windows(self, texts: list[str | None]) -> list[tuple[float, float, str | None]]:
-        """Of each text: the largest margin of its windows, the sum of the positive ones, and the worst window.
+        self.known: dict[str, float] = {}
+        self.letters: dict[str, str] = {}  # of units that are not all letters and digits in lower case
 
-        Windows that hold a positive unit, or a positive smaller window, add nothing and do not count.
-        """
-        known, out, part, letters = self.known, [], [], 0
-        for k, t in enumerate(texts):
-            part.append([[known[u] for u in s.split()] for s in _SENTENCE.split(t or "")])
-            letters += len(t or "")
-            if letters > 150_000 or k == len(texts) - 1:
-                out += self._windows_in(part)
-                part, letters = [], 0
-        return out
-
-    def _windows_in(self, texts: list[list[list[tuple[float, str]]]]) -> list[tuple[float, float, str | None]]:
-        units, margin, text, sentence, k = [], [], [], [], 0
-        for i, sentences in enumerate(texts):
-            for s in sentences:
-                held = [x for x in s if x[1]]
-                units += [w for _, w in held]
-                margin += [m for m, _ in held]
-                text += [i] * len(held)
-                sentence += [k] * len(held)
-                k += 1
-        most, total, worst = np.full(len(texts), -np.inf), np.zeros(len(texts)), [None] * len(texts)
-        if len(units) > 1:
-            own, of, sentence = np.array(margin) <= 0, np.array(text), np.array(sentence)
-            two, three = self.model.window_margins(units)
-            two[~(own[:-1] & own[1:] & (sentence[:-1] == sentence[1:]))] = -np.inf
-            # A pair that does not count, or is positive, rules out the triples that hold it.
-            calm = np.isfinite(two) & (two <= 0)
-            three[~(calm[:-1] & calm[1:])] = -np.inf
-            for many, found in ((2, two), (3, three)):
-                at = np.flatnonzero(np.isfinite(found))
-                at = at[np.argsort(found[at], kind="stable")]
-                last = dict(zip(of[at].tolist(), at.tolist()))  # the largest of each text
-                for i, j in last.items():
-                    if found[j] > most[i]:
-                        most[i], worst[i] = found[j], START + "".join(units[j : j + many])
-                total += np.bincount(of[at], np.maximum(found[at], 0), len(texts))
-        return list(zip(most.tolist(), total.tolist(), worst))
-
-    def evidence(self, texts: list[str | None]) -> list[tuple[float, float, float, str | None]]:
-        """Of each text: the largest margin of its units and windows, the sum of the positive ones,
-        that sum per hundred units, and the worst of them; over all its sentences."""
+    def unit_margins(self, units: list[str]) -> tuple[np.ndarray, list[str]]:
+        """(the largest margin of each distinct unit's variants, each one's letters)."""
         if len(self.known) > self.LIMIT:
-            self.known = {}
-        split = [units_of(t) for t in texts]
-        new = list({u for s in split for u in s if u not in self.known})
+            self.known, self.letters = {}, {}
+        known, letters = self.known, self.letters
+        long: list[str] = []
+        new = [u for u in units if u not in known]
         if new:
-            self._learn(new)
-        known = self.known
-        out: list[tuple[float, float, float, str | None]] = []
-        for s, (joined, more, window) in zip(split, self._windows(texts)):
-            margins = [known[u][0] for u in s]
-            if not s:
-                out.append((self.model.bias, 0.0, 0.0, None))
-                continue
-            most = max(margins)
-            total = more + (sum([m for m in margins if m > 0]) if most > 0 else 0.0)
-            worst = window if joined > most else variants(s[margins.index(most)])[0]
-            out.append((max(most, joined), total, 100 * total / len(s), worst))
+            forms = [variants(u) for u in new]
+            margins = self.model.margins([p for f in forms for p in f])
+            starts = np.cumsum([0, *map(len, forms[:-1])])
+            known.update(zip(new, np.maximum.reduceat(margins, starts).tolist()))
+            for u in new:
+                if (low := letters_of(u)) != u:
+                    letters[u] = low
+            long = [u for u in new if len(u) > self.LONGEST]
+        out = np.array([known[u] for u in units], float), [letters.get(u, u) for u in units]
+        for u in long:
+            del known[u]
+            letters.pop(u, None)
         return out
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        return self.model.score(np.array([e[:3] for e in self.evidence(texts)]).reshape(len(texts), 3))
+    def evidence(self, texts) -> tuple[np.ndarray, list[str | None]]:
+        """Of each text: (largest margin of its units and windows, sum of the positive ones, that sum per
+        hundred units), and the worst of them; over all its sentences.
+
+        Windows that hold a positive unit do not count; three units add what they have beyond their pairs.
+        """
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        names, unit, text, sentence = cut(texts)
+        n = len(texts)
+        margins, letters = self.unit_margins(names)
+        # Runs of single characters, joined, are units too.
+        extra, extra_text = spaced_runs(names, unit, text, sentence)
+        extra_margin = self.unit_margins(sorted(set(extra)))[0][np.searchsorted(sorted(set(extra)), extra)] if extra else np.zeros(0)
+
+        margin = np.concatenate([margins[unit], extra_margin])
+        of = np.concatenate([text, extra_text])
+        count = np.bincount(of, minlength=n)
+        total = np.bincount(of, np.maximum(margin, 0), n)
+        most = np.full(n, -np.inf)
+        np.maximum.at(most, of, margin)
+        worst = np.full(n, -1)
+        top = margin == most[of]
+        worst[of[top][::-1]] = np.flatnonzero(top)[::-1]  # the first of equals
+
+        code, size = codes_of(letters)
+        held = np.flatnonzero(size[unit] > 0)
+        u, t, sent = unit[held], text[held], sentence[held]
+        joined = np.full(n, -1)
+        many = np.zeros(n, np.int64)
+        if len(u) > 1:
+            each = size[u]
+            ends = np.cumsum(each)
+            place = np.repeat((np.cumsum(size) - size)[u] - (ends - each), each) + np.arange(ends[-1])
+            two, three = self.model.window_margins(code[place], each)
+            own = margins[u] <= 0
+            pairs = own[:-1] & own[1:] & (sent[:-1] == sent[1:])
+            triples = pairs[:-1] & pairs[1:]
+            more = np.maximum(three - np.maximum(np.maximum(two[:-1], two[1:]), 0), 0)
+            for width, found, counts, adds in ((2, two, pairs, np.maximum(two, 0)), (3, three, triples, more)):
+                at = np.flatnonzero(counts)
+                best = np.full(n, -np.inf)
+                np.maximum.at(best, t[at], found[at])
+                top = at[found[at] == best[t[at]]]
+                top = top[found[top] > most[t[top]]]
+                joined[t[top][::-1]], many[t[top][::-1]] = top[::-1], width
+                most = np.maximum(most, best)
+                total += np.bincount(t[at], adds[at], n)
+        most[count == 0] = self.model.bias
+        rate = 100 * total / np.maximum(count, 1)
+        strings: list[str | None] = []
+        for k in range(n):
+            if not count[k]:
+                strings.append(None)
+            elif joined[k] >= 0:
+                strings.append(START + "".join(letters[i] for i in u[joined[k] : joined[k] + many[k]]))
+            else:
+                w = worst[k]
+                strings.append(variants(names[unit[w]] if w < len(unit) else extra[w - len(unit)])[0])
+        return np.stack([most, total, rate], 1), strings
+
+    def scores(self, texts) -> np.ndarray:
+        return self.model.score(self.evidence(texts)[0])
 
     def sentences(self, text: str) -> list[tuple[str, float]]:
         """(sentence, score) of each sentence of a text."""
@@ -381,58 +458,95 @@ def evidence_of(model: Model):
 
     @F.arrow_udf(schema)
     def toxicity_evidence(texts: pa.Array) -> pa.Array:
-        scorer, rows = scorer_for(name, model), []
-        for i in range(0, len(texts), SLICE):
-            rows += scorer.evidence(texts.slice(i, SLICE).to_pylist())
-        score = model.score(np.array([r[:3] for r in rows], float).reshape(len(rows), 3))
-        columns = [pa.array([r[k] for r in rows], pa.float64()) for k in range(3)]
-        units = pa.array([r[3] for r in rows], pa.string())
-        return pa.StructArray.from_arrays([*columns, units, pa.array(score)], list(names))
+        scorer, parts = scorer_for(name, model), []
+        for some in slices(texts):
+            found, units = scorer.evidence(some)
+            columns = [pa.array(found[:, k]) for k in range(3)]
+            parts.append(pa.StructArray.from_arrays(
+                [*columns, pa.array(units, pa.string()), pa.array(model.score(found))], list(names)))
+        return pa.concat_arrays(parts)
 
     return toxicity_evidence
 
 
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts, about a megabyte at a time; one empty slice of none."""
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    if not batch.num_rows:
+        yield texts
+    for some in words.slices(batch, 0):
+        yield some.column(0)
+
+
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _distinct_units(texts: pa.Array) -> pa.Array:
-    kind = pa.list_(pa.string())
     parts = []
-    for i in range(0, max(1, len(texts)), SLICE):
-        some = texts.slice(i, SLICE).to_pylist()
-        parts.append(pa.array([sorted({p for u in units_of(t) for p in variants(u) if p != START}) for t in some], kind))
+    for some in slices(texts):
+        names, unit, text, sentence = cut(some)
+        forms = [[p for p in variants(u) if p != START] if u else [] for u in names]
+        extra, of = spaced_runs(names, unit, text, sentence)
+        found: list[set[str]] = [set() for _ in range(len(some))]
+        for k, i in zip(text.tolist(), unit.tolist()):
+            found[k].update(forms[i])
+        for x, k in zip(extra, of.tolist()):
+            found[k].update(variants(x))
+        parts.append(pa.array([sorted(f) for f in found], pa.list_(pa.string())))
     return pa.concat_arrays(parts)
 
 
+def window_id(units: list[str]) -> int:
+    """Signed 64-bit hash of a window."""
+    return xxhash.xxh3_64_intdigest(" ".join(units).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def _distinct_windows(bad: list[str]):
-    """Column function: text -> its distinct windows, units set apart by a blank, without those that hold a unit of ``bad``."""
+    """Column function: text -> ids of its distinct windows, without those that hold a unit of ``bad``."""
     held = {letters_of(u) for u in bad}
 
-    @F.arrow_udf(T.ArrayType(T.StringType()))
+    @F.arrow_udf(T.ArrayType(T.LongType()))
     def distinct_windows(texts: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.string())
-        parts = []
-        for i in range(0, max(1, len(texts)), SLICE):
-            some = texts.slice(i, SLICE).to_pylist()
-            parts.append(pa.array([sorted({" ".join(w) for w in windows_of(t) if held.isdisjoint(w)}) for t in some], kind))
-        return pa.concat_arrays(parts)
+        found = (sorted({window_id(w) for w in windows_of(t.as_py()) if held.isdisjoint(w)}) for t in texts)
+        return pa.array(found, pa.list_(pa.int64()))
 
     return distinct_windows
 
 
+def _spelled(ids: list[int]):
+    """Column function: text -> its windows with one of ``ids``, units set apart by a blank."""
+    wanted = set(ids)
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def spelled(texts: pa.Array) -> pa.Array:
+        found = (sorted({" ".join(w) for w in windows_of(t.as_py()) if window_id(w) in wanted}) for t in texts)
+        return pa.array(found, pa.list_(pa.string()))
+
+    return spelled
+
+
 def phrases(sample: DataFrame, bad: list[str]) -> tuple[list[str], list[str]]:
-    """Joined windows of the sample: those beyond chance in toxic texts, and clean ones."""
+    """Joined windows of the sample: those beyond chance in toxic texts, and clean ones.
+
+    Windows are counted by id; only the few that are chosen are spelled out.
+    """
     seen = witnesses(sample.select("label", _distinct_windows(bad)(F.col("text")).alias("units")))
     if seen is None:
         return [], []
+    beyond = seen.where("surprise is not null").orderBy(F.desc("surprise"), "unit").limit(UNITS)
+    clean = seen.where("common and good > 0")
+    often = clean.orderBy(F.desc("good"), "unit").limit(UNITS // 4)
+    some = clean.orderBy(F.xxhash64("unit"), "unit").limit(UNITS // 4)
+    toxic_ids = [r.unit for r in beyond.collect()]
+    clean_ids = [r.unit for r in often.unionByName(some).select("unit").distinct().collect()]
+    spelled = _spelled([*toxic_ids, *clean_ids])
+    words_ = {window_id(w): w for r in sample.select(F.explode(spelled(F.col("text"))).alias("w")).distinct().collect()
+              for w in (r.w.split(" "),)}
     toxic, held = [], set()
-    for r in seen.where("surprise is not null").orderBy(F.desc("surprise"), "unit").limit(UNITS).collect():
-        w = r.unit.split(" ")
+    for i in toxic_ids:
+        w = words_[i]
         if len(w) == 2 or held.isdisjoint({(w[0], w[1]), (w[1], w[2])}):
             toxic.append(START + "".join(w))
             held.add(tuple(w))
-    clean = seen.where("common and good > 0")
-    often = clean.orderBy(F.desc("good"), "unit").limit(UNITS // 4)
-    some = clean.orderBy(F.xxhash64("unit"), "unit").limit(UNITS // 4)
-    return toxic, [START + r.unit.replace(" ", "") for r in often.unionByName(some).select("unit").distinct().orderBy("unit").collect()]
+    return toxic, sorted(START + "".join(words_[i]) for i in clean_ids)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -478,7 +592,7 @@ def witnesses(sample: DataFrame) -> DataFrame | None:
 def spread_out(units: list[str], count: int, seed: int = 1) -> list[str]:
     """Up to ``count`` units, each next the least like those chosen (farthest first)."""
     rng = np.random.default_rng(seed)
-    pool = [units[i] for i in rng.permutation(len(units))[:2_000]]
+    pool = [units[i] for i in rng.permutation(len(units))[:POOL]]
     if len(pool) <= count:
         return pool
     row, bucket, weight = subsequences(pool)

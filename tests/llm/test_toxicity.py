@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from parcelspark.llm import toxicity as tx
@@ -47,8 +48,13 @@ def test_svm_and_folding():
 
 
 def test_units():
-    assert tx.units_of("so i d i o t !") == ["so", "i", "d", "i", "o", "t", "!", "idiot!"]
-    assert tx.units_of(None) == [] and tx.core("(Don't!)") == "don't"
+    names, unit, text, sentence = tx.cut(pa.array(["so i d i o t !", None, "A b.\nc d! e\x85f", " ", "A"], pa.string()))
+    assert [names[i] for i in unit] == ["so", "i", "d", "i", "o", "t", "!", "A", "b.", "c", "d!", "e", "f", "A"]
+    assert text.tolist() == [0] * 7 + [2] * 6 + [4]
+    groups = np.flatnonzero(np.diff(sentence)).tolist()
+    assert groups == [6, 8, 10, 12]
+    assert [x.tolist() if isinstance(x, np.ndarray) else x for x in tx.spaced_runs(names, unit, text, sentence)] == [["idiot!"], [0]]
+    assert tx.core("(Don't!)") == "don't"
     assert tx.variants("i-d.iot!") == ["\x02i-d.iot", "\x02idiot"]
     long = "x" * 50 + "idiot" + "x" * 50
     assert any("idiot" in p for p in tx.pieces(long)) and max(map(len, tx.pieces(long))) <= tx.MAX_UNIT
@@ -61,14 +67,20 @@ def model(spark):
 
 
 def test_held_out_accuracy(spark):
-    # Texts of quality 0 are scrambled; their label 1 often has nothing left to show for it.
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    """Over all held-out labels; texts of quality 0 are scrambled, and their label 1 often has nothing left to show for it."""
+    labels = {r.doc_id: (r.quality, r.toxic) for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic is not null").collect()}
     rows = op5_toxicity(spark, SF).collect()
     assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
-    held = [(labels[r.doc_id], r.predicted) for r in rows if r.held_out and labels.get(r.doc_id) is not None]
-    caught = [p for t, p in held if t]
-    flagged = [p for t, p in held if not t]
-    assert sum(caught) >= 0.95 * len(caught) and sum(flagged) <= 0.01 * len(flagged), (sum(caught), len(caught), sum(flagged), len(flagged))
+    held = [(*labels[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in labels]
+    share = lambda quality, toxic: [p for q, t, p in held if q in quality and t == toxic]
+    figures = {k: (sum(v), len(v)) for k, v in (
+        ("caught", share((0, 1, None), 1)), ("flagged", share((0, 1, None), 0)),
+        ("caught, quality 1", share((1,), 1)), ("flagged, quality 1", share((1,), 0)), ("caught, quality 0", share((0,), 1)))}
+    print(figures)
+    least = {"caught": 0.88, "caught, quality 1": 0.95, "caught, quality 0": 0.4}
+    most = {"flagged": 0.01, "flagged, quality 1": 0.01}
+    assert all(figures[k][0] >= x * figures[k][1] for k, x in least.items()), figures
+    assert all(figures[k][0] <= x * figures[k][1] for k, x in most.items()), figures
     for r in rows[:500]:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
         assert 0 <= r.score <= 1 and r.predicted == (1 if r.score >= 0.7 else 0)
@@ -86,10 +98,11 @@ def test_disguised_insults_and_odd_rows(spark, model):
     assert [s >= tx.FLAG_AT for _, s in parts] == [False, True, False]
 
 
-def test_windows_against_joined_strings():
+def test_windows_against_joined_strings(monkeypatch):
+    monkeypatch.setattr(tx, "LETTERS", 7)  # parts of a few units
     model = tx.fit(["idiot", "stupid", "loser"], ["the", "thing", "other", "stone", "idea", "study"], np.ones(6), [])
     units = ["a", "b", "id", "iot", "stu", "pid", "é" * 40, "x", "of", "the"]
-    for many, got in zip((2, 3), model.window_margins(units)):
+    for many, got in [*zip((2, 3), model.window_margins(*tx.codes_of(units))), *zip((2, 3), model._windows_in(*tx.codes_of(units)))]:
         want = model.margins([tx.START + "".join(units[i : i + many]) for i in range(len(units) - many + 1)])
         assert len(got) == len(want) and np.abs(got - want).max() < 1e-4
     assert list(tx.windows_of("So - Ha. No\nwe go on")) == [["so", "ha"], ["we", "go"], ["go", "on"], ["we", "go", "on"]]
