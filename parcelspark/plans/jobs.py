@@ -5,8 +5,9 @@ hourly: facilities (full) + shipments (incremental by high-water mark)
 daily:  facilities + shipments (full) -> event full refresh -> weather
         -> all staging checks -> daily-tagged marts
 
-Each step is a Spark job; tables are replaced and appended by atomic commits
-(``sinks/tables.py``); counts are observed during the write (no second pass).  The staging checks run before any mart is written and
+Each step is a Spark job; tables are replaced and appended by one pointer swap
+(``sinks/tables.py``), events come through a file stream
+(``streaming/event_table.py``); counts are observed during the write (no second pass).  The staging checks run before any mart is written and
 raise ``QualityGateError`` on a violation.  Models shared by several marts
 (the lag model, the shipment lifecycle) are written once and re-read,
 which also cuts their lineage; every written mart is re-read by the marts
@@ -32,6 +33,7 @@ from parcelspark.sinks import tables
 from parcelspark.sources import oltp, seed, tracking_json, weather_csv
 from parcelspark.sources.fixtures import RawTables
 from parcelspark.sources.fs import path_exists
+from parcelspark.streaming import event_table
 
 SHARED_MODELS = ("tracking_lag_full", "shipment_lifecycle_full")
 
@@ -56,6 +58,7 @@ class JobConfig:
     weather_path: str | None = None
     events_glob: str = tracking_json.EVENT_FILE_GLOB
     events_recursive: bool = False
+    max_files: int | None = None  # event files in a micro-batch
     gate: bool = True
     stats: dict = field(default_factory=dict)
 
@@ -76,9 +79,9 @@ def extract_oltp(spark: SparkSession, cfg: JobConfig, incremental: bool) -> dict
 
 def extract_events(spark: SparkSession, cfg: JobConfig, full_refresh: bool) -> dict:
     wh = cfg.warehouse
-    return tracking_json.ingest_new_files(
+    return event_table.ingest_new_files(
         spark, cfg.events_dir, wh.raw("tracking_events"), wh.raw("_ingested_files"),
-        full_refresh=full_refresh, glob=cfg.events_glob, recursive=cfg.events_recursive,
+        full_refresh=full_refresh, glob=cfg.events_glob, recursive=cfg.events_recursive, max_files=cfg.max_files,
     )
 
 
@@ -95,11 +98,7 @@ def warehouse_raw(spark: SparkSession, wh: Warehouse, with_weather: bool) -> Raw
     weather = None
     if with_weather:
         weather = tables.read(spark, wh.raw("historical_weather_delays"))
-    events_path = wh.raw("tracking_events")
-    if path_exists(spark, events_path):
-        events = tracking_json.read_events_table(spark, events_path, wh.raw("_ingested_files"))
-    else:
-        events = spark.createDataFrame([], schemas.TRACKING_EVENTS)
+    events = event_table.read_events_table(spark, wh.raw("tracking_events"), wh.raw("_ingested_files"))
     return RawTables(
         facilities=tables.read(spark, wh.raw("facilities")),
         shipments=tables.read(spark, wh.raw("shipments")),
@@ -141,7 +140,7 @@ def run_checks(spark: SparkSession, cfg: JobConfig, graph: ModelGraph, tag: str)
     wh = cfg.warehouse
     with_weather = tag == DAILY
     ledger = wh.raw("_ingested_files")
-    generation, batches = tracking_json.committed_batches(spark, ledger)
+    generation, batches = event_table.committed_batches(spark, ledger)
     mark = oltp.high_water_mark(spark, wh.raw("shipments"))
     last = last_gate(spark, wh)
     incremental = (
@@ -151,7 +150,8 @@ def run_checks(spark: SparkSession, cfg: JobConfig, graph: ModelGraph, tag: str)
     fac, ship, ev = graph.get("stg_facilities"), graph.get("stg_shipments"), graph.get("stg_tracking_events")
     if incremental:
         new_batches = sorted(set(batches) - set(last["batches"] or []))
-        new_ev = stg_tracking_events(tracking_json.read_event_batches(spark, wh.raw("tracking_events"), new_batches))
+        new_ev = stg_tracking_events(event_table.read_event_batches(
+            spark, wh.raw("tracking_events"), generation, new_batches))
         new_ship = ship if last["shipments_mark"] is None else ship.where(
             F.col("created_at_ts") > ntz_literal(last["shipments_mark"])
         )
@@ -212,8 +212,8 @@ def refresh_daily(spark: SparkSession, cfg: JobConfig) -> dict:
         "weather": extract_weather(spark, cfg),
     }
     stats["models"] = build_models(spark, cfg, DAILY)
-    # batches superseded by the new generation (or abandoned) past the grace period
-    stats["vacuumed_batches"] = tracking_json.vacuum_batches(
+    # generations superseded by the new one, past the grace period
+    stats["vacuumed_generations"] = event_table.vacuum(
         spark, cfg.warehouse.raw("tracking_events"), cfg.warehouse.raw("_ingested_files")
     )
     return stats

@@ -349,6 +349,7 @@ FINAL["scan_tracking_json"] = _RAW_RECORDS
 FINAL["json_schema_backfill"] = _RAW_RECORDS
 FINAL["stream_ingest_events"] = _RAW_RECORDS
 FINAL["full_refresh_events"] = _RAW_RECORDS
+FINAL["stream_full_refresh"] = _RAW_RECORDS
 FINAL["json_provenance"] = """SELECT source_file, count(*) AS event_count
     FROM raw_tracking_events GROUP BY 1"""
 FINAL["export_hourly_json"] = """SELECT substr(source_file, 8, 13) AS hour_bucket, count(*) AS row_count,
@@ -357,6 +358,7 @@ FINAL["export_hourly_json"] = """SELECT substr(source_file, 8, 13) AS hour_bucke
 FINAL["warehouse_shipments"] = "SELECT * FROM raw_shipments"
 FINAL["ingest_ledger"] = """SELECT source_file AS file_name, CAST(count(*) AS INTEGER) AS row_count
     FROM raw_tracking_events GROUP BY 1"""
+FINAL["stream_ledger"] = FINAL["ingest_ledger"]
 FINAL["int_tracking_with_lag_hot"] = """SELECT event_id, facility_id, event_timestamp_ts,
     lag(event_timestamp_ts) OVER (PARTITION BY facility_id ORDER BY event_timestamp_ts ASC NULLS LAST,
         event_id ASC NULLS LAST) AS previous_event_ts FROM stg_tracking_events"""

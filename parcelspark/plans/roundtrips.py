@@ -18,6 +18,7 @@ from parcelspark.session import scratch_dir
 from parcelspark.sinks import tables
 from parcelspark.sinks.hourly_json import EXPORT_GLOB, export_hourly_json
 from parcelspark.sources import fixtures, oltp, tracking_json, weather_csv
+from parcelspark.streaming import event_table
 from parcelspark.streaming import exceptions as stream_exc
 from parcelspark.streaming import ingest as stream_ingest
 
@@ -95,17 +96,40 @@ def warehouse_shipments(spark, sf_dir):
 def ingest_ledger(spark, sf_dir):
     out = _export(spark, sf_dir)
     events_t, ledger_t = _warehouse_paths(spark)
-    tracking_json.ingest_new_files(spark, out, events_t, ledger_t)
-    return tracking_json.current_ledger(spark, ledger_t).select("file_name", "row_count")
+    event_table.ingest_new_files(spark, out, events_t, ledger_t)
+    return event_table.current_ledger(spark, ledger_t).select("file_name", "row_count")
 
 
 def full_refresh_events(spark, sf_dir):
     """Incremental load, then a full refresh: the table must hold each event once."""
     out = _export(spark, sf_dir)
     events_t, ledger_t = _warehouse_paths(spark)
-    tracking_json.ingest_new_files(spark, out, events_t, ledger_t)
-    tracking_json.ingest_new_files(spark, out, events_t, ledger_t, full_refresh=True)
-    return tracking_json.read_events_table(spark, events_t, ledger_t).select(*RECORDS)
+    event_table.ingest_new_files(spark, out, events_t, ledger_t)
+    event_table.ingest_new_files(spark, out, events_t, ledger_t, full_refresh=True)
+    return event_table.read_events_table(spark, events_t, ledger_t).select(*RECORDS)
+
+
+def _refreshed_between_drains(spark, sf_dir):
+    """(events, ledger) tables: the early hours drained, a full refresh, then the hours that have come since."""
+    events = fixtures.raw_tracking_events(spark, sf_dir)
+    early = F.col("event_timestamp") < FIRST_LOAD_UNTIL[:10]
+    out, (events_t, ledger_t) = scratch_dir(spark, "events-export"), _warehouse_paths(spark)
+    export_hourly_json(events.where(early), out)
+    for full_refresh in (False, True):
+        event_table.ingest_new_files(spark, out, events_t, ledger_t, full_refresh, max_files=FILES_PER_TRIGGER)
+    export_hourly_json(events.where(~early), out)
+    event_table.ingest_new_files(spark, out, events_t, ledger_t, max_files=FILES_PER_TRIGGER)
+    return events_t, ledger_t
+
+
+def stream_full_refresh(spark, sf_dir):
+    """Drain, full refresh, second drain, each in several micro-batches: the table must hold each event once."""
+    return event_table.read_events_table(spark, *_refreshed_between_drains(spark, sf_dir)).select(*RECORDS)
+
+
+def stream_ledger(spark, sf_dir):
+    """The ledger the micro-batches wrote, after a full refresh between two drains."""
+    return event_table.current_ledger(spark, _refreshed_between_drains(spark, sf_dir)[1]).select("file_name", "row_count")
 
 
 def stream_ingest_events(spark, sf_dir):
@@ -137,6 +161,8 @@ ROUNDTRIP_QUERIES = {
     "warehouse_shipments": warehouse_shipments,
     "ingest_ledger": ingest_ledger,
     "full_refresh_events": full_refresh_events,
+    "stream_full_refresh": stream_full_refresh,
+    "stream_ledger": stream_ledger,
     "stream_ingest_events": stream_ingest_events,
     "stream_exceptions": stream_exceptions,
 }

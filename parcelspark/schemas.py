@@ -47,18 +47,6 @@ INGESTED_FILES = T.StructType([
     T.StructField("ingested_at", T.TimestampNTZType(), True),
 ])
 
-# Our ledger = the reference's three columns + the commit bookkeeping:
-# the ingest batch the rows live in and the load generation (a full refresh
-# starts a new generation; only the newest generation is current).
-# (file_name is NULL only on the marker row of an empty full refresh.)
-LEDGER = T.StructType([
-    T.StructField("file_name", T.StringType(), True),
-    T.StructField("row_count", T.IntegerType(), True),
-    T.StructField("ingested_at", T.TimestampNTZType(), True),
-    T.StructField("batch_id", T.StringType(), True),
-    T.StructField("generation", T.LongType(), True),
-])
-
 WEATHER = T.StructType([
     T.StructField("date", T.DateType(), True),
     T.StructField("city", T.StringType(), True),

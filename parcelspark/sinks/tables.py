@@ -1,12 +1,11 @@
-"""Warehouse tables with atomic replace and append.
-
-A table is a folder of data folders plus a commit log ``_commits/<n>``: commit
-``n`` lists the data folders that make up version ``n``.  A writer puts its
-rows into a new data folder first and then creates the next commit file,
-which only one writer can.  Readers follow the highest commit, so they see the
-old version or the new one and never a half-written table; a run that dies in
-between leaves a folder no commit names.  The data folders of the version
-before stay for readers still on it; older ones are deleted.
+"""Warehouse tables that are replaced and appended at once.
+
+A table is a folder of data folders, each filled by one Spark write, and a
+pointer ``_current`` that lists those which make up the table.  A write fills
+a new folder, then swaps the pointer, so readers see the old rows or the new
+ones; a run that dies in between leaves a folder the pointer does not name.
+One writer at a time: the jobs that own a table are its only writers.  The
+folders of the version before stay for readers still on it.
 """
 
 from __future__ import annotations
@@ -18,9 +17,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelspark.sources.fs import create_file, delete_dir, list_dirs, list_files, read_file
+from parcelspark.sources.fs import delete_dir, list_dirs, path_exists, read_file, swap_file
 
-COMMITS = "_commits"
+CURRENT = "_current"
 
 
 def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
@@ -35,23 +34,18 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -
     ])
 
 
-def _versions(spark: SparkSession, table: str) -> list[int]:
-    return sorted(int(n) for n in list_files(spark, f"{table}/{COMMITS}") if n.isdigit())
-
-
-def _folders(spark: SparkSession, table: str, version: int) -> list[str]:
-    return json.loads(read_file(spark, f"{table}/{COMMITS}/{version}"))
+def _folders(spark: SparkSession, table: str) -> list[str]:
+    pointer = f"{table.rstrip('/')}/{CURRENT}"
+    return json.loads(read_file(spark, pointer)) if path_exists(spark, pointer) else []
 
 
 def exists(spark: SparkSession, table: str) -> bool:
-    return bool(_versions(spark, table.rstrip("/")))
+    return bool(_folders(spark, table))
 
 
 def data_paths(spark: SparkSession, table: str) -> list[str]:
-    """Data folders of the current version (none if the table is absent)."""
-    table = table.rstrip("/")
-    versions = _versions(spark, table)
-    return [f"{table}/{f}" for f in _folders(spark, table, versions[-1])] if versions else []
+    """Data folders of the table (none if it is absent)."""
+    return [f"{table.rstrip('/')}/{f}" for f in _folders(spark, table)]
 
 
 def read(spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
@@ -62,20 +56,17 @@ def read(spark: SparkSession, table: str, schema: T.StructType | None = None) ->
 
 
 def _write(df: DataFrame, table: str, keep_current: bool) -> int:
-    """Write and commit ``df``; returns its row count (observed during the write)."""
+    """Write ``df`` and point the table at it; returns its row count (observed during the write)."""
     spark, table = df.sparkSession, table.rstrip("/")
-    versions = _versions(spark, table)
-    current = _folders(spark, table, versions[-1]) if versions else []
+    current = _folders(spark, table)
     folder = f"data-{uuid.uuid4().hex}"
     obs = Observation()
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(f"{table}/{folder}")
     folders = [*current, folder] if keep_current else [folder]
-    number = versions[-1] + 1 if versions else 0
-    create_file(spark, f"{table}/{COMMITS}/{number}", json.dumps(folders))  # <- commit, fails if taken
-    if not keep_current and current:
-        for name in list_dirs(spark, table):
-            if name.startswith("data-") and name not in folders and name not in current:
-                delete_dir(spark, f"{table}/{name}")
+    swap_file(spark, f"{table}/{CURRENT}", json.dumps(folders))  # <- commit
+    for name in list_dirs(spark, table):
+        if name.startswith("data-") and name not in folders and name not in current:
+            delete_dir(spark, f"{table}/{name}")
     return int(obs.get["rows"])
 
 

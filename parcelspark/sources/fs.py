@@ -5,6 +5,9 @@ Works for any scheme the cluster is configured for (hdfs, s3a, file, ...).
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timezone
+
 from pyspark.sql import SparkSession
 
 
@@ -51,14 +54,26 @@ def move_file(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
-def create_file(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file; fails if it exists."""
-    fs, p = _fs_path(spark, path)
-    out = fs.create(p, False)
+def swap_file(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place of the one at ``path`` by one rename."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, temporary = _fs_path(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(temporary, False)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
+    _, p = _fs_path(spark, path)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+        fs.makeQualified(temporary), fs.makeQualified(p), options)
+
+
+def modified_at(spark: SparkSession, path: str) -> datetime:
+    """When the file was last written (UTC, without zone)."""
+    fs, p = _fs_path(spark, path)
+    return datetime.fromtimestamp(fs.getFileStatus(p).getModificationTime() / 1000, timezone.utc).replace(tzinfo=None)
 
 
 def read_file(spark: SparkSession, path: str) -> str:

@@ -5,9 +5,8 @@
   malformed input, provenance from the file-metadata column;
 * listing: the ``binaryFile`` source without its content column, i.e. a
   distributed listing of (path, length) that never reads file bodies;
-* exactly-new files: listing LEFT ANTI ledger on the file *name*;
-* ingest: append the new files' rows under a fresh ``_batch`` partition,
-  then append one ledger row per file (0 for an empty array).
+* exactly-new files: listing LEFT ANTI ledger on the file *name*.  The jobs'
+  ingest (``streaming/event_table.py``) leaves that to the stream's checkpoint.
 
 A multi-line JSON file is not splittable (one file = one task); hourly files
 keep that bounded, and the export side caps records per file.
@@ -15,19 +14,13 @@ keep that bounded, and the export side caps records per file.
 
 from __future__ import annotations
 
-import uuid
-from datetime import datetime, timezone
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelspark import schemas
-from parcelspark.operators.joins import bounded_broadcast
-from parcelspark.sources.fs import delete_dir, list_dirs, path_exists
 
 EVENT_FILE_GLOB = "events_*.json"
 RECORD_COLUMNS = [f.name for f in schemas.TRACKING_EVENT_RECORD.fields]
-BATCH_COL = "_batch"
 
 
 def read_event_files(
@@ -75,165 +68,3 @@ def list_event_files(spark: SparkSession, events_dir: str, glob: str = EVENT_FIL
 def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files whose *name* is not in the ledger (content/mtime changes ignored)."""
     return listing.join(ledger.select("file_name"), "file_name", "left_anti")
-
-
-def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], schemas.LEDGER)
-
-
-def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    """Every ledger row ever committed (all generations)."""
-    if path_exists(spark, ledger_path):
-        return spark.read.schema(schemas.LEDGER).parquet(ledger_path)
-    return empty_ledger(spark)
-
-
-def current_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    """Rows of the newest generation (one per processed file)."""
-    led = read_ledger(spark, ledger_path)
-    newest = led.select(F.max("generation")).scalar()
-    return led.where((F.col("generation") == newest) & F.col("file_name").isNotNull())
-
-
-def ledger_rows(files: DataFrame, events: DataFrame) -> DataFrame:
-    """One row per processed file with its event count; a file whose array is
-    empty yields no event rows, so the count comes from a left join on the
-    listing, not from a group-by alone."""
-    counts = events.groupBy(F.col("source_file").alias("file_name")).agg(F.count(F.lit(1)).alias("_n"))
-    return files.select("file_name").join(counts, "file_name", "left").select(
-        "file_name",
-        F.coalesce(F.col("_n"), F.lit(0)).cast("int").alias("row_count"),
-        F.localtimestamp().alias("ingested_at"),
-    )
-
-
-def ingest_new_files(
-    spark: SparkSession,
-    events_dir: str,
-    events_table: str,
-    ledger_table: str,
-    full_refresh: bool = False,
-    glob: str = EVENT_FILE_GLOB,
-    recursive: bool = False,
-) -> dict:
-    """Load every not-yet-ingested event file of ``events_dir``.
-
-    Commit protocol: the new files' rows are appended under a fresh
-    ``_batch`` partition, which no reader sees until the ledger rows naming
-    that batch are appended - the single commit point.  A run that dies in
-    between leaves an invisible batch and the files are picked up again by
-    the next run.  ``full_refresh`` reloads every file into a new batch and
-    commits it as a new ledger generation (append only: the previous
-    generation stays readable until the new one is committed).  A full
-    refresh without the events folder commits an empty generation.
-    """
-    mode = "full_refresh" if full_refresh else "incremental"
-    present = path_exists(spark, events_dir)
-    if not present and not full_refresh:
-        return {"files_loaded": 0, "events_loaded": 0, "mode": mode}
-    all_rows = read_ledger(spark, ledger_table)
-    newest = all_rows.agg(F.max("generation").alias("g")).first()["g"]
-    if full_refresh:
-        generation = 0 if newest is None else newest + 1
-        seen = empty_ledger(spark)
-    else:
-        generation = 0 if newest is None else newest
-        seen = all_rows.where(F.col("generation") == generation)
-    paths: list[str] = []
-    if present:
-        listing = list_event_files(spark, events_dir, glob=glob, recursive=recursive)
-        todo = new_files(listing, seen.where(F.col("file_name").isNotNull()))
-        # File paths (metadata, one short string per new file) go to the reader.
-        paths = [r["path"] for r in todo.select("path").collect()]
-    if not paths:
-        if full_refresh:  # commit an empty generation: a marker row
-            marker = spark.createDataFrame([(None, 0, None, None, generation)], schemas.LEDGER)
-            marker.withColumn("ingested_at", F.localtimestamp()).write.mode("append").parquet(ledger_table)
-        return {"files_loaded": 0, "events_loaded": 0, "mode": mode}
-
-    batch = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
-    events = read_event_files(spark, paths, glob=None, key_by_path=recursive).withColumn(BATCH_COL, F.lit(batch))
-    events.write.mode("append").partitionBy(BATCH_COL).parquet(events_table)
-    # Count per file from the batch just written (partition-pruned read).
-    written = spark.read.parquet(events_table).where(F.col(BATCH_COL) == batch)
-    rows = ledger_rows(bounded_broadcast(todo.select("file_name")), written).select(
-        "*", F.lit(batch).alias("batch_id"), F.lit(generation).cast("long").alias("generation")
-    )
-    obs = Observation(f"ledger-{batch}")
-    rows.observe(obs, F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("events")) \
-        .write.mode("append").parquet(ledger_table)  # <- commit
-    stats = obs.get
-    return {"files_loaded": int(stats["files"]), "events_loaded": int(stats["events"] or 0), "mode": mode}
-
-
-def read_events_table(spark: SparkSession, events_table: str, ledger_table: str) -> DataFrame:
-    """raw.tracking_events: rows of committed batches of the current
-    generation only (a semi join on the batch partition column, which
-    dynamic partition pruning turns into a partition filter)."""
-    committed = current_ledger(spark, ledger_table).select(F.col("batch_id").alias(BATCH_COL)).distinct()
-    return (
-        spark.read.parquet(events_table)
-        .join(bounded_broadcast(committed), BATCH_COL, "left_semi")
-        .select(*RECORD_COLUMNS, "source_file")
-    )
-
-
-def committed_batches(spark: SparkSession, ledger_table: str) -> tuple[int | None, list[str]]:
-    """(generation, batch ids) of the current ledger generation - one id per
-    ingest run since the last full refresh, so a short list."""
-    cur = current_ledger(spark, ledger_table)
-    rows = cur.select("generation", "batch_id").distinct().collect()
-    if not rows:
-        gen = read_ledger(spark, ledger_table).agg(F.max("generation")).first()[0]
-        return gen, []
-    return rows[0]["generation"], sorted(r["batch_id"] for r in rows)
-
-
-def read_event_batches(spark: SparkSession, events_table: str, batches: list[str]) -> DataFrame:
-    """Rows of the given batches only (a partition filter on ``_batch``)."""
-    return spark.read.parquet(events_table).where(F.col(BATCH_COL).isin(batches)).select(
-        *RECORD_COLUMNS, "source_file"
-    )
-
-
-def vacuum_batches(
-    spark: SparkSession, events_table: str, ledger_table: str, grace_hours: int = 24,
-    now: datetime | None = None,
-) -> list[str]:
-    """Delete ``_batch`` partitions that no current ledger row commits and
-    whose grace period is over.  The period of a batch superseded by a full
-    refresh starts with the commit of the next generation, as readers of its
-    own may have begun until then; that of a batch never committed (its run
-    died) starts with the batch.  Returns the removed batch ids.
-    Metadata-only on the driver: one listing of the batch folders and one
-    ledger row per batch and generation."""
-    ledger = read_ledger(spark, ledger_table)
-    committed_at = {
-        r["generation"]: r["at"] for r in ledger.groupBy("generation").agg(F.min("ingested_at").alias("at")).collect()
-    }
-    generation_of = {
-        r["batch_id"]: r["generation"]
-        for r in ledger.where(F.col("batch_id").isNotNull()).groupBy("batch_id").agg(
-            F.max("generation").alias("generation")).collect()
-    }
-    newest = max(committed_at, default=None)
-    now = now or datetime.now(timezone.utc).replace(tzinfo=None)
-    removed = []
-    for name in list_dirs(spark, events_table):
-        if not name.startswith(f"{BATCH_COL}="):
-            continue
-        batch = name.split("=", 1)[1]
-        generation = generation_of.get(batch)
-        if generation is not None:
-            if generation == newest:
-                continue
-            since = min(at for g, at in committed_at.items() if g > generation)
-        else:
-            try:
-                since = datetime.strptime(batch.split("-", 1)[0], "%Y%m%dT%H%M%S")
-            except ValueError:
-                continue  # not a batch this library wrote
-        if (now - since).total_seconds() >= grace_hours * 3600:
-            delete_dir(spark, f"{events_table.rstrip('/')}/{name}")
-            removed.append(batch)
-    return sorted(removed)

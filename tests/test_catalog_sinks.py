@@ -30,7 +30,7 @@ def test_a_run_that_dies_before_the_commit_leaves_the_old_table(spark, tmpdir_pa
         raise KeyboardInterrupt
 
     with monkeypatch.context() as m:
-        m.setattr(tables, "create_file", die)
+        m.setattr(tables, "swap_file", die)
         for write in (lambda: tables.replace(spark.range(9), path),
                       lambda: tables.append(spark.range(9), path, old.schema)):
             try:
@@ -44,15 +44,6 @@ def test_a_run_that_dies_before_the_commit_leaves_the_old_table(spark, tmpdir_pa
     assert tables.read(spark, path).count() == 7
 
 
-def test_two_writers_cannot_commit_the_same_version(spark, tmpdir_path):
-    import pytest
-
-    path = f"{tmpdir_path}/t"
-    tables.replace(spark.range(1), path)
-    with pytest.raises(Exception, match="exist"):
-        tables.create_file(spark, f"{path}/{tables.COMMITS}/0", "[]")
-
-
 def test_catalog_columns(spark, tmpdir_path):
     p = f"{tmpdir_path}/facilities"
     fixtures.raw_facilities(spark, SF_SMALL).write.parquet(p)

@@ -11,6 +11,7 @@ from parcelspark.sinks import tables
 from parcelspark.sinks.hourly_json import export_hourly_json
 from parcelspark.sources import fixtures, oltp, tracking_json, weather_csv
 from parcelspark.sources.seed import STATUS_CODE_ROWS, read_status_codes_csv
+from parcelspark.streaming import event_table
 from parcelspark.streaming.ingest import stream_ingest_events
 from tests.conftest import SF_SMALL
 
@@ -49,63 +50,103 @@ def test_read_backfills_missing_drops_extra_and_tags_provenance(spark, feed):
 def test_ingest_is_incremental_by_file_name(spark, feed):
     root, d = feed
     ev_t, led_t = f"{root}/wh/events", f"{root}/wh/ledger"
-    s1 = tracking_json.ingest_new_files(spark, d, ev_t, led_t)
+    s1 = event_table.ingest_new_files(spark, d, ev_t, led_t)
     assert s1["files_loaded"] == 3 and s1["events_loaded"] == 3
-    ledger = {r["file_name"]: r["row_count"] for r in tracking_json.current_ledger(spark, led_t).collect()}
+    ledger = {r["file_name"]: r["row_count"] for r in event_table.current_ledger(spark, led_t).collect()}
     assert ledger == {"events_2024-01-01_00.json": 2, "events_2024-01-01_01.json": 0,
                       "events_2024-01-01_02.json": 1}
     # second run: nothing new; a file changed in place is not re-read
     _write(f"{d}/events_2024-01-01_00.json", [dict(REC, event_id="changed")])
-    s2 = tracking_json.ingest_new_files(spark, d, ev_t, led_t)
+    s2 = event_table.ingest_new_files(spark, d, ev_t, led_t)
     assert s2["files_loaded"] == 0
     _write(f"{d}/events_2024-01-01_03.json", [dict(REC, event_id="e4")])
-    s3 = tracking_json.ingest_new_files(spark, d, ev_t, led_t)
+    s3 = event_table.ingest_new_files(spark, d, ev_t, led_t)
     assert s3 == {"files_loaded": 1, "events_loaded": 1, "mode": "incremental"}
-    ids = sorted(r["event_id"] for r in tracking_json.read_events_table(spark, ev_t, led_t).collect())
+    ids = sorted(r["event_id"] for r in event_table.read_events_table(spark, ev_t, led_t).collect())
     assert ids == ["e1", "e2", "e3", "e4"]
     # full refresh reloads every file from scratch (changed content now seen)
-    s4 = tracking_json.ingest_new_files(spark, d, ev_t, led_t, full_refresh=True)
+    s4 = event_table.ingest_new_files(spark, d, ev_t, led_t, full_refresh=True)
     assert s4["files_loaded"] == 4
-    ids = sorted(r["event_id"] for r in tracking_json.read_events_table(spark, ev_t, led_t).collect())
+    ids = sorted(r["event_id"] for r in event_table.read_events_table(spark, ev_t, led_t).collect())
     assert ids == ["changed", "e3", "e4"]
-    assert tracking_json.current_ledger(spark, led_t).count() == 4
+    assert event_table.current_ledger(spark, led_t).count() == 4
     # an empty feed on full refresh commits an empty generation
     empty = f"{root}/empty"
     os.makedirs(empty)
-    tracking_json.ingest_new_files(spark, empty, ev_t, led_t, full_refresh=True)
-    assert tracking_json.read_events_table(spark, ev_t, led_t).count() == 0
+    event_table.ingest_new_files(spark, empty, ev_t, led_t, full_refresh=True)
+    assert event_table.read_events_table(spark, ev_t, led_t).count() == 0
 
 
-def test_uncommitted_batch_is_invisible_and_reingested(spark, feed):
-    """A run that dies after writing events but before its ledger commit."""
-    from pyspark.sql import functions as F
-
+def test_uncommitted_batch_is_invisible_and_run_again(spark, feed, monkeypatch):
+    """A run that dies after writing events but before its ledger; one that dies before its checkpoint has it."""
     root, d = feed
     ev_t, led_t = f"{root}/wh2/events", f"{root}/wh2/ledger"
-    orphan = tracking_json.read_event_files(spark, d).withColumn(tracking_json.BATCH_COL, F.lit("crashed"))
-    orphan.write.partitionBy(tracking_json.BATCH_COL).parquet(ev_t)  # no ledger rows
-    assert tracking_json.read_events_table(spark, ev_t, led_t).count() == 0
-    s = tracking_json.ingest_new_files(spark, d, ev_t, led_t)
-    assert s["files_loaded"] == 3 and s["events_loaded"] == 3
-    ids = sorted(r["event_id"] for r in tracking_json.read_events_table(spark, ev_t, led_t).collect())
-    assert ids == ["e1", "e2", "e3"]
+    event_table.ingest_new_files(spark, d, ev_t, led_t, max_files=2)
+    want = {r["file_name"]: r["row_count"] for r in event_table.current_ledger(spark, led_t).collect()}
+    _write(f"{d}/events_2024-01-01_07.json", [dict(REC, event_id="e7")])
+    real = event_table._folder
+
+    def dies(table, generation, batch=None):
+        if table == led_t and batch == "000000002" and dies.armed and real(ev_t, 0, batch) in dies.seen:
+            raise RuntimeError("lost")
+        dies.seen.add(real(table, generation, batch))
+        return real(table, generation, batch)
+
+    dies.seen, dies.armed = set(), True
+    monkeypatch.setattr(event_table, "_folder", dies)
+    with pytest.raises(Exception, match="lost"):
+        event_table.ingest_new_files(spark, d, ev_t, led_t)
+    dies.armed = False
+    assert os.path.isdir(real(ev_t, 0, "000000002")) and event_table.read_events_table(spark, ev_t, led_t).count() == 3
+    assert event_table.ingest_new_files(spark, d, ev_t, led_t)["events_loaded"] == 1
+    want["events_2024-01-01_07.json"] = 1
+    # The last batch is run again: its commit is not in the checkpoint.
+    commits = f"{led_t}/_checkpoints/_generation=0/commits"
+    last = max(int(n) for n in os.listdir(commits) if n.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        os.remove(f"{commits}/{name}")
+    assert event_table.ingest_new_files(spark, d, ev_t, led_t)["files_loaded"] == 0
+    assert {r["file_name"]: r["row_count"] for r in event_table.current_ledger(spark, led_t).collect()} == want
+    assert sorted(r["event_id"] for r in event_table.read_events_table(spark, ev_t, led_t).collect()) == ["e1", "e2", "e3", "e7"]
+
+
+def test_refresh_that_dies_before_the_swap_leaves_the_old_rows(spark, feed, monkeypatch):
+    root, d = feed
+    ev_t, led_t = f"{root}/wh4/events", f"{root}/wh4/ledger"
+    event_table.ingest_new_files(spark, d, ev_t, led_t)
+    _write(f"{d}/events_2024-01-01_00.json", [dict(REC, event_id="changed")])
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(event_table, "swap_file", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            event_table.ingest_new_files(spark, d, ev_t, led_t, full_refresh=True)
+    ids = lambda: sorted(r["event_id"] for r in event_table.read_events_table(spark, ev_t, led_t).collect())
+    assert ids() == ["e1", "e2", "e3"]
+    _write(f"{d}/events_2024-01-01_08.json", [dict(REC, event_id="e8")])
+    assert event_table.ingest_new_files(spark, d, ev_t, led_t)["events_loaded"] == 1  # the old checkpoint goes on
+    assert ids() == ["e1", "e2", "e3", "e8"]
+    event_table.ingest_new_files(spark, d, ev_t, led_t, full_refresh=True)
+    assert ids() == ["changed", "e3", "e8"] and event_table.current_generation(spark, led_t) == 2
 
 
 def test_absent_events_dir_is_a_noop(spark, tmpdir_path):
-    s = tracking_json.ingest_new_files(spark, f"{tmpdir_path}/missing", f"{tmpdir_path}/e", f"{tmpdir_path}/l")
+    s = event_table.ingest_new_files(spark, f"{tmpdir_path}/missing", f"{tmpdir_path}/e", f"{tmpdir_path}/l")
     assert s["files_loaded"] == 0 and s["events_loaded"] == 0
 
 
 def test_full_refresh_without_events_dir_empties_the_table(spark, feed):
     root, d = feed
     ev_t, led_t = f"{root}/wh9/events", f"{root}/wh9/ledger"
-    tracking_json.ingest_new_files(spark, d, ev_t, led_t)
-    tracking_json.ingest_new_files(spark, f"{root}/gone", ev_t, led_t)
-    assert tracking_json.read_events_table(spark, ev_t, led_t).count() == 3
-    s = tracking_json.ingest_new_files(spark, f"{root}/gone", ev_t, led_t, full_refresh=True)
+    event_table.ingest_new_files(spark, d, ev_t, led_t)
+    event_table.ingest_new_files(spark, f"{root}/gone", ev_t, led_t)
+    assert event_table.read_events_table(spark, ev_t, led_t).count() == 3
+    s = event_table.ingest_new_files(spark, f"{root}/gone", ev_t, led_t, full_refresh=True)
     assert s == {"files_loaded": 0, "events_loaded": 0, "mode": "full_refresh"}
-    assert tracking_json.read_events_table(spark, ev_t, led_t).count() == 0
-    assert tracking_json.ingest_new_files(spark, d, ev_t, led_t)["events_loaded"] == 3
+    assert event_table.read_events_table(spark, ev_t, led_t).count() == 0
+    assert event_table.ingest_new_files(spark, d, ev_t, led_t)["events_loaded"] == 3
 
 
 def test_stream_ingest_reads_each_file_once(spark, feed):
@@ -217,26 +258,20 @@ def test_incremental_scan_is_strict_and_pushed_down(spark, tmpdir_path):
     assert oltp.high_water_mark(spark, f"{tmpdir_path}/wh-shipments") == mark
 
 
-def test_vacuum_removes_only_old_uncommitted_batches(spark, feed):
+def test_vacuum_removes_only_superseded_generations(spark, feed):
     from datetime import datetime, timedelta, timezone
 
     root, d = feed
     ev_t, led_t = f"{root}/wh3/events", f"{root}/wh3/ledger"
-    now = datetime.now(timezone.utc).replace(tzinfo=None)
-    old = (now - timedelta(hours=30)).strftime("%Y%m%dT%H%M%S") + "-aaaaaaaa"
-    rows = tracking_json.read_event_files(spark, d)
-    for batch in (old, "20000101T000000-deadbeef"):  # the second never committed
-        rows.withColumn(tracking_json.BATCH_COL, F.lit(batch)).write.mode("append").partitionBy(
-            tracking_json.BATCH_COL).parquet(ev_t)
-    files = tracking_json.list_event_files(spark, d).select("file_name")
-    tracking_json.ledger_rows(files, rows).select(
-        "*", F.lit(old).alias("batch_id"), F.lit(0).cast("long").alias("generation")).write.parquet(led_t)
-    tracking_json.ingest_new_files(spark, d, ev_t, led_t, full_refresh=True)  # supersedes it just now
-    before = tracking_json.read_events_table(spark, ev_t, led_t).count()
-    # started 30 h ago, but readers of the old generation have had no grace yet
-    assert tracking_json.vacuum_batches(spark, ev_t, led_t, grace_hours=24) == ["20000101T000000-deadbeef"]
-    assert tracking_json.vacuum_batches(spark, ev_t, led_t, grace_hours=24, now=now + timedelta(hours=25)) == [old]
-    assert tracking_json.read_events_table(spark, ev_t, led_t).count() == before == 3
+    assert event_table.vacuum(spark, ev_t, led_t, grace_hours=0) == []
+    event_table.ingest_new_files(spark, d, ev_t, led_t)
+    event_table.ingest_new_files(spark, d, ev_t, led_t, full_refresh=True)
+    os.makedirs(f"{ev_t}/_generation=2")  # a refresh in flight
+    assert event_table.vacuum(spark, ev_t, led_t) == []  # readers of the old one have had no grace yet
+    later = datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(hours=25)
+    assert event_table.vacuum(spark, ev_t, led_t, now=later) == [0]
+    assert event_table.read_events_table(spark, ev_t, led_t).count() == 3
+    assert sorted(os.listdir(ev_t)) == ["_generation=1", "_generation=2"]
 
 
 def test_exceptions_stream_emits_only_new_events(spark, tmpdir_path):

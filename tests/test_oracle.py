@@ -13,7 +13,8 @@ ORACLES = oracle.oracle_sql()
 QUERIES = queries.all_queries()
 SQL_KEYS = [k for k in QUERIES if k in ORACLES]
 ROUNDTRIPS = {"scan_tracking_json", "json_schema_backfill", "json_provenance", "scan_weather_csv",
-              "full_refresh_events", "stream_ingest_events", "stream_exceptions", "export_hourly_json", "ingest_ledger"}
+              "full_refresh_events", "stream_ingest_events", "stream_exceptions", "export_hourly_json", "ingest_ledger",
+              "stream_full_refresh", "stream_ledger"}
 
 
 def _norm(v):
