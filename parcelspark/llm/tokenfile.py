@@ -48,6 +48,8 @@ BLOCK_VALUES = 1 << 15
 FILE_BYTES = 256 << 20
 PERCENTILE = 0.97
 END_ID = 1
+#: Text bytes encoded at a time: more share more of their distinct words.
+SLICE_BYTES = 4 << 20
 
 _BLOCK = struct.Struct("<4sIIBIQI")
 _DOCS = struct.Struct("<4sI")
@@ -290,7 +292,7 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID) -> No
         def documents():
             encoder = library(tokenizer)
             for batch in batches:
-                for some in words.slices(batch, 1):
+                for some in words.slices(batch, 1, SLICE_BYTES):
                     ids, sizes = encoder.encode(some.column(1))
                     yield some.column(0).to_pylist(), np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
 
