@@ -42,10 +42,10 @@ _LOOSE_PHONE = re.compile(r"(?<![0-9A-Za-z+])\(?[0-9]++(?:[\x20().-]{1,2}[0-9]++
 _LOOSE_CARD = re.compile(r"(?<![0-9A-Za-z])[0-9]++(?:[\x20-][0-9]++)*+(?![0-9A-Za-z])")
 _LOOSE_IP = re.compile(r"(?<![0-9A-Za-z.])[0-9]++(?:\.[0-9]++){2,5}+(?![0-9A-Za-z])")
 _LOOSE_EMAIL = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{1,64}+"
-    r"(?:(?:\.|\x20dot\x20|\(dot\)|\[dot\])[A-Za-z0-9-]{1,64}+)++")
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]++"
+    r"(?:(?:\.|\x20dot\x20|\(dot\)|\[dot\])[A-Za-z0-9-]++)++")
+_AT = ("@", "(at)", "[at]", " at ")  # one of them is in every loose e-mail
 _WORD = re.compile(r"[^\W\d_]+")
-_BEFORE = 80  # characters looked at for the two words before an instance
 
 _SCHEMA = T.ArrayType(T.StructType([
     T.StructField("kind", T.IntegerType()), T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType()),
@@ -107,9 +107,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates of the looser shapes that meet no base span."""
     found = []
-    if "@" in text or "at" in text:
-        if "@" in text or re.search(r"[(\[]at[)\]]|\x20at\x20[A-Za-z0-9-]+(?:\x20dot\x20|[(\[]dot|\.[A-Za-z])", text):
-            found += [(0, *m.span()) for m in _LOOSE_EMAIL.finditer(text)]
+    if any(at in text for at in _AT):
+        found += [(0, *m.span()) for m in _LOOSE_EMAIL.finditer(text)]
     if any(c in text for c in "0123456789"):
         found += [(1, *m.span()) for m in _LOOSE_IP.finditer(text)]
         found += [(2, *m.span()) for m in _LOOSE_CARD.finditer(text) if 12 <= len(_digits(m[0])) <= 19]
@@ -123,19 +122,29 @@ def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     return out
 
 
-def pattern_before(text: str, start: int) -> str:
-    """The last two words before ``start``, lower-cased."""
-    return " ".join(_WORD.findall(text[max(0, start - _BEFORE) : start])[-2:]).lower()
+def patterns_before(text: str, starts: list[int]) -> list[str]:
+    """The last two words before each of the ascending ``starts``, lower-cased; one pass over the text's words."""
+    out = []
+    found = _WORD.finditer(text)
+    word, one, two = next(found, None), "", ""
+    for start in starts:
+        while word and word.end() <= start:
+            one, two = two, word[0]
+            word = next(found, None)
+        # A word that the start cuts counts up to there.
+        pair = (two, text[word.start() : start]) if word and word.start() < start else (one, two)
+        out.append(" ".join(w for w in pair if w).lower())
+    return out
 
 
 def instances(text: str | None) -> list[dict]:
-    if not text or not ("@" in text or " at " in text or "at)" in text or "at]" in text or any(c in text for c in "0123456789")):
+    if not text or not (any(at in text for at in _AT) or any(c in text for c in "0123456789")):
         return []
     base = base_spans(text)
-    rows = [(*s, True) for s in base] + [(*s, False) for s in loose_spans(text, base)]
+    rows = sorted([(a, k, b, True) for k, a, b in base] + [(a, k, b, False) for k, a, b in loose_spans(text, base)])
     return [
-        {"kind": k, "first": a, "last": b, "seed": seed, "value": text[a:b], "pattern": pattern_before(text, a)}
-        for k, a, b, seed in rows
+        {"kind": k, "first": a, "last": b, "seed": seed, "value": text[a:b], "pattern": pattern}
+        for (a, k, b, seed), pattern in zip(rows, patterns_before(text, [r[0] for r in rows]) if rows else [])
     ]
 
 

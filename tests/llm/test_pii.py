@@ -38,10 +38,59 @@ def test_base_rules_against_plain_regular_expressions():
 
 
 def test_long_runs_take_linear_time():
-    for t in ("1" * 200_000, "a" * 200_000, "a.@" * 50_000, "1." * 100_000, "+1" * 50_000, "1-" * 100_000):
+    for t in ("a at " * 60_000, "a(at)b" * 40_000, "a@b" * 70_000, "a.b-" * 60_000 + "@c", "1" * 200_000, "a" * 200_000, "a.@" * 50_000, "1." * 100_000, "+1" * 50_000, "1-" * 100_000):
         pii.instances(t)
 
 
+def test_candidates_do_not_depend_on_other_text():
+    rng = random.Random(7)
+    pool = ["joe at host.1 now", "joe at  host.com", "x@y.z", "joe(at)a dot b", "4111 1111", "555-765-4321", "1.2.3.4.5", "at", " at ", "word",
+            "é", "l" * 200 + "@" + "h" * 100 + ".com", "tel: +1 (555) 123-4567"]
+    for _ in range(2000):
+        a, b = (" | ".join(rng.choice(pool) for _ in range(rng.randint(1, 3))) for _ in range(2))
+        alone, more = pii.instances(a), pii.instances(f"{a} \n# {b}")
+        assert [r for r in more if r["last"] <= len(a)] == alone, (a, b)
+    assert [r["value"] for r in pii.instances("mail joe at host.1 now")][:1] == ["joe at host.1"]
+
+
+def test_patterns_are_the_two_words_before_however_far():
+    for gap in (" ", " " * 500, "." * 500, "\n" * 90):
+        (r,) = pii.instances(f"Please Call{gap}555-765-4321")
+        assert r["pattern"] == "please call"
+    long = "w" * 200
+    assert [r["pattern"] for r in pii.instances(f"my {long} 555-765-4321 and 555-765-4322")] == [f"my {long}", f"{long} and"]
+    assert [r["pattern"] for r in pii.instances("555-765-4321 x 555-765-4322")] == ["", "x"]
+    assert pii.patterns_before("ab cd", [0, 1, 4, 5]) == ["", "a", "ab c", "ab cd"]
+
+
+def test_share_of_planted_data_found_by_kind(spark):
+    """Plain and loosely written identifiers behind words that prove themselves: what is caught of each kind."""
+    makes = {
+        "email": (lambda i: f"u{i}@mail.example.com", lambda i: f"u{i} at mail.example.com"),
+        "ip": (lambda i: f"10.0.{i}.7", lambda i: f"10.0.{i}.7.1"),
+        "card": (lambda i: "4111 1111 1111 1111" if i % 2 else "5500-0000-0000-0004", lambda i: unproven(4111111111111112 + 10 * i)),
+        "phone": (lambda i: f"+1 (555) 123-{4000 + i}", lambda i: f"555-765-{4000 + i}"),
+    }
+    unproven = lambda n: str(n if not pii.luhn(str(n)) else n + 1)
+    words = {"email": "write to", "ip": "server address", "card": "charge card", "phone": "please call"}
+    texts, want = [], []
+    for kind, (plain, loose) in makes.items():
+        for i in range(20):
+            for make in (plain, loose):
+                texts.append(f"note {words[kind]} {make(i)} ok")
+                want.append((kind, make is loose, make(i)))
+    got = {r.doc_id: r.spans for r in pii.digest(pii.extract(frame(spark, texts))).collect()}
+    caught = {}
+    for i, (kind, is_loose, value) in enumerate(want):
+        start = texts[i].index(value)
+        caught.setdefault((kind, is_loose), []).append(f"{kind}:{start}:{start + len(value)}" in got[i].split(","))
+    shares = {k: sum(v) / len(v) for k, v in caught.items()}
+    assert all(shares[kind, False] == 1 for kind in makes), shares
+    assert shares["email", True] == shares["phone", True] == 1, shares
+    # Two distinct card numbers prove nothing, and five parts hold a plain address already.
+    assert shares["card", True] == shares["ip", True] == 0, shares
+
+
 def frame(spark, texts):
     return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
 
