@@ -122,6 +122,12 @@ class WordCache(dict):
         return value
 
 
+def hash_sample(rows: DataFrame, wanted: int, size: int) -> DataFrame:
+    """About ``wanted`` of the ``size`` rows: those whose ``doc_id`` has a low hash, found without a sort; all if fewer."""
+    spot = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    return rows.where(spot < wanted / max(size, 1))
+
+
 def crc_fold(doc_id: Column) -> Column:
     """crc32 of the id's decimal text modulo 3 (fold 1 is held out)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3

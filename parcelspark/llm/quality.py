@@ -2,7 +2,7 @@
 
 The statistics of every whole text are computed in the workers.  Trees are
 fitted on a bounded, documented sample of labelled rows (``SAMPLE_ROWS``, the
-rows with the lowest hash of their id) and score all rows as flat node arrays.
+rows whose id has a low hash) and score all rows as flat node arrays.
 The score may never rise with the share of repeated words, duplicate lines or
 symbols.
 
@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelspark.llm import gbt
-from parcelspark.llm.common import BLANKS, LOWER, UPPER, fresh, ship_code
+from parcelspark.llm.common import BLANKS, LOWER, UPPER, fresh, hash_sample, ship_code
 
-#: At most so many labelled rows fit the trees (16 numbers a row reach the driver).
+#: About so many labelled rows fit the trees (16 numbers a row reach the driver).
 SAMPLE_ROWS = 20_000
 #: Rows go when the trees put the chance of label 1 below this.
 KEEP_AT = 0.25
@@ -119,19 +119,16 @@ def base_failed(stats: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> gbt.FlatTrees:
-    """Trees for ``labels.quality``, fitted on at most ``sample_rows`` labelled rows."""
+    """Trees for ``labels.quality``, fitted on about ``sample_rows`` labelled rows (all if there are fewer)."""
     ship_code(docs.sparkSession)
-    chosen = (
-        labels.where("quality is not null and doc_id is not null")
-        .groupBy("doc_id").agg(F.max("quality").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    )
-    rows = (
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows)
-        .select("label", statistics(F.col("text")).getField("features").alias("x"))
-        .toPandas()
-    )
+    known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("label"))
+    # Broadcast: about sample_rows ids.
+    chosen = F.broadcast(hash_sample(known, sample_rows, known.count()))
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select(
+        "doc_id", "label", F.xxhash64("text").alias("tie"), statistics(F.col("text")).getField("features").alias("x"))
+    # Of rows that share an id, the one with the lowest text hash; only numbers reach the driver.
+    rows = rows.groupBy("doc_id").agg(F.min_by("x", "tie").alias("x"), F.first("label").alias("label")).toPandas()
+    rows = rows.sort_values("doc_id", ignore_index=True)
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
     falling = np.array([-1 if f in FALLING else 0 for f in FEATURES])
     return gbt.fit(x, rows["label"].to_numpy(float), falling)

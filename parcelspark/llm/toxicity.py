@@ -18,8 +18,8 @@ scored by table look-ups.  A logistic curve turns a text's evidence, over the
 units and windows of all its sentences, into the score: the largest margin, the sum of the
 positive margins, and that sum per hundred units.
 
-Fitting uses at most ``TOXIC_ROWS`` + ``CLEAN_ROWS`` labelled rows, those with
-the lowest id hashes (near copies once), and at most ``UNITS`` chosen units of
+Fitting uses about ``TOXIC_ROWS`` + ``CLEAN_ROWS`` labelled rows, those with
+low id hashes (near copies once; all if there are fewer), and at most ``UNITS`` chosen units of
 either class; ``REFITS`` times the worst unit of every sampled text joins them.
 Landmarks are spread over ``POOL`` of the chosen units.  Subsequences are
 counted in ``BUCKETS`` hash buckets, so a few share one; the kernel is that of
@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelspark.llm import words
-from parcelspark.llm.common import materialize, ship_code
+from parcelspark.llm.common import hash_sample, materialize, ship_code
 
 TOXIC_ROWS = 3_000
 CLEAN_ROWS = 9_000
@@ -550,18 +550,17 @@ def phrases(sample: DataFrame, bad: list[str]) -> tuple[list[str], list[str]]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(label, text, units): at most TOXIC_ROWS + CLEAN_ROWS labelled texts, near copies once.
+    """(label, text, units): about TOXIC_ROWS + CLEAN_ROWS labelled texts, near copies once.
 
     Copies are texts with the same least unit under each of three hashes; a
     group of them would otherwise vouch for its accidental words.
     """
     marked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("label"))
-    picked = None
-    for label, rows in ((1, TOXIC_ROWS), (0, CLEAN_ROWS)):
-        some = marked.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-        picked = some if picked is None else picked.unionByName(some)
-    # Broadcast: at most TOXIC_ROWS + CLEAN_ROWS ids.
+    size = dict(marked.groupBy("label").count().collect())
+    picked = hash_sample(marked.where("label = 1"), TOXIC_ROWS, size.get(1, 0)).unionByName(
+        hash_sample(marked.where("label = 0"), CLEAN_ROWS, size.get(0, 0)))
+    # Broadcast: about TOXIC_ROWS + CLEAN_ROWS ids.
     rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     rows = rows.select("label", "text", _distinct_units(F.col("text")).alias("units")).where(F.size("units") > 0)
     least = [F.array_min(F.transform("units", lambda u, k=k: F.xxhash64(F.lit(k), u))).alias(f"least{k}") for k in range(3)]
