@@ -27,6 +27,8 @@ RAREST = 3
 #: Contaminated when one word in so many is hit.
 SHARE = 20
 
+#: Copies of a term's count where counts are too many to broadcast.
+SALTS = 32
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _NO_ID = -(1 << 63)
 
@@ -62,9 +64,14 @@ def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
 
 def _plans(index: DataFrame, distinct: DataFrame, rarest: int) -> DataFrame:
     """(wid, n, anchors): the windows all of whose terms occur, with their rarest terms and offsets."""
-    counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
+    counts = materialize(index.groupBy("term").agg(F.count(F.lit(1)).alias("tf")), "term-counts")
     spread = distinct.select("wid", F.size("terms").alias("n"), F.posexplode("terms").alias("off", "term"))
-    ranked = spread.join(counts, "term").groupBy("wid", "n").agg(
+    # A common word is in many windows: past the broadcast bound its rows meet copies of its one count.
+    salted = counts.select("*", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])).alias("salt"))
+    small = broadcast_if_small(counts)
+    met = spread.join(small, "term") if small is not counts else spread.withColumn(
+        "salt", F.pmod(F.xxhash64("wid"), F.lit(SALTS)).cast("int")).join(salted, ["term", "salt"])
+    ranked = met.groupBy("wid", "n").agg(
         F.sort_array(F.collect_list(F.struct("tf", "off", "term"))).alias("anchors"))
     return ranked.where(F.size("anchors") == F.col("n")).select("wid", "n", F.slice("anchors", 1, rarest).alias("anchors"))
 
@@ -88,9 +95,12 @@ def phrase_matches(docs: DataFrame, index: DataFrame, distinct: DataFrame, rares
     some = materialize(found.select("d", "row").distinct(), "phrase-documents")
     texts = keyed(docs).join(broadcast_if_small(some), ["d", "row"], "left_semi").select(
         "d", "row", words(F.col("text")).alias("w")).dropDuplicates(["d", "row"])
-    check = found.join(broadcast_if_small(distinct), "wid").join(texts, ["d", "row"])
-    same = F.slice(F.col("w"), F.col("start") + 1, F.col("n")) == F.col("terms")
-    return materialize(check.where(same).select("d", "row", "start", "n", "wid"), "phrase-matches")
+    # A text's candidates are checked in one pass over its words, which are not copied for each.
+    listed = found.join(broadcast_if_small(distinct), "wid").groupBy("d", "row").agg(
+        F.collect_list(F.struct("start", "n", "wid", "terms")).alias("c"))
+    check = listed.join(texts, ["d", "row"]).select("d", "row", F.explode(F.filter(
+        "c", lambda c: F.slice(F.col("w"), c["start"] + 1, c["n"]) == c["terms"])).alias("c"))
+    return materialize(check.select("d", "row", "c.start", "c.n", "c.wid"), "phrase-matches")
 
 
 def proximity_matches(index: DataFrame, pairs: DataFrame, slop: int) -> DataFrame:

@@ -52,6 +52,15 @@ def test_random_texts_against_brute_force(spark):
     check(spark, rows, items)
 
 
+def test_without_broadcasts_and_with_a_common_word(spark, monkeypatch):
+    monkeypatch.setattr(dc, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(dc, "SALTS", 3)
+    rng = random.Random(10)
+    text = lambda n: " ".join("the" if rng.random() < 0.7 else rng.choice("abcd") for _ in range(n))
+    items = [(i, text(rng.choice([4, 13, 25]))) for i in range(10)]
+    check(spark, [(i, f"{text(20)} {rng.choice(items)[1]} {text(5)}") for i in range(30)], items)
+
+
 def test_odd_rows(spark):
     item = " ".join(f"w{i}" for i in range(20))
     rows = [(1, None), (2, ""), (3, item), (3, item), (None, item + " z"), (4, "the " * 30),
