@@ -64,43 +64,55 @@ FLAG_AT = 0.7
 
 #: Stands for a line's end among the units; a real one of this private character ends a sentence too.
 _LINE = "\ue000"
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 #: Letters that a pass over windows works on at a time.
 LETTERS = 1 << 15
 MOST_REACH = max((n - 1) * most for n, most in STEPS.items())
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 
 
-def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct units, number of each unit in order, its text, its sentence).
+@dataclass
+class Units:
+    """The units of some texts in order."""
 
-    Units are set apart by white space; a sentence ends with a line or behind
-    ``.``, ``!`` or ``?`` before white space.
-    """
+    names: list[str]  # distinct units, lower-cased, without marks at the ends
+    unit: np.ndarray  # number of each unit's name
+    text: np.ndarray
+    sentence: np.ndarray
+    single: np.ndarray  # whether it is one character
+
+
+def cut(texts: pa.Array) -> Units:
+    """Units are set apart by white space; a sentence ends with a line or behind ``.``, ``!`` or ``?`` before white space."""
     lines = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", f" {_LINE} ")
     lists = pc.utf8_split_whitespace(lines)
     flat, bounds = lists.flatten(), lists.offsets.to_numpy()
     coded = flat.dictionary_encode()
-    names = coded.dictionary.to_pylist()
+    raw = coded.dictionary
+    lower = pc.utf8_trim(pc.utf8_lower(raw), _MARKS).dictionary_encode()
     at = coded.indices.to_numpy()
     text = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    closes = np.array([x.endswith((".", "!", "?", _LINE)) for x in names], bool)
-    real = np.array([x not in ("", _LINE) for x in names], bool)[at]
-    after = np.cumsum(closes[at]) if len(at) else at
-    sentence = after - closes[at] + text  # a new text is a new sentence too
-    return names, at[real], text[real], sentence[real]
+    of_raw = lambda flags: flags.to_numpy(zero_copy_only=False).astype(bool)[at]
+    line = of_raw(pc.equal(raw, _LINE))
+    closes = line | of_raw(pc.match_substring_regex(raw, "[.!?]$"))
+    real = of_raw(pc.not_equal(raw, "")) & ~line
+    sentence = np.cumsum(closes) - closes + text  # a new text is a new sentence too
+    single = of_raw(pc.equal(pc.utf8_length(raw), 1))
+    unit = lower.indices.to_numpy()[at]
+    return Units(lower.dictionary.to_pylist(), unit[real], text[real], sentence[real], single[real])
 
 
-def spaced_runs(names: list[str], unit: np.ndarray, text: np.ndarray, sentence: np.ndarray) -> tuple[list[str], np.ndarray]:
+def spaced_runs(units: Units) -> tuple[list[str], np.ndarray]:
     """Three and more single characters in a row in a sentence, joined; and the text of each such run."""
-    single = np.array([len(x) == 1 for x in names], bool)[unit]
-    if not single.any():
+    at = np.flatnonzero(units.single)
+    if not len(at):
         return [], np.zeros(0, np.int64)
-    at = np.flatnonzero(single)
-    new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (sentence[at[1:]] != sentence[at[:-1]])])
+    new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (units.sentence[at[1:]] != units.sentence[at[:-1]])])
     first = np.flatnonzero(new)
     size = np.diff(np.concatenate([first, [len(at)]]))
     runs = [(at[f], n) for f, n in zip(first[size > 2].tolist(), size[size > 2].tolist())]
-    return ["".join(names[i] for i in unit[f : f + n]) for f, n in runs], np.array([text[f] for f, _ in runs], np.int64)
+    return (["".join(units.names[i] for i in units.unit[f : f + n]) for f, n in runs],
+            np.array([units.text[f] for f, _ in runs], np.int64))
 
 
 def core(unit: str) -> str:
@@ -377,11 +389,12 @@ class Scorer:
         Windows that hold a positive unit do not count; three units add what they have beyond their pairs.
         """
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
-        names, unit, text, sentence = cut(texts)
+        units = cut(texts)
+        names, unit, text, sentence = units.names, units.unit, units.text, units.sentence
         n = len(texts)
         margins, letters = self.unit_margins(names)
         # Runs of single characters, joined, are units too.
-        extra, extra_text = spaced_runs(names, unit, text, sentence)
+        extra, extra_text = spaced_runs(units)
         extra_margin = self.unit_margins(sorted(set(extra)))[0][np.searchsorted(sorted(set(extra)), extra)] if extra else np.zeros(0)
 
         margin = np.concatenate([margins[unit], extra_margin])
@@ -482,11 +495,11 @@ def slices(texts: pa.Array) -> Iterator[pa.Array]:
 def _distinct_units(texts: pa.Array) -> pa.Array:
     parts = []
     for some in slices(texts):
-        names, unit, text, sentence = cut(some)
-        forms = [[p for p in variants(u) if p != START] if u else [] for u in names]
-        extra, of = spaced_runs(names, unit, text, sentence)
+        units = cut(some)
+        forms = [[p for p in variants(u) if p != START] for u in units.names]
+        extra, of = spaced_runs(units)
         found: list[set[str]] = [set() for _ in range(len(some))]
-        for k, i in zip(text.tolist(), unit.tolist()):
+        for k, i in zip(units.text.tolist(), units.unit.tolist()):
             found[k].update(forms[i])
         for x, k in zip(extra, of.tolist()):
             found[k].update(variants(x))
@@ -562,6 +575,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         hash_sample(marked.where("label = 0"), CLEAN_ROWS, size.get(0, 0)))
     # Broadcast: about TOXIC_ROWS + CLEAN_ROWS ids.
     rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    # Written first: else the filter on the units would have all texts cut before the join.
+    rows = materialize(rows.select("label", "text"), "labelled-texts")
     rows = rows.select("label", "text", _distinct_units(F.col("text")).alias("units")).where(F.size("units") > 0)
     least = [F.array_min(F.transform("units", lambda u, k=k: F.xxhash64(F.lit(k), u))).alias(f"least{k}") for k in range(3)]
     rows = rows.select("*", *least).dropDuplicates([f"least{k}" for k in range(3)])

@@ -48,12 +48,11 @@ def test_svm_and_folding():
 
 
 def test_units():
-    names, unit, text, sentence = tx.cut(pa.array(["so i d i o t !", None, "A b.\nc d! e\x85f", " ", "A"], pa.string()))
-    assert [names[i] for i in unit] == ["so", "i", "d", "i", "o", "t", "!", "A", "b.", "c", "d!", "e", "f", "A"]
-    assert text.tolist() == [0] * 7 + [2] * 6 + [4]
-    groups = np.flatnonzero(np.diff(sentence)).tolist()
-    assert groups == [6, 8, 10, 12]
-    assert [x.tolist() if isinstance(x, np.ndarray) else x for x in tx.spaced_runs(names, unit, text, sentence)] == [["idiot!"], [0]]
+    u = tx.cut(pa.array(["so i d i o t !", None, "A (b).\nc d! e\x85f", " ", "A ..."], pa.string()))
+    assert [u.names[i] for i in u.unit] == ["so", "i", "d", "i", "o", "t", "", "a", "b", "c", "d", "e", "f", "a", ""]
+    assert u.text.tolist() == [0] * 7 + [2] * 6 + [4] * 2
+    assert np.flatnonzero(np.diff(u.sentence)).tolist() == [6, 8, 10, 12]
+    assert [x.tolist() if isinstance(x, np.ndarray) else x for x in tx.spaced_runs(u)] == [["idiot"], [0]]
     assert tx.core("(Don't!)") == "don't"
     assert tx.variants("i-d.iot!") == ["\x02i-d.iot", "\x02idiot"]
     long = "x" * 50 + "idiot" + "x" * 50
