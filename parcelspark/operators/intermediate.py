@@ -48,10 +48,27 @@ def int_shipments_enriched(stg_shipments: DataFrame, stg_facilities: DataFrame)
     )
 
 
+def facility_ids_unique(stg_facilities: DataFrame) -> bool:
+    """Whether no facility id repeats (null ids join nothing): the certificate for leaving a join out."""
+    repeated = stg_facilities.where("facility_id is not null").groupBy("facility_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return repeated.isEmpty()
+
+
+def shipments_without_facilities(stg_shipments: DataFrame, stg_facilities: DataFrame) -> DataFrame:
+    """``int_shipments_enriched`` for consumers that use no facility column.
+
+    The two left joins change neither rows nor columns they see once facility
+    ids are known to be unique; else the joins stay, with their fan-out.
+    """
+    if facility_ids_unique(stg_facilities):
+        return stg_shipments
+    return int_shipments_enriched(stg_shipments, stg_facilities)
+
+
 def tracking_with_status(stg_tracking_events: DataFrame, status_codes: DataFrame) -> DataFrame:
-    """Events with status name and exception flag (seed lookup, broadcast:
-    the seed is a fixed 9-row table)."""
-    seed = F.broadcast(status_codes.select("status_code", "status_name", "is_exception"))
+    """Events with status name and exception flag (seed lookup, broadcast
+    behind a size check)."""
+    seed = bounded_broadcast(status_codes.select("status_code", "status_name", "is_exception"), source=status_codes)
     return stg_tracking_events.join(seed, "status_code", "left").select(
         "event_id", "shipment_id", "status_code", "status_name", "is_exception",
         "facility_id", "event_timestamp_ts", "courier_notes",

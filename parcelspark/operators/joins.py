@@ -25,6 +25,8 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
         for f in df.schema.fields:
             if f.dataType.typeName() in ("string", "binary"):
                 width = width + F.coalesce(F.octet_length(df[f.name]), F.lit(0))
+            elif f.dataType.typeName() in ("array", "map", "struct"):
+                width = width + F.coalesce(F.octet_length(F.to_json(df[f.name])), F.lit(0))
             else:
                 width = width + F.lit(_FIXED_WIDTH)
         rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("long"))).first()

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from parcelspark.functions import expressions as X
 from parcelspark.functions import timeutil
 from parcelspark.operators.intermediate import MINUTES_COL
-from parcelspark.operators.joins import bounded_broadcast
+from parcelspark.operators.joins import bounded_broadcast, fits_broadcast
 
 LIFECYCLE_COLUMNS = [
     "shipment_id", "origin_city", "destination_city", "weight_kg", "shipping_cost",
@@ -84,7 +84,7 @@ def mart_delivery_performance(shipments_enriched: DataFrame, tracking: DataFrame
 
 
 def exception_codes(status_codes: DataFrame) -> list[int]:
-    """Status codes flagged as exceptions (the seed is a fixed 9-row table)."""
+    """Status codes flagged as exceptions, of a table that is small enough to broadcast."""
     return sorted(r["status_code"] for r in status_codes.where(F.col("is_exception")).collect())
 
 
@@ -92,7 +92,7 @@ def mart_exceptions_analysis(
     shipments_enriched: DataFrame, tracking_status: DataFrame, status_codes: DataFrame | None = None
 ) -> DataFrame:
     exc = tracking_status
-    if status_codes is not None:
+    if status_codes is not None and fits_broadcast(status_codes):
         # Same rows as the flag filter (unknown codes get a NULL flag), but on
         # a scan column: Catalyst pushes it below the seed join into the scan.
         exc = exc.where(F.col("status_code").isin(exception_codes(status_codes)))

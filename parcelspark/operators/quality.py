@@ -116,8 +116,7 @@ def dq_rel_event_shipment(stg_tracking: DataFrame, stg_shipments: DataFrame) ->
 
 
 def dq_rel_event_status(stg_tracking: DataFrame, status_codes: DataFrame) -> DataFrame:
-    return orphans(stg_tracking, "status_code", F.broadcast(status_codes), "status_code",
-                   ["event_id", "status_code"], broadcast_parent=False)
+    return orphans(stg_tracking, "status_code", status_codes, "status_code", ["event_id", "status_code"])
 
 
 # ----------------------------------------------------------------- summary
@@ -178,9 +177,9 @@ def _fused_shipments(stg_shipments: DataFrame, stg_facilities: DataFrame) -> Dat
 
 def _fused_events(stg_tracking: DataFrame, status_codes: DataFrame) -> DataFrame:
     """not_null x3 and the status relationship in one pass over events."""
-    codes = F.broadcast(status_codes.select(F.col("status_code").alias("_c")).distinct())
+    codes = bounded_broadcast(status_codes.select(F.col("status_code").alias("_c")).distinct(), source=status_codes)
     e = stg_tracking.select("event_id", "shipment_id", "status_code")
-    agg = e.join(codes, e["status_code"] == codes["_c"], "left").agg(
+    agg = e.join(codes, F.col("status_code") == F.col("_c"), "left").agg(
         F.count_if(F.col("event_id").isNull()).alias("nn_e"),
         F.count_if(F.col("shipment_id").isNull()).alias("nn_s"),
         F.count_if(F.col("status_code").isNull()).alias("nn_c"),

@@ -55,14 +55,15 @@ MODELS: dict[str, Model] = {
         _m("stg_weather_delays", S.stg_weather_delays, ["raw_weather"], D),
         # intermediate
         _m("int_shipments_enriched", I.int_shipments_enriched, ["stg_shipments", "stg_facilities"], HD),
+        _m("shipments_without_facilities", I.shipments_without_facilities, ["stg_shipments", "stg_facilities"], D, "internal"),
         _m("tracking_with_status", I.tracking_with_status, ["stg_tracking_events", "status_codes_mapping"], HD, "internal"),
         _m("tracking_lag_full", I.int_tracking_with_lag, ["tracking_with_status"], HD, "internal"),
         _m("int_tracking_with_lag", I.published_tracking_with_lag, ["tracking_lag_full"], HD),
         # marts (tables)
         _m("mart_courier_issues_summary", M.mart_courier_issues_summary, ["stg_tracking_events"], D, "table"),
         _m("mart_daily_active_network", M.mart_daily_active_network, ["stg_tracking_events"], D, "table"),
-        _m("mart_daily_revenue_summary", M.mart_daily_revenue_summary, ["int_shipments_enriched"], D, "table"),
-        _m("mart_delivery_performance", M.mart_delivery_performance, ["int_shipments_enriched", "stg_tracking_events"], D, "table"),
+        _m("mart_daily_revenue_summary", M.mart_daily_revenue_summary, ["shipments_without_facilities"], D, "table"),
+        _m("mart_delivery_performance", M.mart_delivery_performance, ["shipments_without_facilities", "stg_tracking_events"], D, "table"),
         _m("mart_exceptions_analysis", M.mart_exceptions_analysis, ["int_shipments_enriched", "tracking_with_status", "status_codes_mapping"], HD, "table"),
         _m("mart_facility_bottlenecks", M.mart_facility_bottlenecks, ["stg_facilities", "tracking_lag_full"], D, "table"),
         _m("mart_facility_capacity_utilization", M.mart_facility_capacity_utilization, ["stg_facilities", "stg_tracking_events"], D, "table"),
@@ -72,7 +73,7 @@ MODELS: dict[str, Model] = {
         _m("mart_shipment_lifecycle", M.mart_shipment_lifecycle, ["shipment_lifecycle_full"], D, "table"),
         _m("mart_route_performance", M.mart_route_performance, ["shipment_lifecycle_full"], D, "table"),
         _m("mart_weather_impact", M.mart_weather_impact, ["stg_weather_delays", "stg_facilities", "tracking_with_status"], D, "table"),
-        _m("mart_weight_brackets_pricing", M.mart_weight_brackets_pricing, ["int_shipments_enriched"], D, "table"),
+        _m("mart_weight_brackets_pricing", M.mart_weight_brackets_pricing, ["shipments_without_facilities"], D, "table"),
         # read-outs
         _m("report_daily_revenue", R.report_daily_revenue, ["mart_daily_revenue_summary"], D, "report"),
         _m("report_top_routes", R.report_top_routes, ["mart_route_performance"], D, "report"),

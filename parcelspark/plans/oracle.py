@@ -364,6 +364,12 @@ FINAL["int_tracking_with_lag_hot"] = """SELECT event_id, facility_id, event_time
         event_id ASC NULLS LAST) AS previous_event_ts FROM stg_tracking_events"""
 FINAL["scan_weather_csv"] = "SELECT date, city, weather_condition, precipitation_mm, regional_delay_flag FROM raw_weather"
 FINAL["stream_exceptions"] = "SELECT * FROM mart_exceptions_analysis"
+FINAL["stream_exceptions_late"] = FINAL["stream_exceptions"]
+# Maintained batch by batch or stored in buckets, these must equal the rebuild.
+FINAL["int_tracking_with_lag_incremental"] = FINAL["int_tracking_with_lag"]
+for _key in ("mart_facility_traffic", "mart_route_performance", "mart_daily_revenue_summary"):
+    FINAL[f"{_key}_incremental"] = FINAL[_key]
+FINAL["mart_shipment_lifecycle_bucketed"] = FINAL["mart_shipment_lifecycle"]
 
 
 def oracle_sql() -> dict[str, str]:

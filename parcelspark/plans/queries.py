@@ -3,7 +3,7 @@
 Every query derives its input from the driver's tables through the fixture
 adapter, over whole tables.  Each key here has an oracle statement in
 ``parcelspark.plans.oracle``; the file/stream round trips live in
-``parcelspark.plans.roundtrips`` (all but two of them have oracles too).
+``parcelspark.plans.roundtrips``.
 """
 
 from __future__ import annotations

@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelspark import schemas
+from parcelspark.functions import timeutil
+from parcelspark.operators import partials
+from parcelspark.operators.intermediate import INT_TRACKING_WITH_LAG_COLUMNS
+from parcelspark.operators.lag_table import LagTable
+from parcelspark.operators.layout import store_bucketed
 from parcelspark.plans.graph import ModelGraph
 from parcelspark.session import scratch_dir
 from parcelspark.sinks import tables
@@ -21,6 +26,7 @@ from parcelspark.sources import fixtures, oltp, tracking_json, weather_csv
 from parcelspark.streaming import event_table
 from parcelspark.streaming import exceptions as stream_exc
 from parcelspark.streaming import ingest as stream_ingest
+from parcelspark.streaming import late_exceptions
 
 RECORDS = tracking_json.RECORD_COLUMNS
 #: Small enough that every test table takes several micro-batches.
@@ -152,6 +158,77 @@ def stream_exceptions(spark, sf_dir):
     return spark.read.parquet(sink + "/data")
 
 
+def stream_exceptions_late(spark, sf_dir):
+    """Events first, most of them before their shipments; the feed gets the rest when the shipments come."""
+    out, g = _export(spark, sf_dir), ModelGraph(fixtures.load_raw(spark, sf_dir))
+    whole, codes = g.get("int_shipments_enriched"), g.get("status_codes_mapping")
+    early = whole.where(F.col("created_at_ts") <= F.lit(FIRST_LOAD_UNTIL).cast("timestamp_ntz"))
+    root = scratch_dir(spark, "late-exceptions")
+    late_exceptions.drain(spark, out, lambda: early, codes, root, EXPORT_GLOB, FILES_PER_TRIGGER)
+    late_exceptions.flush(spark, lambda: whole, root)
+    return late_exceptions.read_feed(spark, root)
+
+
+BATCHES = 3
+
+
+def _batches(df: DataFrame, column: str) -> list[DataFrame]:
+    """Three batches in no order of time."""
+    part = F.pmod(F.xxhash64(column), F.lit(BATCHES))
+    return [df.where(part == k) for k in range(BATCHES)]
+
+
+def int_tracking_with_lag_incremental(spark, sf_dir):
+    tracking = ModelGraph(fixtures.load_raw(spark, sf_dir)).get("tracking_with_status")
+    table = LagTable(spark, scratch_dir(spark, "lag-table"), "shipment_id", "event_timestamp_ts", "event_id",
+                     "previous_event_timestamp_ts")
+    for batch in _batches(tracking, "event_id"):
+        table.apply(batch)
+    minutes = timeutil.minute_boundaries_between(F.col("previous_event_timestamp_ts"), F.col("event_timestamp_ts"))
+    return table.read().withColumn("hours_since_last_event", timeutil.minutes_to_hours(minutes)).select(
+        *INT_TRACKING_WITH_LAG_COLUMNS)
+
+
+def _partials(spark, name: str, batches: list[DataFrame], reduce) -> DataFrame:
+    root = scratch_dir(spark, "partials")
+    for batch in batches:
+        partials.add(spark, root, name, reduce(batch))
+    return partials.merged(spark, root, name)
+
+
+def mart_facility_traffic_incremental(spark, sf_dir):
+    g = ModelGraph(fixtures.load_raw(spark, sf_dir))
+    parts = _partials(spark, "traffic", _batches(g.get("stg_tracking_events"), "event_id"), partials.traffic_of)
+    return partials.facility_traffic(parts, g.get("stg_facilities"))
+
+
+def mart_route_performance_incremental(spark, sf_dir):
+    g = ModelGraph(fixtures.load_raw(spark, sf_dir))
+    parts = _partials(spark, "transit", _batches(g.get("tracking_with_status"), "event_id"), partials.transit_of)
+    return partials.route_performance(parts, g.get("int_shipments_enriched"))
+
+
+def mart_daily_revenue_summary_incremental(spark, sf_dir):
+    shipments = ModelGraph(fixtures.load_raw(spark, sf_dir)).get("stg_shipments")
+    return _partials(spark, "revenue", _batches(shipments, "shipment_id"), partials.revenue_of)
+
+
+#: Buckets of the stored tables below; on a cluster a few per core.
+BUCKETS = 16
+
+
+def mart_shipment_lifecycle_bucketed(spark, sf_dir):
+    """The lifecycle mart over events and shipments stored in buckets of the shipment id."""
+    raw = fixtures.load_raw(spark, sf_dir)
+    return bucketed_graph(raw).get("mart_shipment_lifecycle")
+
+
+def bucketed_graph(raw: fixtures.RawTables) -> ModelGraph:
+    g = ModelGraph(raw)
+    return ModelGraph(raw, {
+        name: store_bucketed(g.get(name), "shipment_id", BUCKETS) for name in ("stg_shipments", "stg_tracking_events")})
+
+
 ROUNDTRIP_QUERIES = {
     "scan_tracking_json": scan_tracking_json,
     "json_schema_backfill": json_schema_backfill,
@@ -165,4 +242,10 @@ ROUNDTRIP_QUERIES = {
     "stream_ledger": stream_ledger,
     "stream_ingest_events": stream_ingest_events,
     "stream_exceptions": stream_exceptions,
+    "stream_exceptions_late": stream_exceptions_late,
+    "int_tracking_with_lag_incremental": int_tracking_with_lag_incremental,
+    "mart_facility_traffic_incremental": mart_facility_traffic_incremental,
+    "mart_route_performance_incremental": mart_route_performance_incremental,
+    "mart_daily_revenue_summary_incremental": mart_daily_revenue_summary_incremental,
+    "mart_shipment_lifecycle_bucketed": mart_shipment_lifecycle_bucketed,
 }

@@ -14,7 +14,9 @@ QUERIES = queries.all_queries()
 SQL_KEYS = [k for k in QUERIES if k in ORACLES]
 ROUNDTRIPS = {"scan_tracking_json", "json_schema_backfill", "json_provenance", "scan_weather_csv",
               "full_refresh_events", "stream_ingest_events", "stream_exceptions", "export_hourly_json", "ingest_ledger",
-              "stream_full_refresh", "stream_ledger"}
+              "stream_full_refresh", "stream_ledger", "stream_exceptions_late", "int_tracking_with_lag_incremental",
+              "mart_facility_traffic_incremental", "mart_route_performance_incremental",
+              "mart_daily_revenue_summary_incremental", "mart_shipment_lifecycle_bucketed"}
 
 
 def _norm(v):
