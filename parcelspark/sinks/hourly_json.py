@@ -1,10 +1,11 @@
 """Hour-bucketed JSON export: every file is one JSON array, sorted by time.
 
 Layout: a flat folder of ``events_YYYY-MM-DD_HH.json``, the form the event
-readers take by default.  An hour with more than
-``parcelspark.export.rowsPerFile`` events is cut into equal time ranges, one
-file each (``events_YYYY-MM-DD_HH_001.json`` ...), so names in order are events
-in order; only events of one second stay together whatever their number.
+readers take by default.  More than ``parcelspark.export.rowsPerFile`` events
+are cut into ranges of (hour, time, id) of about that size, whose bounds are
+quantiles of the whole order, so a burst within one second is cut as well.  An
+hour that a bound falls into has several files
+(``events_YYYY-MM-DD_HH_00001.json`` ...); names in order are events in order.
 
 Spark writes the files into a hidden folder and commits them; then each is
 renamed to its place (metadata only, one call a file).  Each file is built
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from parcelspark.functions import timeutil
 from parcelspark.operators.joins import bounded_broadcast
-from parcelspark.session import CONF_JSON_ROWS_PER_FILE, conf_int
+from parcelspark.session import CONF_JSON_ROWS_PER_FILE, conf_int, scratch_dir
 from parcelspark.sources.fs import delete_dir, list_dirs, list_files, move_file
 
 DEFAULT_ROWS_PER_FILE = 1_000_000
@@ -44,16 +45,16 @@ def export_hourly_json(
     cap = rows_per_file or conf_int(spark, CONF_JSON_ROWS_PER_FILE, DEFAULT_ROWS_PER_FILE)
     hour = timeutil.hour_bucket_from_text(F.col("event_timestamp"))
     with_hour = events.withColumn("hour", hour)
-    files_per_hour = (
-        with_hour.groupBy("hour")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("hour", F.ceil(F.col("_n") / F.lit(cap)).cast("long").alias("_files"))
-    )
-    second = F.substring("event_timestamp", 15, 2).cast("int") * 60 + F.substring("event_timestamp", 18, 2).cast("int")
-    split = (
-        with_hour.join(bounded_broadcast(files_per_hour), "hour", "inner")
-        .withColumn("_slice", F.floor(second * F.col("_files") / F.lit(3600)))
-    )
+    ranges = -(-events.count() // cap)
+    split = with_hour.withColumn("_slice", F.lit(0))
+    if ranges > 1:
+        order = [F.col("hour"), F.asc_nulls_last("event_timestamp"), F.asc_nulls_last("event_id")]
+        ranged, path = with_hour.repartitionByRange(ranges, *order), scratch_dir(spark, "export-ranges")
+        # Written, so that every later step sees the same ranges.
+        ranged.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+        ranged = spark.read.parquet(path)
+        first = ranged.groupBy("hour").agg(F.min("_range").alias("_first"))
+        split = ranged.join(bounded_broadcast(first), "hour").withColumn("_slice", F.col("_range") - F.col("_first"))
     group = Window.partitionBy("hour", "_slice")
     ordered = group.orderBy(F.asc_nulls_last("event_timestamp"), F.asc_nulls_last("event_id"))
     fields = [F.col(c) for c in RECORD_FIELDS] + [v.alias(k) for k, v in (extra_fields or {}).items()]
@@ -83,7 +84,7 @@ def export_hourly_json(
     for hour_dir in list_dirs(spark, staging):
         for slice_dir in list_dirs(spark, f"{staging}/{hour_dir}"):
             number = int(slice_dir.split("=", 1)[1])
-            name = f"events_{hour_dir.split('=', 1)[1]}" + (f"_{number:03d}" if number else "") + ".json"
+            name = f"events_{hour_dir.split('=', 1)[1]}" + (f"_{number:05d}" if number else "") + ".json"
             (part,) = [f for f in list_files(spark, f"{staging}/{hour_dir}/{slice_dir}") if f.startswith("part-")]
             move_file(spark, f"{staging}/{hour_dir}/{slice_dir}/{part}", f"{out_dir.rstrip('/')}/{name}")
     delete_dir(spark, staging)

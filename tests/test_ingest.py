@@ -191,6 +191,18 @@ def test_export_writes_sorted_json_arrays_and_splits_hot_hours(spark, tmpdir_pat
         assert len(files) == hours if rows_per_file is None else len(files) > hours
 
 
+def test_export_splits_a_burst_within_one_second(spark, tmpdir_path):
+    rows = spark.range(50_000).selectExpr(
+        "lpad(cast(id * 7919 % 50000 as string), 6, '0') as event_id", "'s' as shipment_id", "10 as status_code",
+        "cast(1 as long) as facility_id", "'2024-01-01T05:00:00Z' as event_timestamp", "cast(null as string) as courier_notes")
+    export_hourly_json(rows, f"{tmpdir_path}/burst", rows_per_file=10_000)
+    files = sorted(glob.glob(f"{tmpdir_path}/burst/*.json"))
+    parts = [[r["event_id"] for r in json.load(open(p))] for p in files]
+    assert len(files) > 3 and max(map(len, parts)) < 20_000
+    ids = [i for part in parts for i in part]
+    assert ids == sorted(ids) and len(set(ids)) == 50_000
+
+
 def test_streams_lose_no_file_over_many_micro_batches(spark, tmpdir_path):
     from parcelspark.streaming.ingest import event_file_stream
 
