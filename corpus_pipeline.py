@@ -4,6 +4,12 @@
 Each stage's rows are written as Parquet to the shared scratch folder and read
 again as the next one's ``docs``.  All but the last return the columns of
 ``documents``.
+
+Defined results: a null or empty text fails the quality rules and goes in the
+first stage; rows without ``doc_id`` neither count as documents nor lose lines,
+and near-dedup leaves them; of rows that repeat an id near-dedup keeps one; an
+empty table stays empty in every stage; further columns pass through all
+stages but the last.
 """
 
 from __future__ import annotations
