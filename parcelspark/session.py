@@ -108,6 +108,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_OWN_SCRATCH: set[str] = set()
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, never-reused folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/parcelspark/{purpose}-{uuid.uuid4().hex}"
+    """A fresh, never-reused folder under the shared checkpoint root.
+
+    All of an application's folders are below one that goes when the
+    application's driver ends; one that is killed leaves it behind.
+    """
+    own = f"{checkpoint_root(spark)}/parcelspark/{spark.sparkContext.applicationId}"
+    if own not in _OWN_SCRATCH:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _OWN_SCRATCH.add(own)
+    return f"{own}/{purpose}-{uuid.uuid4().hex}"

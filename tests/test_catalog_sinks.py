@@ -61,3 +61,23 @@ def test_scale_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 24576
     small = scale_conf(10 * 1024**2, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 16  # two waves of cores
+
+
+def test_scratch_goes_when_the_application_ends(tmpdir_path):
+    import os
+    import subprocess
+    import sys
+
+    code = f"""
+from parcelspark.session import build_session, scratch_dir
+spark = build_session("local[1]", extra={{"spark.checkpoint.dir": {tmpdir_path!r}}})
+path = scratch_dir(spark, "kept")
+spark.range(3).write.parquet(path)
+assert spark.read.parquet(path).count() == 3
+print(path)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300,
+                          cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = done.stdout.strip().splitlines()[-1]
+    assert done.returncode == 0 and path.startswith(tmpdir_path), done.stderr[-2000:]
+    assert not os.path.exists(path) and not os.path.exists(os.path.dirname(path))
