@@ -6,8 +6,8 @@ Here hot keys are found from a sample and handled apart:
 
 1. sample -> keys (NULL is one of them) whose sampled frequency implies more
    than ``parcelspark.skew.rowsPerTask`` rows.  The table has at most
-   ``2 * rows / rowsPerTask`` entries and is written once to the shared
-   folder, so every later branch sees the same keys.
+   ``2 * rows / rowsPerTask`` entries and, if it has any, is written once to
+   the shared folder, so every later branch sees the same keys.
 2. The hot keys' rows are range-partitioned on (key, ts, tiebreak) and written
    once with their partition as ``_chunk``.  The bounds are quantiles of the
    whole order, so a burst at one instant is split as well, by the tiebreak.
@@ -84,11 +84,12 @@ def lag_by_key(
     budget = rows_per_task or conf_int(spark, CONF_SKEW_ROWS_PER_TASK, DEFAULT_ROWS_PER_TASK)
     fraction = min(1.0, sample_fraction or conf_float(spark, CONF_SKEW_SAMPLE_FRACTION, DEFAULT_SAMPLE_FRACTION))
     plain = F.lag(value_col).over(Window.partitionBy(key).orderBy(*_order(order_cols)))
-    hot = _written(hot_keys(df, key, budget, fraction), "lag-hot-keys")
-    rows = hot.agg(F.sum("_rows")).first()[0]
+    found = hot_keys(df, key, budget, fraction)
+    rows = found.agg(F.sum("_rows")).first()[0]
     if not rows:
         return df.withColumn(out_col, plain)
 
+    hot = _written(found, "lag-hot-keys")
     hot_b = bounded_broadcast(hot.select(F.col(key).alias("_hot_key")))
     is_hot = df[key].eqNullSafe(F.col("_hot_key"))
     cold = df.join(hot_b, is_hot, "left_anti").withColumn(out_col, plain)
