@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -692,5 +692,16 @@ def score_documents(docs: DataFrame, model: Model | None, text: str = "text", ke
     ship_code(docs.sparkSession)
     if model is None:
         return docs.select(key, F.lit(0.0).alias("margin"), F.lit(0.0).alias("score"))
-    found: Column = evidence_of(model)(F.col(text))
-    return docs.select(key, found.alias("e")).select(key, "e.margin", "e.score")
+    name = uuid.uuid4().hex
+
+    def scored(batches):
+        # Results go out a slice of texts at a time, so that a worker holds few.
+        scorer = scorer_for(name, model)
+        for batch in batches:
+            for some in words.slices(batch, 1):
+                found, _ = scorer.evidence(some.column(1))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array(found[:, 0]), pa.array(model.score(found))], [key, "margin", "score"])
+
+    schema = T.StructType([docs.schema[key], T.StructField("margin", T.DoubleType()), T.StructField("score", T.DoubleType())])
+    return docs.select(key, F.col(text).cast("string").alias("_text")).mapInArrow(scored, schema)
