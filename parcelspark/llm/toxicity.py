@@ -352,7 +352,7 @@ class Scorer:
     from one pass over the letters of all units in order.
     """
 
-    LIMIT = 200_000
+    LIMIT = 100_000
     LONGEST = 64  # longer units are not remembered
 
     def __init__(self, model: Model):
