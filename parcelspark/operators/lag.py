@@ -8,9 +8,11 @@ Here hot keys are found from a sample and handled apart:
    than ``parcelspark.skew.rowsPerTask`` rows.  The table has at most
    ``2 * rows / rowsPerTask`` entries and, if it has any, is written once to
    the shared folder, so every later branch sees the same keys.
-2. The hot keys' rows are range-partitioned on (key, ts, tiebreak) and written
-   once with their partition as ``_chunk``.  The bounds are quantiles of the
-   whole order, so a burst at one instant is split as well, by the tiebreak.
+2. The hot keys' rows are range-partitioned on (key, ts, tiebreak), sorted and
+   written once; every so many rows of a partition are one ``_chunk``.  The
+   bounds are quantiles of the whole order, so a burst at one instant is split
+   as well, by the tiebreak.  The number of partitions, each a task and a file,
+   follows the session's shuffle partitions and the rows, not the chunks.
 3. ``lag`` over (key, chunk) spreads a hot key over many tasks.
 4. The first row of each chunk takes the last value of the previous chunk of
    its key (a small per-chunk table).
@@ -25,7 +27,7 @@ shuffles ~1e8 sampled keys, partial-aggregated).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelspark.operators.joins import bounded_broadcast
@@ -40,6 +42,7 @@ from parcelspark.session import (
 DEFAULT_ROWS_PER_TASK = 2_000_000
 DEFAULT_SAMPLE_FRACTION = 0.0001
 MAX_CHUNKS = 20_000
+_ROW_BITS = 33  # of monotonically_increasing_id: the row's number within its partition
 _SAMPLE_SEED = 20240101
 
 
@@ -54,6 +57,12 @@ def _written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _partitions(spark: SparkSession, chunks: int, rows: int) -> int:
+    """Partitions of ``rows`` hot rows that are cut into ``chunks`` chunks."""
+    wanted = max(conf_int(spark, "spark.sql.shuffle.partitions", 200), -(-rows // DEFAULT_ROWS_PER_TASK))
+    return min(chunks, wanted)
+
+
 def hot_keys(df: DataFrame, key: str, rows_per_task: int, fraction: float) -> DataFrame:
     """(key, _rows): sampled heavy hitters of ``key``, NULL included, and their estimated rows."""
     min_hits = max(1, int(fraction * rows_per_task / 2))
@@ -94,8 +103,14 @@ def lag_by_key(
     is_hot = df[key].eqNullSafe(F.col("_hot_key"))
     cold = df.join(hot_b, is_hot, "left_anti").withColumn(out_col, plain)
     chunks = int(min(MAX_CHUNKS, max(2, -(-2 * rows // budget))))
-    ranged = df.join(hot_b, is_hot, "left_semi").repartitionByRange(chunks, F.col(key), *_order(order_cols))
-    chunked = _written(ranged.withColumn("_chunk", F.spark_partition_id()), "lag-chunks")
+    order = [F.col(key), *_order(order_cols)]
+    ranged = df.join(hot_b, is_hot, "left_semi").repartitionByRange(_partitions(spark, chunks, rows), *order)
+    # The id is the partition's number above _ROW_BITS bits of the row's number within it.
+    row_mask = (1 << _ROW_BITS) - 1
+    chunk_rows = max(budget // 2, -(-rows // MAX_CHUNKS), 1)
+    numbered = ranged.sortWithinPartitions(*order).withColumn("_chunk", F.monotonically_increasing_id()).withColumn(
+        "_chunk", F.expr(f"_chunk - (_chunk & {row_mask}L) + (_chunk & {row_mask}L) div {chunk_rows}L"))
+    chunked = _written(numbered, "lag-chunks")
 
     w = Window.partitionBy(key, "_chunk").orderBy(*_order(order_cols))
     windowed = chunked.withColumn("_lag", F.lag(value_col).over(w)).withColumn(

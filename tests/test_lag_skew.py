@@ -142,3 +142,20 @@ def test_no_single_partition_exchange_over_the_events(spark):
     for key in ("int_tracking_with_lag", "int_tracking_with_lag_hot"):
         plan = Q.sql_queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "LocalLimit" not in plan and "GlobalLimit" not in plan, key
+
+
+def test_files_and_tasks_follow_the_session_not_the_chunks(spark, monkeypatch):
+    """Chunks of a low budget share partitions: 8 files here, where each of 120 chunks had its own."""
+    from parcelspark.operators import lag
+
+    base = datetime(2024, 1, 1)
+    rows = [(None, f"n{i:05d}", base + timedelta(seconds=i % 700)) for i in range(6_000)] + [("k", "c", base)]
+    df = spark.createDataFrame(rows, "k string, id string, ts timestamp_ntz")
+    written = {}
+    keep = lag._written
+    monkeypatch.setattr(lag, "_written", lambda d, purpose: written.setdefault(purpose, keep(d, purpose)))
+    got = lag_by_key(df, "k", ["ts", "id"], "ts", "prev", rows_per_task=100, sample_fraction=1.0)
+    assert _rows(got) == _rows(_plain(df))
+    sizes = [r["count"] for r in written["lag-chunks"].groupBy("_chunk").count().collect()]
+    assert len(written["lag-chunks"].inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(sizes) >= 120 and max(sizes) <= 50
