@@ -191,20 +191,24 @@ class TokenFile:
 
 
 _MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalpha())
-#: Latin-1 letters, then at most one ASCII mark or digit: two words to the tokenizer.
-_PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[!-@\\[-`{-~]?$"
+#: Latin-1 letters, then at most one digit or a run of ASCII marks: two words to the tokenizer.
+_PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([0-9]|[!-/:-@\\[-`{-~]+)?$"
+#: What the letters of ``_PLAIN`` are in lower case.
+_LETTERS = "".join(c for c in map(chr, range(97, 256)) if c.isalpha() and c not in "\u00aa\u00b5\u00ba")
 
 
 class LibraryEncoder:
     """The tokenizers library behind a memo of words.
 
-    Texts are cut at white space, which no token crosses, and at a mark that
-    ends a chunk of letters.  Arrow does that and numbers the distinct pieces;
+    Texts are cut at white space, which no token crosses, and at the marks that
+    end a chunk of letters.  Arrow does that and numbers the distinct pieces;
     each new piece goes through the library once per worker while it is
-    remembered, and numpy gathers the pieces' ids in the texts' order.
+    remembered, and numpy gathers the pieces' ids in the texts' order.  The
+    memo has two generations, so pieces in use survive a turn-over.
     """
 
-    LIMIT = 300_000
+    #: Pieces of a generation, but for those of one slice.
+    LIMIT = 150_000
     #: Longer pieces are not remembered.
     LONGEST = 64
 
@@ -220,7 +224,7 @@ class LibraryEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.known: dict[str, bytes] = {}
-        self.marks = [np.array(e.ids, "<u4").tobytes() for e in self._library(list(_MARKS))]
+        self.older: dict[str, bytes] = {}
 
     def _library(self, pieces: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
@@ -228,24 +232,31 @@ class LibraryEncoder:
     def _spell(self, pieces: list[str], letters: bool) -> list[bytes]:
         """Packed ids of each of these distinct pieces; ``letters``: each is one word to the tokenizer."""
         if len(self.known) > self.LIMIT:
-            self.known = {}
-        known = self.known
-        new = [p for p in pieces if p not in known]
-        if not new:
-            return [known[p] for p in pieces]
-        now: dict[str, bytes] = {}
-        if letters:  # one text for all: each word's ids end with a word-end label
-            ids = np.array(self._library([" ".join(new)])[0].ids, "<u4")
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        out = list(map(known.get, pieces))
+        missed = [i for i, v in enumerate(out) if v is None]
+        if not missed:
+            return out
+        new = []
+        for i in missed:
+            out[i] = older.get(pieces[i])
+            if out[i] is None:
+                new.append(i)
+        words_of = [pieces[i] for i in new]
+        if letters and new:  # one text for all: each word's ids end with a word-end label
+            ids = np.array(self._library([" ".join(words_of)])[0].ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(new):
                 raise ValueError("the tokenizer file cuts words of letters")
             raw, cuts = ids.tobytes(), [0, *(4 * stops).tolist()]
-            now = {p: raw[x:y] for p, x, y in zip(new, cuts, cuts[1:])}
-        else:
-            for p, e in zip(new, self._library(new)):
-                now[p] = np.array(e.ids, "<u4").tobytes()
-        known.update((p, v) for p, v in now.items() if len(p) <= self.LONGEST)
-        return [now[p] if p in now else known[p] for p in pieces]
+            for i, x, y in zip(new, cuts, cuts[1:]):
+                out[i] = raw[x:y]
+        elif new:
+            for i, e in zip(new, self._library(words_of)):
+                out[i] = np.array(e.ids, "<u4").tobytes()
+        known.update((pieces[i], out[i]) for i in missed if len(pieces[i]) <= self.LONGEST)
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
@@ -256,17 +267,17 @@ class LibraryEncoder:
         low = pc.utf8_lower(chunks.filter(plain))
         body = pc.utf8_rtrim(low, _MARKS)
         bodies = body.dictionary_encode()
-        other = chunks.filter(pc.invert(plain)).to_pylist()
-        spelled = self._spell(bodies.dictionary.to_pylist(), True) + self.marks + self._spell(other, False)
+        tails = pc.utf8_ltrim(low, _LETTERS).dictionary_encode()
+        marks, other = tails.dictionary.to_pylist(), chunks.filter(pc.invert(plain)).to_pylist()
+        spelled = self._spell(bodies.dictionary.to_pylist(), True) + self._spell(marks, False) + self._spell(other, False)
 
-        # Each distinct chunk as one or two pieces (-1: none).
+        # Each distinct chunk as one or two pieces (-1: none; an empty tail is a piece without ids).
         is_plain = plain.to_numpy(zero_copy_only=False)
-        n_words, n_marks = len(bodies.dictionary), len(self.marks)
+        n_words, n_marks = len(bodies.dictionary), len(marks)
         pieces = np.full((len(chunks), 2), -1)
         pieces[is_plain, 0] = bodies.indices.to_numpy()
         pieces[~is_plain, 0] = n_words + n_marks + np.arange(len(other))
-        last = pc.index_in(pc.utf8_slice_codeunits(low, -1), pa.array(list(_MARKS), low.type))
-        pieces[is_plain, 1] = pc.fill_null(last, -1 - n_words).to_numpy() + n_words
+        pieces[is_plain, 1] = n_words + tails.indices.to_numpy()
 
         in_order = pieces[coded.indices.to_numpy()]
         real = in_order >= 0

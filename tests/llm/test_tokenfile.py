@@ -97,3 +97,16 @@ def test_query_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
     assert [tuple(r) for r in op8_tokenfile(spark, sf).orderBy("doc_id").collect()] == brute(rows)
+
+
+def test_pieces_in_use_stay_known_and_marks_make_no_new_ones():
+    enc = tf.LibraryEncoder(tokenizer_path())
+    enc.LIMIT, asked, library = 3, [], enc._library
+    enc._library = lambda pieces: asked.extend(pieces) or library(pieces)
+    enc.encode(pa.array(["alpha beta gamma delta"]))
+    asked.clear()
+    enc.encode(pa.array(["alpha omega"]))  # after the turn-over
+    assert asked == ["omega"]
+    asked.clear()
+    enc.encode(pa.array(["alpha&&& omega&&& Alpha&&&"]))
+    assert asked == ["&&&"]
