@@ -22,6 +22,10 @@ from parcelspark.llm.common import materialize, table
 from parcelspark.llm.queries import tokenizer_path
 
 
+#: Smaller than an encoder's own: here an executor's heap is full of the earlier stages.
+MEMO = 60_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the base rules or the trees reject go."""
     model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -51,7 +55,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text that is left, with the digests of ids and decoded text."""
-    return bpe.digest(bpe.encode_documents(docs, tokenizer_path()))
+    return bpe.digest(bpe.encode_documents(docs, tokenizer_path(), memo=MEMO))
 
 
 STAGES = [

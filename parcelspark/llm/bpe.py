@@ -45,6 +45,8 @@ from parcelspark.llm.common import WordCache, ship_code
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_WS}\p{{L}}\p{{N}}]+"
 _NEVER = 1 << 60
+#: Chunks that a generation of an encoder's memo holds; half as many words, twice as many arcs.
+MEMO = 100_000
 
 
 _BLANK = regex.compile(f"[{_WS}]+")
@@ -98,7 +100,7 @@ class _Pairs:
 class Automaton:
     """Deterministic token automaton of a merge list."""
 
-    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]):
+    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], most: int = 2 * MEMO):
         self.labels = {i: t for t, i in vocab.items()}
         self.width = max(vocab.values()) + 1
         grown: dict[int, tuple] = {}  # arc -> spine of (label, hidden from this time on)
@@ -108,7 +110,7 @@ class Automaton:
         for t, i in vocab.items():
             if t not in made:
                 grown[i] = lineage[i] = ((i, _NEVER),)
-        self.cuts, self.table = cuts, {}
+        self.cuts, self.table, self.most = cuts, {}, most
         for k, (a, b) in enumerate(merges, 1):
             u, v, w = vocab[a], vocab[b], vocab[a + b]
             if w in grown:
@@ -131,7 +133,7 @@ class Automaton:
         key = state * self.width + token
         known = self.table.get(key)
         if known is None:
-            if len(self.table) > 100_000:
+            if len(self.table) > self.most:
                 self.table.clear()
             known = self.table[key] = self._arc(state, token)
         return known
@@ -190,7 +192,7 @@ class Automaton:
 class WordBpe:
     """Encoder and decoder of one tokenizer file of the word-end kind."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO):
         self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -198,7 +200,7 @@ class WordBpe:
         vocab = model["vocab"]
         end = model["end_of_word_suffix"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.automaton = a = Automaton(vocab, merges)
+        self.automaton = a = Automaton(vocab, merges, 2 * memo)
         self.byte_of = byte_of = {c: b for b, c in enumerate(byte_symbols())}
         for t, i in vocab.items():
             if i in a.grown:  # reachable
@@ -213,8 +215,8 @@ class WordBpe:
         self.special = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.added = added
         self.pattern = regex.compile(_WORD_PATTERN)
-        self.words = WordCache(self._word, 30_000)
-        self.chunks = WordCache(self._chunk, 60_000)
+        self.words = WordCache(self._word, memo // 2)
+        self.chunks = WordCache(self._chunk, memo)
 
     def _word(self, word: str) -> bytes:
         symbols = list(word.encode("utf-8", "surrogatepass"))
@@ -264,8 +266,8 @@ class WordBpe:
 
 
 @functools.lru_cache(maxsize=2)
-def load(path: str) -> WordBpe:
-    return WordBpe(path)
+def load(path: str, memo: int = MEMO) -> WordBpe:
+    return WordBpe(path, memo)
 
 
 
@@ -297,7 +299,7 @@ def decode(ids: Column, path: str) -> Column:
     return bpe_decode(ids)
 
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", memo: int = MEMO) -> DataFrame:
     """(key, ids binary, n_tokens, decoded) of every row; other columns are not read.
 
     One function does both directions, else every text would be encoded
@@ -306,7 +308,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", key: str =
     ship_code(docs.sparkSession)
 
     def round_trip(batches):
-        bpe = load(path)
+        bpe = load(path, memo)
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 some = batch.slice(i, 500)
