@@ -32,6 +32,7 @@ highest); very long texts are scored whole.
 
 from __future__ import annotations
 
+import functools
 import re
 import uuid
 from collections.abc import Iterator
@@ -75,12 +76,16 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 class Units:
     """The units of some texts in order."""
 
-    names: list[str]  # distinct units, lower-cased, without marks at the ends
+    distinct: pa.Array  # distinct units, lower-cased, without marks at the ends
     unit: np.ndarray  # number of each unit's name
     text: np.ndarray
     sentence: np.ndarray
     single: np.ndarray  # whether it is one character
 
+    @functools.cached_property
+    def names(self) -> list[str]:
+        return self.distinct.to_pylist()
+
 
 def cut(texts: pa.Array) -> Units:
     """Units are set apart by white space; a sentence ends with a line or behind ``.``, ``!`` or ``?`` before white space."""
@@ -90,7 +95,7 @@ def cut(texts: pa.Array) -> Units:
     coded = flat.dictionary_encode()
     raw = coded.dictionary
     lower = pc.utf8_trim(pc.utf8_lower(raw), _MARKS).dictionary_encode()
-    at = coded.indices.to_numpy()
+    at = coded.indices.to_numpy().astype(np.intp)
     text = np.repeat(np.arange(len(texts)), np.diff(bounds))
     of_raw = lambda flags: flags.to_numpy(zero_copy_only=False).astype(bool)[at]
     line = of_raw(pc.equal(raw, _LINE))
@@ -99,7 +104,7 @@ def cut(texts: pa.Array) -> Units:
     sentence = np.cumsum(closes) - closes + text  # a new text is a new sentence too
     single = of_raw(pc.equal(pc.utf8_length(raw), 1))
     unit = lower.indices.to_numpy()[at]
-    return Units(lower.dictionary.to_pylist(), unit[real], text[real], sentence[real], single[real])
+    return Units(lower.dictionary, unit[real], text[real], sentence[real], single[real])
 
 
 def spaced_runs(units: Units) -> tuple[list[str], np.ndarray]:
@@ -110,9 +115,10 @@ def spaced_runs(units: Units) -> tuple[list[str], np.ndarray]:
     new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (units.sentence[at[1:]] != units.sentence[at[:-1]])])
     first = np.flatnonzero(new)
     size = np.diff(np.concatenate([first, [len(at)]]))
-    runs = [(at[f], n) for f, n in zip(first[size > 2].tolist(), size[size > 2].tolist())]
-    return (["".join(units.names[i] for i in units.unit[f : f + n]) for f, n in runs],
-            np.array([units.text[f] for f, _ in runs], np.int64))
+    first, size = first[size > 2], size[size > 2]
+    held = units.distinct.take(pa.array(units.unit[at[np.repeat(first + size - np.cumsum(size), size) + np.arange(size.sum())]])).to_pylist()
+    stops = np.cumsum(size).tolist()
+    return ["".join(held[i:j]) for i, j in zip([0, *stops], stops)], units.text[at[first]].astype(np.int64)
 
 
 def core(unit: str) -> str:
@@ -148,10 +154,15 @@ def letters_of(unit: str) -> str:
     return low if low.isalnum() else "".join(c for c in low if c.isalnum())
 
 
-def windows_of(text: str | None) -> Iterator[list[str]]:
-    """Two and three neighbouring units of each sentence of a text; units of marks alone are passed over."""
+def sentences_of(text: str | None) -> Iterator[list[str]]:
+    """What the units of each sentence of a text give to windows; units of marks alone are passed over."""
     for sentence in _SENTENCE.split(text or ""):
-        units = [w for w in map(letters_of, sentence.split()) if w]
+        yield [w for w in map(letters_of, sentence.split()) if w]
+
+
+def windows_of(text: str | None) -> Iterator[list[str]]:
+    """Two and three neighbouring units of each sentence of a text."""
+    for units in sentences_of(text):
         for many in (2, 3):
             for i in range(len(units) - many + 1):
                 yield units[i : i + many]
@@ -165,7 +176,10 @@ _SALT = {3: np.uint32(0x3C6EF372), 4: np.uint32(0xDAA66D2B)}
 
 
 def _bucket(key: np.ndarray, order: int) -> np.ndarray:
-    return ((key ^ _SALT[order]) * _MIX) >> _SHIFT
+    mixed = key ^ _SALT[order]
+    mixed *= _MIX
+    mixed >>= _SHIFT
+    return mixed
 
 
 def codes_of(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -180,18 +194,21 @@ def _keys(letter_at, first: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]
     ``letter_at(reach)`` gives the letters ``reach`` after the first ones; arrays
     may get shorter with the reach.
     """
+    one = first * _TIMES
     for a in range(1, max(STEPS.values()) + 1):
         two = letter_at(a)
-        two = first[: len(two)] * _TIMES + two
+        two = one[: len(two)] + two
+        two *= _TIMES
         for b in range(1, max(STEPS.values()) + 1):
             three = letter_at(a + b)
-            three = two[: len(three)] * _TIMES + three
+            three = two[: len(three)] + three
             if max(a, b) <= STEPS[3]:
                 yield _bucket(three, 3), a + b, 3
             if max(a, b) <= STEPS[4]:
+                three *= _TIMES
                 for c in range(1, STEPS[4] + 1):
                     four = letter_at(a + b + c)
-                    yield _bucket(three[: len(four)] * _TIMES + four, 4), a + b + c, 4
+                    yield _bucket(three[: len(four)] + four, 4), a + b + c, 4
 
 
 def _patterns(units: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
@@ -290,26 +307,25 @@ class Model:
             out[i : i + len(part)] = raw / np.sqrt(np.where(square > 0, square, 1.0))
         return out + self.bias
 
-    def window_margins(self, code: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Margins of every two and every three neighbours joined, a mark framing the start.
+    def window_margins(self, code: np.ndarray, size: np.ndarray, widths: tuple[int, ...] = (2, 3)) -> tuple[np.ndarray, ...]:
+        """Margins of every two and every three neighbours joined (of every ``widths``), a mark framing the start.
 
         ``code``: the letters of all units, ``size`` of each.  A part of the
         letters at a time, so that the arrays stay in the cache.
         """
         end = np.cumsum(size)
-        two, three = [], []
+        out: list[list[np.ndarray]] = [[] for _ in widths]
         at = 0
         while at < max(1, len(size)):
             before = end[at - 1] if at else 0
             stop = max(at + 1, int(np.searchsorted(end, before + LETTERS, "right")))
-            last = min(stop + 2, len(size))  # windows that start here end two units later at most
-            found = self._windows_in(code[before : end[last - 1] if last else 0], size[at:last])
-            two.append(found[0][: stop - at])
-            three.append(found[1][: stop - at])
+            last = min(stop + max(widths) - 1, len(size))  # windows that start here end so many units later at most
+            for found, part in zip(out, self._windows_in(code[before : end[last - 1] if last else 0], size[at:last], widths)):
+                found.append(part[: stop - at])
             at = stop
-        return np.concatenate(two), np.concatenate(three)
+        return tuple(map(np.concatenate, out))
 
-    def _windows_in(self, code: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _windows_in(self, code: np.ndarray, size: np.ndarray, widths: tuple[int, ...] = (2, 3)) -> tuple[np.ndarray, ...]:
         """One pass over the letters: running sums, per reach, of the weights of the subsequences that start
         before a letter give the sum inside any window; norms depend on lengths only."""
         n, most = len(code), MOST_REACH
@@ -319,37 +335,53 @@ class Model:
         inner = np.zeros((most + 1, n + 1))  # subsequences that start at a letter
         framed = np.zeros((most + 1, len(size)))  # ... at the mark before a unit
         times = np.zeros(most + 1)
+        # Buckets are within the table: "wrap" only spares the check.
         for bucket, reach, _ in _keys(lambda r: code[r : r + n], code[:n]):
-            inner[reach, 1:] += self.weight[bucket]
+            inner[reach, 1:] += self.weight.take(bucket, mode="wrap")
             times[reach] += 1
-        mark = np.full(len(size), ord(START), np.uint32)
-        for bucket, reach, _ in _keys(lambda r: code[start + r - 1], mark):
-            framed[reach] += self.weight[bucket]
-        out = []
-        for many in (2, 3):
-            a, b = start[: max(0, len(size) - many + 1)], end[many - 1 :]
-            length = b - a
-            raw, square = np.zeros(len(a)), np.zeros(len(a))
-            for r in range(2, most + 1):
-                sums = np.cumsum(inner[r]) if many == 2 else inner[r]
-                inner[r] = sums
-                weight = DECAY ** (r + 1)
-                raw += weight * (sums[np.maximum(b - r, a)] - sums[a] + np.where(length >= r, framed[r, : len(a)], 0))
-                square += times[r] * weight * weight * np.maximum(0, length + 1 - r)
-            out.append(raw / np.sqrt(np.where(square > 0, square, 1.0)) + self.bias)
-        return out[0], out[1]
+        after = [code[start + r] for r in range(most)]
+        for bucket, reach, _ in _keys(lambda r: after[r - 1], np.full(len(size), ord(START), np.uint32)):
+            framed[reach] += self.weight.take(bucket, mode="wrap")
+        spans = [(max(0, len(size) - many + 1), many - 1) for many in widths]
+        lengths = [end[skip:] - start[:held] for held, skip in spans]
+        raw = [np.zeros(held) for held, _ in spans]
+        square = np.zeros(max((int(x.max()) for x in lengths if len(x)), default=0) + 1)  # by length
+        for r in range(2, most + 1):
+            sums = np.cumsum(inner[r])
+            weight = DECAY ** (r + 1)
+            first, last = sums[start], sums[np.maximum(end - r, 0)]
+            for total, length, (held, skip) in zip(raw, lengths, spans):
+                total += weight * ((last[skip:] - first[:held] + framed[r, :held]) * (length >= r))
+            square += times[r] * weight * weight * np.maximum(0, np.arange(len(square)) + 1 - r)
+        norm = np.sqrt(np.where(square > 0, square, 1.0))
+        return tuple(total / norm[length] + self.bias for total, length in zip(raw, lengths))
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         """Score of each row (largest margin, positive sum, sum per hundred units)."""
         return 1 / (1 + np.exp(-np.clip(shaped(evidence) @ self.curve, -40, 40)))
 
 
+#: Per code point: 1 for letters and digits that are their own lower case, 2 for others, 0 if not yet looked at.
+_PLAIN = np.zeros(0x110000, np.uint8)
+
+
+def _plain(code: np.ndarray) -> np.ndarray:
+    kind = _PLAIN[code]
+    if not kind.all():
+        for c in np.unique(code[kind == 0]).tolist():
+            _PLAIN[c] = 1 if chr(c).isalnum() and chr(c).lower() == chr(c) else 2
+        kind = _PLAIN[code]
+    return kind == 1
+
+
 class Scorer:
     """Margins of texts.
 
-    Arrow cuts a slice of texts to units and numbers the distinct ones; those
-    are scored once per worker while they are remembered, and windows come
-    from one pass over the letters of all units in order.
+    Arrow cuts a slice of texts to units and numbers the distinct ones; one
+    pass over the letters of all units in order gives the margins of plain
+    units and of windows.  Only units that have another form than themselves
+    (marks inside, pieces) are taken apart one by one, once per worker while
+    they are remembered.
     """
 
     LIMIT = 100_000
@@ -382,6 +414,26 @@ class Scorer:
             letters.pop(u, None)
         return out
 
+    def spelled(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(code points, where each unit's letters start among them, how many they are, margin of each unit).
+
+        The margin is NaN for a plain unit: letters and digits in lower case, of one piece with its mark.
+        """
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct), pa.scalar("", distinct.type))
+        code = np.frombuffer(text[0].as_py().encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint32)
+        size = pc.utf8_length(distinct).to_numpy().astype(np.int64)
+        end = np.cumsum(size)
+        start = end - size
+        plain = np.concatenate([[0], np.cumsum(_plain(code))])
+        other = np.flatnonzero((plain[end] - plain[start] != size) | (size == 0) | (size >= MAX_UNIT))
+        margin = np.full(len(distinct), np.nan)
+        if len(other):
+            margin[other], letters = self.unit_margins(distinct.take(pa.array(other)).to_pylist())
+            more, size[other] = codes_of(letters)
+            start[other] = len(code) + np.cumsum(size[other]) - size[other]
+            code = np.concatenate([code, more])
+        return code, start, size, margin
+
     def evidence(self, texts) -> tuple[np.ndarray, list[str | None]]:
         """Of each text: (largest margin of its units and windows, sum of the positive ones, that sum per
         hundred units), and the worst of them; over all its sentences.
@@ -390,14 +442,27 @@ class Scorer:
         """
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
         units = cut(texts)
-        names, unit, text, sentence = units.names, units.unit, units.text, units.sentence
+        unit, text, sentence = units.unit, units.text, units.sentence
         n = len(texts)
-        margins, letters = self.unit_margins(names)
+        code, start, size, margins = self.spelled(units.distinct)
         # Runs of single characters, joined, are units too.
         extra, extra_text = spaced_runs(units)
-        extra_margin = self.unit_margins(sorted(set(extra)))[0][np.searchsorted(sorted(set(extra)), extra)] if extra else np.zeros(0)
+        runs = {x: i for i, x in enumerate(dict.fromkeys(extra))}
+        extra_margin = self.unit_margins(list(runs))[0][np.array([runs[x] for x in extra], np.intp)]
 
-        margin = np.concatenate([margins[unit], extra_margin])
+        margin = margins[unit]
+        held = np.flatnonzero(size[unit] > 0)
+        u, t, sent = unit[held], text[held], sentence[held]
+        each = size[u]
+        two = three = np.zeros(0)
+        if len(u):
+            ends = np.cumsum(each)
+            place = np.repeat(start[u] - (ends - each), each) + np.arange(ends[-1])
+            one, two, three = self.model.window_margins(code[place], each, (1, 2, 3))
+            margin[held] = np.where(np.isnan(margin[held]), one, margin[held])
+        own = margin[held] <= 0
+
+        margin = np.concatenate([margin, extra_margin])
         of = np.concatenate([text, extra_text])
         count = np.bincount(of, minlength=n)
         total = np.bincount(of, np.maximum(margin, 0), n)
@@ -407,17 +472,9 @@ class Scorer:
         top = margin == most[of]
         worst[of[top][::-1]] = np.flatnonzero(top)[::-1]  # the first of equals
 
-        code, size = codes_of(letters)
-        held = np.flatnonzero(size[unit] > 0)
-        u, t, sent = unit[held], text[held], sentence[held]
         joined = np.full(n, -1)
         many = np.zeros(n, np.int64)
         if len(u) > 1:
-            each = size[u]
-            ends = np.cumsum(each)
-            place = np.repeat((np.cumsum(size) - size)[u] - (ends - each), each) + np.arange(ends[-1])
-            two, three = self.model.window_margins(code[place], each)
-            own = margins[u] <= 0
             pairs = own[:-1] & own[1:] & (sent[:-1] == sent[1:])
             triples = pairs[:-1] & pairs[1:]
             more = np.maximum(three - np.maximum(np.maximum(two[:-1], two[1:]), 0), 0)
@@ -432,15 +489,16 @@ class Scorer:
                 total += np.bincount(t[at], adds[at], n)
         most[count == 0] = self.model.bias
         rate = 100 * total / np.maximum(count, 1)
+        letters = lambda i: code[start[i] : start[i] + size[i]].tobytes().decode("utf-32-le", "surrogatepass")
         strings: list[str | None] = []
         for k in range(n):
             if not count[k]:
                 strings.append(None)
             elif joined[k] >= 0:
-                strings.append(START + "".join(letters[i] for i in u[joined[k] : joined[k] + many[k]]))
+                strings.append(START + "".join(letters(i) for i in u[joined[k] : joined[k] + many[k]]))
             else:
                 w = worst[k]
-                strings.append(variants(names[unit[w]] if w < len(unit) else extra[w - len(unit)])[0])
+                strings.append(variants(units.distinct[int(unit[w])].as_py() if w < len(unit) else extra[w - len(unit)])[0])
         return np.stack([most, total, rate], 1), strings
 
     def scores(self, texts) -> np.ndarray:
@@ -512,26 +570,52 @@ def window_id(units: list[str]) -> int:
     return xxhash.xxh3_64_intdigest(" ".join(units).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _raw_ids(units: list[str]) -> list[int]:
+    """``window_id`` plus 2**63 of every two, then of every three neighbours."""
+    each = [u.encode("utf-8", "surrogatepass") for u in units]
+    two = list(map(b" ".join, zip(each, each[1:])))
+    return list(map(xxhash.xxh3_64_intdigest, [*two, *map(b" ".join, zip(two, each[2:]))]))
+
+
+def window_ids(text: str | None, bad: set[str]) -> np.ndarray:
+    """Ids of a text's distinct windows in order, without those that hold a unit of ``bad``."""
+    found: set[int] = set()
+    for units in sentences_of(text):
+        at = 0
+        for k in [*(i for i, u in enumerate(units) if u in bad), len(units)]:
+            found.update(_raw_ids(units[at:k]))
+            at = k + 1
+    ids = np.fromiter(found, np.uint64, len(found)) ^ np.uint64(1 << 63)
+    return np.sort(ids.view(np.int64))
+
+
 def _distinct_windows(bad: list[str]):
     """Column function: text -> ids of its distinct windows, without those that hold a unit of ``bad``."""
     held = {letters_of(u) for u in bad}
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def distinct_windows(texts: pa.Array) -> pa.Array:
-        found = (sorted({window_id(w) for w in windows_of(t.as_py()) if held.isdisjoint(w)}) for t in texts)
-        return pa.array(found, pa.list_(pa.int64()))
+        found = [window_ids(t.as_py(), held) for t in texts]
+        bounds = np.cumsum([0, *map(len, found)])
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
 
     return distinct_windows
 
 
 def _spelled(ids: list[int]):
     """Column function: text -> its windows with one of ``ids``, units set apart by a blank."""
-    wanted = set(ids)
+    wanted = {i + (1 << 63) for i in ids}
+
+    def held(text: str | None) -> Iterator[str]:
+        for units in sentences_of(text):
+            for k, i in enumerate(_raw_ids(units)):
+                if i in wanted:
+                    at, many = (k, 2) if k < len(units) - 1 else (k - len(units) + 1, 3)
+                    yield " ".join(units[at : at + many])
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def spelled(texts: pa.Array) -> pa.Array:
-        found = (sorted({" ".join(w) for w in windows_of(t.as_py()) if window_id(w) in wanted}) for t in texts)
-        return pa.array(found, pa.list_(pa.string()))
+        return pa.array([sorted(set(held(t.as_py()))) for t in texts], pa.list_(pa.string()))
 
     return spelled
 

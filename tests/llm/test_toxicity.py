@@ -107,6 +107,35 @@ def test_windows_against_joined_strings(monkeypatch):
     assert list(tx.windows_of("So - Ha. No\nwe go on")) == [["so", "ha"], ["we", "go"], ["go", "on"], ["we", "go", "on"]]
 
 
+def test_plain_units_come_from_the_pass_over_letters():
+    model = tx.fit(["idiot", "stupid", "loser"], ["the", "thing", "other", "stone", "idea", "study"], np.ones(6), [])
+    odd = ["i-d.iot!", "(Don't!)", "É", "ÉÀé", "İx", "ΣΑΣ", "a" * 31, "a" * 32, "x" * 70 + "idiot", "...", "ß", "٣", "\x00", "日本語です", "ﬁx", "ǅ"]
+    texts = [*odd, " ".join(odd), "what an idiot . the stu pid thing", "a b c d\x00 \x00 \x00", "", None]
+    found, worst = tx.Scorer(model).evidence(texts)
+    for text, (most, *_), unit in zip(odd, found, worst):
+        low = tx.cut(pa.array([text])).names[0]
+        assert abs(most - model.margins(tx.variants(low)).max()) < 1e-9, text
+        assert unit == tx.variants(low)[0]
+    assert worst[-1] is None and found[-1, 0] == model.bias
+    # Units that are their only form are not taken apart one by one.
+    plain = " ".join("".join(random.Random(i).choices("abdeiklmnorstué", k=i % 31 + 1)) for i in range(500))
+    scorer = tx.Scorer(model)
+    scorer.evidence([plain, "Two words, (and) i-d.iot!"])
+    assert list(scorer.known) == ["i-d.iot"]
+
+
+def test_window_ids_in_bulk():
+    texts = ["So - Ha. No\nwe go on the long way", "a b", "a", "", None, "x the y z w the", "a b a b a b", "é ü-ß. Ñ o p"]
+    for text in texts:
+        for bad in (set(), {"the"}, {"the", "b"}):
+            want = sorted({tx.window_id(w) for w in tx.windows_of(text) if bad.isdisjoint(w)})
+            assert tx.window_ids(text, bad).tolist() == want
+            assert tx._distinct_windows(sorted(bad)).func(pa.array([text], pa.string())).to_pylist() == [want]
+        some = [tx.window_id(w) for w in tx.windows_of(text)][::2]
+        want = sorted({" ".join(w) for w in tx.windows_of(text) if tx.window_id(w) in some})
+        assert tx._spelled(some).func(pa.array([text], pa.string())).to_pylist() == [want]
+
+
 def test_insults_parted_by_a_blank(model):
     score = tx.Scorer(model).scores(["what an id iot you are", "what an i d iot you are", "how stu pid it is", "the thing and the other"])
     assert (score[:3] >= tx.FLAG_AT).all() and score[3] < tx.FLAG_AT, score
